@@ -142,7 +142,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     with open(vocabulary_path, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
     docs = docs.drop(*NEW)
-    kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.LongType()), "ids_sha256": T.StringType(), "decoded_text": T.StringType(), "decoded_sha256": T.StringType()}
+    kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded_text": T.StringType(), "decoded_sha256": T.StringType()}
     schema = T.StructType([*docs.schema.fields, *(T.StructField(n, kinds[n]) for n in outputs)])
     wants_text = bool({"decoded_text", "decoded_sha256"} & set(outputs))
 
@@ -162,14 +162,14 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
                     if n == "n_tokens":
                         out[n].append(len(ids) // 4)
                     elif n == "ids":
-                        out[n].append(np.frombuffer(ids, "<u4").astype(np.int64))
+                        out[n].append(np.frombuffer(ids, "<i4"))
                     elif n == "ids_sha256":
                         out[n].append(hashlib.sha256(ids).hexdigest())
                     elif n == "decoded_text":
                         out[n].append(decoded.decode())
                     else:
                         out[n].append(hashlib.sha256(decoded).hexdigest())
-            made = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int64())}
+            made = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(out[n], made.get(n, pa.string())) for n in outputs)], names=[*batch.schema.names, *outputs])
 
     return docs.mapInArrow(run, schema)
