@@ -28,6 +28,11 @@ class Chunks:
     def __init__(self, n: int, knots: list[int]):
         self.n, self.knots = n, np.array(sorted(set(knots)) or [0], np.int64)
 
+    @property
+    def parts(self) -> int:
+        """Ranges of the hash space: each holds the hashes of a few chunks, so that there are fewer, larger packets."""
+        return max(12, -(-self.n // 3))
+
     def of(self, ids: np.ndarray) -> np.ndarray:
         k = self.knots
         i = np.clip(np.searchsorted(k, ids, "right") - 1, 0, max(len(k) - 2, 0))

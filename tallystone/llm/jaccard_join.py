@@ -33,7 +33,7 @@ from tallystone.llm.common import materialize, mix64
 from tallystone.llm.words import BASE, hashes_of, split, windows
 
 WIDTH, SHARE = 5, (3, 4)
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 SMALL = 16
 LOW48 = np.uint64((1 << 48) - 1)
 NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<long>, hashes binary"
@@ -154,7 +154,7 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
             "hashes": pa.array(held, pa.binary()),
         })
 
-    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), max(8, chunks.n), send, _count, finish, NODES), chunks
+    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES), chunks
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:

@@ -25,7 +25,7 @@ from tallystone.llm import blocks
 from tallystone.llm.words import hashes_of, split, windows
 
 WINDOW = 13
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 NEW = ("n_words", "n_removed", "removed", "kept_text", "kept_sha256")
 
 
@@ -87,4 +87,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table
 
     rows = blocks.blocks(docs, id_col, chunks)
-    return blocks.exchange(rows, max(8, chunks.n), send, lambda h, c: _first_later((h, c)), finish, schema)
+    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later((h, c)), finish, schema)
