@@ -12,9 +12,11 @@ counted over all documents first (packed, one shuffle); most documents then have
 drop out, and a passage or line that very many documents share never makes a pair. A set with f <= k makes signatures
 of its single shingles beside, where f is its size and above k always.
 
-Of each signature's documents one, the smallest, is compared with all others (a star); connected components follow.
-Where a signature's documents are still in different components, all pairs between these components are compared.
-Comparisons are exact on the sets (48 bits of each shingle's hash).
+Documents left over are filtered once more by their rarest shingles, counted among themselves. Those that meet in such
+a shingle are compared: first each with one other (the smallest it meets: a star, which joins large groups of copies
+with a pair a document), then again across components, and at last all that meet and are still in different
+components: pair by pair in shingles of up to 100 documents, and above that block by block, with matrix products, so
+that no pair is a row. Comparisons are exact on the sets (48 bits of each shingle's hash).
 
 Defined results: a null or empty text has an empty set and links with nothing; rows that share a doc_id are one
 document, whose links are pooled; a null doc_id links with nothing and its component_id is null; an empty table gives
@@ -35,6 +37,8 @@ from tallystone.llm.words import BASE, hashes_of, split, windows
 WIDTH, SHARE = 5, (3, 4)
 CHUNK_BYTES = 4 << 20
 SMALL = 16
+#: Keys that more documents share are compared blockwise; documents of a block; columns of a matrix.
+HOT, BLOCK, COLUMNS = 100, 512, 8192
 LOW48 = np.uint64((1 << 48) - 1)
 NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<long>, hashes binary"
 
@@ -157,6 +161,12 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
     return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES), chunks
 
 
+def _full(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // 6, 8), np.uint8)
+    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    return wide.reshape(-1).view("<u8").astype(np.uint64)
+
+
 def _similar(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Of pairs (a, b) those whose sets are similar enough. A document in many pairs is met by 64 copies of its set."""
     p, q = share
@@ -164,19 +174,14 @@ def _similar(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
     left = salted.select("a", "salt").distinct().join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")).hint("shuffle_merge"), "a")
     both = salted.join(left.hint("shuffle_merge"), ["a", "salt"]).select("a", "b", "x").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")).hint("shuffle_merge"), "b")
 
-    def full(data: bytes) -> np.ndarray:
-        wide = np.zeros((len(data) // 6, 8), np.uint8)
-        wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
-        return wide.reshape(-1).view("<u8")
-
     def run(batches):
         for batch in batches:
             keep, last = [], (None, None)
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
                 x, y = x.as_py(), y.as_py()
                 if last[0] != x:
-                    last = (x, full(x))
-                other = full(y)
+                    last = (x, _full(x))
+                other = _full(y)
                 merged = np.concatenate((last[1], other))
                 merged.sort()
                 inside = int((merged[1:] == merged[:-1]).sum())
@@ -201,10 +206,128 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def _stars(at: DataFrame) -> DataFrame:
-    """Pairs of each signature's smallest document with the others."""
-    first = at.groupBy("signature").agg(F.min("doc_id").alias("a"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return at.join(first.hint("shuffle_merge"), "signature").where("a < doc_id").select("a", F.col("doc_id").alias("b")).distinct()
+def rare_shingles(sets: DataFrame, share: tuple[int, int], chunk_bytes: int) -> DataFrame:
+    """(doc_id, n, most, shingles): of documents that may link, those of their rarest shingles that others have too.
+
+    Similar sets of which one has size n share all but n / 4 of its shingles, so they share one of its n / 4 + 1 rarest,
+    counted among these documents alone. A passage in many documents is seldom among those. And a set of size n, of which
+    u shingles are in no other document, can only be similar to sets of at most `most` shingles: those with which n - u
+    shared shingles are enough.
+    """
+    chunks = blocks.plan(sets, "doc_id", "hashes", chunk_bytes)
+
+    def held(table: pa.Table) -> list[np.ndarray]:
+        return [_full(x) for x in table.column("hashes").to_pylist()]
+
+    def finish(chunk: int, table: pa.Table, known: np.ndarray, counts: np.ndarray) -> pa.Table:
+        chosen, n, most = [], [], []
+        p, q = share
+        for own in held(table):
+            shared = np.zeros(len(own), bool)
+            if len(known):
+                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
+                shared = known[place] == own
+            n.append(len(own))
+            most.append(int(shared.sum()) * (p + q) // p - len(own))
+            more = len(own) - -(-p * len(own) // q) + 1 - int((~shared).sum())
+            rare = np.lexsort((own[shared], counts[place[shared]]))[:more] if more > 0 else []
+            chosen.append(own[shared][rare].view(np.int64) if more > 0 else own[:0].view(np.int64))
+        return pa.table({"doc_id": table.column("doc_id"), "n": pa.array(n, pa.int64()), "most": pa.array(most, pa.int64()), "shingles": pa.array(chosen, pa.list_(pa.int64()))})
+
+    def send(table: pa.Table) -> np.ndarray:
+        return np.sort(np.concatenate(held(table)))
+
+    return blocks.exchange(blocks.blocks(sets, "doc_id", chunks), chunks.parts, send, _count, finish, "doc_id long, n long, most long, shingles array<long>").where("size(shingles) > 0")
+
+
+def _meeting(at: DataFrame, roots: DataFrame | None) -> DataFrame:
+    """(key, doc_id, n, most, root) for the keys whose documents are in different components so far."""
+    if roots is None:
+        placed = at.withColumn("root", F.col("doc_id"))
+    else:
+        placed = at.join(roots.withColumnRenamed("node", "doc_id").hint("shuffle_merge"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
+    placed = placed.select("doc_id", "n", "most", "root", F.explode("shingles").alias("key"))
+    open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
+    return materialize(placed.join(open_.hint("shuffle_merge"), "key"))
+
+
+def _stars(meeting: DataFrame) -> DataFrame:
+    """For each document one pair: of the documents of other components that lead one of its keys (the smallest there),
+    with the one that leads most of them."""
+    first = meeting.groupBy("key").agg(F.min(F.struct("root", "doc_id", "n", "most")).alias("first"))
+    pairs = meeting.join(first.hint("shuffle_merge"), "key").where((F.col("root") != F.col("first.root")) & (F.col("n") <= F.col("first.most")) & (F.col("first.n") <= F.col("most")))
+    often = pairs.groupBy(F.col("doc_id").alias("d"), F.col("first.doc_id").alias("e")).count()
+    return often.groupBy("d").agg(F.max_by("e", F.struct("count", -F.col("e"))).alias("e")).select(F.least("d", "e").alias("a"), F.greatest("d", "e").alias("b")).distinct()
+
+
+def _all_pairs(meeting: DataFrame) -> DataFrame:
+    """All pairs of documents of different components that meet in a key and have enough in common by their sizes."""
+    one = meeting.select("key", F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("most").alias("ma"))
+    two = meeting.select(F.col("key").alias("key2"), F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
+    fits = F.expr("key = key2 and a < b and ra <> rb and na <= mb and nb <= ma")
+    return one.join(two.hint("shuffle_merge"), fits).select("a", "b").distinct()
+
+
+def _same(tables: pa.Table, here: np.ndarray, there: np.ndarray, share: tuple[int, int]) -> list[tuple[int, int]]:
+    """Links between rows `here` and rows `there` of different roots, as many as join their components."""
+    sets = [_full(x) for x in tables.column("hashes").to_pylist()]
+    ids, roots = tables.column("doc_id").to_numpy(), tables.column("root").to_numpy()
+    size = np.array([len(x) for x in sets])
+    row = np.repeat(np.arange(len(sets)), size)
+    value, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(place, kind="stable")
+    order = order[count[place[order]] > 1]
+    row, place = row[order], place[order]
+    common = np.zeros((len(here), len(there)), np.float32)
+    at = {side: np.full(len(sets), -1) for side in "ht"}
+    at["h"][here], at["t"][there] = np.arange(len(here)), np.arange(len(there))
+    for low in range(0, len(value), COLUMNS):
+        a, b = np.searchsorted(place, (low, low + COLUMNS))
+        if a < b:
+            one, two = np.zeros((len(here), COLUMNS), np.float32), np.zeros((len(there), COLUMNS), np.float32)
+            for matrix, side in ((one, "h"), (two, "t")):
+                own = at[side][row[a:b]]
+                matrix[own[own >= 0], place[a:b][own >= 0] - low] = 1
+            common += one @ two.T
+    p, q = share
+    common = common.astype(np.int64)
+    total = size[here][:, None] + size[there][None, :]
+    linked = (q * common >= p * (total - common)) & (roots[here][:, None] != roots[there][None, :])
+    parent: dict[int, int] = {}
+
+    def top(x: int) -> int:
+        while (y := parent.get(x, x)) != x:
+            x = y
+        return x
+
+    found = []
+    for i, j in np.argwhere(linked).tolist():
+        x, y = here[i], there[j]
+        one, two = top(int(roots[x])), top(int(roots[y]))
+        if one != two:
+            parent[max(one, two)] = min(one, two)
+            found.append((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
+    return found
+
+
+def _blockwise(meeting: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Links between components among documents that meet in keys of very many documents: documents that such keys
+    connect make a group, the group is cut into blocks, and each two blocks are compared by matrix products."""
+    first = meeting.groupBy("key").agg(F.min("doc_id").alias("a"))
+    edges = meeting.select("key", "doc_id").join(first.hint("shuffle_merge"), "key").select("a", F.col("doc_id").alias("b")).distinct()
+    group = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
+    members = meeting.select("doc_id", "root").distinct().join(group.hint("shuffle_merge"), "doc_id")
+    blocks_ = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
+    placed = members.join(blocks_.hint("shuffle_merge"), "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("group", "block", "doc_id", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
+    full = dealt.join(sets.hint("shuffle_merge"), "doc_id").select("group", "i", "j", "block", "doc_id", "root", "hashes")
+
+    def compare(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
+        block, i, j = held.column("block").to_numpy(), key[1].as_py(), key[2].as_py()
+        found = _same(held, np.flatnonzero(block == i), np.flatnonzero(block == j), share)
+        return pa.table({"a": pa.array([x for x, _ in found], pa.int64()), "b": pa.array([y for _, y in found], pa.int64())})
+
+    return full.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long")
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: tuple[int, int] = SHARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -212,18 +335,27 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     held, _ = nodes(docs, id_col, text_col, width, share, chunk_bytes)
     held = materialize(held)
     sets = held.where("hashes is not null").select("doc_id", "hashes")
-    at = materialize(held.where("hashes is not null").select("doc_id", F.explode("signatures").alias("signature")).distinct())
-    tried = materialize(_stars(at))
-    links = materialize(_similar(tried, sets, share))
-    roots = components(links)
-    placed = at.join(roots.withColumnRenamed("node", "doc_id").hint("shuffle_merge"), "doc_id", "left").select("signature", "doc_id", F.coalesce("root", "doc_id").alias("root"))
-    open_ = placed.groupBy("signature").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("signature")
-    rest = materialize(placed.join(open_.hint("shuffle_merge"), "signature"))
-    one, two = rest.select("signature", F.col("doc_id").alias("a"), F.col("root").alias("ra")), rest.select("signature", F.col("doc_id").alias("b"), F.col("root").alias("rb"))
-    pairs = one.join(two.hint("shuffle_merge"), "signature").where("a < b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = materialize(_similar(pairs, sets, share))
-    if more.limit(1).count():
-        roots = components(links.unionByName(more))
+    at = materialize(rare_shingles(sets, share, chunk_bytes))
+    few = at.withColumn("shingles", F.filter("shingles", lambda x: F.pmod(x, F.lit(8)) == 0))
+    links = roots = None
+    for among in (few, at):
+        found = materialize(_similar(_stars(_meeting(among, roots)), sets, share))
+        if links is None or found.limit(1).count():
+            links = found if links is None else links.unionByName(found)
+            roots = components(links)
+    meeting = _meeting(at, roots)
+    sizes = materialize(meeting.groupBy("key").agg(F.count("*").alias("docs")))
+    cold = meeting.join(sizes.where(F.col("docs") <= HOT).hint("shuffle_merge"), "key", "left_semi")
+    rest = [_similar(_all_pairs(cold), sets, share)]
+    if sizes.where(F.col("docs") > HOT).limit(1).count():
+        hot = materialize(meeting.join(sizes.where(F.col("docs") > HOT).hint("shuffle_merge"), "key", "left_semi"))
+        rest.append(_blockwise(hot, sets, share))
+    for more in rest:
+        more = materialize(more)
+        if more.limit(1).count():
+            links = links.unionByName(more)
+            roots = None
+    roots = roots if roots is not None else components(links)
     found = roots.withColumnRenamed("node", "twin")
     return held.select("chunk", "doc_id", "n_shingles", "twin").join(found.hint("shuffle_merge"), "twin", "left").select("chunk", "doc_id", "n_shingles", F.coalesce("root", "twin").alias("component_id"))
 
