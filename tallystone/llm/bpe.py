@@ -16,6 +16,7 @@ an empty table gives an empty result; other columns pass through, and those with
 from __future__ import annotations
 
 import hashlib
+import heapq
 import json
 from collections.abc import Iterator
 
@@ -28,6 +29,8 @@ from pyspark.sql import types as T
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 CACHE = 200_000
+#: Fragments above this length are merged with a heap. Ids fit in 20 bits; NONE is above all ranks.
+LONG, MASK, NONE = 64, (1 << 20) - 1, 1 << 60
 NEW = ("n_tokens", "ids", "ids_sha256", "decoded_text", "decoded_sha256")
 
 
@@ -50,7 +53,12 @@ class Vocabulary:
         raw = lambda token: bytes(letters[c] for c in token)
         self.ids = {raw(t): i for t, i in model["vocab"].items() if all(c in letters for c in t)}
         pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
-        self.ranks = {(raw(a), raw(b)): i for i, (a, b) in enumerate(pairs)}
+        if max(self.ids.values()) > MASK:
+            raise ValueError("too many tokens")
+        ids = model["vocab"]
+        #: two ids in one number -> the merge's rank and the id that it makes, in one number
+        self.joined = {ids[a] << 20 | ids[b]: i << 20 | ids[a + b] for i, (a, b) in reversed(list(enumerate(pairs)))}
+        self.single = [self.ids[bytes([b])] for b in range(256)]
         self.tokens = {i: t for t, i in self.ids.items()}
         self.special = {t["content"]: t["id"] for t in held.get("added_tokens", [])}
         if any(t.get("single_word") or t.get("lstrip") or t.get("rstrip") for t in held.get("added_tokens", [])):
@@ -62,6 +70,7 @@ class Vocabulary:
         self.mark = regex.compile("(" + "|".join(map(regex.escape, ordered)) + ")") if ordered else None
         self.fragments = Fragments(self)
         self.pieces = Pieces(self)
+        self.spaced = Spaced(self)
         self.spelled = np.array([self.tokens.get(i, b"") for i in range(max(self.tokens) + 1)], object)
 
     def cuts(self, data: bytes) -> list[bytes]:
@@ -71,30 +80,59 @@ class Vocabulary:
 
     def merge(self, data: bytes) -> list[int]:
         """Merges of lowest rank first, leftmost among equals, until none applies."""
-        parts = [data[i : i + 1] for i in range(len(data))]
-        while len(parts) > 1:
-            best = min((self.ranks.get(pair, 1 << 60) for pair in zip(parts, parts[1:], strict=False)))
-            if best == 1 << 60:
-                break
-            out, i = [], 0
-            while i < len(parts):
-                if i + 1 < len(parts) and self.ranks.get((parts[i], parts[i + 1])) == best:
-                    out.append(parts[i] + parts[i + 1])
-                    i += 2
-                else:
-                    out.append(parts[i])
-                    i += 1
-            parts = out
-        return [self.ids[p] for p in parts]
+        if len(data) > LONG:
+            return self._merge_long(data)
+        parts = [self.single[b] for b in data]
+        known = self.joined.get
+        ranked = [known(a << 20 | b, NONE) for a, b in zip(parts, parts[1:], strict=False)]
+        while ranked and (best := min(ranked)) != NONE:
+            i = ranked.index(best)
+            parts[i : i + 2] = [best & MASK]
+            del ranked[i]
+            if i < len(ranked):
+                ranked[i] = known(parts[i] << 20 | parts[i + 1], NONE)
+            if i:
+                ranked[i - 1] = known(parts[i - 1] << 20 | parts[i], NONE)
+        return parts
+
+    def _merge_long(self, data: bytes) -> list[int]:
+        """The same with a heap over a linked list, for fragments of any length."""
+        parts, n = [self.single[b] for b in data], len(data)
+        left, right = list(range(-1, n - 1)), list(range(1, n + 1))
+        known, heap = self.joined.get, []
+        for i in range(n - 1):
+            if (value := known(parts[i] << 20 | parts[i + 1], NONE)) != NONE:
+                heap.append((value >> 20, i, value, parts[i], parts[i + 1]))
+        heapq.heapify(heap)
+        while heap:
+            _, i, value, a, b = heapq.heappop(heap)
+            j = right[i]
+            if parts[i] != a or j >= n or parts[j] != b:
+                continue
+            parts[i], parts[j] = value & MASK, -1
+            right[i] = k = right[j]
+            if k < n:
+                left[k] = i
+                if (value := known(parts[i] << 20 | parts[k], NONE)) != NONE:
+                    heapq.heappush(heap, (value >> 20, i, value, parts[i], parts[k]))
+            if (h := left[i]) >= 0 and (value := known(parts[h] << 20 | parts[i], NONE)) != NONE:
+                heapq.heappush(heap, (value >> 20, h, value, parts[h], parts[i]))
+        return [p for p in parts if p >= 0]
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         if self.mark is None or not any(s in text for s in self.special):
+            return self.plain(text)
+        return b"".join(self.special[part].to_bytes(4, "little") if part in self.special else self.plain(part) for part in self.mark.split(text))
+
+    def plain(self, text: str) -> bytes:
+        """Ids of a text without special tokens. A single space is a certain cut: the pattern joins it to what follows,
+        and never looks back. Where a space is beside other white space, the pattern goes over the whole text."""
+        first, *rest = text.split(" ")
+        found = list(map(self.spaced.__getitem__, rest))
+        if None in found:
             return b"".join(map(self.pieces.__getitem__, self.piece.findall(text)))
-        out = []
-        for part in self.mark.split(text):
-            out += [self.special[part].to_bytes(4, "little")] if part in self.special else map(self.pieces.__getitem__, self.piece.findall(part))
-        return b"".join(out)
+        return b"".join(map(self.pieces.__getitem__, self.piece.findall(first))) + b"".join(found)
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(self.spelled[np.frombuffer(ids, "<u4")].tolist())
@@ -122,6 +160,16 @@ class Pieces(_Bounded):
         return self.keep(piece, b"".join(map(self.vocabulary.fragments.__getitem__, self.vocabulary.cuts(piece.encode()))))
 
 
+class Spaced(_Bounded):
+    """What follows a space, up to the next -> ids, with the space; None where the space's cut isn't certain."""
+
+    def __missing__(self, word: str) -> bytes | None:
+        if not word or word[0].isspace():
+            return None
+        v = self.vocabulary
+        return self.keep(word, b"".join(map(v.pieces.__getitem__, v.piece.findall(f" {word}"))))
+
+
 _READY: dict[str, Vocabulary] = {}
 
 
