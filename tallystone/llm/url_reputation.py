@@ -20,7 +20,7 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystone.llm.common import lookup
+from tallystone.llm.common import lookup, materialize
 
 THRESHOLD, Z = 0.5, 1.645
 #: The weight of a prior lies between these numbers of pages.
@@ -80,10 +80,11 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], i
     one = outcomes.where("page_id is not null and good is not null").groupBy("page_id").agg(F.min("good").alias("good"))
     seen = named.select("page_id", "host").join(one.hint("shuffle_merge"), "page_id", "left")
     hosts = seen.groupBy("host").agg(F.count("*").alias("pages"), F.count("good").cast("double").alias("n"), F.coalesce(F.sum("good"), F.lit(0)).cast("double").alias("good"))
+    hosts = materialize(hosts)
     beliefs = reputation(hosts.select("host", "n", "good"), long_suffixes)
     mean, total = F.col("a") / (F.col("a") + F.col("b")), F.col("a") + F.col("b")
     bound = mean - z * F.sqrt(mean * (1 - mean) / (total + 1))
-    facts = hosts.select("host", "pages").join(beliefs.hint("shuffle_merge"), "host").select("host", "pages", bound.alias("bound"))
+    facts = materialize(hosts.select("host", "pages").join(beliefs.hint("shuffle_merge"), "host").select("host", "pages", bound.alias("bound")))
     found = first_rule(F.col("host"), F.col("path"), rules)
     judged = lookup(named, facts, "host", "pages").withColumn("found", found)
     verdict = F.coalesce("found.verdict", F.when(F.col("bound") >= threshold, "allow").otherwise("block"))
