@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from tallystone.llm import blocks
 from tallystone.llm.common import materialize, mix64
-from tallystone.llm.words import BASE, hashes_of, split, windows
+from tallystone.llm.words import BASE, hashes_of, runs, split, windows
 
 WIDTH, SHARE = 5, (3, 4)
 CHUNK_BYTES = 4 << 20
@@ -45,11 +45,11 @@ NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<lo
 
 def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text, in lower case; short texts are one shingle."""
-    words, ends = split([t.lower() if t else t for t in texts])  # bytes: lowers A-Z only
-    single = hashes_of(words)
-    every = windows(single, width)
     sets = []
-    with np.errstate(over="ignore"):
+    for run in runs(texts):
+        words, ends = split([t.lower() if t else t for t in run])  # bytes: lowers A-Z only
+        single = hashes_of(words)
+        every = windows(single, width)
         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             if b - a >= width:
                 sets.append(np.unique(every[a : b - width + 1]))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallystone.llm import blocks
-from tallystone.llm.words import hashes_of, split, windows
+from tallystone.llm.words import hashes_of, runs, split, windows
 
 WINDOW = 13
 CHUNK_BYTES = 4 << 20
@@ -30,13 +30,20 @@ NEW = ("n_words", "n_removed", "removed", "kept_text", "kept_sha256")
 
 
 def _starts(table: pa.Table, id_col: str, text_col: str, width: int):
-    """Words, ends, hash and row of each window, ids; windows never cross rows."""
-    words, ends = split(blocks.texts_of(table.column(text_col)))
-    hashes = windows(hashes_of(words), width)
-    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
-    at = np.arange(len(hashes))
-    inside = at + width <= ends[1:][row[: len(hashes)]]
-    return words, ends, at[inside], hashes[inside], row[: len(hashes)][inside], blocks.ids_of(table.column(id_col))
+    """Where each text's words begin (and the end), place, hash and row of each window, ids; windows never cross rows."""
+    ends, place, hashes, row, words, rows = [np.zeros(1, np.int64)], [], [], [], 0, 0
+    for texts in runs(blocks.texts_of(table.column(text_col))):
+        held, own = split(texts)
+        made = windows(hashes_of(held), width)
+        of = np.repeat(np.arange(len(texts)), np.diff(own))[: len(made)]
+        at = np.arange(len(made))
+        inside = at + width <= own[1:][of]
+        place.append(at[inside] + words)
+        hashes.append(made[inside])
+        row.append(of[inside] + rows)
+        ends.append(own[1:] + words)
+        words, rows = words + len(held), rows + len(texts)
+    return np.concatenate(ends), np.concatenate(place), np.concatenate(hashes), np.concatenate(row), blocks.ids_of(table.column(id_col))
 
 
 def _first_later(answered: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -54,10 +61,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", span), T.StructField("kept_text", T.StringType()), T.StructField("kept_sha256", T.StringType())])
 
     def send(table: pa.Table) -> np.ndarray:
-        return np.unique(_starts(table, id_col, text_col, width)[3])
+        return np.unique(_starts(table, id_col, text_col, width)[2])
 
     def finish(chunk: int, table: pa.Table | None, seen: np.ndarray, _: np.ndarray) -> pa.Table:
-        words, ends, at, hashes, row, ids = _starts(table, id_col, text_col, width)
+        ends, at, hashes, row, ids = _starts(table, id_col, text_col, width)
         place = np.minimum(np.searchsorted(seen, hashes), max(len(seen) - 1, 0))
         again = seen[place] == hashes if len(seen) else np.zeros(len(hashes), bool)
         order = np.lexsort((ids[row], hashes))
@@ -66,13 +73,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         first[1:] = sorted_hash[1:] != sorted_hash[:-1]
         least = sorted_id[np.flatnonzero(first)][np.cumsum(first) - 1] if len(order) else sorted_id
         again[order] |= sorted_id > least
-        edge = np.zeros(len(words) + 1, np.int64)
+        edge = np.zeros(ends[-1] + 1, np.int64)
         np.add.at(edge, at[again], 1)
         np.add.at(edge, at[again] + width, -1)
         cover = np.cumsum(edge)[:-1] > 0
         out = {"n_words": [], "n_removed": [], "removed": [], "kept_text": [], "kept_sha256": []}
-        for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
-            mask, own, spans = cover[a:b], words[a:b], []
+        for a, b, text in zip(ends[:-1].tolist(), ends[1:].tolist(), blocks.texts_of(table.column(text_col)), strict=True):
+            mask, own, spans = cover[a:b], (text or b"").split(), []
             if gone := int(mask.sum()):
                 turns = np.flatnonzero(np.diff(np.concatenate(([0], mask.view(np.int8), [0]))))
                 spans = [{"first": int(x), "end": int(y)} for x, y in turns.reshape(-1, 2)]

@@ -53,3 +53,15 @@ def split(texts: list[bytes | None]) -> tuple[list[bytes], np.ndarray]:
             words += text.split()  # bytes: splits at ASCII white space only
         ends.append(len(words))
     return words, np.array(ends, np.int64)
+
+
+def runs(texts: list[bytes | None], limit: int = 1 << 18) -> list[list[bytes | None]]:
+    """The texts in runs of about `limit` bytes, so that few words are held at once."""
+    out, size = [[]], 0
+    for text in texts:
+        if size >= limit:
+            out.append([])
+            size = 0
+        out[-1].append(text)
+        size += len(text or b"")
+    return out
