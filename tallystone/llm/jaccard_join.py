@@ -39,7 +39,6 @@ CHUNK_BYTES = 4 << 20
 SMALL = 16
 #: Keys that more documents share are compared blockwise; documents of a block; columns of a matrix.
 HOT, BLOCK, COLUMNS = 100, 512, 8192
-LOW48 = np.uint64((1 << 48) - 1)
 NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<long>, hashes binary"
 
 
@@ -147,7 +146,7 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
                         rare = np.lexsort((made[shared], counts[place[shared]]))[:more]
                         chosen += made[shared][rare].view(np.int64).tolist()
             looked.append(chosen)
-            held.append((own & LOW48).astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes() if chosen else None)
+            held.append(own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() if chosen else None)
         null = ids == blocks.LAST
         return pa.table({
             "chunk": pa.array(np.full(len(ids), chunk), pa.int32()),
@@ -163,7 +162,7 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
 
 def _full(data: bytes) -> np.ndarray:
     wide = np.zeros((len(data) // 6, 8), np.uint8)
-    wide[:, :6] = np.frombuffer(data, np.uint8).reshape(-1, 6)
+    wide[:, 2:] = np.frombuffer(data, np.uint8).reshape(-1, 6)  # the high bytes, which deal hashes to parts
     return wide.reshape(-1).view("<u8").astype(np.uint64)
 
 
@@ -336,7 +335,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     held = materialize(held)
     sets = held.where("hashes is not null").select("doc_id", "hashes")
     at = materialize(rare_shingles(sets, share, chunk_bytes))
-    few = at.withColumn("shingles", F.filter("shingles", lambda x: F.pmod(x, F.lit(8)) == 0))
+    few = at.withColumn("shingles", F.filter("shingles", lambda x: F.pmod(F.shiftright(x, 16), F.lit(8)) == 0))
     links = roots = None
     for among in (few, at):
         found = materialize(_similar(_stars(_meeting(among, roots)), sets, share))
