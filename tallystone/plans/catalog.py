@@ -1,9 +1,548 @@
-"""The registry of queries and of the SQL that checks them."""
+"""The registry: each query in DataFrame operators, and the SQL that checks it.
 
+Both sides begin at the same relations (tallystone.sources.model); SQL says what a query means, without its operators.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tallystone.functions import identifiers
+from tallystone.functions.money import signed, tolerant_decimal
+from tallystone.operators import conform, documents, fx, ownership, quality, registry, wealth
+from tallystone.sources import feeds
+from tallystone.sources.model import DUCK, Model, with_clause
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+_SQL: dict[str, str] = {}
+RUN_DATE = "2001-12-31"
+
+
+def query(sql: str | None = None):
+    def add(f: Callable[[Model], DataFrame]):
+        _QUERIES[f.__name__] = lambda spark, sf_dir: f(Model(spark, sf_dir))
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+# SQL pieces that several checks share; each is a named relation
+PIECES = {
+    "fx": "SELECT d.day AS as_of, p.rate, p.day AS rate_date FROM days d ASOF JOIN fx_published p ON p.day <= d.day",
+    "delivery": "SELECT h.* FROM holdings h JOIN (SELECT as_of, account_id, min(CASE source_format WHEN 'semt.002' THEN 1 ELSE 2 END) AS best FROM holdings GROUP BY as_of, account_id) USING (as_of, account_id) WHERE (CASE source_format WHEN 'semt.002' THEN 1 ELSE 2 END) = best",
+    "dedup": "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY as_of, account_id, security_id ORDER BY file_path) AS n FROM delivery) WHERE n = 1",
+    "positions": "SELECT d.as_of, d.account_id, d.security_id, d.quantity, d.market_value, coalesce(m.name, d.security_id) AS security_name, coalesce(m.asset_class, 'Unknown') AS asset_class, CASE WHEN m.mapped IS NULL THEN 'NOT_IN_MASTER' WHEN NOT m.mapped THEN 'UNKNOWN' ELSE 'MAPPED' END AS instrument_status, a.currency FROM dedup d LEFT JOIN master m ON m.security_id = d.security_id JOIN accounts a ON a.account_id = d.account_id",
+    "pos_owned": "SELECT p.*, o.client_id, o.ownership_pct, CAST(p.market_value * o.ownership_pct AS DECIMAL(24,2)) AS owned_value FROM positions p JOIN owners o ON o.account_id = p.account_id",
+    "cash": "SELECT as_of, account_id, transaction_id, max(type) AS type, min(trade_date) AS trade_date, min(settlement_date) AS settlement_date, max(amount) AS amount, max(currency) AS currency, count(*) AS source_row_count, count(DISTINCT type) > 1 OR count(DISTINCT trade_date) > 1 OR count(DISTINCT settlement_date) > 1 OR count(DISTINCT amount) > 1 OR count(DISTINCT currency) > 1 OR count(DISTINCT description) > 1 AS source_disagrees FROM entries GROUP BY as_of, account_id, transaction_id",
+    "cash_s": "SELECT *, CAST(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END AS DECIMAL(24,2)) AS signed_amount FROM cash",
+    "cash_owned": "SELECT c.*, o.client_id, o.ownership_pct, CAST(c.amount * o.ownership_pct AS DECIMAL(24,2)) AS owned_amount, CAST(c.signed_amount * o.ownership_pct AS DECIMAL(24,2)) AS owned_signed FROM cash_s c JOIN owners o ON o.account_id = c.account_id",
+    "closing_owned": "SELECT b.as_of, b.account_id, b.currency, o.client_id, CAST(b.amount * o.ownership_pct AS DECIMAL(24,2)) AS owned_amount FROM balances b JOIN owners o ON o.account_id = b.account_id WHERE b.balance_type = 'CLOSING'",
+    "bal": "SELECT as_of, account_id, max(CASE WHEN balance_type = 'OPENING' THEN amount END) AS opening, max(CASE WHEN balance_type = 'CLOSING' THEN amount END) AS closing, max(currency) AS currency FROM balances GROUP BY as_of, account_id",
+    "found": """
+        SELECT as_of, account_id, security_id, 'MISSING_IN_B' AS finding, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS a_value, CAST(NULL AS VARCHAR) AS b_value FROM feed_a ANTI JOIN feed_b USING (as_of, account_id, security_id)
+        UNION ALL SELECT as_of, account_id, security_id, 'MISSING_IN_A', NULL, NULL, NULL FROM feed_b ANTI JOIN feed_a USING (as_of, account_id, security_id)
+        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'quantity', CAST(a.quantity AS VARCHAR), CAST(b.quantity AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.quantity IS DISTINCT FROM b.quantity
+        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'price_as_of', CAST(a.price_as_of AS VARCHAR), CAST(b.price_as_of AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.price_as_of IS DISTINCT FROM b.price_as_of
+        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'market_value', CAST(a.market_value AS VARCHAR), CAST(b.market_value AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.market_value IS DISTINCT FROM b.market_value""",
+    "integ": """
+        SELECT *, delta_raw = 0 AS raw_consistent, delta_conformed = 0 AS conformed_consistent FROM (
+            SELECT b.as_of, b.account_id, b.opening, b.closing, b.currency, CAST(coalesce(r.m, 0) AS DECIMAL(24,2)) AS movements_raw, CAST(coalesce(c.m, 0) AS DECIMAL(24,2)) AS movements_conformed, CAST(b.opening + coalesce(r.m, 0) - b.closing AS DECIMAL(24,2)) AS delta_raw, CAST(b.opening + coalesce(c.m, 0) - b.closing AS DECIMAL(24,2)) AS delta_conformed
+            FROM bal b LEFT JOIN (SELECT as_of, account_id, sum(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END) AS m FROM entries GROUP BY as_of, account_id) r USING (as_of, account_id) LEFT JOIN (SELECT as_of, account_id, sum(signed_amount) AS m FROM cash_s GROUP BY as_of, account_id) c USING (as_of, account_id))""",
+    "contin": "SELECT as_of, account_id, opening, prev_closing, CAST(opening - prev_closing AS DECIMAL(24,2)) AS delta, opening = prev_closing AS continuous FROM (SELECT *, lag(closing) OVER (PARTITION BY account_id ORDER BY as_of) AS prev_closing FROM bal)",
+    "metric_days": "SELECT p.as_of, n, found_n, checked, raw_bad, clean_bad, compared, broken FROM (SELECT as_of, count(*) AS n FROM positions GROUP BY as_of) p LEFT JOIN (SELECT as_of, count(*) AS found_n FROM found GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(*) AS checked, count_if(NOT raw_consistent) AS raw_bad, count_if(NOT conformed_consistent) AS clean_bad FROM integ GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(continuous) AS compared, count_if(NOT continuous) AS broken FROM contin GROUP BY as_of) USING (as_of)",
+    "dq": """
+        SELECT as_of, metric, CAST(value AS DECIMAL(14,6)) AS value, CAST(value AS DECIMAL(14,6)) = 1 AS passed FROM (
+            SELECT as_of, 'accuracy' AS metric, 1 - CAST(coalesce(found_n, 0) AS DOUBLE) / nullif(n, 0) AS value FROM metric_days UNION ALL SELECT as_of, 'consistency_raw', 1 - CAST(coalesce(raw_bad, 0) AS DOUBLE) / nullif(checked, 0) FROM metric_days
+            UNION ALL SELECT as_of, 'consistency_conformed', 1 - CAST(coalesce(clean_bad, 0) AS DOUBLE) / nullif(checked, 0) FROM metric_days UNION ALL SELECT as_of, 'continuity', 1 - CAST(coalesce(broken, 0) AS DOUBLE) / nullif(compared, 0) FROM metric_days)""",
+    "pos_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_value AS DECIMAL(28,8)) ELSE CAST(p.owned_value * f.rate AS DECIMAL(28,8)) END AS usd FROM pos_owned p JOIN fx f ON f.as_of = p.as_of",
+    "closing_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_amount AS DECIMAL(28,8)) ELSE CAST(p.owned_amount * f.rate AS DECIMAL(28,8)) END AS usd FROM closing_owned p JOIN fx f ON f.as_of = p.as_of",
+    "moves_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_amount AS DECIMAL(28,8)) ELSE CAST(p.owned_amount * f.rate AS DECIMAL(28,8)) END AS usd, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_signed AS DECIMAL(28,8)) ELSE CAST(p.owned_signed * f.rate AS DECIMAL(28,8)) END AS usd_signed FROM cash_owned p JOIN fx f ON f.as_of = p.as_of",
+    "wealth": """
+        SELECT client_id, p.as_of, positions_usd, coalesce(cash_usd, 0.00) AS cash_usd, CAST(positions_usd + coalesce(cash_usd, 0) AS DECIMAL(24,2)) AS total_wealth_usd, f.rate AS fx_rate_used, f.rate_date AS fx_rate_date, coalesce(ok, true) AS books_reconcile
+        FROM (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS positions_usd FROM pos_usd GROUP BY client_id, as_of) p LEFT JOIN (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS cash_usd FROM closing_usd GROUP BY client_id, as_of) c USING (client_id, as_of)
+        LEFT JOIN (SELECT o.client_id, i.as_of, bool_and(conformed_consistent) AS ok FROM integ i JOIN owners o ON o.account_id = i.account_id GROUP BY o.client_id, i.as_of) q USING (client_id, as_of) JOIN fx f ON f.as_of = p.as_of""",
+    "flow": "SELECT client_id, as_of, CAST(sum(usd_signed) AS DECIMAL(24,2)) AS external_flow_usd FROM moves_usd WHERE type IN ('TRANSFER_IN', 'TRANSFER_OUT') GROUP BY client_id, as_of",
+    "perf_raw": "SELECT *, CAST(total_wealth_usd - external_flow_usd AS DOUBLE) / nullif(CAST(before AS DOUBLE), 0) - 1 AS r FROM (SELECT w.client_id, w.as_of, total_wealth_usd, coalesce(external_flow_usd, CAST(0 AS DECIMAL(24,2))) AS external_flow_usd, lag(total_wealth_usd) OVER (PARTITION BY w.client_id ORDER BY w.as_of) AS before FROM wealth w LEFT JOIN flow USING (client_id, as_of))",
+    "ends": "SELECT client_id, min(as_of) AS inception_date, max(as_of) AS as_of, arg_min(total_wealth_usd, as_of) AS wealth_begin_usd, arg_max(total_wealth_usd, as_of) AS wealth_end_usd FROM perf_raw GROUP BY client_id",
+    "doc_steps": """
+        SELECT *, row_number() OVER w AS place, sum(CASE WHEN amount IS NOT NULL AND cumulative IS NOT NULL THEN amount END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running, last_value(ending IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
+        FROM fund_docs WINDOW w AS (PARTITION BY fund_id, doc_type ORDER BY sequence_number, doc_date, document)""",
+    "doc_judged": """
+        SELECT *, self_consistent AND validation_notes IS NULL AND confidence >= 0.85 AS auto FROM (SELECT *, CASE WHEN self_consistent THEN self_reported ELSE least(self_reported, 0.5) END AS confidence FROM (
+            SELECT *, CASE WHEN doc_type = 'capital_account_statement' THEN coalesce(CAST(beginning + amount AS DECIMAL(24,2)) = ending, false) ELSE amount IS NOT NULL AND cumulative IS NOT NULL END AS self_consistent,
+                nullif(concat_ws('; ', CASE WHEN doc_type <> 'capital_account_statement' AND bool_or(sequence_number <> place) OVER (PARTITION BY fund_id, doc_type) THEN 'sequence has a gap' END,
+                    CASE WHEN doc_type <> 'capital_account_statement' AND (amount IS NULL OR cumulative IS NULL) THEN 'amount or cumulative missing' END, CASE WHEN doc_type <> 'capital_account_statement' AND amount IS NOT NULL AND cumulative IS NOT NULL AND running <> cumulative THEN 'running total differs' END,
+                    CASE WHEN doc_type = 'capital_account_statement' AND prior IS NOT NULL AND beginning <> prior THEN 'beginning differs from prior ending' END), '') AS validation_notes FROM doc_steps))""",
+    "doc_final": "SELECT j.*, d.status AS reviewed_status, CASE WHEN d.status IS NOT NULL THEN d.final_amount WHEN j.auto THEN j.amount END AS confirmed_amount FROM doc_judged j LEFT JOIN decisions d ON d.fund_id = j.fund_id AND d.document = j.document",
+    "queue_old": "SELECT fund_id, document, CASE k % 4 WHEN 0 THEN 'approved' ELSE 'pending' END AS status, amount FROM fund_docs WHERE k % 2 = 0",
+    "queue_new": "SELECT fund_id, document, CAST(amount + 5 AS DECIMAL(24,2)) AS amount FROM fund_docs WHERE k % 3 = 0",
+}
+
+
+def _sql(text: str) -> str:
+    import re
+
+    need, todo = set(), [text]
+    while todo:
+        now = todo.pop()
+        for name, body in PIECES.items():
+            if name not in need and re.search(rf"\b{name}\b", now):
+                need.add(name)
+                todo.append(body)
+    own = ", ".join(f"{n} AS ({b})" for n, b in PIECES.items() if n in need)
+    base = with_clause(DUCK, f"{text} {own}")
+    parts = ", ".join(x for x in (base, own) if x)
+    return f"WITH {parts} {text}" if parts else text
+
+
+# --- shared DataFrames -------------------------------------------------------------------------------------------
+
+
+def _rates(m: Model) -> DataFrame:
+    return fx.fill_forward(m["fx_published"], m["days"])
+
+
+def _positions(m: Model) -> DataFrame:
+    return conform.enriched(m["holdings"], m["master"]).join(m["accounts"].select("account_id", "currency"), "account_id")
+
+
+def _pos_owned(m: Model) -> DataFrame:
+    return conform.position_owners(_positions(m), m["owners"])
+
+
+def _closing(m: Model) -> DataFrame:
+    return conform.cash_owners(m["balances"].where("balance_type = 'CLOSING'"), "amount", m["owners"])
+
+
+def _moves(m: Model) -> DataFrame:
+    owned = conform.cash_owners(conform.collapsed(m["entries"]), "amount", m["owners"])
+    return owned.withColumn("owned_signed", (F.col("signed_amount") * F.col("ownership_pct")).cast("decimal(24,2)"))
+
+
+def _integrity(m: Model) -> DataFrame:
+    return quality.integrity(m["balances"], m["entries"])
+
+
+def _wealth(m: Model) -> DataFrame:
+    verdicts = _integrity(m).select("as_of", "account_id", "conformed_consistent").join(m["owners"], "account_id")
+    return wealth.daily(_pos_owned(m), _closing(m), _rates(m), verdicts)
+
+
+def _performance(m: Model) -> DataFrame:
+    return wealth.performance(_wealth(m), wealth.flows(_moves(m), _rates(m)))
+
+
+def _metrics(m: Model) -> DataFrame:
+    return quality.metrics(_positions(m), quality.findings(m["feed_a"], m["feed_b"]), _integrity(m), quality.continuity(m["balances"]))
+
+
+def _judged(m: Model) -> DataFrame:
+    return documents.judged(m["fund_docs"])
+
+
+def _confirmed(m: Model) -> DataFrame:
+    return documents.confirmed(_judged(m), m["decisions"])
+
+
+def _queue(m: Model) -> DataFrame:
+    old = m["fund_docs"].where("k % 2 = 0").select("fund_id", "document", F.when(F.col("k") % 4 == 0, "approved").otherwise("pending").alias("status"), "amount")
+    new = m["fund_docs"].where("k % 3 = 0").select("fund_id", "document", (F.col("amount") + 5).cast("decimal(24,2)").alias("amount"))
+    return registry.merged_queue(old, new)
+
+
+# --- wealth and reports ------------------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM wealth")
+def wealth_daily(m):
+    return _wealth(m)
+
+
+@query("SELECT client_id, as_of, books_reconcile FROM wealth WHERE NOT books_reconcile")
+def books_reconcile(m):
+    return _wealth(m).where(~F.col("books_reconcile")).select("client_id", "as_of", "books_reconcile")
+
+
+@query("SELECT client_id, as_of, total_wealth_usd FROM wealth WHERE as_of = (SELECT max(as_of) FROM wealth)")
+def wealth_latest(m):
+    rows = _wealth(m).select("client_id", "as_of", "total_wealth_usd")
+    return rows.join(F.broadcast(rows.agg(F.max("as_of").alias("as_of"))), "as_of")
+
+
+@query("SELECT as_of, rate, rate_date FROM fx")
+def fx_fill_forward(m):
+    return _rates(m)
+
+
+@query("SELECT client_id, as_of, asset_class, value_usd, CAST(CAST(value_usd AS DOUBLE) / nullif(CAST(sum(value_usd) OVER (PARTITION BY client_id, as_of) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight FROM (SELECT client_id, as_of, asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS value_usd FROM (SELECT client_id, as_of, asset_class, usd FROM pos_usd UNION ALL SELECT client_id, as_of, 'Cash', usd FROM closing_usd) GROUP BY client_id, as_of, asset_class)")
+def asset_allocation(m):
+    return wealth.allocation(_pos_owned(m), _closing(m), _rates(m))
+
+
+_INCOME = "SELECT client_id, CAST(date_trunc('month', as_of) AS DATE) AS month, type, CAST(sum(usd) AS DECIMAL(24,2)) AS income_usd, count(*) AS movements FROM moves_usd WHERE type IN ('DIVIDEND', 'INTEREST') GROUP BY client_id, date_trunc('month', as_of), type"
+
+
+@query(_INCOME)
+def income_monthly(m):
+    return wealth.income(_moves(m), _rates(m))
+
+
+@query(f"SELECT month, CAST(coalesce(sum(CASE WHEN type = 'DIVIDEND' THEN income_usd END), 0) AS DECIMAL(34,2)) AS dividend, CAST(coalesce(sum(CASE WHEN type = 'INTEREST' THEN income_usd END), 0) AS DECIMAL(34,2)) AS interest FROM ({_INCOME}) GROUP BY month")
+def income_pivot(m):
+    wide = wealth.income(_moves(m), _rates(m)).groupBy("month").pivot("type", ["DIVIDEND", "INTEREST"]).agg(F.sum("income_usd").cast("decimal(34,2)")).na.fill(0)
+    return wide.select("month", F.col("DIVIDEND").alias("dividend"), F.col("INTEREST").alias("interest"))
+
+
+@query("SELECT client_id, as_of, security_id, asset_class, owned_usd, weight, CAST(rank AS INTEGER) AS rank FROM (SELECT *, CAST(CAST(owned_usd AS DOUBLE) / nullif(CAST(sum(owned_usd) OVER (PARTITION BY client_id) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight, row_number() OVER (PARTITION BY client_id ORDER BY owned_usd DESC, security_id) AS rank FROM (SELECT client_id, as_of, security_id, max(asset_class) AS asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS owned_usd FROM pos_usd WHERE as_of = (SELECT max(as_of) FROM positions) GROUP BY client_id, as_of, security_id)) WHERE rank <= 10")
+def top_holdings(m):
+    return wealth.top_holdings(_pos_owned(m), _rates(m))
+
+
+@query("SELECT client_id, as_of, external_flow_usd FROM flow")
+def flows_daily(m):
+    return wealth.flows(_moves(m), _rates(m))
+
+
+@query("SELECT client_id, as_of, total_wealth_usd, external_flow_usd, round(r, 6) AS daily_twr_return, round(exp(sum(CASE WHEN r > -1 THEN ln(1 + r) ELSE 0 END) OVER (PARTITION BY client_id ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 4) AS twr_index FROM perf_raw")
+def twr_chain(m):
+    return _performance(m)
+
+
+@query("SELECT * FROM ends")
+def performance_bounds(m):
+    return wealth.endpoints(_performance(m))
+
+
+@query("SELECT client_id, inception_date, as_of, wealth_begin_usd, wealth_end_usd, net_external_flow_usd, round(CAST(wealth_end_usd - wealth_begin_usd - net_external_flow_usd AS DOUBLE) / nullif(CAST(wealth_begin_usd AS DOUBLE) + coalesce(CAST(weighted AS DOUBLE), 0), 0), 6) AS dietz_return FROM (SELECT e.*, CAST(coalesce(n, 0) AS DECIMAL(24,2)) AS net_external_flow_usd, weighted FROM ends e LEFT JOIN (SELECT p.client_id, sum(p.external_flow_usd) AS n, sum(CAST(CAST(p.external_flow_usd AS DOUBLE) * (CAST(date_diff('day', p.as_of, e.as_of) AS DOUBLE) / date_diff('day', e.inception_date, e.as_of)) AS DECIMAL(28,8))) AS weighted FROM perf_raw p JOIN ends e ON e.client_id = p.client_id AND p.as_of > e.inception_date GROUP BY p.client_id) USING (client_id))")
+def dietz(m):
+    return wealth.dietz(_performance(m))
+
+
+@query()
+def xirr(m):
+    return wealth.xirr(_performance(m))
+
+
+@query("SELECT currency, count(*) AS accounts FROM (SELECT CASE WHEN account_id % 50 = 7 THEN 'CHF' ELSE currency END AS currency FROM accounts) WHERE currency NOT IN ('USD', 'EUR') GROUP BY currency")
+def unknown_currency_guard(m):
+    """Currencies that would stop the conversion, on accounts of which some are made to hold one."""
+    held = m["accounts"].withColumn("currency", F.when(F.col("account_id") % 50 == 7, "CHF").otherwise(F.col("currency")))
+    return held.where(~F.col("currency").isin("USD", "EUR")).groupBy("currency").agg(F.count("*").alias("accounts"))
+
+
+# --- ownership ---------------------------------------------------------------------------------------------------
+
+_EFFECTIVE = "SELECT e2.owned_id AS account, e1.owner_id AS client, CAST(sum(CAST(e1.pct * e2.pct AS DECIMAL(18,12))) AS DECIMAL(9,6)) AS ownership_pct FROM edges e1 JOIN edges e2 ON e2.owner_id = e1.owned_id WHERE e1.owner_id LIKE 'C%' AND e2.owned_id LIKE 'A%' GROUP BY e2.owned_id, e1.owner_id"
+
+
+@query(_EFFECTIVE)
+def ownership_effective(m):
+    return ownership.effective(m["edges"])
+
+
+@query(f"SELECT client, count(*) AS accounts, CAST(sum(ownership_pct) AS DECIMAL(19,6)) AS total_pct FROM ({_EFFECTIVE}) WHERE ownership_pct <> 0 GROUP BY client")
+def ownership_reverse(m):
+    return ownership.effective(m["edges"]).where("ownership_pct <> 0").groupBy("client").agg(F.count("*").alias("accounts"), F.sum("ownership_pct").cast("decimal(19,6)").alias("total_pct"))
+
+
+_TORN = "(SELECT * FROM edges WHERE pct <> 0.3)"
+
+
+@query(f"SELECT 'incomplete' AS problem, owned_id AS node FROM {_TORN} GROUP BY owned_id HAVING sum(pct) <> 1 UNION ALL SELECT 'fraction', owned_id FROM {_TORN} WHERE NOT (pct > 0 AND pct <= 1) UNION ALL SELECT 'cycle', owned_id FROM {_TORN} WHERE owner_id = owned_id")
+def ownership_problems(m):
+    """The invariants on a graph that lacks some edges."""
+    return ownership.problems(m["edges"].where("pct <> 0.3"))
+
+
+@query("SELECT account_id, client_id, ownership_pct, count(*) OVER (PARTITION BY account_id) AS owner_count, count(*) OVER (PARTITION BY account_id) > 1 AS is_shared FROM owners")
+def ownership_shared(m):
+    return ownership.shared(m["owners"])
+
+
+@query("SELECT a.account_id, a.client_id, string_agg(CAST(b.client_id AS VARCHAR), ',' ORDER BY b.client_id) AS others FROM owners a JOIN owners b ON b.account_id = a.account_id AND b.client_id <> a.client_id GROUP BY a.account_id, a.client_id")
+def co_owners(m):
+    return ownership.co_owners(m["owners"])
+
+
+# --- positions and cash ------------------------------------------------------------------------------------------
+
+
+@query("SELECT as_of, account_id, source_format, count(*) AS n FROM delivery GROUP BY as_of, account_id, source_format")
+def positions_delivery_choice(m):
+    return conform.chosen_delivery(m["holdings"]).groupBy("as_of", "account_id", "source_format").agg(F.count("*").alias("n"))
+
+
+@query("SELECT as_of, account_id, security_id, quantity, market_value, file_path FROM dedup")
+def positions_dedupe(m):
+    return conform.deduped(m["holdings"]).select("as_of", "account_id", "security_id", "quantity", "market_value", "file_path")
+
+
+@query("SELECT as_of, account_id, security_id, security_name, asset_class, instrument_status, quantity, market_value FROM positions")
+def positions_enriched(m):
+    return _positions(m).select("as_of", "account_id", "security_id", "security_name", "asset_class", "instrument_status", "quantity", "market_value")
+
+
+@query("SELECT instrument_status, asset_class, count(*) AS n FROM positions GROUP BY instrument_status, asset_class")
+def positions_status_counts(m):
+    return _positions(m).groupBy("instrument_status", "asset_class").agg(F.count("*").alias("n"))
+
+
+@query("SELECT count(*) AS positions, count(DISTINCT as_of) AS days, count(DISTINCT account_id) AS accounts, count_if(instrument_status <> 'MAPPED') AS unmapped FROM positions")
+def positions_dashboard(m):
+    return _positions(m).agg(F.count("*").alias("positions"), F.countDistinct("as_of").alias("days"), F.countDistinct("account_id").alias("accounts"), F.count_if(F.col("instrument_status") != "MAPPED").alias("unmapped"))
+
+
+@query("SELECT as_of, account_id, security_id, client_id, ownership_pct, owned_value FROM pos_owned")
+def positions_prorated(m):
+    return _pos_owned(m).select("as_of", "account_id", "security_id", "client_id", "ownership_pct", "owned_value")
+
+
+@query("SELECT * FROM cash_s")
+def cash_collapse(m):
+    return conform.collapsed(m["entries"])
+
+
+@query("SELECT type, CAST(sum(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END) AS DECIMAL(34,2)) AS net, count(*) AS n FROM entries GROUP BY type")
+def cash_signed(m):
+    return m["entries"].groupBy("type").agg(F.sum(signed(F.col("amount"), F.col("type"))).cast("decimal(34,2)").alias("net"), F.count("*").alias("n"))
+
+
+@query("SELECT * FROM bal")
+def cash_balance_pivot(m):
+    return conform.pivoted(m["balances"])
+
+
+@query("SELECT as_of, account_id, transaction_id, client_id, owned_amount FROM cash_owned")
+def cash_prorated(m):
+    return _moves(m).select("as_of", "account_id", "transaction_id", "client_id", "owned_amount")
+
+
+# --- quality -----------------------------------------------------------------------------------------------------
+
+
+@query("SELECT * FROM found")
+def recon_findings(m):
+    return quality.findings(m["feed_a"], m["feed_b"])
+
+
+@query("SELECT finding, coalesce(field, '-') AS field, count(*) AS n FROM found GROUP BY finding, field")
+def recon_summary(m):
+    return quality.findings(m["feed_a"], m["feed_b"]).groupBy("finding", F.coalesce("field", F.lit("-")).alias("field")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT * FROM integ")
+def cash_integrity(m):
+    return _integrity(m)
+
+
+@query("SELECT count(*) AS account_days, count_if(NOT raw_consistent) AS raw_breaks, count_if(NOT conformed_consistent) AS conformed_breaks, count_if(NOT raw_consistent AND conformed_consistent) AS vindicated FROM integ")
+def cash_scorecard(m):
+    bad, clean = ~F.col("raw_consistent"), F.col("conformed_consistent")
+    return _integrity(m).agg(F.count("*").alias("account_days"), F.count_if(bad).alias("raw_breaks"), F.count_if(~clean).alias("conformed_breaks"), F.count_if(bad & clean).alias("vindicated"))
+
+
+@query("SELECT * FROM contin")
+def cash_continuity(m):
+    return quality.continuity(m["balances"])
+
+
+@query("SELECT * FROM dq")
+def dq_metrics(m):
+    return _metrics(m)
+
+
+@query("SELECT metric, count_if(passed) AS passed_days, count(passed) AS days, round(CAST(count_if(passed) AS DOUBLE) / count(passed), 6) AS attainment FROM dq GROUP BY metric")
+def dq_sla(m):
+    return _metrics(m).groupBy("metric").agg(F.count_if("passed").alias("passed_days"), F.count("passed").alias("days"), F.round(F.count_if("passed") / F.count("passed"), 6).alias("attainment"))
+
+
+@query("SELECT as_of, max(CASE WHEN metric = 'accuracy' THEN value END) AS accuracy, max(CASE WHEN metric = 'continuity' THEN value END) AS continuity FROM dq GROUP BY as_of")
+def dq_pivot(m):
+    return _metrics(m).groupBy("as_of").pivot("metric", ["accuracy", "continuity"]).agg(F.max("value"))
+
+
+@query(f"SELECT max(as_of) AS latest, date_diff('day', max(as_of), DATE '{RUN_DATE}') AS age_days, date_diff('day', max(as_of), DATE '{RUN_DATE}') <= 3 AS passed FROM base_holdings")
+def freshness(m):
+    return registry.freshness(m["base_holdings"], RUN_DATE)
+
+
+# --- documents ---------------------------------------------------------------------------------------------------
+
+
+@query("SELECT document, self_consistent, confidence FROM doc_judged")
+def doc_self_consistency(m):
+    return _judged(m).select("document", "self_consistent", "confidence")
+
+
+def _notes(kind: str):
+    return lambda m: _judged(m).where(F.col("doc_type") == kind).select("fund_id", "document", "sequence_number", "cross_document_valid", "validation_notes")
+
+
+for _name, _kind in (("doc_call_validation", "capital_call"), ("doc_distribution_validation", "distribution"), ("doc_statement_chain", "capital_account_statement")):
+    _f = _notes(_kind)
+    _f.__name__ = _name
+    query(f"SELECT fund_id, document, sequence_number, validation_notes IS NULL AS cross_document_valid, validation_notes FROM doc_judged WHERE doc_type = '{_kind}'")(_f)
+
+
+@query("SELECT doc_type, CASE WHEN auto THEN 'auto_accept' ELSE 'needs_review' END AS routing, count(*) AS n, round(avg(confidence), 2) AS confidence FROM doc_judged GROUP BY doc_type, auto")
+def doc_routing(m):
+    return _judged(m).groupBy("doc_type", "routing").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 2).alias("confidence"))
+
+
+@query("SELECT fund_id, document, reviewed_status, confirmed_amount FROM doc_final")
+def doc_confirmed_fields(m):
+    return _confirmed(m).select("fund_id", "document", "reviewed_status", "confirmed_amount")
+
+
+@query("SELECT doc_type, count(*) AS documents, count_if(hits = 2) AS exact, round(CAST(sum(hits) AS DOUBLE) / (count(*) * 2.0), 6) AS field_accuracy FROM (SELECT d.doc_type, CAST(coalesce(d.amount = t.amount, false) AS INTEGER) + CAST(coalesce(d.cumulative = t.total, false) AS INTEGER) AS hits FROM fund_docs d JOIN fund_rows t ON t.document = d.document) GROUP BY doc_type")
+def doc_eval(m):
+    return documents.evaluated(m["fund_docs"], m["fund_rows"].select("document", "amount", F.col("total").alias("cumulative")))
+
+
+_LATEST = "arg_max({c}, (sequence_number, doc_date, document)) FILTER (doc_type = '{t}')"
+_ROLL = f"""SELECT fund_id, pending_review_documents, inception_date, total_called, total_distributed, current_nav, round(CAST(total_distributed + current_nav AS DOUBLE) / nullif(CAST(total_called AS DOUBLE), 0), 6) AS moic FROM (SELECT fund_id, count_if(NOT auto) AS pending_review_documents FROM doc_final GROUP BY fund_id)
+    JOIN (SELECT fund_id, min(doc_date) AS inception_date, CAST(coalesce({_LATEST.format(c='cumulative', t='capital_call')}, 0) AS DECIMAL(24,2)) AS total_called, CAST(coalesce({_LATEST.format(c='cumulative', t='distribution')}, 0) AS DECIMAL(24,2)) AS total_distributed, CAST(coalesce({_LATEST.format(c='ending', t='capital_account_statement')}, 0) AS DECIMAL(24,2)) AS current_nav FROM doc_final WHERE confirmed_amount IS NOT NULL GROUP BY fund_id) USING (fund_id)"""
+
+
+@query(_ROLL)
+def fund_rollup(m):
+    return documents.rolled_up(_confirmed(m))
+
+
+@query(f"SELECT o.client_id, r.fund_id, a.currency, CAST(r.total_called * o.ownership_pct AS DECIMAL(24,2)) AS total_called, CAST(r.current_nav * o.ownership_pct AS DECIMAL(24,2)) AS current_nav, r.moic, r.pending_review_documents FROM ({_ROLL}) r JOIN owners o ON o.account_id = r.fund_id JOIN accounts a ON a.account_id = r.fund_id")
+def alts_holdings(m):
+    rows = documents.rolled_up(_confirmed(m)).join(m["owners"], F.col("fund_id") == F.col("account_id")).join(m["accounts"].select("account_id", "currency"), "account_id")
+    own = lambda c: (F.col(c) * F.col("ownership_pct")).cast("decimal(24,2)").alias(c)
+    return rows.select("client_id", "fund_id", "currency", own("total_called"), own("current_nav"), "moic", "pending_review_documents")
+
+
+@query("SELECT g.as_of, CAST(sum(coalesce(nav, 0)) AS DECIMAL(24,2)) AS nav FROM (SELECT day AS as_of FROM days WHERE day >= DATE '1995-06-01' AND extract(day FROM day) = 1) g CROSS JOIN (SELECT DISTINCT fund_id FROM fund_docs WHERE doc_type = 'capital_account_statement') f ASOF LEFT JOIN (SELECT fund_id, doc_date, max(ending) AS nav FROM fund_docs WHERE doc_type = 'capital_account_statement' GROUP BY fund_id, doc_date) s ON s.fund_id = f.fund_id AND s.doc_date <= g.as_of GROUP BY g.as_of")
+def nav_forward_fill(m):
+    asked = m["days"].where((F.col("day") >= "1995-06-01") & (F.dayofmonth("day") == 1)).select(F.col("day").alias("as_of"))
+    return documents.nav_by_day(m["fund_docs"].where("doc_type = 'capital_account_statement'"), asked)
+
+
+@query("SELECT document, CASE WHEN regexp_matches(t, '^-?[0-9]+(\\.[0-9]+)?$') THEN CAST(t AS DECIMAL(24,2)) END AS value FROM (SELECT document, CASE WHEN k % 7 = 0 THEN 'n/a' ELSE CAST(total AS VARCHAR) END AS t FROM fund_rows)")
+def tolerant_amounts(m):
+    text = F.when(F.col("k") % 7 == 0, "n/a").otherwise(F.concat(F.lit(" $"), F.format_number("total", 2)))
+    return m["fund_rows"].select("document", tolerant_decimal(text).alias("value"))
+
+
+# --- registry, filings, serving ----------------------------------------------------------------------------------
+
+
+@query("SELECT n.file_path, n.size_bytes, n.sha256, CASE WHEN o.sha256 IS NULL THEN 'new' WHEN o.sha256 <> n.sha256 THEN 'restated' ELSE 'unchanged' END AS status FROM registry_new n LEFT JOIN registry_old o ON o.file_path = n.file_path")
+def registry_diff(m):
+    return registry.diff(m["registry_old"], m["registry_new"])
+
+
+@query("SELECT file_path, sha256, size_bytes FROM registry_old WHERE file_path NOT IN (SELECT file_path FROM registry_new WHERE file_path % 11 = 0 OR file_path % 17 = 0) UNION ALL SELECT file_path, sha256, size_bytes FROM registry_new WHERE file_path % 11 = 0 OR file_path % 17 = 0")
+def registry_supersede(m):
+    arrived = registry.diff(m["registry_old"], m["registry_new"]).where("status <> 'unchanged'").drop("status")
+    return registry.superseded(m["registry_old"], arrived)
+
+
+@query("SELECT status, count(*) AS files, min(size_bytes) AS least, max(size_bytes) AS most FROM (SELECT n.size_bytes, CASE WHEN o.sha256 IS NULL THEN 'new' WHEN o.sha256 <> n.sha256 THEN 'restated' ELSE 'unchanged' END AS status FROM registry_new n LEFT JOIN registry_old o ON o.file_path = n.file_path) GROUP BY status")
+def registry_summary(m):
+    return registry.diff(m["registry_old"], m["registry_new"]).groupBy("status").agg(F.count("*").alias("files"), F.min("size_bytes").alias("least"), F.max("size_bytes").alias("most"))
+
+
+@query("SELECT a.account_id AS cik, DATE '1998-06-30' AS as_of, max(f.accession) FILTER (f.filing_date = l.d) AS accession FROM accounts a LEFT JOIN (SELECT cik, max(filing_date) AS d FROM filings WHERE filing_date <= DATE '1998-06-30' GROUP BY cik) l ON l.cik = a.account_id LEFT JOIN filings f ON f.cik = a.account_id GROUP BY a.account_id")
+def filing_as_of(m):
+    asked = m["accounts"].select(F.col("account_id").alias("cik"), F.lit("1998-06-30").cast("date").alias("as_of"))
+    return registry.latest_before(asked, m["filings"], "cik", "as_of", "filing_date", "accession")
+
+
+@query("SELECT accession, cusip, min(issuer) AS issuer, CAST(sum(shares) AS DECIMAL(24,2)) AS shares, CAST(sum(value) AS DECIMAL(24,2)) AS value FROM filing_rows WHERE kind = 'SH' AND put_call IS NULL GROUP BY accession, cusip")
+def table_13f_aggregate(m):
+    return registry.information_table(m["filing_rows"])
+
+
+_DIGITS = "list_reduce(list_transform(generate_series(1, length({d})), lambda i: CASE WHEN i % 2 = {p} THEN (CASE WHEN CAST(substr({d}, length({d}) - i + 1, 1) AS INTEGER) > 4 THEN 2 * CAST(substr({d}, length({d}) - i + 1, 1) AS INTEGER) - 9 ELSE 2 * CAST(substr({d}, length({d}) - i + 1, 1) AS INTEGER) END) ELSE CAST(substr({d}, length({d}) - i + 1, 1) AS INTEGER) END), lambda x, y: x + y)"
+_WIDE = "array_to_string(list_transform(string_split({t}, ''), lambda c: CASE WHEN c >= 'A' THEN CAST(ascii(c) - 55 AS VARCHAR) ELSE c END), '')"
+_ISIN = f"SELECT cusip, d, CASE WHEN cusip NOT LIKE 'G%' THEN 'US' || cusip || CAST((10 - {_DIGITS.format(d='d', p=1)} % 10) % 10 AS VARCHAR) END AS isin FROM (SELECT cusip, {_WIDE.format(t="('US' || cusip)")} AS d FROM (SELECT DISTINCT cusip FROM filing_rows))"
+
+
+@query(f"SELECT cusip, isin FROM ({_ISIN})")
+def isin_derive(m):
+    return m["filing_rows"].select("cusip").distinct().select("cusip", identifiers.isin_from_cusip(F.col("cusip")).alias("isin"))
+
+
+@query(f"SELECT text, {_DIGITS.format(d='w', p=0)} % 10 = 0 AS valid FROM (SELECT text, {_WIDE.format(t='text')} AS w FROM (SELECT 'US' || cusip || CAST(CAST(substr(cusip, 9, 1) AS INTEGER) AS VARCHAR) AS text FROM (SELECT DISTINCT cusip FROM filing_rows)))")
+def isin_checksum(m):
+    text = F.concat(F.lit("US"), F.col("cusip"), F.substring("cusip", 9, 1))
+    return m["filing_rows"].select("cusip").distinct().select(text.alias("text")).select("text", identifiers.isin_valid(F.col("text")).alias("valid"))
+
+
+@query("SELECT DISTINCT cusip FROM filing_rows WHERE cusip NOT LIKE 'G%'")
+def universe_domestic(m):
+    return m["filing_rows"].where(~identifiers.is_foreign(F.col("cusip"))).select("cusip").distinct()
+
+
+@query("SELECT as_of, account_id, security_id, quantity, market_value FROM feed_a")
+def semt_parse(m):
+    return feeds.parse_holdings_xml(feeds.holdings_xml(m["feed_a"])).select("as_of", "account_id", "security_id", "quantity", "market_value")
+
+
+@query("SELECT as_of, account_id, security_id, quantity, market_value FROM feed_b")
+def mt535_parse(m):
+    return feeds.parse_holdings_swift(feeds.holdings_swift(m["feed_b"])).select("as_of", "account_id", "security_id", "quantity", "market_value")
+
+
+@query("SELECT account_id, transaction_id, amount, currency, trade_date FROM clean_entries")
+def camt_parse_entries(m):
+    return feeds.parse_cash_entries(feeds.cash_xml(m["clean_entries"], m["balances"]))
+
+
+@query("SELECT as_of, account_id, balance_type, amount, currency FROM balances")
+def camt_parse_balances(m):
+    return feeds.parse_cash_balances(feeds.cash_xml(m["clean_entries"], m["balances"]))
+
+
+@query("SELECT CASE WHEN account_id % 7 = 0 THEN 'FAILED' ELSE 'PARSED' END AS status, count(*) AS files FROM (SELECT DISTINCT as_of, account_id FROM feed_a) GROUP BY account_id % 7 = 0")
+def parse_failures(m):
+    cut = F.when(F.split("file_path", "/")[1].cast("long") % 7 == 0, F.expr("substr(text, 1, 30)")).otherwise(F.col("text"))
+    files = feeds.holdings_xml(m["feed_a"]).withColumn("text", cut)
+    return feeds.parse_holdings_xml(files).groupBy("status").agg(F.countDistinct("file_path").alias("files"))
+
+
+_QUEUE = "SELECT fund_id, document, coalesce(o.status, 'pending') AS status, CASE WHEN (o.status IS NOT NULL AND o.status <> 'pending') OR n.document IS NULL THEN o.amount ELSE n.amount END AS amount, coalesce(n.document IS NULL AND o.status = 'pending', false) AS stale FROM queue_old o FULL JOIN queue_new n USING (fund_id, document)"
+
+
+@query(_QUEUE)
+def review_queue_merge(m):
+    return _queue(m)
+
+
+@query(f"SELECT fund_id, count(*) AS pending FROM ({_QUEUE}) WHERE status = 'pending' AND NOT stale GROUP BY fund_id")
+def review_pending(m):
+    return _queue(m).where("status = 'pending' AND NOT stale").groupBy("fund_id").agg(F.count("*").alias("pending"))
+
+
+@query(f"SELECT q.fund_id, q.document, CASE WHEN d.status IS NOT NULL AND q.status = 'pending' THEN d.status ELSE q.status END AS status, CASE WHEN d.status IS NOT NULL AND q.status = 'pending' THEN (CASE WHEN d.status = 'approved' THEN q.amount ELSE d.final_amount END) END AS final_amount, d.status IS NOT NULL AND q.status <> 'pending' AS conflict FROM ({_QUEUE}) q LEFT JOIN decisions d ON d.fund_id = q.fund_id AND d.document = q.document")
+def review_decide(m):
+    return registry.decide(_queue(m), m["decisions"])
+
+
+@query("SELECT client_id, as_of, total_wealth_usd FROM wealth WHERE client_id IN (SELECT client_id FROM clients WHERE tenant_id = 2)")
+def tenant_projection(m):
+    return registry.of_tenant(_wealth(m), m["clients"], 2).select("client_id", "as_of", "total_wealth_usd")
+
+
+@query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY event_type")
+def events_json(m):
+    return m.table("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("int")).alias("total"))
+
+
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return dict(_QUERIES)
+
+
+def oracle_sql() -> dict[str, str]:
+    return {name: _sql(text) for name, text in _SQL.items()}
 
-def oracle_sql():
-    return {}
