@@ -17,7 +17,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tallystone.llm.common import small_batches
+
 LAST = np.iinfo(np.int64).max
+#: Rows are dealt to chunks when so many bytes are there.
+PACK_BYTES = 24 << 20
 BLOCKS = "chunk int, block binary"
 HASHES = "part int, chunk int, hashes binary"
 
@@ -52,29 +56,38 @@ def plan(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, knots: i
 
 def ids_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Null ids come after all others."""
-    return np.asarray(pc.fill_null(column.cast(pa.int64()), LAST))
+    return np.asarray(pc.fill_null(column.cast(pa.int64()), LAST), np.int64)
 
 
 def blocks(docs: DataFrame, id_col: str, chunks: Chunks) -> DataFrame:
     """(chunk, block) rows that hold all columns of docs."""
 
+    def pack(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows_ = pa.Table.from_batches(held).combine_chunks()
+        dealt = chunks.of(ids_of(rows_.column(id_col)))
+        order = np.argsort(dealt, kind="stable")
+        names, made = [], []
+        for rows in np.split(order, np.flatnonzero(np.diff(dealt[order])) + 1):
+            out = pa.BufferOutputStream()
+            with pa.ipc.new_stream(out, rows_.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
+                to.write_table(rows_.take(pa.array(rows)))
+            names.append(int(dealt[rows[0]]))
+            made.append(out.getvalue().to_pybytes())
+        return pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(made, pa.binary())], names=["chunk", "block"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            dealt = chunks.of(ids_of(batch.column(id_col)))
-            order = np.argsort(dealt, kind="stable")
-            ends = np.flatnonzero(np.diff(dealt[order])) + 1
-            names, held = [], []
-            for rows in np.split(order, ends):
-                out = pa.BufferOutputStream()
-                part = batch.take(pa.array(rows))
-                with pa.ipc.new_stream(out, part.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as to:
-                    to.write_batch(part)
-                names.append(int(dealt[rows[0]]))
-                held.append(out.getvalue().to_pybytes())
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), pa.array(held, pa.binary())], names=["chunk", "block"])
-
+            if batch.num_rows:
+                held.append(batch)
+                size += batch.nbytes
+            if size >= PACK_BYTES:
+                yield pack(held)
+                held, size = [], 0
+        if held:
+            yield pack(held)
+
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, BLOCKS)
 
 

@@ -26,6 +26,13 @@ def shared_dir(spark: SparkSession) -> str:
     return str(found).rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Texts reach Python in batches of this many rows for the rest of the session, unless fewer are set."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(name, "10000")) > rows:
+        spark.conf.set(name, str(rows))
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors."""
     spark = df.sparkSession

@@ -39,6 +39,8 @@ CHUNK_BYTES = 4 << 20
 SMALL = 16
 #: Keys that more documents share are compared blockwise; documents of a block; columns of a matrix.
 HOT, BLOCK, COLUMNS = 100, 512, 8192
+#: So many ids are sent to all tasks, more are joined by a shuffle.
+FEW = 2_000_000
 NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<long>, hashes binary"
 
 
@@ -367,7 +369,9 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = join(docs, id_col, text_col, chunk_bytes=chunk_bytes, **options)
     gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
     again = joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
-    kept = docs.join(gone.hint("shuffle_merge"), docs[id_col] == gone["_gone"], "left_anti")
+    gone = materialize(gone)
+    gone = F.broadcast(gone) if gone.count() <= FEW else gone.hint("shuffle_merge")  # 8 bytes a row
+    kept = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
     if not again.limit(1).count():
         return kept
     repeated = kept.join(again, kept[id_col] == again["_again"], "left_semi").dropDuplicates([id_col])

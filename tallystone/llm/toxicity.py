@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.llm.common import HELD_OUT, fold, spread
+from tallystone.llm.common import fold, HELD_OUT, small_batches, spread
 
 SAMPLE, SEED = 5000, 23
 SPACE = 1 << 18
@@ -157,4 +157,5 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 found.append([{"first": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in at])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= level) for s in scores], pa.int32()), pa.array(found, kind)], names=[*batch.schema.names, "score", "predicted", "offending"])
 
+    small_batches(docs.sparkSession)
     return marked.mapInArrow(run, schema)
