@@ -17,7 +17,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.llm.common import small_batches
+from tallystone.llm.common import claim, release, small_batches
+from tallystone.llm.words import KNOWN
 
 LAST = np.iinfo(np.int64).max
 #: Rows are dealt to chunks when so many bytes are there.
@@ -35,7 +36,7 @@ class Chunks:
     @property
     def parts(self) -> int:
         """Ranges of the hash space: each holds the hashes of a few chunks, so that there are fewer, larger packets."""
-        return max(12, -(-self.n // 3))
+        return max(12, -(-self.n // 2))
 
     def of(self, ids: np.ndarray) -> np.ndarray:
         k = self.knots
@@ -141,18 +142,25 @@ def exchange(
     """
 
     def first(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
-        return by_part(send(opened(held)), key[0].as_py(), parts)
+        claim("words", KNOWN.clear)
+        out = by_part(send(opened(held)), key[0].as_py(), parts)
+        release()
+        return out
 
     def middle(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
+        held = held.sort_by("chunk")
         got = [unpacked(x) for x in held.column("hashes").to_pylist()]
-        chunk = np.repeat(held.column("chunk").to_numpy(), [len(x) for x in got])
+        chunk = np.repeat(held.column("chunk").to_numpy().astype(np.int32), [len(x) for x in got])
         hashes = np.concatenate(got)
-        order = np.lexsort((chunk, hashes))
+        del got
+        order = np.argsort(hashes, kind="stable")  # chunks stay in order
         to, back, count = answer(hashes[order], chunk[order])
+        del hashes, chunk, order
         order = np.argsort(to, kind="stable")
         to, back, count = to[order], back[order], count[order]
         ends = np.flatnonzero(np.diff(to)) + 1
         rows = [(int(to[r[0]]), packed(back[r]), count[r].astype("<u4").tobytes()) for r in np.split(np.arange(len(to)), ends) if len(r)]
+        release()
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()), "hashes": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     def last(key: tuple[pa.Scalar, ...], held: pa.Table, answers: pa.Table) -> pa.Table:
@@ -160,7 +168,10 @@ def exchange(
         hashes = np.concatenate([x[0] for x in got]) if got else np.empty(0, np.uint64)
         counts = np.concatenate([x[1] for x in got]) if got else np.empty(0, np.uint32)
         order = np.argsort(hashes, kind="stable")
-        return finish(key[0].as_py(), opened(held), hashes[order], counts[order])
+        claim("words", KNOWN.clear)
+        out = finish(key[0].as_py(), opened(held), hashes[order], counts[order])
+        release()
+        return out
 
     sent = rows.groupBy("chunk").applyInArrow(first, HASHES)
     answers = sent.groupBy("part").applyInArrow(middle, "chunk int, hashes binary, counts binary")

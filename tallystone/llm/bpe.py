@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallystone.llm.common import small_batches
+from tallystone.llm.common import claim, small_batches
 
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -197,6 +197,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     wants_text = bool({"decoded_text", "decoded_sha256"} & set(outputs))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("bpe", _READY.clear)
         v = ready(held.value)
         for batch in batches:
             out = {n: [] for n in outputs}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +72,23 @@ def lookup(rows: DataFrame, facts: DataFrame, key: str, weight: str, heavy: int
     return rows.join(F.broadcast(hot), key).unionByName(rows.join(hot_keys, key, "left_anti").join(cold.hint("shuffle_merge"), key))
 
 
+_CLAIMS: dict[str, Callable[[], None]] = {}
+
+
+def claim(name: str, clear: Callable[[], None]) -> None:
+    """A Python worker serves many tasks: whoever starts to use its cache here empties those of other operators."""
+    for other in [x for x in _CLAIMS if x != name]:
+        _CLAIMS.pop(other)()
+    _CLAIMS[name] = clear
+
+
+def release() -> None:
+    """Give freed memory back to the system, which the allocators else keep for later."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The splitmix64 finaliser on an array of uint64."""
     with np.errstate(over="ignore"):

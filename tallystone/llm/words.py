@@ -14,7 +14,7 @@ BASE = np.uint64(0x9E3779B97F4A7C15)
 class WordHashes(dict):
     """bytes of a word -> its 64-bit hash; a bounded cache, since words repeat."""
 
-    limit = 150_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
