@@ -43,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    made = bpe.encode_decode(docs, vocabulary_path(), outputs=("n_tokens", "ids", "decoded_sha256"))
+    made = bpe.encode_decode(docs, vocabulary_path(), outputs=("n_tokens", "ids", "decoded_sha256"), cache=60_000)
     return made.drop("text")
 
 

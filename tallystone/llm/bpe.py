@@ -46,7 +46,8 @@ def byte_letters() -> dict[str, int]:
 class Vocabulary:
     """A byte-level BPE file: ranks of merges, ids, forced boundaries and special tokens."""
 
-    def __init__(self, data: bytes):
+    def __init__(self, data: bytes, cache: int = CACHE):
+        self.cache = cache
         held = json.loads(data)
         model, pre = held["model"], held.get("pre_tokenizer") or {}
         if held.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True) or model.get("dropout") or model.get("ignore_merges"):
@@ -145,7 +146,7 @@ class _Bounded(dict):
         self.vocabulary = vocabulary
 
     def keep(self, key, value: bytes) -> bytes:
-        if len(self) >= CACHE:
+        if len(self) >= self.vocabulary.cache:
             self.clear()
         if len(key) <= 64:
             self[key] = value
@@ -175,18 +176,19 @@ class Spaced(_Bounded):
 _READY: dict[str, Vocabulary] = {}
 
 
-def ready(data: bytes) -> Vocabulary:
+def ready(data: bytes, cache: int) -> Vocabulary:
     """One a Python worker."""
-    key = hashlib.sha256(data).hexdigest()
+    key = f"{cache} {hashlib.sha256(data).hexdigest()}"
     if key not in _READY:
         _READY.clear()
-        _READY[key] = Vocabulary(data)
+        _READY[key] = Vocabulary(data, cache)
     return _READY[key]
 
 
-def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", outputs: tuple[str, ...] = NEW) -> DataFrame:
+def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text", outputs: tuple[str, ...] = NEW, cache: int = CACHE) -> DataFrame:
     """docs with those of n_tokens, ids, ids_sha256, decoded_text and decoded_sha256 that are asked for.
 
+    cache: how many fragments, pieces and words each Python worker keeps the ids of, which bounds its memory.
     The vocabulary file is read on the driver and broadcast: its size is that of the file, whatever the corpus.
     """
     with open(vocabulary_path, "rb") as f:
@@ -198,7 +200,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         claim("bpe", _READY.clear)
-        v = ready(held.value)
+        v = ready(held.value, cache)
         for batch in batches:
             out = {n: [] for n in outputs}
             for text in batch.column(text_col):
