@@ -91,7 +91,7 @@ def xirr(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int
     rows = perf.select("client_id", F.col("as_of").alias("day"), F.col("external_flow_usd").cast("double").alias("flow"), F.col("total_wealth_usd").cast("double").alias("w")).join(ends.select("client_id", "inception_date", F.col("as_of").alias("last")), "client_id")
     cash = F.when(F.col("day") == F.col("inception_date"), -F.col("w")).otherwise(-F.col("flow")) + F.when(F.col("day") == F.col("last"), F.col("w")).otherwise(F.lit(0.0))
     years = F.datediff("day", "inception_date") / F.lit(365.0)
-    held = rows.select("client_id", "inception_date", "last", cash.alias("c"), years.alias("t")).where("c <> 0").groupBy("client_id", "inception_date", "last").agg(F.array_sort(F.collect_list(F.struct("t", "c"))).alias("flows"))
+    held = rows.select("client_id", "inception_date", "last", cash.alias("c"), years.alias("t")).groupBy("client_id", "inception_date", "last").agg(F.array_sort(F.collect_list(F.when(F.col("c") != 0, F.struct("t", "c")))).alias("flows"))
 
     def npv(rate):
         return F.aggregate("flows", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + rate, x["t"]))
