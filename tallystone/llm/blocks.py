@@ -22,7 +22,7 @@ from tallystone.llm.words import KNOWN
 
 LAST = np.iinfo(np.int64).max
 #: Rows are dealt to chunks when so many bytes are there.
-PACK_BYTES = 24 << 20
+PACK_BYTES = 12 << 20
 BLOCKS = "chunk int, block binary"
 HASHES = "part int, chunk int, hashes binary"
 
@@ -85,8 +85,11 @@ def blocks(docs: DataFrame, id_col: str, chunks: Chunks) -> DataFrame:
             if size >= PACK_BYTES:
                 yield pack(held)
                 held, size = [], 0
+                release()
         if held:
             yield pack(held)
+        held = []
+        release()
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, BLOCKS)

@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallystone.llm.common import claim, small_batches
+from tallystone.llm.common import claim, release, small_batches
 
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -224,6 +224,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
                         out[n].append(hashlib.sha256(decoded).hexdigest())
             made = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
             yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(out[n], made.get(n, pa.string())) for n in outputs)], names=[*batch.schema.names, *outputs])
+        release()
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, schema)

@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     return str(found).rstrip("/")
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
     """Texts reach Python in batches of this many rows for the rest of the session, unless fewer are set."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if int(spark.conf.get(name, "10000")) > rows:
@@ -77,8 +77,10 @@ _CLAIMS: dict[str, Callable[[], None]] = {}
 
 def claim(name: str, clear: Callable[[], None]) -> None:
     """A Python worker serves many tasks: whoever starts to use its cache here empties those of other operators."""
-    for other in [x for x in _CLAIMS if x != name]:
-        _CLAIMS.pop(other)()
+    if others := [x for x in _CLAIMS if x != name]:
+        for other in others:
+            _CLAIMS.pop(other)()
+        release()
     _CLAIMS[name] = clear
 
 

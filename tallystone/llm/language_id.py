@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.llm.common import fold, HELD_OUT, small_batches, spread
+from tallystone.llm.common import claim, fold, HELD_OUT, small_batches, spread
 
 DIMENSIONS, LETTERS, ORDER = 2048, 64, 3
 SAMPLE, LANGUAGES, SEED = 1500, 200, 11
@@ -125,6 +125,7 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     schema = T.StructType([*marked.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        claim("language", lambda: None)
         for batch in batches:
             got = [held.value.predict(t.as_py()) for t in batch.column(text_col)]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
