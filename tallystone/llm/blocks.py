@@ -123,10 +123,11 @@ def unpacked(data: bytes) -> np.ndarray:
 
 
 def by_part(hashes: np.ndarray, chunk: int, parts: int) -> pa.Table:
-    """The sorted hashes of a chunk, cut into equal ranges of the hash space."""
-    edges = np.array([((i << 64) // parts) for i in range(1, parts)], np.uint64)
-    cuts = [0, *np.searchsorted(hashes, edges).tolist(), len(hashes)]
-    rows = [(i, chunk, packed(hashes[a:b])) for i, (a, b) in enumerate(zip(cuts, cuts[1:], strict=False)) if b > a]
+    """The sorted hashes of a chunk, cut into equal ranges of the hash space. Work and rows grow with the hashes, not with
+    the number of parts: empty ranges cost nothing."""
+    part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    ends = np.flatnonzero(np.diff(part, append=parts)) + 1
+    rows = [(int(part[a]), chunk, packed(hashes[a:b])) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
     return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "chunk": pa.array([r[1] for r in rows], pa.int32()), "hashes": pa.array([r[2] for r in rows], pa.binary())})
 
 
