@@ -58,6 +58,16 @@ def of_tenant(rows: DataFrame, tenants: DataFrame, tenant: int) -> DataFrame:
     return rows.join(F.broadcast(tenants.where(F.col("tenant_id") == tenant).select("client_id")), "client_id", "left_semi")
 
 
+def unclaimed(rows: DataFrame, tenants: DataFrame) -> DataFrame:
+    """Clients of rows whom no tenant has."""
+    return rows.select("client_id").distinct().join(F.broadcast(tenants.select("client_id")), "client_id", "left_anti")
+
+
+def on_latest_day(rows: DataFrame) -> DataFrame:
+    """Rows of the latest day of all; only one date is broadcast."""
+    return rows.join(F.broadcast(rows.agg(F.max("as_of").alias("as_of"))), "as_of")
+
+
 def freshness(rows: DataFrame, run_date: str, at_most: int = 3) -> DataFrame:
     latest = rows.agg(F.max("as_of").alias("latest"))
     age = F.datediff(F.lit(run_date).cast("date"), "latest")

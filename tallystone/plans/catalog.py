@@ -179,11 +179,19 @@ def fx_fill_forward(m):
     return _rates(m)
 
 
-@query("SELECT client_id, as_of, asset_class, value_usd, CAST(CAST(value_usd AS DOUBLE) / nullif(CAST(sum(value_usd) OVER (PARTITION BY client_id, as_of) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight FROM (SELECT client_id, as_of, asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS value_usd FROM (SELECT client_id, as_of, asset_class, usd FROM pos_usd UNION ALL SELECT client_id, as_of, 'Cash', usd FROM closing_usd) GROUP BY client_id, as_of, asset_class)")
+_ALLOCATION = "SELECT client_id, as_of, asset_class, value_usd, CAST(CAST(value_usd AS DOUBLE) / nullif(CAST(sum(value_usd) OVER (PARTITION BY client_id, as_of) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight FROM (SELECT client_id, as_of, asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS value_usd FROM (SELECT client_id, as_of, asset_class, usd FROM pos_usd UNION ALL SELECT client_id, as_of, 'Cash', usd FROM closing_usd) GROUP BY client_id, as_of, asset_class)"
+
+
+@query(_ALLOCATION)
 def asset_allocation(m):
     return wealth.allocation(_pos_owned(m), _closing(m), _rates(m))
 
 
+@query(f"SELECT * FROM ({_ALLOCATION}) WHERE as_of = (SELECT max(as_of) FROM ({_ALLOCATION}))")
+def allocation_latest(m):
+    return registry.on_latest_day(wealth.allocation(_pos_owned(m), _closing(m), _rates(m)))
+
+
 _INCOME = "SELECT client_id, CAST(date_trunc('month', as_of) AS DATE) AS month, type, CAST(sum(usd) AS DECIMAL(24,2)) AS income_usd, count(*) AS movements FROM moves_usd WHERE type IN ('DIVIDEND', 'INTEREST') GROUP BY client_id, date_trunc('month', as_of), type"
 
 
@@ -235,6 +243,12 @@ def unknown_currency_guard(m):
     return held.where(~F.col("currency").isin("USD", "EUR")).groupBy("currency").agg(F.count("*").alias("accounts"))
 
 
+@query("SELECT client_id, as_of, total_wealth_usd, external_flow_usd FROM perf_raw WHERE as_of BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND external_flow_usd <> 0")
+def flow_markers(m):
+    """Days with an external flow in a range of dates, as a chart of returns marks them."""
+    return _performance(m).where("as_of BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' AND external_flow_usd <> 0").select("client_id", "as_of", "total_wealth_usd", "external_flow_usd")
+
+
 # --- ownership ---------------------------------------------------------------------------------------------------
 
 _EFFECTIVE = "SELECT e2.owned_id AS account, e1.owner_id AS client, CAST(sum(CAST(e1.pct * e2.pct AS DECIMAL(18,12))) AS DECIMAL(9,6)) AS ownership_pct FROM edges e1 JOIN edges e2 ON e2.owner_id = e1.owned_id WHERE e1.owner_id LIKE 'C%' AND e2.owned_id LIKE 'A%' GROUP BY e2.owned_id, e1.owner_id"
@@ -361,6 +375,12 @@ def dq_sla(m):
     return _metrics(m).groupBy("metric").agg(F.count_if("passed").alias("passed_days"), F.count("passed").alias("days"), F.round(F.count_if("passed") / F.count("passed"), 6).alias("attainment"))
 
 
+@query("SELECT metric, max(as_of) AS as_of, max_by(value, as_of) AS value FROM dq WHERE value IS NOT NULL GROUP BY metric")
+def dq_latest(m):
+    """The newest value of each metric."""
+    return _metrics(m).where("value IS NOT NULL").groupBy("metric").agg(F.max("as_of").alias("as_of"), F.max_by("value", "as_of").alias("value"))
+
+
 @query("SELECT as_of, max(CASE WHEN metric = 'accuracy' THEN value END) AS accuracy, max(CASE WHEN metric = 'continuity' THEN value END) AS continuity FROM dq GROUP BY as_of")
 def dq_pivot(m):
     return _metrics(m).groupBy("as_of").pivot("metric", ["accuracy", "continuity"]).agg(F.max("value"))
@@ -534,6 +554,12 @@ def tenant_projection(m):
     return registry.of_tenant(_wealth(m), m["clients"], 2).select("client_id", "as_of", "total_wealth_usd")
 
 
+@query("SELECT DISTINCT client_id FROM wealth WHERE client_id NOT IN (SELECT client_id FROM clients WHERE tenant_id <> 3)")
+def clients_unclaimed(m):
+    """Clients with wealth whom no tenant claims, where one tenant is left out."""
+    return registry.unclaimed(_wealth(m), m["clients"].where("tenant_id <> 3"))
+
+
 @query("SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY event_type")
 def events_json(m):
     return m.table("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("int")).alias("total"))
