@@ -411,7 +411,7 @@ for _name, _kind in (("doc_call_validation", "capital_call"), ("doc_distribution
 
 @query("SELECT doc_type, CASE WHEN auto THEN 'auto_accept' ELSE 'needs_review' END AS routing, count(*) AS n, round(avg(confidence), 2) AS confidence FROM doc_judged GROUP BY doc_type, auto")
 def doc_routing(m):
-    return _judged(m).groupBy("doc_type", "routing").agg(F.count("*").alias("n"), F.round(F.avg("confidence"), 2).alias("confidence"))
+    return _judged(m).groupBy("doc_type", "routing").agg(F.count("*").alias("n"), F.round(F.avg(F.col("confidence").cast("decimal(20,12)")), 2).cast("double").alias("confidence"))
 
 
 @query("SELECT fund_id, document, reviewed_status, confirmed_amount FROM doc_final")

@@ -72,14 +72,14 @@ def relations(q: dict) -> dict[str, str]:
             SELECT o_custkey AS fund_id, concat('D', o_orderkey) AS document, o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN 'capital_call' WHEN 1 THEN 'distribution' ELSE 'capital_account_statement' END AS doc_type,
                 CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderkey % 3 ORDER BY o_orderdate, o_orderkey) AS INT) AS seq, CAST(o_orderdate AS DATE) AS doc_date, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(24,2)) AS amount,
                 CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey, o_orderkey % 3 ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(24,2)) AS total
-            FROM orders WHERE o_custkey % 3 = 0""",
+            FROM orders""",
         "fund_docs": """
             SELECT fund_id, document, k, doc_type, CASE WHEN k % 31 = 0 THEN seq + 1 ELSE seq END AS sequence_number, doc_date, CASE WHEN k % 37 = 0 THEN NULL ELSE amount END AS amount, CASE WHEN k % 29 = 0 THEN CAST(total + 1000 AS DECIMAL(24,2)) ELSE total END AS cumulative,
                 CAST(total - amount AS DECIMAL(24,2)) AS beginning, CASE WHEN k % 41 = 0 THEN CAST(total + 500 AS DECIMAL(24,2)) ELSE total END AS ending, CAST(1 - CAST(k % 10 AS DOUBLE) / 20 AS DOUBLE) AS self_reported
             FROM fund_rows""",
         "registry_old": f"SELECT doc_id AS file_path, {q['sha']} AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents WHERE doc_id % 17 <> 0",
         "registry_new": f"SELECT doc_id AS file_path, CASE WHEN doc_id % 11 = 0 THEN concat({q['sha']}, '-2') ELSE {q['sha']} END AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents",
-        "filings": "SELECT o_custkey AS cik, o_orderkey AS accession, CAST(o_orderdate AS DATE) AS filing_date FROM orders WHERE o_orderkey % 4 = 0",
+        "filings": "SELECT o_custkey AS cik, o_orderkey AS accession, CAST(o_orderdate AS DATE) AS filing_date FROM orders",
         "filing_rows": "SELECT l_orderkey AS accession, concat(CASE WHEN l_partkey % 9 = 0 THEN 'G' ELSE '0' END, lpad(CAST(l_partkey AS STRING), 8, '0')) AS cusip, concat('Issuer ', l_partkey) AS issuer, CAST(l_quantity AS DECIMAL(18,2)) AS shares, CAST(l_extendedprice AS DECIMAL(18,2)) AS value, CASE WHEN l_linenumber = 3 THEN 'PRN' ELSE 'SH' END AS kind, CASE WHEN l_partkey % 10 = 1 THEN 'Put' END AS put_call FROM lineitem",
         "decisions": "SELECT fund_id, document, CASE WHEN k % 2 = 0 THEN 'approved' ELSE 'corrected' END AS status, CASE WHEN k % 2 = 0 THEN amount ELSE CAST(amount + 1 AS DECIMAL(24,2)) END AS final_amount FROM fund_docs WHERE k % 5 = 0",
     }

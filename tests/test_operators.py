@@ -62,6 +62,15 @@ def test_findings_join_the_feeds_once(spark):
     assert plan.count("Join FullOuter") == 1
 
 
+def test_every_order_is_a_fund_document_and_a_filing(spark):
+    m = Model(spark, "/root/testdata/sf0.001")
+    orders = m.table("orders").select("o_orderkey")
+    assert orders.count() == 1500
+    for name, key in (("fund_rows", "k"), ("fund_docs", "k"), ("filings", "accession")):
+        made = m[name].select(F.col(key).alias("o_orderkey"))
+        assert made.count() == 1500 and orders.exceptAll(made).count() == 0
+
+
 def test_truncated_files_fail_as_rows(spark):
     files = spark.createDataFrame([("a", "<Document"), ("b", ""), ("c", None)], "file_path string, text string")
     assert {r["status"] for r in feeds.parse_holdings_xml(files).collect()} == {"FAILED"}
