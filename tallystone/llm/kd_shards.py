@@ -1,8 +1,8 @@
 """Sharding by a k-d tree, in DataFrame functions only.
 
-Each document is a point: numbers in [0, 1] made of its text's bytes, bytes a character and CRC-32. A node of the tree
-is split at the weighted median (weights: sizes) of the dimension with the widest spread, until the leaves number the shards; eight
-shards are three levels, each leaf then holds an eighth of the bytes. Medians are exact to the last bit of the split
+Each document is a point: numbers in [0, 1] made of its text's bytes and bytes a character. A node of the tree is split
+at the weighted median (weights: sizes) of the dimension with the widest spread, measured in the dimension's spread over
+the whole table, until the leaves number the shards; eight shards are three levels, each leaf then holds an eighth of the bytes. Medians are exact to the last bit of the split
 key: rounds of histograms with 4,096 bins a node come back to the driver, and no other rows. Below the dimension's
 value the key holds the CRC-32, so documents with equal values can be parted but equal texts never are.
 
@@ -24,7 +24,7 @@ from tallystone.llm.common import materialize
 BINS = 12  # bits of a histogram's bins
 VALUE_BITS, TIE_BITS = 28, 32
 BUCKETS = 4096
-DIMENSIONS = ("by_size", "by_script", "by_crc")
+DIMENSIONS = ("by_size", "by_script")
 
 
 def points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -38,7 +38,6 @@ def points(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         "text_crc32",
         (F.log2("size") / 31.0).alias("by_size"),
         F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.col("size") / (F.col("chars") + 1) - 1) / 3)).alias("by_script"),
-        (F.col("text_crc32") / float(1 << 32)).alias("by_crc"),
     )
 
 
@@ -56,6 +55,18 @@ def _chosen(values: dict[int, str]) -> Column:
     return key
 
 
+def _spreads(rows: DataFrame) -> dict[int, dict[str, float]]:
+    """Each node's standard deviation along each dimension."""
+    extent = [F.stddev_pop(F.col(d)).alias(d) for d in DIMENSIONS]
+    return {r["node"]: {d: r[d] or 0.0 for d in DIMENSIONS} for r in rows.groupBy("node").agg(*extent).collect()}
+
+
+def widest(own: dict[str, float], whole: dict[str, float]) -> str:
+    """The dimension along which a node is widest, in units of the whole table's spread; at the root all are 1, and the
+    wider one as it is wins."""
+    return max(DIMENSIONS, key=lambda d: (round(own[d] / whole[d], 9) if whole[d] else 0.0, own[d], d))
+
+
 def _medians(rows: DataFrame, keys: dict[int, str]) -> dict[int, int]:
     """For each node the largest key of its lower half, found 12 bits at a time."""
     total = {r["node"]: r["w"] for r in rows.groupBy("node").agg(F.sum("size").alias("w")).collect()}
@@ -80,9 +91,11 @@ def _medians(rows: DataFrame, keys: dict[int, str]) -> dict[int, int]:
 def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", levels: int = 3) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) for each row; 2^levels shards of nearly equal bytes."""
     rows = materialize(points(docs, id_col, text_col)).withColumn("node", F.lit(0))
+    whole: dict[str, float] = {}
     for _ in range(levels):
-        extent = [F.stddev_pop(F.col(d)).alias(d) for d in DIMENSIONS]
-        wide = {r["node"]: max(DIMENSIONS, key=lambda d: (r[d] or 0.0, d)) for r in rows.groupBy("node").agg(*extent).collect()}
+        spreads = _spreads(rows)
+        whole = whole or spreads.get(0, {})
+        wide = {node: widest(own, whole) for node, own in spreads.items()}
         ends = _medians(rows, wide)
         beyond, end = _chosen(wide), F.lit(None).cast("long")
         for node, value in ends.items():

@@ -174,6 +174,23 @@ def test_shards(odd, docs):
     assert kd_shards.shards(odd.limit(0)).count() == 0
 
 
+def test_shards_split_along_metadata(spark):
+    rng, rows = np.random.default_rng(3), []
+    for i in range(1600):
+        letter = "aß☃"[rng.integers(0, 3)]
+        rows.append((i, "".join(rng.choice([letter, "b"], int(2 ** rng.uniform(4, 10))))))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    places = {r["doc_id"]: r["shard"] for r in kd_shards.shards(frame).collect()}
+    points = {r["doc_id"]: (r["by_size"], r["by_script"]) for r in kd_shards.points(frame, "doc_id", "text").collect()}
+    for level in range(3):  # both halves of each node lie apart along a dimension of the metadata
+        nodes = collections.defaultdict(lambda: ([], []))
+        for i, shard in places.items():
+            nodes[shard >> (3 - level)][shard >> (2 - level) & 1].append(points[i])
+        assert len(nodes) == 2**level
+        for low, high in nodes.values():
+            assert any(max(p[d] for p in low) <= min(p[d] for p in high) + 2.0**-kd_shards.VALUE_BITS for d in (0, 1))
+
+
 def test_shards_stay_on_the_jvm(docs):
     assert "Python" not in kd_shards.shards(docs)._jdf.queryExecution().executedPlan().toString()
 
