@@ -1,30 +1,66 @@
-"""Ownership graphs: effective fractions along all paths, and the graph's invariants."""
+"""Ownership graphs: effective fractions along all paths, and the graph's invariants.
+
+Graphs are walked a level at a time, each level one job; edges to accounts, which own nothing, are met once.
+"""
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+PART = "decimal(30,24)"
+
+
+def effective(edges: DataFrame, roots: str = "C", leaves: str = "A") -> DataFrame:
+    """(account, client, ownership_pct): products along paths of any length, summed over paths. Edges: owner_id, owned_id, pct.
+
+    Paths grow by an edge a round, from the owners on top to accounts, until none is open; a graph with a cycle is refused.
+    """
+    if not on_cycles(edges).isEmpty():
+        raise ValueError("the ownership graph has a cycle")
+    inner, last = edges.where(~F.col("owned_id").startswith(leaves)), edges.where(F.col("owned_id").startswith(leaves))
+    own = edges.where(F.col("owner_id").startswith(roots)).select(F.col("owner_id").alias("client"), F.col("owner_id").alias("node")).distinct()
+    open_ = every = own.withColumn("part", F.lit(1).cast(PART)).localCheckpoint()
+    while not open_.isEmpty():
+        open_ = _step(open_, inner).groupBy("client", "node").agg(F.sum("part").cast(PART).alias("part")).localCheckpoint()
+        every = every.unionByName(open_)
+    return _step(every, last).groupBy(F.col("node").alias("account"), "client").agg(F.sum("part").cast("decimal(9,6)").alias("ownership_pct"))
+
+
+def _step(paths: DataFrame, edges: DataFrame) -> DataFrame:
+    grown = paths.join(edges, F.col("node") == F.col("owner_id"))
+    return grown.select("client", F.col("owned_id").alias("node"), (F.col("part") * F.col("pct")).cast(PART).alias("part"))
+
+
+def on_cycles(edges: DataFrame) -> DataFrame:
+    """(node): those that own themselves, directly or through others."""
+    left = edges.select("owner_id", "owned_id").distinct().localCheckpoint()
+    n = None
+    while n != (n := left.count()):  # edges from a node without owners, or to one that owns nothing, are on no cycle
+        owners, owned = left.select(F.col("owner_id").alias("owned_id")).distinct(), left.select(F.col("owned_id").alias("owner_id")).distinct()
+        left = left.join(owners, "owned_id", "left_semi").join(owned, "owner_id", "left_semi").select("owner_id", "owned_id").localCheckpoint()
+    reach, n = left, None
+    while n != (n := reach.count()):
+        further = reach.withColumnRenamed("owned_id", "via").join(left.withColumnRenamed("owner_id", "via"), "via").select("owner_id", "owned_id")
+        reach = reach.unionByName(further).distinct().localCheckpoint()
+    return reach.where("owner_id = owned_id").select(F.col("owner_id").alias("node"))
+
 
-def effective(edges: DataFrame, roots: str = "C", leaves: str = "A", levels: int = 2) -> DataFrame:
-    """(account, client, ownership_pct): products along paths, summed over paths. Edges: owner_id, owned_id, pct.
+def problems(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
+    """(problem, node): fractions outside (0, 1], nodes whose incoming fractions don't sum up to 1, nodes on a cycle.
 
-    Paths grow by an edge a level, from the owners on top to accounts; `levels` is the graph's depth.
+    nodes: node, kind (client, entity, account), the known ones; with them also owners that are no known client or entity,
+    owned nodes that are no known entity or account, and accounts that nobody owns.
     """
-    paths = edges.where(F.col("owner_id").startswith(roots)).select(F.col("owner_id").alias("client"), F.col("owned_id").alias("node"), F.col("pct").cast("decimal(18,12)").alias("part"))
-    ended = paths.where(F.col("node").startswith(leaves))
-    for _ in range(levels - 1):
-        grown = paths.where(~F.col("node").startswith(leaves)).join(edges, F.col("node") == F.col("owner_id"))
-        paths = grown.select("client", F.col("owned_id").alias("node"), (F.col("part") * F.col("pct")).cast("decimal(18,12)").alias("part"))
-        ended = ended.unionByName(paths.where(F.col("node").startswith(leaves)))
-    return ended.groupBy(F.col("node").alias("account"), "client").agg(F.sum("part").cast("decimal(9,6)").alias("ownership_pct"))
-
-
-def problems(edges: DataFrame) -> DataFrame:
-    """(problem, node): fractions outside (0, 1], nodes whose incoming fractions don't sum up to 1, self-ownership."""
-    wrong = edges.where(~((F.col("pct") > 0) & (F.col("pct") <= 1))).select(F.lit("fraction").alias("problem"), F.col("owned_id").alias("node"))
-    sums = edges.groupBy("owned_id").agg(F.sum("pct").alias("total")).where("total <> 1").select(F.lit("incomplete").alias("problem"), F.col("owned_id").alias("node"))
-    self_ = edges.where("owner_id = owned_id").select(F.lit("cycle").alias("problem"), F.col("owned_id").alias("node"))
-    return wrong.unionByName(sums).unionByName(self_)
+    named = lambda rows, problem, node: rows.select(F.lit(problem).alias("problem"), F.col(node).alias("node"))
+    found = named(edges.where(~((F.col("pct") > 0) & (F.col("pct") <= 1))), "fraction", "owned_id")
+    found = found.unionByName(named(edges.groupBy("owned_id").agg(F.sum("pct").alias("total")).where("total <> 1"), "incomplete", "owned_id"))
+    found = found.unionByName(named(on_cycles(edges), "cycle", "node"))
+    if nodes is None:
+        return found
+    owners, owned = edges.select(F.col("owner_id").alias("node")).distinct(), edges.select(F.col("owned_id").alias("node")).distinct()
+    found = found.unionByName(named(owners.join(nodes.where("kind IN ('client', 'entity')"), "node", "left_anti"), "unknown owner", "node"))
+    found = found.unionByName(named(owned.join(nodes.where("kind IN ('entity', 'account')"), "node", "left_anti"), "unknown owned", "node"))
+    return found.unionByName(named(nodes.where("kind = 'account'").join(owned, "node", "left_anti"), "unowned", "node"))
 
 
 def shared(owners: DataFrame) -> DataFrame:

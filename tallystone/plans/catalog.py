@@ -270,7 +270,9 @@ _TORN = "(SELECT * FROM edges WHERE pct <> 0.3)"
 @query(f"SELECT 'incomplete' AS problem, owned_id AS node FROM {_TORN} GROUP BY owned_id HAVING sum(pct) <> 1 UNION ALL SELECT 'fraction', owned_id FROM {_TORN} WHERE NOT (pct > 0 AND pct <= 1) UNION ALL SELECT 'cycle', owned_id FROM {_TORN} WHERE owner_id = owned_id")
 def ownership_problems(m):
     """The invariants on a graph that lacks some edges."""
-    return ownership.problems(m["edges"].where("pct <> 0.3"))
+    node = lambda rows, kind, letter, c: rows.select(F.concat(F.lit(letter), c).alias("node"), F.lit(kind).alias("kind"))
+    known = node(m["clients"], "client", "C", "client_id").unionByName(node(m["clients"], "entity", "E", "client_id")).unionByName(node(m["accounts"], "account", "A", "account_id"))
+    return ownership.problems(m["edges"].where("pct <> 0.3"), known)
 
 
 @query("SELECT account_id, client_id, ownership_pct, count(*) OVER (PARTITION BY account_id) AS owner_count, count(*) OVER (PARTITION BY account_id) > 1 AS is_shared FROM owners")

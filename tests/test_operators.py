@@ -49,6 +49,22 @@ def test_ownership_sums_over_paths(spark):
     assert ownership.problems(edges.where("owner_id <> 'C2'")).collect()[0]["problem"] == "incomplete"
 
 
+def test_ownership_through_stacked_entities(spark):
+    schema = "owner_id string, owned_id string, pct decimal(9,6)"
+    edge = lambda a, b, p: (a, b, Decimal(p))
+    rows = [edge("C1", "E1", "1"), edge("E1", "E2", "0.5"), edge("C2", "E2", "0.5"), edge("E2", "E3", "1"), edge("E3", "A1", "0.6"), edge("E1", "A1", "0.4"), edge("C2", "A2", "1")]
+    edges = spark.createDataFrame(rows, schema)
+    got = {(r["account"], r["client"]): r["ownership_pct"] for r in ownership.effective(edges).collect()}
+    assert got == {("A1", "C1"): Decimal("0.700000"), ("A1", "C2"): Decimal("0.300000"), ("A2", "C2"): Decimal("1.000000")}
+    known = spark.createDataFrame([("C1", "client"), ("E1", "entity"), ("E2", "entity"), ("E3", "entity"), ("A1", "account"), ("A3", "account")], "node string, kind string")
+    found = {tuple(r) for r in ownership.problems(edges, known).collect()}
+    assert found == {("unknown owner", "C2"), ("unknown owned", "A2"), ("unowned", "A3")}
+    looped = spark.createDataFrame([edge("C1", "E1", "0.5"), edge("E2", "E1", "0.5"), edge("E1", "E2", "1"), edge("E2", "E3", "1"), edge("E3", "A1", "1")], schema)
+    assert {tuple(r) for r in ownership.problems(looped).collect()} == {("cycle", "E1"), ("cycle", "E2")}
+    with pytest.raises(ValueError, match="cycle"):
+        ownership.effective(looped)
+
+
 def test_single_day_has_no_money_weighted_return(spark):
     day = lambda c, d, w, f: (c, dt.date(2025, 1, 1) + dt.timedelta(days=d), Decimal(w), Decimal(f))
     perf = spark.createDataFrame([day(1, 0, 100, 0), day(1, 365, 110, 0), day(2, 0, 100, 0)], "client_id int, as_of date, total_wealth_usd decimal(24,2), external_flow_usd decimal(24,2)")
