@@ -9,10 +9,16 @@ THRESHOLD, CAP = 0.85, 0.5
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """docs with self_consistent, confidence, cross_document_valid, validation_notes and routing."""
+    """docs with self_consistent, confidence, cross_document_valid, validation_notes and routing.
+
+    A statement is consistent if its seven amounts are there and beginning + contributions - distributions - fees +
+    realized + unrealized = ending; a call if it has amount, cumulative and remaining commitment.
+    """
     flow = F.col("doc_type").isin("capital_call", "distribution")
-    balanced = F.coalesce((F.col("beginning") + F.col("amount")).cast("decimal(24,2)") == F.col("ending"), F.lit(False))
-    own = F.when(flow, F.col("amount").isNotNull() & F.col("cumulative").isNotNull()).when(F.col("doc_type") == "capital_account_statement", balanced).otherwise(False)
+    net = F.col("beginning") + F.col("contributions") - F.col("distributions") - F.col("management_fees") + F.col("realized") + F.col("unrealized")
+    balanced = F.coalesce(net.cast("decimal(24,2)") == F.col("ending"), F.lit(False))  # a missing part is null
+    filled = F.col("amount").isNotNull() & F.col("cumulative").isNotNull()
+    own = F.when(F.col("doc_type") == "capital_call", filled & F.col("remaining_commitment").isNotNull()).when(F.col("doc_type") == "distribution", filled).when(F.col("doc_type") == "capital_account_statement", balanced).otherwise(False)
     group = Window.partitionBy("fund_id", "doc_type")
     by = group.orderBy(F.coalesce("sequence_number", F.lit(0)), "doc_date", "document")
     whole = F.col("amount").isNotNull() & F.col("cumulative").isNotNull()
@@ -42,17 +48,27 @@ def confirmed(docs: DataFrame, decisions: DataFrame) -> DataFrame:
 
 
 def rolled_up(rows: DataFrame) -> DataFrame:
-    """One row for each fund from its confirmed documents: latest cumulative figures, first date, multiple."""
+    """One row for each fund from its confirmed documents: latest cumulative figures, commitment, first date, multiple.
+
+    as_of, NAV and commitments are the latest statement's. Without one, as_of is null, NAV 0, and the latest call tells
+    the commitment: called and remaining.
+    """
     known = rows.where(F.col("confirmed_amount").isNotNull())
     order = F.struct("sequence_number", "doc_date", "document")
     latest = lambda kind, c: F.max_by(F.when(F.col("doc_type") == kind, F.col(c)), F.when(F.col("doc_type") == kind, order))
     pending = rows.groupBy("fund_id").agg(F.count_if(F.col("routing") == "needs_review").alias("pending_review_documents"))
+    stated = F.col("as_of").isNotNull()
     sums = known.groupBy("fund_id").agg(
+        latest("capital_account_statement", "doc_date").alias("as_of"), latest("capital_account_statement", "total_commitment").alias("stated_commitment"),
+        latest("capital_account_statement", "unfunded_commitment").alias("stated_unfunded"), F.coalesce(latest("capital_call", "remaining_commitment"), F.lit(0).cast("decimal(24,2)")).alias("remaining"),
         F.min("doc_date").alias("inception_date"), F.coalesce(latest("capital_call", "cumulative"), F.lit(0).cast("decimal(24,2)")).alias("total_called"),
         F.coalesce(latest("distribution", "cumulative"), F.lit(0).cast("decimal(24,2)")).alias("total_distributed"), F.coalesce(latest("capital_account_statement", "ending"), F.lit(0).cast("decimal(24,2)")).alias("current_nav"),
     )
     moic = F.try_divide((F.col("total_distributed") + F.col("current_nav")).cast("double"), F.col("total_called").cast("double"))
-    return pending.join(sums, "fund_id").withColumn("moic", F.round(moic, 6))
+    rows = pending.join(sums, "fund_id").withColumn("moic", F.round(moic, 6))
+    implied = (F.col("total_called") + F.col("remaining")).cast("decimal(24,2)")
+    rows = rows.withColumn("total_commitment", F.when(stated, F.col("stated_commitment")).otherwise(implied))
+    return rows.withColumn("unfunded_commitment", F.when(stated, F.col("stated_unfunded")).otherwise(F.col("remaining"))).drop("stated_commitment", "stated_unfunded", "remaining")
 
 
 def nav_by_day(statements: DataFrame, days: DataFrame) -> DataFrame:
@@ -69,10 +85,18 @@ def nav_by_day(statements: DataFrame, days: DataFrame) -> DataFrame:
 
 
 def evaluated(docs: DataFrame, truth: DataFrame) -> DataFrame:
-    """(doc_type, documents, exact, field_accuracy): extracted against true fields; a missing field is a mismatch."""
-    fields = ("amount", "cumulative")
-    both = docs.join(truth.select("document", *(F.col(f).alias(f"true_{f}") for f in fields)), "document")
-    hits = [F.coalesce(F.col(f) == F.col(f"true_{f}"), F.lit(False)).cast("int") for f in fields]
-    rows = both.select("doc_type", sum(hits, F.lit(0)).alias("hits"))
-    n = float(len(fields))
-    return rows.groupBy("doc_type").agg(F.count("*").alias("documents"), F.count_if(F.col("hits") == len(fields)).alias("exact"), F.round(F.sum("hits") / (F.count("*") * n), 6).alias("field_accuracy"))
+    """(doc_type, documents, extracted, exact, field_accuracy): extracted against all true fields of a document.
+
+    truth: document, doc_type and fields; null where a document's type has no such field. A true field that is missing or
+    differs is a mismatch; documents without an extraction are counted, but not scored.
+    """
+    fields = [f for f in truth.columns if f not in ("fund_id", "document", "doc_type")]
+    found = docs.select("document", *(F.col(f).alias(f"found_{f}") if f in docs.columns else F.lit(None).alias(f"found_{f}") for f in fields), F.lit(True).alias("there"))
+    asked = [F.col(f).isNotNull().cast("int") for f in fields]
+    hits = [F.coalesce(F.col(f) == F.col(f"found_{f}"), F.lit(False)).cast("int") for f in fields]
+    rows = truth.join(found, "document", "left").select("doc_type", F.coalesce("there", F.lit(False)).alias("there"), sum(asked, F.lit(0)).alias("asked"), sum(hits, F.lit(0)).alias("hits"))
+    told = lambda c: F.sum(F.when(F.col("there"), F.col(c)))
+    return rows.groupBy("doc_type").agg(
+        F.count("*").alias("documents"), F.count_if("there").alias("extracted"), F.count_if(F.col("there") & (F.col("hits") == F.col("asked"))).alias("exact"),
+        F.round(F.try_divide(told("hits").cast("double"), told("asked").cast("double")), 6).alias("field_accuracy"),
+    )

@@ -423,7 +423,21 @@ def doc_confirmed_fields(m):
 
 @query("SELECT doc_type, count(*) AS documents, count_if(hits = 2) AS exact, round(CAST(sum(hits) AS DOUBLE) / (count(*) * 2.0), 6) AS field_accuracy FROM (SELECT d.doc_type, CAST(coalesce(d.amount = t.amount, false) AS INTEGER) + CAST(coalesce(d.cumulative = t.total, false) AS INTEGER) AS hits FROM fund_docs d JOIN fund_rows t ON t.document = d.document) GROUP BY doc_type")
 def doc_eval(m):
-    return documents.evaluated(m["fund_docs"], m["fund_rows"].select("document", "amount", F.col("total").alias("cumulative")))
+    truth = m["fund_rows"].select("document", "doc_type", "amount", F.col("total").alias("cumulative"))
+    return documents.evaluated(m["fund_docs"], truth).drop("extracted")
+
+
+_TRUE = "SELECT document, doc_type, seq AS sequence_number, doc_date, amount, total AS cumulative, CASE WHEN doc_type = 'capital_account_statement' THEN CAST(total - amount AS DECIMAL(24,2)) END AS beginning, CASE WHEN doc_type = 'capital_account_statement' THEN total END AS ending, contributions, distributions, management_fees, realized, unrealized, remaining_commitment, total_commitment, unfunded_commitment FROM fund_parts"
+_SCORED = ("sequence_number", "doc_date", "amount", "cumulative", "beginning", "ending", "contributions", "distributions", "management_fees", "realized", "unrealized", "remaining_commitment", "total_commitment", "unfunded_commitment")
+
+
+@query(f"SELECT doc_type, count(*) AS documents, count(found) AS extracted, count_if(found IS NOT NULL AND hits = asked) AS exact, round(CAST(sum(hits) FILTER (found IS NOT NULL) AS DOUBLE) / sum(asked) FILTER (found IS NOT NULL), 6) AS field_accuracy FROM (SELECT t.doc_type, d.document AS found, {' + '.join(f'CAST(t.{f} IS NOT NULL AS INTEGER)' for f in _SCORED)} AS asked, {' + '.join(f'CAST(coalesce(t.{f} = d.{f}, false) AS INTEGER)' for f in _SCORED)} AS hits FROM ({_TRUE}) t LEFT JOIN (SELECT * FROM fund_docs WHERE k % 43 <> 0) d ON d.document = t.document) GROUP BY doc_type")
+def doc_eval_fields(m):
+    """All fields of the truth; some documents have lost their extraction."""
+    truth = m["fund_parts"].withColumnsRenamed({"seq": "sequence_number", "total": "cumulative"})
+    of_statement = lambda value: F.when(F.col("doc_type") == "capital_account_statement", value)
+    truth = truth.withColumn("beginning", of_statement((F.col("cumulative") - F.col("amount")).cast("decimal(24,2)"))).withColumn("ending", of_statement(F.col("cumulative")))
+    return documents.evaluated(m["fund_docs"].where("k % 43 <> 0"), truth.select("document", "doc_type", *_SCORED))
 
 
 _LATEST = "arg_max({c}, (sequence_number, doc_date, document)) FILTER (doc_type = '{t}')"
@@ -433,7 +447,15 @@ _ROLL = f"""SELECT fund_id, pending_review_documents, inception_date, total_call
 
 @query(_ROLL)
 def fund_rollup(m):
-    return documents.rolled_up(_confirmed(m))
+    return documents.rolled_up(_confirmed(m)).drop("as_of", "total_commitment", "unfunded_commitment")
+
+
+@query(f"""SELECT fund_id, as_of, CASE WHEN as_of IS NULL THEN CAST(called + remaining AS DECIMAL(24,2)) ELSE stated END AS total_commitment, CASE WHEN as_of IS NULL THEN remaining ELSE unfunded END AS unfunded_commitment FROM (
+    SELECT fund_id, {_LATEST.format(c='doc_date', t='capital_account_statement')} AS as_of, {_LATEST.format(c='total_commitment', t='capital_account_statement')} AS stated, {_LATEST.format(c='unfunded_commitment', t='capital_account_statement')} AS unfunded,
+        coalesce({_LATEST.format(c='cumulative', t='capital_call')}, 0) AS called, CAST(coalesce({_LATEST.format(c='remaining_commitment', t='capital_call')}, 0) AS DECIMAL(24,2)) AS remaining FROM doc_final WHERE confirmed_amount IS NOT NULL GROUP BY fund_id)""")
+def fund_commitment(m):
+    """What fund_rollup's SQL lacks: the statement's date and the commitments, implied by calls where there is none."""
+    return documents.rolled_up(_confirmed(m)).select("fund_id", "as_of", "total_commitment", "unfunded_commitment")
 
 
 @query(f"SELECT o.client_id, r.fund_id, a.currency, CAST(r.total_called * o.ownership_pct AS DECIMAL(24,2)) AS total_called, CAST(r.current_nav * o.ownership_pct AS DECIMAL(24,2)) AS current_nav, r.moic, r.pending_review_documents FROM ({_ROLL}) r JOIN owners o ON o.account_id = r.fund_id JOIN accounts a ON a.account_id = r.fund_id")

@@ -73,10 +73,18 @@ def relations(q: dict) -> dict[str, str]:
                 CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey, o_orderkey % 3 ORDER BY o_orderdate, o_orderkey) AS INT) AS seq, CAST(o_orderdate AS DATE) AS doc_date, CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DECIMAL(24,2)) AS amount,
                 CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) OVER (PARTITION BY o_custkey, o_orderkey % 3 ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(24,2)) AS total
             FROM orders""",
+        "fund_parts": """
+            SELECT *, CASE WHEN doc_type = 'capital_account_statement' THEN CAST(amount + (k % 6) * 7 + (k % 5) * 10 - (k % 4) * 3 + (k % 3) * 2 AS DECIMAL(24,2)) END AS contributions,
+                CASE WHEN doc_type = 'capital_account_statement' THEN CAST((k % 6) * 7 AS DECIMAL(24,2)) END AS distributions, CASE WHEN doc_type = 'capital_account_statement' THEN CAST((k % 5) * 10 AS DECIMAL(24,2)) END AS management_fees,
+                CASE WHEN doc_type = 'capital_account_statement' THEN CAST((k % 4) * 3 AS DECIMAL(24,2)) END AS realized, CASE WHEN doc_type = 'capital_account_statement' THEN CAST((k % 3) * -2 AS DECIMAL(24,2)) END AS unrealized,
+                CASE WHEN doc_type = 'capital_call' THEN CAST(100000000 - total AS DECIMAL(24,2)) END AS remaining_commitment, CASE WHEN doc_type = 'capital_account_statement' THEN CAST(100000000 AS DECIMAL(24,2)) END AS total_commitment,
+                CASE WHEN doc_type = 'capital_account_statement' THEN CAST(100000000 - total AS DECIMAL(24,2)) END AS unfunded_commitment
+            FROM fund_rows""",
         "fund_docs": """
             SELECT fund_id, document, k, doc_type, CASE WHEN k % 31 = 0 THEN seq + 1 ELSE seq END AS sequence_number, doc_date, CASE WHEN k % 37 = 0 THEN NULL ELSE amount END AS amount, CASE WHEN k % 29 = 0 THEN CAST(total + 1000 AS DECIMAL(24,2)) ELSE total END AS cumulative,
-                CAST(total - amount AS DECIMAL(24,2)) AS beginning, CASE WHEN k % 41 = 0 THEN CAST(total + 500 AS DECIMAL(24,2)) ELSE total END AS ending, CAST(1 - CAST(k % 10 AS DOUBLE) / 20 AS DOUBLE) AS self_reported
-            FROM fund_rows""",
+                CAST(total - amount AS DECIMAL(24,2)) AS beginning, CASE WHEN k % 41 = 0 THEN CAST(total + 500 AS DECIMAL(24,2)) ELSE total END AS ending, CAST(1 - CAST(k % 10 AS DOUBLE) / 20 AS DOUBLE) AS self_reported,
+                CASE WHEN k % 37 = 0 THEN NULL ELSE contributions END AS contributions, distributions, management_fees, realized, unrealized, remaining_commitment, total_commitment, unfunded_commitment
+            FROM fund_parts""",
         "registry_old": f"SELECT doc_id AS file_path, {q['sha']} AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents WHERE doc_id % 17 <> 0",
         "registry_new": f"SELECT doc_id AS file_path, CASE WHEN doc_id % 11 = 0 THEN concat({q['sha']}, '-2') ELSE {q['sha']} END AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents",
         "filings": "SELECT o_custkey AS cik, o_orderkey AS accession, CAST(o_orderdate AS DATE) AS filing_date FROM orders",

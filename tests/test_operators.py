@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallystone.functions import identifiers
 from tallystone.functions.money import to_usd, tolerant_decimal
-from tallystone.operators import fx, ownership, quality, registry, wealth
+from tallystone.operators import documents, fx, ownership, quality, registry, wealth
 from tallystone.sources import feeds
 from tallystone.sources.model import Model
 from tallystone.streaming.arrivals import ingest
@@ -87,6 +87,39 @@ def test_every_order_is_a_fund_document_and_a_filing(spark):
         assert made.count() == 1500 and orders.exceptAll(made).count() == 0
 
 
+def _paper(document, kind, number, day, **values):
+    money = ("amount", "cumulative", "beginning", "contributions", "distributions", "management_fees", "realized", "unrealized", "ending", "remaining_commitment", "total_commitment", "unfunded_commitment")
+    return (values.pop("fund", 1), document, kind, number, dt.date(2026, 1, day), 0.9, *(Decimal(values[m]) if m in values else None for m in money))
+
+
+_PAPER = "fund_id long, document string, doc_type string, sequence_number int, doc_date date, self_reported double, " + ", ".join(
+    f"{m} decimal(24,2)" for m in ("amount", "cumulative", "beginning", "contributions", "distributions", "management_fees", "realized", "unrealized", "ending", "remaining_commitment", "total_commitment", "unfunded_commitment")
+)
+
+
+def test_statements_need_all_their_parts(spark):
+    parts = dict(beginning=100, contributions=50, distributions=20, management_fees=3, realized=4, unrealized=-1, ending=130)  # noqa: C408
+    told = "capital_account_statement"
+    rows = [_paper("whole", told, 1, 1, amount=30, **parts), _paper("wrong", told, 2, 2, amount=30, **(parts | {"management_fees": 5})), _paper("short", told, 3, 3, amount=30, **{k: v for k, v in parts.items() if k != "realized"})]
+    rows += [_paper("call", "capital_call", 1, 1, amount=5, cumulative=5, remaining_commitment=95), _paper("bare", "capital_call", 2, 2, amount=5, cumulative=10), _paper("paid", "distribution", 1, 1, amount=5, cumulative=5)]
+    got = {r["document"]: r["self_consistent"] for r in documents.judged(spark.createDataFrame(rows, _PAPER)).collect()}
+    assert got == {"whole": True, "wrong": False, "short": False, "call": True, "bare": False, "paid": True}
+
+
+def test_commitments_come_from_statements_or_calls(spark):
+    rows = [_paper("c1", "capital_call", 1, 1, amount=5, cumulative=5, remaining_commitment=95), _paper("s1", "capital_account_statement", 1, 9, amount=1, ending=7, total_commitment=120, unfunded_commitment=115)]
+    rows += [_paper("c2", "capital_call", 1, 1, fund=2, amount=5, cumulative=5, remaining_commitment=95), _paper("c3", "capital_call", 2, 2, fund=2, amount=10, cumulative=15, remaining_commitment=85)]
+    known = spark.createDataFrame(rows, _PAPER).withColumn("routing", F.lit("auto_accept")).withColumn("confirmed_amount", F.col("amount"))
+    got = {r["fund_id"]: (r["as_of"], r["total_commitment"], r["unfunded_commitment"]) for r in documents.rolled_up(known).collect()}
+    assert got == {1: (dt.date(2026, 1, 9), Decimal(120), Decimal(115)), 2: (None, Decimal(100), Decimal(85))}
+
+
+def test_evaluation_scores_all_fields_and_counts_lost_documents(spark):
+    truth = spark.createDataFrame([("a", "t", Decimal(1), 1, "x"), ("b", "t", Decimal(2), 2, "y"), ("c", "t", Decimal(3), 3, None)], "document string, doc_type string, amount decimal(24,2), number int, purpose string")
+    docs = spark.createDataFrame([("a", Decimal(1), 1, "x"), ("b", Decimal(2), 9, None)], "document string, amount decimal(24,2), number int, purpose string")
+    assert [tuple(r) for r in documents.evaluated(docs, truth).collect()] == [("t", 3, 2, 1, 0.666667)]
+
+
 def test_truncated_files_fail_as_rows(spark):
     files = spark.createDataFrame([("a", "<Document"), ("b", ""), ("c", None)], "file_path string, text string")
     assert {r["status"] for r in feeds.parse_holdings_xml(files).collect()} == {"FAILED"}
