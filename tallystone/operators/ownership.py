@@ -3,6 +3,8 @@
 Graphs are walked a level at a time, each level one job; edges to accounts, which own nothing, are met once.
 """
 
+import tempfile
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -10,6 +12,17 @@ from pyspark.sql.window import Window
 PART = "decimal(30,24)"
 
 
+def _kept(rows: DataFrame) -> DataFrame:
+    """A level's rows in the checkpoint folder, which all executors share."""
+    spark = rows.sparkSession
+    if not spark.sparkContext.getCheckpointDir():
+        found = spark.conf.get("spark.checkpoint.dir", None)
+        if not found and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(found or f"file://{tempfile.mkdtemp(prefix='tallystone-')}")
+    return rows.checkpoint()
+
+
 def effective(edges: DataFrame, roots: str = "C", leaves: str = "A") -> DataFrame:
     """(account, client, ownership_pct): products along paths of any length, summed over paths. Edges: owner_id, owned_id, pct.
 
@@ -19,9 +32,9 @@ def effective(edges: DataFrame, roots: str = "C", leaves: str = "A") -> DataFram
         raise ValueError("the ownership graph has a cycle")
     inner, last = edges.where(~F.col("owned_id").startswith(leaves)), edges.where(F.col("owned_id").startswith(leaves))
     own = edges.where(F.col("owner_id").startswith(roots)).select(F.col("owner_id").alias("client"), F.col("owner_id").alias("node")).distinct()
-    open_ = every = own.withColumn("part", F.lit(1).cast(PART)).localCheckpoint()
+    open_ = every = _kept(own.withColumn("part", F.lit(1).cast(PART)))
     while not open_.isEmpty():
-        open_ = _step(open_, inner).groupBy("client", "node").agg(F.sum("part").cast(PART).alias("part")).localCheckpoint()
+        open_ = _kept(_step(open_, inner).groupBy("client", "node").agg(F.sum("part").cast(PART).alias("part")))
         every = every.unionByName(open_)
     return _step(every, last).groupBy(F.col("node").alias("account"), "client").agg(F.sum("part").cast("decimal(9,6)").alias("ownership_pct"))
 
@@ -33,15 +46,15 @@ def _step(paths: DataFrame, edges: DataFrame) -> DataFrame:
 
 def on_cycles(edges: DataFrame) -> DataFrame:
     """(node): those that own themselves, directly or through others."""
-    left = edges.select("owner_id", "owned_id").distinct().localCheckpoint()
+    left = _kept(edges.select("owner_id", "owned_id").distinct())
     n = None
     while n != (n := left.count()):  # edges from a node without owners, or to one that owns nothing, are on no cycle
         owners, owned = left.select(F.col("owner_id").alias("owned_id")).distinct(), left.select(F.col("owned_id").alias("owner_id")).distinct()
-        left = left.join(owners, "owned_id", "left_semi").join(owned, "owner_id", "left_semi").select("owner_id", "owned_id").localCheckpoint()
+        left = _kept(left.join(owners, "owned_id", "left_semi").join(owned, "owner_id", "left_semi").select("owner_id", "owned_id"))
     reach, n = left, None
     while n != (n := reach.count()):
         further = reach.withColumnRenamed("owned_id", "via").join(left.withColumnRenamed("owner_id", "via"), "via").select("owner_id", "owned_id")
-        reach = reach.unionByName(further).distinct().localCheckpoint()
+        reach = _kept(reach.unionByName(further).distinct())
     return reach.where("owner_id = owned_id").select(F.col("owner_id").alias("node"))
 
 
