@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,31 +28,96 @@ HASHES = "part int, chunk int, hashes binary"
 
 
 class Chunks:
-    """Deals ids to chunks in the order of the ids: floor(n * an estimate of the ids' distribution function)."""
+    """Deals ids to chunks in the order of the ids: floor(n * an estimate of the share of bytes up to an id).
 
-    def __init__(self, n: int, knots: list[int]):
-        self.n, self.knots = n, np.array(sorted(set(knots)) or [0], np.int64)
+    Null ids come after all others, dealt in turn to `nulls` chunks of their own, numbered from n.
+    """
+
+    def __init__(self, n: int, knots: np.ndarray, upto: np.ndarray, nulls: int):
+        self.n, self.knots, self.upto, self.nulls = n, knots, upto, nulls
 
     @property
     def parts(self) -> int:
         """Ranges of the hash space: each holds the hashes of a few chunks, so that there are fewer, larger packets."""
-        return max(12, -(-self.n // 2))
+        return max(12, -(-(self.n + self.nulls) // 2))
 
     def of(self, ids: np.ndarray) -> np.ndarray:
-        k = self.knots
-        i = np.clip(np.searchsorted(k, ids, "right") - 1, 0, max(len(k) - 2, 0))
-        low, high = k[i].astype(np.float64), k[np.minimum(i + 1, len(k) - 1)].astype(np.float64)
+        i = place(self.knots, ids)
+        low, high = self.knots[i].astype(np.float64), self.knots[np.minimum(i + 1, len(self.knots) - 1)].astype(np.float64)
         inside = np.clip((ids - low) / np.maximum(high - low, 1.0), 0.0, 1.0)
-        place = (i + inside) / max(len(k) - 1, 1)
-        return np.minimum((place * self.n).astype(np.int32), self.n - 1)
+        share = (self.upto[i] + inside * (self.upto[np.minimum(i + 1, len(self.upto) - 1)] - self.upto[i])) / max(self.upto[-1], 1.0)
+        dealt = np.minimum((share * self.n).astype(np.int32), self.n - 1)
+        null = np.flatnonzero(ids == LAST)
+        dealt[null] = self.n + np.arange(len(null)) % max(self.nulls, 1)
+        return dealt
+
+
+def place(knots: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """The interval of each id: knots[i] <= id < knots[i + 1], ids beyond the ends in the first or last."""
+    return np.clip(np.searchsorted(knots, ids, "right") - 1, 0, max(len(knots) - 2, 0))
+
+
+def quoted(name: str) -> str:
+    """A column's name that may hold dots, as DataFrame functions want it."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def id_of(docs: DataFrame, id_col: str) -> Column:
+    return docs[quoted(id_col)].cast("long")
+
+
+def plan(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, knots: int = 512, rounds: int = 4) -> Chunks:
+    """Chunks of nearly equal bytes. One pass gives the bytes and quantiles of the ids, another the bytes between
+    quantiles, so that long texts side by side make short ranges; intervals that hold more than a chunk are cut further."""
+    size = F.octet_length(docs[quoted(text_col)].cast("binary")) + 64
+    slim = docs.select(id_of(docs, id_col).alias("i"), F.coalesce(size, F.lit(64)).cast("long").alias("w"))
+    known = slim.where(F.col("i").isNotNull())
+    at = F.percentile_approx("i", [i / knots for i in range(knots + 1)], 20 * knots)
+    got = slim.agg(F.coalesce(F.sum(F.when(F.col("i").isNotNull(), F.col("w"))), F.lit(0)).alias("size"), F.coalesce(F.sum(F.when(F.col("i").isNull(), F.col("w"))), F.lit(0)).alias("null"), at.alias("at")).first()
+    n, nulls = max(1, -(-got["size"] // chunk_bytes)), -(-got["null"] // chunk_bytes)
+    if n == 1:
+        return Chunks(1, np.zeros(1, np.int64), np.zeros(2), nulls)
+    ends = np.array(sorted(set(got["at"])), np.int64)
+    own = _bytes_between(known, ends)
+    for _ in range(rounds):
+        heavy = np.flatnonzero((own > chunk_bytes) & (np.diff(ends) > 1)) if len(ends) > 1 else []
+        if not len(heavy):
+            break
+        ends = np.union1d(ends, _cuts(known, ends, heavy))
+        own = _bytes_between(known, ends)
+    return Chunks(n, ends, np.concatenate(([0.0], np.cumsum(own, dtype=np.float64))), nulls)
 
 
-def plan(docs: DataFrame, id_col: str, text_col: str, chunk_bytes: int, knots: int = 512) -> Chunks:
-    """One pass over the table: its bytes give the number of chunks, quantiles of the ids (a bounded number) their ends."""
-    size = F.sum(F.octet_length(F.col(text_col).cast("binary")) + 64)
-    at = F.percentile_approx(F.col(id_col).cast("long"), [i / knots for i in range(knots + 1)], 20 * knots)
-    got = docs.agg(size.alias("size"), at.alias("at")).first()
-    return Chunks(max(1, -(-(got["size"] or 0) // chunk_bytes)), got["at"] or [0])
+def _bytes_between(known: DataFrame, ends: np.ndarray) -> np.ndarray:
+    """The bytes of each interval between neighbouring ends."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(max(len(ends) - 1, 1))
+        for batch in batches:
+            total += np.bincount(place(ends, batch.column("i").to_numpy()), batch.column("w").to_numpy().astype(float), len(total))
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(total[some].astype(np.int64))], names=["at", "w"])
+
+    own = np.zeros(max(len(ends) - 1, 1))
+    for r in known.mapInArrow(run, "at int, w long").groupBy("at").agg(F.sum("w").alias("w")).collect():  # a row an interval
+        own[r["at"]] = r["w"]
+    return own
+
+
+def _cuts(known: DataFrame, ends: np.ndarray, heavy: np.ndarray, parts: int = 64) -> np.ndarray:
+    """Quantiles of the ids inside heavy intervals."""
+    wanted = np.zeros(max(len(ends) - 1, 1), bool)
+    wanted[heavy] = True
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("i").to_numpy()
+            at = place(ends, ids)
+            keep = wanted[at]
+            yield pa.RecordBatch.from_arrays([pa.array(at[keep].astype(np.int32)), pa.array(ids[keep])], names=["at", "i"])
+
+    found = known.mapInArrow(run, "at int, i long").groupBy("at").agg(F.percentile_approx("i", [i / parts for i in range(1, parts)], 20 * parts).alias("cuts")).collect()
+    return np.array(sorted({c for r in found for c in r["cuts"]}), np.int64)
 
 
 def ids_of(column: pa.ChunkedArray | pa.Array) -> np.ndarray:

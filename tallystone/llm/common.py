@@ -6,6 +6,7 @@ import contextlib
 import ctypes
 import tempfile
 import uuid
+import weakref
 from collections.abc import Callable
 
 import numpy as np
@@ -37,12 +38,36 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
         spark.conf.set(name, str(rows))
 
 
+def _files(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write to the shared folder and read again: cuts the lineage, survives lost executors."""
+    """Write to the shared folder and read again: cuts the lineage, survives lost executors. The folder goes when the
+    driver's JVM ends, or with `discard`."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tallystone-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    at, files = _files(spark, path)
+    files.deleteOnExit(at)
+    again = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[id(again)] = (weakref.ref(again, lambda _, key=id(again): _FOLDERS.pop(key, None)), path)
+    return again
+
+
+_FOLDERS: dict[int, tuple[weakref.ref, str]] = {}
+
+
+def discard(*frames: DataFrame) -> None:
+    """Delete what `materialize` wrote for these frames, which nothing reads any more."""
+    for frame in frames:
+        kept = _FOLDERS.pop(id(frame), None)
+        if kept and kept[0]() is frame:
+            at, files = _files(frame.sparkSession, kept[1])
+            files.delete(at, True)
+            files.cancelDeleteOnExit(at)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

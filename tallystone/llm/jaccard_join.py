@@ -1,116 +1,156 @@
 """N-gram Jaccard join by PartEnum signatures: exact links between shingle sets, and their components.
 
-Sets r and s with Jaccard at least 3/4 differ in at most (|r| + |s|) / 7 shingles. The shingle domain is cut into n1
-partitions by a hash, with n1 above that difference: the sets then agree on whole partitions, and the hash of a
-partition's shingles (with the partition's number and the size band) is a signature (PartEnum with one subset a
-partition; sets of up to 16 shingles enumerate single shingles). Bands are powers of two; a pair across a band's
-border meets under the border's own signatures, which only sets near the border make.
-
-A set r with f filled partitions shares at least f - k signatures with any partner, k its largest difference. So it
-is enough to look at the k + 1 rarest signatures of each set: sets that agree share one of those. All signatures are
-counted over all documents first (packed, one shuffle); most documents then have k + 1 signatures of their own and
-drop out, and a passage or line that very many documents share never makes a pair. A set with f <= k makes signatures
-of its single shingles beside, where f is its size and above k always.
-
-Documents left over are filtered once more by their rarest shingles, counted among themselves. Those that meet in such
-a shingle are compared: first each with one other (the smallest it meets: a star, which joins large groups of copies
-with a pair a document), then again across components, and at last all that meet and are still in different
-components: pair by pair in shingles of up to 100 documents, and above that block by block, with matrix products, so
-that no pair is a row. Comparisons are exact on the sets (48 bits of each shingle's hash).
+Sets r and s with Jaccard at least 3/4 differ in at most (|r| + |s|) / 7 shingles. Sizes are cut into bands that are
+powers of two; a set whose partners may lie above its band signs for the next band too, so that each pair meets in a band.
+A band cuts the shingle domain, by a hash, into groups of three partitions, and a signature is the hash of what a set
+holds in two of a group's three partitions: all subsets of two are enumerated. A shingle in which two sets differ spoils
+two of the three signatures of its group, a second one in the group the third. So k differences spoil at most
+min(2k, k + groups) signatures, and the number of groups (0.65 times the band's largest k, and 3) leaves some over.
+
+Signatures are counted over all documents (packed, one shuffle). Of its f signatures a set shares at least f - spoiled
+with each partner, so two partners share one of the spoiled + 1 rarest of both; others are not looked at, nor are those
+that no other set has. Most documents then have none left and drop out: what they share with others is too little. A set
+with f <= spoiled (a small one, whose shingles fall together) looks at all its signatures and signs each shingle alone
+beside. Candidates are the documents that meet in a signature that both look at; nothing else makes pairs.
+
+Candidates with equal sets are linked at once, one for all. Then each candidate is compared with one other (a star: the
+smallest it meets), which joins large groups of near copies with a pair a document; then again across components, and at
+last all that meet and are still in different components: pair by pair in signatures of up to 100 documents, and above
+that block by block, with matrix products, so that no pair is a row. Comparisons are exact on the sets (48 bits of each
+shingle's hash). Joins on a signature or a set send the heaviest keys to all tasks (`lookup`), so that one which a third
+of all documents share stays where its rows are.
 
 Defined results: a null or empty text has an empty set and links with nothing; rows that share a doc_id are one
-document, whose links are pooled; a null doc_id links with nothing and its component_id is null; an empty table gives
-an empty result; other columns don't take part.
+document, whose links are pooled; a null doc_id links with nothing and its component_id is null; ids must be integers,
+or text that reads as one (an error else); an empty table gives an empty result; other columns don't take part.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm import blocks
-from tallystone.llm.common import materialize, mix64
+from tallystone.llm.common import discard, lookup, materialize, mix64
 from tallystone.llm.words import BASE, hashes_of, runs, split, windows
 
 WIDTH, SHARE = 5, (3, 4)
 CHUNK_BYTES = 4 << 20
-SMALL = 16
+#: Groups of three partitions for each 20 differences of a band, and beside.
+GROUPS_OF_20, GROUPS_MORE = 13, 3
 #: Keys that more documents share are compared blockwise; documents of a block; columns of a matrix.
 HOT, BLOCK, COLUMNS = 100, 512, 8192
 #: So many ids are sent to all tasks, more are joined by a shuffle.
 FEW = 2_000_000
-NODES = "chunk int, doc_id long, n_shingles long, twin long, signatures array<long>, hashes binary"
+NODES = "chunk int, doc_id long, n_shingles long, twin long, repeated boolean, mark binary, keys array<struct<key:long,far:int>>, hashes binary"
 
 
-def shingle_sets(texts: list[bytes | None], width: int) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of each text, in lower case; short texts are one shingle."""
-    sets = []
+def shingle_sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The sorted distinct shingle hashes of each text, one text after another, and the ends of the texts' sets (from 0).
+    Texts are lower-cased (A-Z); a text with fewer words is one shingle."""
+    flat, sizes = [], []
     for run in runs(texts):
         words, ends = split([t.lower() if t else t for t in run])  # bytes: lowers A-Z only
         single = hashes_of(words)
-        every = windows(single, width)
+        every, parts = windows(single, width), []
         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             if b - a >= width:
-                sets.append(np.unique(every[a : b - width + 1]))
+                part = every[a : b - width + 1]
+                part.sort()
             else:
-                sets.append(windows(single[a:b], b - a) if b > a else every[:0])
-    return sets
+                part = windows(single[a:b], b - a) if b > a else every[:0]
+            parts.append(part)
+        own = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+        made = np.concatenate(parts) if parts else every[:0]
+        new = np.ones(len(made), bool)
+        new[1:] = (made[1:] != made[:-1]) | (own[1:] != own[:-1])
+        flat.append(made[new])
+        sizes.append(np.bincount(own[new], minlength=len(parts)))
+    return np.concatenate(flat), np.concatenate(([0], np.cumsum(np.concatenate(sizes)))).astype(np.int64)
 
 
-def _signed(hashes: np.ndarray, tag: int, n1: int) -> np.ndarray:
-    """One signature for each partition that holds a shingle."""
-    with np.errstate(over="ignore"):
-        seeded = mix64(hashes + np.uint64(tag * 2 + 1) * BASE)
-        if not n1:
-            return seeded
-        part = ((seeded >> np.uint64(32)) * np.uint64(n1) >> np.uint64(32)).astype(np.int64)
-        order = np.argsort(part, kind="stable")
-        part = part[order]
-        begin = np.flatnonzero(np.concatenate(([True], part[1:] != part[:-1])))
-        total = np.add.reduceat(mix64(hashes[order]), begin)
-        return np.unique(mix64(total + mix64(part[begin].astype(np.uint64) + np.uint64(tag) * BASE)))
+def _band(size: np.ndarray) -> np.ndarray:
+    """The power of two at or above each size."""
+    return np.frexp((size - 1).astype(np.float64))[1].astype(np.int64)
 
 
-def _most(total: int, share: tuple[int, int]) -> int:
+def _most(total: np.ndarray, share: tuple[int, int]) -> np.ndarray:
     """The largest difference of two sets with `total` elements together that are similar enough."""
     return total * (share[1] - share[0]) // (share[1] + share[0])
 
 
-def signatures(hashes: np.ndarray, share: tuple[int, int] = SHARE) -> list[tuple[np.ndarray, int]]:
-    """(signatures, how many of the rarest are to be indexed) for the set's own band and the borders near it."""
-    size, (p, q) = len(hashes), share
-    if not size:
-        return []
-    band = (size - 1).bit_length()
-    top, out = 1 << band, []
-    largest = size * q // p
-    tries = [(4 * band, 2 * top, min(top, largest))]
-    if size * q >= p * top and largest > top:  # near the upper border: partners above it
-        tries.append((4 * band + 1, top + top * q // p, largest))
-    if band and size * p <= q * (top >> 1):  # near the lower border: partners below it
-        tries.append((4 * (band - 1) + 1, (top >> 1) + (top >> 1) * q // p, top >> 1))
-    for tag, total, partner in tries:
-        most = _most(size + partner, share)
-        n1 = 0 if top <= SMALL or total <= 2 * SMALL * 2 else _most(total, share) * 6 // 5 + 3
-        made = _signed(hashes, tag, n1)
-        out.append((made, most + 1))
-        if len(made) <= most:
-            out[-1] = (made, len(made))
-            out.append((_signed(hashes, tag + 2, 0), most + 1))
-    return out
-
-
-def _of_chunk(table: pa.Table, id_col: str, text_col: str, width: int):
-    """Ids, sets, and for each row the first row with the same set (rows in order of ids)."""
-    ids = blocks.ids_of(table.column(id_col))
-    sets = shingle_sets(blocks.texts_of(table.column(text_col)), width)
-    twin, known = np.arange(len(ids)), {}
+def signatures(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, share: tuple[int, int] = SHARE) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, int]]:
+    """(row of each signature, signatures, for each row how many of the rarest are to be looked at, how many of them one
+    difference spoils at most), for the rows' own bands, the next ones, and single shingles of sets that need them."""
+    (p, q), every = share, np.diff(ends)
+    rows = rows[every[rows] > 0]
+    top = np.left_shift(1, _band(every[rows]))
+    for step in (0, 1):
+        signing = rows if not step else rows[every[rows] * q // p > top]
+        if not len(signing):
+            continue
+        size = every[signing]
+        band = _band(size) + step
+        most = _most(size + np.minimum(1 << band, size * q // p), share)
+        groups = _most(2 << band, share) * GROUPS_OF_20 // 20 + GROUPS_MORE
+        parts = 3 * groups
+        base = np.cumsum(parts) - parts
+        own = np.repeat(np.arange(len(signing)), size)
+        held = flat[np.arange(len(own)) + np.repeat(ends[signing] - (np.cumsum(size) - size), size)]
+        tag = band.astype(np.uint64)
+        with np.errstate(over="ignore"):
+            place = ((mix64(held + (tag * np.uint64(4) + np.uint64(1))[own] * BASE) >> np.uint64(32)) * parts.astype(np.uint64)[own]) >> np.uint64(32)
+            slot = base[own] + place.astype(np.int64)
+            value, total = mix64(held), int(parts.sum())
+            low = np.bincount(slot, (value & np.uint64(0xFFFFFFFF)).astype(np.float64), total).astype(np.uint64)
+            held_in = (low + (np.bincount(slot, (value >> np.uint64(32)).astype(np.float64), total).astype(np.uint64) << np.uint64(32))).reshape(-1, 3)
+            filled = (np.bincount(slot, minlength=total) > 0).reshape(-1, 3)
+            of = np.repeat(np.arange(len(signing)), groups)
+            number = (np.arange(len(of)) - (base // 3)[of]).astype(np.uint64) * np.uint64(4) + (tag[of] << np.uint64(48))
+            made, some = np.empty(held_in.shape, np.uint64), np.empty(held_in.shape, bool)
+            for left_out in range(3):
+                a, b = (left_out + 1) % 3, (left_out + 2) % 3
+                made[:, left_out] = mix64(held_in[:, a] + mix64(held_in[:, b] + mix64(number + np.uint64(left_out))))
+                some[:, left_out] = filled[:, a] | filled[:, b]
+        row = np.repeat(of, 3)[some.reshape(-1)]
+        count = np.bincount(row, minlength=len(signing))
+        spoiled = np.minimum(2 * most, most + groups)
+        look = np.zeros(len(every), np.int64)
+        look[signing] = np.minimum(spoiled + 1, count)
+        yield signing[row], made.reshape(-1)[some.reshape(-1)], look, 2
+        weak = count <= spoiled
+        if weak.any():
+            alone = weak[own]
+            look = np.zeros(len(every), np.int64)
+            look[signing] = np.where(weak, most + 1, 0)
+            with np.errstate(over="ignore"):
+                yield signing[own[alone]], mix64(held[alone] + (tag * np.uint64(4) + np.uint64(3))[own[alone]] * BASE), look, 1
+
+
+def _of_chunk(table: pa.Table, width: int):
+    """Ids, sets and their ends, a mark of each set (equal sets have equal marks), the first row with the same set (rows
+    in order of ids), and whether the row's id is there more than once."""
+    ids = blocks.ids_of(table.column("doc_id"))
+    flat, ends = shingle_sets(blocks.texts_of(table.column("text")), width)
+    size = np.diff(ends)
+    marks = np.zeros((len(ids), 3), np.uint64)
+    some = np.flatnonzero(size)
+    if len(some):
+        with np.errstate(over="ignore"):
+            marks[some, 0] = np.add.reduceat(mix64(flat + BASE), ends[some])
+            marks[some, 1] = np.add.reduceat(mix64(flat ^ BASE), ends[some])
+        marks[:, 2] = size
+    twin, known, seen, repeated = np.arange(len(ids)), {}, {}, np.zeros(len(ids), bool)
     for i in np.argsort(ids, kind="stable").tolist():
-        if len(sets[i]) and ids[i] != blocks.LAST:
-            twin[i] = known.setdefault(sets[i].tobytes(), i)
-    return ids, sets, twin
+        if size[i] and ids[i] != blocks.LAST:
+            twin[i] = known.setdefault(marks[i].tobytes(), i)
+        if (first := seen.setdefault(int(ids[i]), i)) != i:
+            repeated[[first, i]] = True
+    return ids, flat, ends, marks, twin, repeated
 
 
 def _count(hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -124,42 +164,66 @@ def _count(hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return chunk[once], hashes[once], rows[once].astype(np.uint32)
 
 
-def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> tuple[DataFrame, blocks.Chunks]:
+def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature, least difference from any partner) of the signatures to look at that others have too, by rows.
+    known: signatures of several documents, sorted, with their counts."""
+    out = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
+    for row, made, look, spoils in signatures(flat, ends, rows, share) if len(known) else ():
+        place = np.minimum(np.searchsorted(known, made), len(known) - 1)
+        shared = known[place] == made
+        alone = np.bincount(row[~shared], minlength=len(look))
+        more = look - alone
+        chosen = np.flatnonzero(shared & (more[row] > 0))
+        at, key, count = row[chosen], made[chosen], counts[place[chosen]]
+        order = np.lexsort((key, count, at))
+        at, key = at[order], key[order]
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1]))) if len(at) else at
+        rank = np.arange(len(at)) - np.repeat(first, np.diff(np.append(first, len(at))))
+        keep = rank < more[at]
+        out.append((at[keep], key[keep], -(-alone // spoils)[at[keep]]))
+    at, key, far = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.argsort(at, kind="stable")
+    return at[order], key[order], far[order]
+
+
+def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> DataFrame:
     """A row for each document: its set's size, the smallest document of its chunk with the same set, and, where it
-    may link with others, the signatures to look at and its set."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
+    may link with others, the signatures to look at, the set and its mark."""
+    slim = docs.select(blocks.id_of(docs, id_col).alias("doc_id"), docs[blocks.quoted(text_col)].alias("text"))
     chunks = blocks.plan(slim, "doc_id", "text", chunk_bytes)
 
+    def signing(ids: np.ndarray, twin: np.ndarray) -> np.ndarray:
+        return np.flatnonzero((twin == np.arange(len(ids))) & (ids != blocks.LAST))
+
     def send(table: pa.Table) -> np.ndarray:
-        ids, sets, twin = _of_chunk(table, "doc_id", "text", width)
-        made = [s for i, x in enumerate(sets) if twin[i] == i and ids[i] != blocks.LAST for s, _ in signatures(x, share)]
-        return np.sort(np.concatenate(made)) if made else np.empty(0, np.uint64)
+        ids, flat, ends, _, twin, _ = _of_chunk(table, width)
+        made = [s for _, s, _, _ in signatures(flat, ends, signing(ids, twin), share)]
+        out = np.concatenate(made) if made else np.empty(0, np.uint64)
+        out.sort()
+        return out
 
     def finish(chunk: int, table: pa.Table, known: np.ndarray, counts: np.ndarray) -> pa.Table:
-        ids, sets, twin = _of_chunk(table, "doc_id", "text", width)
-        looked, held = [], []
-        for i, own in enumerate(sets):
-            chosen = []
-            if twin[i] == i and ids[i] != blocks.LAST and len(known):
-                for made, prefix in signatures(own, share):
-                    place = np.minimum(np.searchsorted(known, made), len(known) - 1)
-                    shared = known[place] == made
-                    if (more := prefix - int((~shared).sum())) > 0:
-                        rare = np.lexsort((made[shared], counts[place[shared]]))[:more]
-                        chosen += made[shared][rare].view(np.int64).tolist()
-            looked.append(chosen)
-            held.append(own.astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes() if chosen else None)
+        ids, flat, ends, marks, twin, repeated = _of_chunk(table, width)
+        at, key, far = looked_at(flat, ends, signing(ids, twin), known, counts, share)
+        many = np.bincount(at, minlength=len(ids))
+        held, mark = [None] * len(ids), [None] * len(ids)
+        for i in np.flatnonzero(many).tolist():
+            held[i] = flat[ends[i] : ends[i + 1]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+            mark[i] = marks[i].tobytes()
+        pairs = pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(far.astype(np.int32))], ["key", "far"])
         null = ids == blocks.LAST
         return pa.table({
             "chunk": pa.array(np.full(len(ids), chunk), pa.int32()),
             "doc_id": pa.array(ids, pa.int64(), mask=null),
-            "n_shingles": pa.array([len(s) for s in sets], pa.int64()),
+            "n_shingles": pa.array(np.diff(ends)),
             "twin": pa.array(ids[twin], pa.int64(), mask=null),
-            "signatures": pa.array(looked, pa.list_(pa.int64())),
+            "repeated": pa.array(repeated & ~null),
+            "mark": pa.array(mark, pa.binary()),
+            "keys": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))), pa.int32()), pairs),
             "hashes": pa.array(held, pa.binary()),
         })
 
-    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES), chunks
+    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES)
 
 
 def _full(data: bytes) -> np.ndarray:
@@ -207,66 +271,41 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def rare_shingles(sets: DataFrame, share: tuple[int, int], chunk_bytes: int) -> DataFrame:
-    """(doc_id, n, most, shingles): of documents that may link, those of their rarest shingles that others have too.
-
-    Similar sets of which one has size n share all but n / 4 of its shingles, so they share one of its n / 4 + 1 rarest,
-    counted among these documents alone. A passage in many documents is seldom among those. And a set of size n, of which
-    u shingles are in no other document, can only be similar to sets of at most `most` shingles: those with which n - u
-    shared shingles are enough.
-    """
-    chunks = blocks.plan(sets, "doc_id", "hashes", chunk_bytes)
-
-    def held(table: pa.Table) -> list[np.ndarray]:
-        return [_full(x) for x in table.column("hashes").to_pylist()]
-
-    def finish(chunk: int, table: pa.Table, known: np.ndarray, counts: np.ndarray) -> pa.Table:
-        chosen, n, most = [], [], []
-        p, q = share
-        for own in held(table):
-            shared = np.zeros(len(own), bool)
-            if len(known):
-                place = np.minimum(np.searchsorted(known, own), len(known) - 1)
-                shared = known[place] == own
-            n.append(len(own))
-            most.append(int(shared.sum()) * (p + q) // p - len(own))
-            more = len(own) - -(-p * len(own) // q) + 1 - int((~shared).sum())
-            rare = np.lexsort((own[shared], counts[place[shared]]))[:more] if more > 0 else []
-            chosen.append(own[shared][rare].view(np.int64) if more > 0 else own[:0].view(np.int64))
-        return pa.table({"doc_id": table.column("doc_id"), "n": pa.array(n, pa.int64()), "most": pa.array(most, pa.int64()), "shingles": pa.array(chosen, pa.list_(pa.int64()))})
-
-    def send(table: pa.Table) -> np.ndarray:
-        return np.sort(np.concatenate(held(table)))
-
-    return blocks.exchange(blocks.blocks(sets, "doc_id", chunks), chunks.parts, send, _count, finish, "doc_id long, n long, most long, shingles array<long>").where("size(shingles) > 0")
-
-
 def _meeting(at: DataFrame, roots: DataFrame | None) -> DataFrame:
-    """(key, doc_id, n, most, root) for the keys whose documents are in different components so far."""
+    """(key, doc_id, n, far, root, docs, first) for the keys whose documents are in different components so far: docs are
+    the documents of the key, first its smallest (of the smallest component). at: doc_id, n, key, far."""
     if roots is None:
         placed = at.withColumn("root", F.col("doc_id"))
     else:
         placed = at.join(roots.withColumnRenamed("node", "doc_id").hint("shuffle_merge"), "doc_id", "left").withColumn("root", F.coalesce("root", "doc_id"))
-    placed = placed.select("doc_id", "n", "most", "root", F.explode("shingles").alias("key"))
-    open_ = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    return materialize(placed.join(open_.hint("shuffle_merge"), "key"))
+    placed = materialize(placed.select("doc_id", "n", "root", "key", "far"))
+    by_key = placed.groupBy("key").agg(F.count("*").alias("docs"), F.max("root").alias("high"), F.min(F.struct("root", "doc_id", "n", "far")).alias("first"))
+    open_ = materialize(by_key.where(F.col("first.root") < F.col("high")).drop("high"))
+    found = materialize(lookup(placed, open_, "key", "docs"))
+    discard(placed, open_)
+    return found
+
+
+def _may_link(na, nb, fa, fb, share: tuple[int, int]):
+    """Whether two sets can be similar by their sizes and by the signatures that they share with none."""
+    p, q = share
+    return (F.greatest(na, nb) * p <= F.least(na, nb) * q) & (F.greatest(fa, fb) * (q + p) <= (na + nb) * (q - p))
 
 
-def _stars(meeting: DataFrame) -> DataFrame:
+def _stars(meeting: DataFrame, share: tuple[int, int]) -> DataFrame:
     """For each document one pair: of the documents of other components that lead one of its keys (the smallest there),
     with the one that leads most of them."""
-    first = meeting.groupBy("key").agg(F.min(F.struct("root", "doc_id", "n", "most")).alias("first"))
-    pairs = meeting.join(first.hint("shuffle_merge"), "key").where((F.col("root") != F.col("first.root")) & (F.col("n") <= F.col("first.most")) & (F.col("first.n") <= F.col("most")))
-    often = pairs.groupBy(F.col("doc_id").alias("d"), F.col("first.doc_id").alias("e")).count()
+    fits = (F.col("root") != F.col("first.root")) & _may_link(F.col("n"), F.col("first.n"), F.col("far"), F.col("first.far"), share)
+    often = meeting.where(fits).groupBy(F.col("doc_id").alias("d"), F.col("first.doc_id").alias("e")).count()
     return often.groupBy("d").agg(F.max_by("e", F.struct("count", -F.col("e"))).alias("e")).select(F.least("d", "e").alias("a"), F.greatest("d", "e").alias("b")).distinct()
 
 
-def _all_pairs(meeting: DataFrame) -> DataFrame:
-    """All pairs of documents of different components that meet in a key and have enough in common by their sizes."""
-    one = meeting.select("key", F.col("doc_id").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("most").alias("ma"))
-    two = meeting.select(F.col("key").alias("key2"), F.col("doc_id").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("most").alias("mb"))
-    fits = F.expr("key = key2 and a < b and ra <> rb and na <= mb and nb <= ma")
-    return one.join(two.hint("shuffle_merge"), fits).select("a", "b").distinct()
+def _all_pairs(meeting: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """All pairs of documents of different components that meet in a key of a bounded number of documents."""
+    one = meeting.select("key", *(F.col(c).alias(f"{c}_a") for c in ("doc_id", "root", "n", "far")))
+    two = meeting.select("key", *(F.col(c).alias(f"{c}_b") for c in ("doc_id", "root", "n", "far")))
+    fits = F.expr("doc_id_a < doc_id_b and root_a <> root_b") & _may_link(F.col("n_a"), F.col("n_b"), F.col("far_a"), F.col("far_b"), share)
+    return one.join(two.hint("shuffle_merge"), "key").where(fits).select(F.col("doc_id_a").alias("a"), F.col("doc_id_b").alias("b")).distinct()
 
 
 def _same(tables: pa.Table, here: np.ndarray, there: np.ndarray, share: tuple[int, int]) -> list[tuple[int, int]]:
@@ -333,24 +372,29 @@ def _blockwise(meeting: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: tuple[int, int] = SHARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(chunk, doc_id, n_shingles, component_id) for each row of docs."""
-    held, _ = nodes(docs, id_col, text_col, width, share, chunk_bytes)
-    held = materialize(held)
-    sets = held.where("hashes is not null").select("doc_id", "hashes")
-    at = materialize(rare_shingles(sets, share, chunk_bytes))
-    few = at.withColumn("shingles", F.filter("shingles", lambda x: F.pmod(F.shiftright(x, 16), F.lit(8)) == 0))
-    links = roots = None
-    for among in (few, at):
-        found = materialize(_similar(_stars(_meeting(among, roots)), sets, share))
-        if links is None or found.limit(1).count():
-            links = found if links is None else links.unionByName(found)
+    held = materialize(nodes(docs, id_col, text_col, width, share, chunk_bytes))
+    meets = held.where("mark is not null")
+    equal = materialize(meets.groupBy("mark").agg(F.min("doc_id").alias("least"), F.count("*").alias("docs")))
+    copies = materialize(lookup(meets.select("mark", "doc_id"), equal, "mark", "docs").where("least < doc_id").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
+    ids_of_one = held.where("repeated and twin <> doc_id").select(F.col("twin").alias("a"), F.col("doc_id").alias("b"))
+    links = copies.unionByName(ids_of_one)
+    sets = meets.select("doc_id", "hashes")
+    alone = equal.select("mark", F.col("least").alias("doc_id"))
+    at = materialize(meets.join(alone.hint("shuffle_merge"), ["mark", "doc_id"], "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "keys"))
+    each = at.select("doc_id", "n", F.explode("keys").alias("k")).select("doc_id", "n", "k.key", "k.far")
+    roots, again = None, each.where(F.pmod("key", F.lit(8)) == 0)
+    for then in (each, None):
+        meeting = _meeting(again, roots)
+        found = materialize(_similar(_stars(meeting, share), sets, share))
+        if found.limit(1).count():
+            links = links.unionByName(found)
             roots = components(links)
-    meeting = _meeting(at, roots)
-    sizes = materialize(meeting.groupBy("key").agg(F.count("*").alias("docs")))
-    cold = meeting.join(sizes.where(F.col("docs") <= HOT).hint("shuffle_merge"), "key", "left_semi")
-    rest = [_similar(_all_pairs(cold), sets, share)]
-    if sizes.where(F.col("docs") > HOT).limit(1).count():
-        hot = materialize(meeting.join(sizes.where(F.col("docs") > HOT).hint("shuffle_merge"), "key", "left_semi"))
-        rest.append(_blockwise(hot, sets, share))
+        # keys whose documents are in one component stay so
+        again = then if then is not None else meeting.select("doc_id", "n", "key", "far")
+    meeting = _meeting(again, roots)
+    rest = [_similar(_all_pairs(meeting.where(F.col("docs") <= HOT), share), sets, share)]
+    if meeting.where(F.col("docs") > HOT).limit(1).count():
+        rest.append(_blockwise(meeting.where(F.col("docs") > HOT).select("key", "doc_id", "root"), sets, share))
     for more in rest:
         more = materialize(more)
         if more.limit(1).count():

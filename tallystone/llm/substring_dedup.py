@@ -46,10 +46,11 @@ def _starts(table: pa.Table, id_col: str, text_col: str, width: int):
     return np.concatenate(ends), np.concatenate(place), np.concatenate(hashes), np.concatenate(row), blocks.ids_of(table.column(id_col))
 
 
-def _first_later(answered: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    hashes, chunk = answered
-    later = np.zeros(len(hashes), bool)
-    later[1:] = hashes[1:] == hashes[:-1]
+def _first_later(hashes: np.ndarray, chunk: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks after the first that has a hash; those from n on hold null ids, which are all alike."""
+    begin = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+    first = np.repeat(chunk[begin], np.diff(np.append(begin, len(hashes))))
+    later = (chunk > first) & (first < n)
     return chunk[later], hashes[later], np.ones(int(later.sum()), np.uint32)
 
 
@@ -94,4 +95,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table
 
     rows = blocks.blocks(docs, id_col, chunks)
-    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later((h, c)), finish, schema)
+    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later(h, c, chunks.n), finish, schema)

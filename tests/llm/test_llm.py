@@ -73,6 +73,48 @@ def test_jaccard_join_near_threshold(spark):
     assert got == linked(rows)
 
 
+def test_similar_sets_look_at_a_common_signature():
+    """Pairs at the least similarity, all sizes to 60 and some large: both look at one signature, in the presence of others."""
+    rng = np.random.default_rng(8)
+    sets, pairs = [], []
+    for n in [*range(1, 61), 100, 127, 128, 129, 250, 257, 700, 1024]:
+        for _ in range(6):
+            own = rng.integers(0, 1 << 63, n).astype(np.uint64)
+            gone = int(rng.integers(0, n // 4 + 1))
+            new = int((n - gone) * 4 // 3 - n) if rng.integers(0, 2) else 0
+            other = np.concatenate((own[gone:], rng.integers(0, 1 << 63, max(new, 0)).astype(np.uint64)))
+            common = len(np.intersect1d(own, other))
+            if 4 * common >= 3 * (len(np.union1d(own, other))):
+                pairs.append((len(sets), len(sets) + 1))
+                sets += [np.unique(own), np.unique(other)]
+    ends = np.concatenate(([0], np.cumsum([len(x) for x in sets])))
+    flat = np.concatenate(sets)
+    made = np.sort(np.concatenate([m for _, m, _, _ in jaccard_join.signatures(flat, ends, np.arange(len(sets)))]))
+    known, counts = np.unique(made, return_counts=True)
+    at, key, far = jaccard_join.looked_at(flat, ends, np.arange(len(sets)), known[counts > 1], counts[counts > 1], (3, 4))
+    looked = collections.defaultdict(set)
+    for a, k in zip(at.tolist(), key.tolist(), strict=True):
+        looked[a].add(k)
+    assert len(pairs) > 200 and all(looked[a] & looked[b] for a, b in pairs)
+    for a, b in pairs:
+        least = max(far[at == a].max(), far[at == b].max())
+        assert least <= len(np.setxor1d(sets[a], sets[b]))
+
+
+def test_signatures_are_subsets_of_partitions():
+    rng = np.random.default_rng(4)
+    one = np.unique(rng.integers(0, 1 << 63, 200).astype(np.uint64))
+    two = np.sort(np.concatenate((one[1:], rng.integers(0, 1 << 63, 1).astype(np.uint64))))
+    ends = np.array([0, len(one), len(one) + len(two)])
+    got = [[] for _ in range(2)]
+    for row, made, _, spoils in jaccard_join.signatures(np.concatenate((one, two)), ends, np.arange(2)):
+        assert spoils == 2
+        for i in range(2):
+            got[i].append(set(made[row == i].tolist()))
+    for a, b in zip(*got, strict=True):  # two differences (one gone, one new) spoil at most two signatures each
+        assert 2 <= len(a - b) <= 4 and len(a & b) >= len(a) - 4
+
+
 def test_jaccard_join_odd_rows(odd):
     got = collections.defaultdict(set)
     for r in jaccard_join.join(odd).collect():
