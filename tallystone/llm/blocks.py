@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.llm.common import claim, release, small_batches
+from tallystone.llm.common import claim, quoted, release, small_batches
 from tallystone.llm.words import KNOWN
 
 LAST = np.iinfo(np.int64).max
@@ -57,11 +57,6 @@ def place(knots: np.ndarray, ids: np.ndarray) -> np.ndarray:
     return np.clip(np.searchsorted(knots, ids, "right") - 1, 0, max(len(knots) - 2, 0))
 
 
-def quoted(name: str) -> str:
-    """A column's name that may hold dots, as DataFrame functions want it."""
-    return f"`{name.replace('`', '``')}`"
-
-
 def id_of(docs: DataFrame, id_col: str) -> Column:
     return docs[quoted(id_col)].cast("long")
 

@@ -10,7 +10,7 @@ Ids equal those of the tokenizers library for byte-level BPE files without norma
 no UTF-8.
 
 Defined results: a null text counts as empty and has no ids; whole texts are encoded, however long; rows may repeat;
-an empty table gives an empty result; other columns pass through, and those with the names of new columns are replaced.
+an empty table gives an empty result; other columns pass through, whatever their names, and those with the names of new columns are replaced.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from tallystone.llm.common import claim, release, small_batches
+from tallystone.llm.common import claim, release, extended
 
 #: The byte-level pre-tokenizer's pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -193,17 +193,16 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
     """
     with open(vocabulary_path, "rb") as f:
         held = docs.sparkSession.sparkContext.broadcast(f.read())
-    docs = docs.drop(*NEW)
     kinds = {"n_tokens": T.LongType(), "ids": T.ArrayType(T.IntegerType()), "ids_sha256": T.StringType(), "decoded_text": T.StringType(), "decoded_sha256": T.StringType()}
-    schema = T.StructType([*docs.schema.fields, *(T.StructField(n, kinds[n]) for n in outputs)])
     wants_text = bool({"decoded_text", "decoded_sha256"} & set(outputs))
+    at = f"c{docs.columns.index(text_col)}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         claim("bpe", _READY.clear)
         v = ready(held.value, cache)
         for batch in batches:
             out = {n: [] for n in outputs}
-            for text in batch.column(text_col):
+            for text in batch.column(at):
                 ids = v.encode(text.as_py() or "")
                 decoded = v.decode(ids) if wants_text else b""
                 if wants_text:
@@ -223,8 +222,7 @@ def encode_decode(docs: DataFrame, vocabulary_path: str, text_col: str = "text",
                     else:
                         out[n].append(hashlib.sha256(decoded).hexdigest())
             made = {"n_tokens": pa.int64(), "ids": pa.list_(pa.int32())}
-            yield pa.RecordBatch.from_arrays([*batch.columns, *(pa.array(out[n], made.get(n, pa.string())) for n in outputs)], names=[*batch.schema.names, *outputs])
+            yield batch, [pa.array(out[n], made.get(n, pa.string())) for n in outputs]
         release()
 
-    small_batches(docs.sparkSession)
-    return docs.mapInArrow(run, schema)
+    return extended(docs, run, [T.StructField(n, kinds[n]) for n in outputs])

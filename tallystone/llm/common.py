@@ -7,12 +7,13 @@ import ctypes
 import tempfile
 import uuid
 import weakref
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: ASCII white space, as the word rule of the operators has it.
 WHITE = " \t\n\v\f\r"
@@ -70,6 +71,35 @@ def discard(*frames: DataFrame) -> None:
             files.cancelDeleteOnExit(at)
 
 
+def quoted(name: str) -> str:
+    """A column's name that may hold dots, as DataFrame functions want it."""
+    return f"`{name.replace('`', '``')}`"
+
+
+def unnamed(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """docs with columns c0, c1, ... and the new name of each, so that no name can clash with a made one."""
+    at = {name: f"c{i}" for i, name in enumerate(docs.columns)}
+    return docs.toDF(*at.values()), at
+
+
+def extended(docs: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[tuple[pa.RecordBatch, list[pa.Array]]]], fields: list[T.StructField], without: tuple[str, ...] = ()) -> DataFrame:
+    """docs with new columns that `run` makes from Arrow batches, whose columns are named as `unnamed` does. Columns of
+    docs with the names of new ones are replaced; `without` are read but not returned."""
+    made = {f.name for f in fields}
+    plain, at = unnamed(docs)
+    kept = [n for n in docs.columns if n not in made and n not in without]
+    wanted = [at[n] for n in docs.columns if n not in made or n in without]
+    rows = plain.select(*wanted)
+    schema = T.StructType([*(rows.schema[at[n]] for n in kept), *(T.StructField(f"made{i}", f.dataType) for i, f in enumerate(fields))])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch, columns in run(batches):
+            yield pa.RecordBatch.from_arrays([*(batch.column(at[n]) for n in kept), *columns], names=schema.names)
+
+    small_batches(docs.sparkSession)
+    return rows.mapInArrow(whole, schema).toDF(*kept, *(f.name for f in fields))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

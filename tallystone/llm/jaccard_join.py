@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm import blocks
-from tallystone.llm.common import discard, lookup, materialize, mix64
+from tallystone.llm.common import discard, lookup, materialize, mix64, quoted, unnamed
 from tallystone.llm.words import BASE, hashes_of, runs, split, windows
 
 WIDTH, SHARE = 5, (3, 4)
@@ -189,7 +189,7 @@ def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.nd
 def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> DataFrame:
     """A row for each document: its set's size, the smallest document of its chunk with the same set, and, where it
     may link with others, the signatures to look at, the set and its mark."""
-    slim = docs.select(blocks.id_of(docs, id_col).alias("doc_id"), docs[blocks.quoted(text_col)].alias("text"))
+    slim = docs.select(blocks.id_of(docs, id_col).alias("doc_id"), docs[quoted(text_col)].alias("text"))
     chunks = blocks.plan(slim, "doc_id", "text", chunk_bytes)
 
     def signing(ids: np.ndarray, twin: np.ndarray) -> np.ndarray:
@@ -411,12 +411,14 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with a null doc_id or without words stay.
     """
     joined = join(docs, id_col, text_col, chunk_bytes=chunk_bytes, **options)
-    gone = joined.where("component_id < doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    again = joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_again"))
+    gone = joined.where("component_id < doc_id").select("doc_id").distinct()
+    again = joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    plain, at = unnamed(docs)
+    own = plain[at[id_col]].cast("long")
     gone = materialize(gone)
     gone = F.broadcast(gone) if gone.count() <= FEW else gone.hint("shuffle_merge")  # 8 bytes a row
-    kept = docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
-    if not again.limit(1).count():
-        return kept
-    repeated = kept.join(again, kept[id_col] == again["_again"], "left_semi").dropDuplicates([id_col])
-    return kept.join(again, kept[id_col] == again["_again"], "left_anti").unionByName(repeated)
+    kept = plain.join(gone, own == gone["doc_id"], "left_anti")
+    if again.limit(1).count():
+        repeated = kept.join(again, own == again["doc_id"], "left_semi").dropDuplicates([at[id_col]])
+        kept = kept.join(again, own == again["doc_id"], "left_anti").unionByName(repeated)
+    return kept.toDF(*docs.columns)

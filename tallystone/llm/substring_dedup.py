@@ -8,8 +8,9 @@ Windows so found cover words, and runs of covered words are the maximal removal
 Two different windows with the same 64-bit hash would be taken for equal: a chance of n^2 / 2^65 for n windows.
 
 Defined results: a null or empty text has no words; a text under 13 words loses none; rows with the same doc_id never
-dedup each other, as neither id is smaller; a null doc_id counts as larger than all others; an empty table gives an
-empty result; other columns pass through, and those with the names of new columns are replaced.
+dedup each other, as neither id is smaller; a null doc_id counts as larger than all others; ids must be integers, or text
+that reads as one (an error else); an empty table gives an empty result; other columns pass through, whatever their
+names, and those with the names of new columns are replaced.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from tallystone.llm import blocks
+from tallystone.llm.common import quoted, unnamed
 from tallystone.llm.words import hashes_of, runs, split, windows
 
 WINDOW = 13
@@ -56,7 +58,9 @@ def _first_later(hashes: np.ndarray, chunk: np.ndarray, n: int) -> tuple[np.ndar
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """docs with n_words, n_removed, removed (maximal intervals of words, end excluded) and kept_text."""
-    docs = docs.drop(*NEW)
+    docs = docs.select(*(docs[quoted(c)] for c in docs.columns if c not in NEW))
+    names, (docs, named) = docs.columns, unnamed(docs)
+    id_col, text_col = named[id_col], named[text_col]
     chunks = blocks.plan(docs, id_col, text_col, chunk_bytes)
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", span), T.StructField("kept_text", T.StringType()), T.StructField("kept_sha256", T.StringType())])
@@ -95,4 +99,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table
 
     rows = blocks.blocks(docs, id_col, chunks)
-    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later(h, c, chunks.n), finish, schema)
+    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later(h, c, chunks.n), finish, schema).toDF(*names, *NEW)

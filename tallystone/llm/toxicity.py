@@ -4,11 +4,13 @@ A sentence's probability is logistic in the weights of its distinct words and of
 sentences. Weights (hashed words) are learned from document labels alone by gradient descent on the noisy-or's log loss
 with an L1 penalty, on a bounded sample of labelled documents. Sentences above the level are returned as spans.
 
-Learning reads rows whose crc32(doc_id as text) mod 3 is not 1, `sample` of them at most, taken by a hash of the id.
+Learning reads rows whose crc32(doc_id as text) mod 3 is not 1, `sample` of them and `fit_bytes` of text at most, taken by
+a hash of the id; all rows are scored, whole.
 
 Defined results: a null or empty text has no sentence and scores 0; without labels every weight is 0; several labels of
 one document count as one (the largest); a null id is in fold 0 and never learned from; repeated rows get equal scores;
-an empty table gives an empty result; other columns pass through, and those with the names of new columns are replaced.
+an empty table gives an empty result; other columns pass through, whatever their names, and those with the names of new
+columns are replaced.
 """
 
 from __future__ import annotations
@@ -22,10 +24,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tallystone.llm.common import fold, HELD_OUT, small_batches, spread
+from tallystone.llm.common import extended, fold, HELD_OUT, quoted, spread
 
-SAMPLE, SEED = 5000, 23
+SAMPLE, FIT_BYTES, SEED = 5000, 64 << 20, 23
 SPACE = 1 << 18
 ROUNDS, RATE, SPARSE = 150, 0.15, 5e-5
 START, RARE = -6.0, 3
@@ -128,34 +131,37 @@ def learn(texts: list[str], labels: list[int]) -> Scorer:
     return Scorer(weights, float(b))
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE) -> Scorer:
-    """labels: doc_id, toxic. At most `sample` labelled rows come to the driver."""
-    known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    chosen = known.orderBy(spread(F.col("doc_id").cast("long"), SEED), "doc_id").limit(sample).withColumnRenamed("doc_id", "_id")
-    got = docs.where(F.col(text_col).isNotNull()).join(F.broadcast(chosen), docs[id_col] == F.col("_id")).groupBy("_id").agg(F.min(text_col).alias("t"), F.max("toxic").alias("y")).orderBy("_id").collect()
+def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, sample: int = SAMPLE, fit_bytes: int = FIT_BYTES) -> Scorer:
+    """labels: doc_id, toxic. Labelled rows come to the driver in the order of a hash of their ids: at most `sample`, and
+    no more than hold `fit_bytes` of text together."""
+    known = labels.where("doc_id is not null and toxic is not null").where(fold(F.col("doc_id")) != HELD_OUT).groupBy("doc_id").agg(F.max("toxic").alias("y"))
+    chosen = known.withColumn("place", spread(F.col("doc_id").cast("long"), SEED)).orderBy("place", "doc_id").limit(sample)
+    texts = docs.select(docs[quoted(id_col)].alias("id"), docs[quoted(text_col)].alias("t")).where(F.col("t").isNotNull())
+    held = texts.join(F.broadcast(chosen), F.col("id") == F.col("doc_id")).groupBy("doc_id", "place").agg(F.min("t").alias("t"), F.max("y").alias("y"))
+    upto = Window.orderBy("place", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over `sample` rows at most
+    got = held.withColumn("upto", F.sum(F.octet_length("t")).over(upto)).where(F.col("upto") <= fit_bytes).orderBy("doc_id").collect()
     return learn([r["t"] for r in got], [int(r["y"] > 0) for r in got])
 
 
 def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", level: float = LEVEL, **options) -> DataFrame:
     """docs with held_out, score, predicted and offending: (first, end, score) of sentences at or above the level, in
     characters; where the document reaches the level by several sentences only, the highest of them."""
-    docs = docs.drop(*NEW)
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, labels, id_col, text_col, **options))
-    marked = docs.withColumn("held_out", fold(F.col(id_col)) == HELD_OUT)
     span = T.ArrayType(T.StructType([T.StructField("first", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("score", T.DoubleType())]))
-    schema = T.StructType([*marked.schema.fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("offending", span)])
     kind = pa.list_(pa.struct([("first", pa.int32()), ("end", pa.int32()), ("score", pa.float64())]))
+    at = f"c{docs.columns.index(text_col)}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
         for batch in batches:
             scores, found = [], []
-            for text in batch.column(text_col):
+            for text in batch.column(at):
                 spans, p = held.value.sentence_scores(text.as_py())
                 whole = noisy_or(p)
-                at = np.flatnonzero(p >= level).tolist() or ([int(np.argmax(p))] if whole >= level else [])
+                above = np.flatnonzero(p >= level).tolist() or ([int(np.argmax(p))] if whole >= level else [])
                 scores.append(whole)
-                found.append([{"first": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in at])
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64()), pa.array([int(s >= level) for s in scores], pa.int32()), pa.array(found, kind)], names=[*batch.schema.names, "score", "predicted", "offending"])
+                found.append([{"first": spans[i][0], "end": spans[i][1], "score": float(p[i])} for i in above])
+            yield batch, [pa.array(scores, pa.float64()), pa.array([int(s >= level) for s in scores], pa.int32()), pa.array(found, kind)]
 
-    small_batches(docs.sparkSession)
-    return marked.mapInArrow(run, schema)
+    made = extended(docs, run, [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType()), T.StructField("offending", span)])
+    kept = [c for c in docs.columns if c not in NEW]
+    return made.select(*(made[quoted(c)] for c in kept), (fold(made[quoted(id_col)]) == HELD_OUT).alias("held_out"), "score", "predicted", "offending")
