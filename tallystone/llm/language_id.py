@@ -1,24 +1,25 @@
 """Language identification with hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1. An n-gram's vector binds its letters' vectors, each rotated by its place
-(rotate, multiply); a text's vector bundles (adds) those of all its n-grams; a language's prototype bundles its labelled
-texts. A text has the language whose prototype's cosine is largest. As bundling adds, a text's dot product with a
-prototype is the sum over its n-grams of the n-gram's dot product with it; that table is made once for all n-grams of the
-learned letters, which gives the same numbers without a vector for each text. The text's norm is that of orthogonal
-n-grams, sqrt(dimensions * sum of squared counts).
-
-The fit reads a bounded sample of labelled texts for each language (`sample`, chosen by a hash of the id) and the
-`languages` most frequent ones; all texts are predicted whole.
+Each letter has a random vector of +1 and -1, drawn by a hash of its code point, so every letter of every script has one of
+its own. An n-gram's vector binds its letters' vectors, each rotated by its place (rotate, multiply); a text's vector
+bundles (adds) those of all its n-grams; a language's prototype bundles its labelled texts. A text has the language whose
+prototype's cosine is largest. As bundling adds, a text's dot product with a prototype is the sum over its n-grams of the
+n-gram's dot product with it; each Python worker keeps those of the n-grams that it has met (a bounded number; others are
+computed again), which gives the same numbers without a vector for each text. The text's norm is that of orthogonal
+n-grams, sqrt(dimensions * sum of squared counts); it scales all cosines of a text alike.
+
+The fit bundles, on the executors, a bounded sample of labelled texts of each language: `sample` rows, or an equal share
+of `total` rows if there are very many languages. Rows are chosen by a hash of id and text. What comes to the driver is a
+vector a language. No language is left out; all texts are predicted whole.
 
 Defined results: a null text or one without a letter is `und` with score 0, as is any text when nothing was learned; a
-null language teaches nothing; a null id is in fold 0; repeated rows get equal predictions; ties go to the language
-first in alphabetical order; an empty table gives an empty result; other columns pass through, and those with the names
-of new columns are replaced.
+null language teaches nothing; a null id is in fold 0; null and repeated ids change nothing in the bounds of the fit;
+repeated rows get equal predictions; ties go to the language first in alphabetical order; an empty table gives an empty
+result; other columns pass through, whatever their names, and those with the names of new columns are replaced.
 """
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,109 +27,172 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
-from tallystone.llm.common import claim, fold, HELD_OUT, small_batches, spread
+from tallystone.llm.common import claim, extended, fold, HELD_OUT, mix64, quoted, small_batches
 
-DIMENSIONS, LETTERS, ORDER = 2048, 64, 3
-SAMPLE, LANGUAGES, SEED = 1500, 200, 11
+DIMENSIONS, ORDER = 2048, 3
+SAMPLE, TOTAL, SEED = 1500, 60_000, 11
 SHARP = 25.0
 UNKNOWN = "und"
 NEW = ("held_out", "lang_pred", "score")
-#: Place 0 of the alphabet parts words, place 1 stands for letters that were not learned.
-GAP, OTHER = 0, 1
+#: Numbers that a worker keeps of n-grams (n-grams times languages); n-grams whose vectors are made at once; bits of a code point.
+KEPT, AT_ONCE, BITS = 1 << 22, 1024, np.uint64(21)
+_ALPHA: list[np.ndarray] = []
+
+
+def _is_letter(points: np.ndarray) -> np.ndarray:
+    if not _ALPHA:
+        _ALPHA.append(np.array([chr(i).isalpha() for i in range(1 << 16)]))
+    found = _ALPHA[0][np.minimum(points, 0xFFFF)]
+    for i in np.flatnonzero(points > 0xFFFF):
+        found[i] = chr(points[i]).isalpha()
+    return found
+
+
+def codes(text: str | None) -> np.ndarray:
+    """The n-grams of a text in lower case, code points side by side; what is no letter parts words (0), runs of it count
+    once. A text without letters has none."""
+    points = np.frombuffer((text or "").lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _is_letter(points)
+    if not letter.any():
+        return np.empty(0, np.uint64)
+    place = np.zeros(len(points) + 2, np.uint64)
+    place[1:-1] = np.where(letter, points, 0)
+    keep = np.ones(len(place), bool)
+    keep[1:] = (place[1:] != 0) | (place[:-1] != 0)
+    place = place[keep]
+    out = np.zeros(len(place) - ORDER + 1, np.uint64)
+    for i in range(ORDER):
+        out = (out << BITS) | place[i : len(place) - ORDER + 1 + i]
+    return out
+
+
+def letter_bits(points: np.ndarray, seed: int = SEED) -> np.ndarray:
+    """A row of random bits for each code point; 1 stands for -1."""
+    words = DIMENSIONS // 64
+    with np.errstate(over="ignore"):
+        drawn = mix64(mix64(points.astype(np.uint64) + np.uint64(seed << 32))[:, None] + np.arange(1, words + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    return np.unpackbits(drawn.view(np.uint8), axis=1)
+
+
+def vectors(grams: np.ndarray) -> np.ndarray:
+    """The bound vector of each n-gram, as float32 of +1 and -1."""
+    bound = np.zeros((len(grams), DIMENSIONS), np.uint8)
+    for i in range(ORDER):
+        letters, at = np.unique((grams >> BITS * np.uint64(ORDER - 1 - i)) & np.uint64((1 << int(BITS)) - 1), return_inverse=True)
+        bound ^= np.roll(letter_bits(letters), ORDER - 1 - i, axis=1)[at]
+    return 1.0 - 2.0 * bound.astype(np.float32)
+
+
+def bundle(grams: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The sum of the n-grams' vectors, each as often as it counts."""
+    total = np.zeros(DIMENSIONS)
+    for a in range(0, len(grams), AT_ONCE):
+        total += counts[a : a + AT_ONCE].astype(np.float64) @ vectors(grams[a : a + AT_ONCE])
+    return total
 
 
 class Profiles:
-    """Learned alphabet, and each n-gram's dot products with the unit prototypes."""
-
-    def __init__(self, texts: list[str], langs: list[str], seed: int = SEED):
-        self.langs = sorted(set(langs))
-        count = Counter(c for t in texts for c in t.lower() if c.isalpha())
-        self.letters = {c: i + 2 for i, (c, _) in enumerate(sorted(count.items(), key=lambda x: (-x[1], x[0]))[: LETTERS - 2])}
-        self._tables()
-        base = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (LETTERS, DIMENSIONS))
-        turned = [np.roll(base, ORDER - 1 - i, axis=1) for i in range(ORDER)]
-        size = LETTERS**ORDER
-        counts = np.zeros((len(self.langs), size), np.float32)
-        for text, lang in zip(texts, langs, strict=True):
-            codes = self.codes(text)
-            np.add.at(counts[self.langs.index(lang)], codes, np.float32(1))
-        grams = np.flatnonzero(counts.sum(0))
-        prototypes = np.zeros((len(self.langs), DIMENSIONS), np.float32)
-        for part in np.array_split(grams, max(1, len(grams) // 2048)):
-            prototypes += counts[:, part] @ self._vectors(part, turned)
-        norm = np.linalg.norm(prototypes, axis=1, keepdims=True)
-        prototypes /= np.where(norm > 0, norm, 1)
-        self.dots = np.empty((size, len(self.langs)), np.float32)
-        for at in range(0, size, 4096):
-            self.dots[at : at + 4096] = self._vectors(np.arange(at, min(at + 4096, size)), turned) @ prototypes.T
-
-    @staticmethod
-    def _vectors(codes: np.ndarray, turned: list[np.ndarray]) -> np.ndarray:
-        out = np.ones((len(codes), DIMENSIONS), np.int8)
-        for i, vectors in enumerate(turned):
-            out *= vectors[codes // LETTERS ** (ORDER - 1 - i) % LETTERS]
-        return out.astype(np.float32)
-
-    def _tables(self) -> None:
-        """Place in the alphabet of each code point of the first plane; others are looked at one by one."""
-        self.place = np.array([self.letters.get(c := chr(i), OTHER if c.isalpha() else GAP) for i in range(1 << 16)], np.int32)
-
-    def codes(self, text: str) -> np.ndarray:
-        """The n-grams of a text in lower case; what is no letter parts words, runs of it count once."""
-        points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
-        place = self.place[np.minimum(points, 0xFFFF)]
-        for i in np.flatnonzero(points > 0xFFFF):
-            place[i] = self.letters.get(c := chr(points[i]), OTHER if c.isalpha() else GAP)
-        place = np.concatenate(([GAP], place, [GAP]))
-        keep = np.ones(len(place), bool)
-        keep[1:] = (place[1:] != GAP) | (place[:-1] != GAP)
-        place = place[keep]
-        if len(place) < ORDER:
-            return np.empty(0, np.int64)
-        codes = np.zeros(len(place) - ORDER + 1, np.int64)
-        for i in range(ORDER):
-            codes = codes * LETTERS + place[i : len(place) - ORDER + 1 + i]
-        return codes
+    """Unit prototypes of the languages; a worker's known n-grams and their dot products with them."""
+
+    def __init__(self, langs: list[str], bundles: np.ndarray):
+        self.langs = langs
+        norm = np.linalg.norm(bundles, axis=1, keepdims=True)
+        self.prototypes = (bundles / np.where(norm > 0, norm, 1)).astype(np.float32)
+        self.forget()
+
+    def forget(self) -> None:
+        self.known, self.dots = np.empty(0, np.uint64), np.empty((0, len(self.langs)), np.float32)
+
+    def learn(self, grams: np.ndarray) -> None:
+        """Makes sorted, distinct n-grams known."""
+        place = np.minimum(np.searchsorted(self.known, grams), max(len(self.known) - 1, 0))
+        new = grams[self.known[place] != grams] if len(self.known) else grams
+        if not len(new):
+            return
+        if (len(self.known) + len(new)) * len(self.langs) > KEPT:
+            self.forget()
+            new = grams
+        dots = np.concatenate([vectors(new[a : a + AT_ONCE]) @ self.prototypes.T for a in range(0, len(new), AT_ONCE)])
+        at = np.searchsorted(self.known, new)
+        self.known, self.dots = np.insert(self.known, at, new), np.insert(self.dots, at, dots, axis=0)
+
+    def cosines(self, text: str | None) -> np.ndarray | None:
+        """The text's cosine with each prototype; null without letters."""
+        own = codes(text)
+        if not len(own) or not self.langs:
+            return None
+        own.sort()
+        begin = np.flatnonzero(np.concatenate(([True], own[1:] != own[:-1])))
+        count, grams = np.diff(np.append(begin, len(own))).astype(np.float64), own[begin]
+        dots, most = np.zeros(len(self.langs)), max(1, KEPT // len(self.langs))
+        for a in range(0, len(grams), most):
+            part = grams[a : a + most]
+            self.learn(part)
+            dots += count[a : a + most] @ self.dots[np.searchsorted(self.known, part)]
+        return dots / np.sqrt(DIMENSIONS * (count**2).sum())
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        codes = self.codes(text) if text else np.empty(0, np.int64)
-        if not len(codes) or not self.langs:
+        cosine = self.cosines(text)
+        if cosine is None:
             return UNKNOWN, 0.0
-        dots = self.dots[codes].sum(0, dtype=np.float64)
-        ordered = np.sort(codes)
-        begin = np.flatnonzero(np.concatenate(([True], ordered[1:] != ordered[:-1])))
-        count = np.diff(np.append(begin, len(ordered))).astype(np.float64)
-        cosine = dots / np.sqrt(DIMENSIONS * (count**2).sum())
         weight = np.exp(SHARP * (cosine - cosine.max()))
         best = int(np.argmax(cosine))
         return self.langs[best], float(weight[best] / weight.sum() * np.clip(cosine[best] / 0.25, 0.0, 1.0))
 
 
-def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE, languages: int = LANGUAGES) -> Profiles:
-    """From a bounded number of texts of each of a bounded number of languages, none of them held out."""
-    known = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull() & (fold(F.col(id_col)) != HELD_OUT))
-    counts = known.groupBy(F.col(lang_col).alias("lang")).count().orderBy(F.desc("count"), "lang").limit(languages).collect()
-    share = F.lit(None).cast("long")
-    for r in counts:
-        share = F.when(F.col(lang_col) == r["lang"], F.lit(int(min(1.0, sample / r["count"]) * (1 << 32)))).otherwise(share)
-    got = known.where(spread(F.col(id_col).cast("long"), SEED) < share).select(F.col(id_col).alias("i"), F.col(text_col).alias("t"), F.col(lang_col).alias("l")).collect() if counts else []
-    got = sorted(got, key=lambda r: (str(r["i"]), r["t"], r["l"]))
-    return Profiles([r["t"] for r in got], [r["l"] for r in got])
+def sampled(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int, total: int) -> DataFrame:
+    """(lang, text): for each language a bounded number of rows, none of them held out."""
+    one, text, lang = docs[quoted(id_col)], docs[quoted(text_col)], docs[quoted(lang_col)]
+    known = docs.where(lang.isNotNull() & text.isNotNull() & (fold(one) != HELD_OUT)).select(lang.cast("string").alias("lang"), text.alias("text"), F.xxhash64(F.lit(SEED), one, text).alias("place"))
+    different = known.groupBy("lang").agg(F.approx_count_distinct("place").alias("n"))
+    most = F.greatest(F.lit(1), F.least(F.lit(sample), F.floor(F.lit(total) / F.count("*").over(Window.partitionBy()))))  # a row a language
+    wanted = different.select("lang", most.alias("most"), (2.0 * most / F.col("n")).alias("share"))
+    thin = known.join(F.broadcast(wanted), "lang").where(F.pmod("place", F.lit(1 << 32)) < F.col("share") * float(1 << 32))
+    first = F.row_number().over(Window.partitionBy("lang").orderBy("place"))
+    return thin.withColumn("nth", first).where(F.col("nth") <= sample).where(F.col("nth") <= F.col("most")).select("lang", "text")
+
+
+def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int = SAMPLE, total: int = TOTAL) -> Profiles:
+    """Prototypes of all languages."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, list[np.ndarray]] = {}
+
+        def made(lang: str) -> pa.RecordBatch:
+            grams, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
+            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([bundle(grams, counts).tolist()], pa.list_(pa.float64()))], names=["lang", "bundle"])
+
+        for batch in batches:
+            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
+                held.setdefault(lang, []).append(codes(text.as_py()))
+                if sum(map(len, held[lang])) > 1 << 21 or len(held) > 64:
+                    yield made(lang)
+        for lang in list(held):
+            yield made(lang)
+
+    small_batches(docs.sparkSession)
+    rows = sampled(docs, id_col, text_col, lang_col, sample, total).mapInArrow(run, "lang string, bundle array<double>").collect()
+    langs = sorted({r["lang"] for r in rows})
+    at, bundles = {x: i for i, x in enumerate(langs)}, np.zeros((len(langs), DIMENSIONS))
+    for r in rows:
+        bundles[at[r["lang"]]] += r["bundle"]
+    return Profiles(langs, bundles)
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", **options) -> DataFrame:
     """docs with held_out, lang_pred and score (0 to 1)."""
-    docs = docs.drop(*NEW)
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col, lang_col, **options))
-    marked = docs.withColumn("held_out", fold(F.col(id_col)) == HELD_OUT)
-    schema = T.StructType([*marked.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    at = f"c{docs.columns.index(text_col)}"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        claim("language", lambda: None)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[pa.Array]]]:
+        profiles = held.value
+        claim("language", profiles.forget)
         for batch in batches:
-            got = [held.value.predict(t.as_py()) for t in batch.column(text_col)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
+            got = [profiles.predict(t.as_py()) for t in batch.column(at)]
+            yield batch, [pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64())]
 
-    small_batches(docs.sparkSession)
-    return marked.mapInArrow(run, schema)
+    found = extended(docs, run, [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    kept = [c for c in docs.columns if c not in NEW]
+    return found.select(*(found[quoted(c)] for c in kept), (fold(found[quoted(id_col)]) == HELD_OUT).alias("held_out"), "lang_pred", "score")

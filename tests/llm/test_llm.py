@@ -248,8 +248,52 @@ def test_mixing(odd, docs):
     assert mixing.mix(odd).columns == [*odd.columns, "rate", "n_copies", "copy", "shuffle_key"] and mixing.mix(odd.limit(0)).count() == 0
     only = {r["source"] for r in mixing.mix(odd, weights={"a": 1.0}).collect()}
     assert only <= {"a"}
-    with pytest.raises(Exception, match="above 500"):
-        mixing.mix(odd, epochs=1e6).collect()
+
+
+def poisson(mean, u):
+    p = total = float(np.exp(-mean))
+    n = 0
+    while total <= u:
+        n += 1
+        p *= mean / n
+        total += p
+    return n
+
+
+def test_mixing_equals_inversion_row_by_row(spark):
+    rows = [(i, f"t{i}", "big") for i in range(3000)] + [(5000, "only", "tiny"), (5001, "none", None), (None, "x", "big")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"big": 1.0, "tiny": 2.5, None: 0.1}
+    got = collections.defaultdict(list)
+    for r in mixing.mix(frame, weights=weights, epochs=0.5).collect():
+        got[r["doc_id"]].append((r["copy"], r["n_copies"], r["rate"]))
+    size = collections.Counter(s for _, _, s in rows)
+    number = lambda *x: int(hashlib.md5(":".join(map(str, x)).encode()).hexdigest()[:13], 16) / 2**52
+    for i, _, source in rows:
+        rate = weights[source] / 3.6 * len(rows) * 0.5 / size[source]
+        pieces = max(1, -int(-rate // mixing.PIECE))
+        want = sum(poisson(rate / pieces, number(mixing.SEED, "null" if i is None else i, k)) for k in range(pieces))
+        assert sorted(got[i]) == [(k, want, round(rate, 6)) for k in range(want)]
+    assert 900 < len(got[5000]) < 1200  # a source of one row, at a rate of 1,042
+
+
+def test_clashing_and_dotted_names(spark):
+    """All operators that pass columns through take any names; what has a new column's name is replaced."""
+    frame = spark.createDataFrame([(i, f"{WORDS} {i}", "en", "a", 7, 1.5, i % 2, "u") for i in range(40)], "doc_id long, text string, lang string, source string, n int, `a.b` double, toxic int, _source string")
+    frame = frame.withColumn("_id", F.lit(1)).withColumn("c0", F.lit("c")).withColumn("row", F.lit("r")).withColumn("id", F.lit(9)).withColumn("rate", F.lit("old"))
+    labels = spark.createDataFrame([(i, i % 2, i % 2) for i in range(40)], "doc_id long, toxic int, quality int")
+    made = {
+        "mixing": mixing.mix(frame, epochs=2.0), "language": language_id.identify(frame), "toxicity": toxicity.score(frame, labels), "bpe": bpe.encode_decode(frame, vocabulary_path()),
+        "dedup": substring_dedup.remove_repeats(frame), "quality": quality_forest.judge(frame, labels), "first": jaccard_join.keep_first(frame), "join": jaccard_join.join(frame),
+    }
+    for name, found in made.items():
+        rows = found.collect()
+        assert len(rows) >= (1 if name == "first" else 40 if name != "mixing" else 20), name
+        if name != "join":
+            kept = [c for c in frame.columns if c not in ("text", "rate", "n")]
+            assert set(kept) <= set(found.columns), name
+            for r in rows:
+                assert (r["a.b"], r["_source"], r["_id"], r["c0"], r["row"], r["id"], r["toxic"]) == (1.5, "u", 1, "c", "r", 9, r["doc_id"] % 2), name
 
 
 def test_url_rules_and_reputation(spark):
@@ -274,20 +318,47 @@ def test_language_id_held_out(spark, odd):
 
 
 def test_bundling_by_table_equals_vectors():
-    p = language_id.Profiles(["abab abba", "xyxy yxxy zz"], ["a", "x"])
-    base = np.random.default_rng(language_id.SEED).choice(np.array([-1, 1], np.int8), (language_id.LETTERS, language_id.DIMENSIONS)).astype(int)
+    bits = lambda c: 1 - 2 * language_id.letter_bits(np.array([c], np.uint64))[0].astype(int)
 
     def bundled(text):
-        total, width = np.zeros(language_id.DIMENSIONS), language_id.LETTERS
-        for code in p.codes(text).tolist():
-            a, b, c = code // width**2, code // width % width, code % width
-            total += np.roll(base[a], 2) * np.roll(base[b], 1) * base[c]
+        total = np.zeros(language_id.DIMENSIONS)
+        for code in language_id.codes(text).tolist():
+            a, b, c = code >> 42, code >> 21 & (1 << 21) - 1, code & (1 << 21) - 1
+            total += np.roll(bits(a), 2) * np.roll(bits(b), 1) * bits(c)
         return total
 
-    for i, text in enumerate(["abab abba", "xyxy yxxy zz"]):
-        prototype = bundled(text)
-        want = bundled("abba xyx") @ prototype / np.linalg.norm(prototype)
-        assert p.dots[p.codes("abba xyx")].sum(0)[i] == pytest.approx(want, rel=1e-3)
+    texts = ["abab abba", "xyxy yxxy zz", "漢字かな 漢字"]
+    p = language_id.Profiles(["a", "x", "z"], np.array([language_id.bundle(*np.unique(language_id.codes(t), return_counts=True)) for t in texts]))
+    for asked in ("abba xyx", "漢字x 漢", "qqqq"):  # n-grams that no language has count as well
+        count = np.unique(language_id.codes(asked), return_counts=True)[1]
+        got = p.cosines(asked)
+        for i, text in enumerate(texts):
+            want = bundled(asked) @ bundled(text) / np.linalg.norm(bundled(text)) / np.sqrt(language_id.DIMENSIONS * (count.astype(float) ** 2).sum())
+            assert got[i] == pytest.approx(want, rel=1e-3, abs=1e-6)
+    assert p.predict("漢字")[0] == "z" and p.predict("12 !") == p.predict(None) == ("und", 0.0)
+
+
+def test_languages_of_several_scripts_and_many_languages(spark):
+    rng = np.random.default_rng(6)
+    scripts = {"zh": range(0x4E00, 0x5200), "ja": range(0x3041, 0x3097), "ko": range(0xAC00, 0xB000), "ru": range(0x430, 0x450), "el": range(0x3B1, 0x3CA), "en": range(97, 123)}
+    words = {k: ["".join(map(chr, rng.choice(v, rng.integers(2, 5)))) for _ in range(150)] for k, v in scripts.items()}
+    rows = [(i, ("" if k in ("zh", "ja") else " ").join(rng.choice(words[k], 60)), k) for i, k in enumerate(list(scripts) * 40)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).where("held_out").collect()
+    assert len(got) > 50 and sum(r["lang"] == r["lang_pred"] for r in got) > 0.97 * len(got)
+    words = ["".join(rng.choice(list("abcdefghij"), 5)) for _ in range(300)]
+    many = [(i, " ".join([words[i % 300]] * 4), f"l{i % 300:03}") for i in range(1800)]
+    profiles = language_id.fit(spark.createDataFrame(many, "doc_id long, text string, lang string"), "doc_id", "text", "lang")
+    assert len(profiles.langs) == 300
+
+
+def test_language_sample_is_bounded(spark):
+    """Null ids, repeated ids and repeated rows: at most `sample` rows a language, and no language unlearned."""
+    rows = [(None, f"null {i}", "a") for i in range(300)] + [(7, f"seven {i}", "b") for i in range(300)] + [(8, "same", "c")] * 300 + [(i, f"own {i}", "d") for i in range(300)] + [(4, "rare", "e")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    got = collections.Counter(r["lang"] for r in language_id.sampled(frame, "doc_id", "text", "lang", 20, 60_000).collect())
+    assert set(got) == {"a", "b", "c", "d", "e"} and all(n <= 20 for n in got.values()) and got["c"] == 20 and got["a"] > 10
+    few = collections.Counter(r["lang"] for r in language_id.sampled(frame, "doc_id", "text", "lang", 20, 10).collect())
+    assert set(few) == {"a", "b", "c", "d", "e"} and all(n <= 2 for n in few.values())
 
 
 def test_toxicity_learns_sentences_from_documents(spark, odd):
