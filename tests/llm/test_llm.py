@@ -216,21 +216,66 @@ def test_shards(odd, docs):
     assert kd_shards.shards(odd.limit(0)).count() == 0
 
 
-def test_shards_split_along_metadata(spark):
-    rng, rows = np.random.default_rng(3), []
-    for i in range(1600):
-        letter = "aß☃"[rng.integers(0, 3)]
-        rows.append((i, "".join(rng.choice([letter, "b"], int(2 ** rng.uniform(4, 10))))))
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    places = {r["doc_id"]: r["shard"] for r in kd_shards.shards(frame).collect()}
-    points = {r["doc_id"]: (r["by_size"], r["by_script"]) for r in kd_shards.points(frame, "doc_id", "text").collect()}
-    for level in range(3):  # both halves of each node lie apart along a dimension of the metadata
-        nodes = collections.defaultdict(lambda: ([], []))
-        for i, shard in places.items():
-            nodes[shard >> (3 - level)][shard >> (2 - level) & 1].append(points[i])
-        assert len(nodes) == 2**level
-        for low, high in nodes.values():
-            assert any(max(p[d] for p in low) <= min(p[d] for p in high) + 2.0**-kd_shards.VALUE_BITS for d in (0, 1))
+def tree_by_brute_force(rows, n):
+    """Shard by text: the tree's rule on plain lists."""
+    points = []
+    for t in rows:
+        t = t or ""
+        size, white = len(t.encode()) + 1, sum(c in " \t\n\v\f\r" for c in t)
+        points.append((size, zlib.crc32(t.encode()), np.log2(size) / 31, min(1, max(0, (size / (len(t) + 1) - 1) / 3)), white / (len(t) + 1)))
+    points = np.array(points)
+    key = [[(min((1 << 28) - 1, int(p[d] * (1 << 28))) << 32) + int(p[1]) for p in points] for d in (2, 3, 4)]
+    spread = lambda ids, d: np.sqrt(np.average((points[ids, d] - np.average(points[ids, d], weights=points[ids, 0])) ** 2, weights=points[ids, 0]))
+    every = np.arange(len(rows))
+    whole, shard, used = [spread(every, d) for d in (2, 3, 4)], np.zeros(len(rows), int), []
+
+    def split(ids, first, leaves):
+        shard[ids] = first
+        if leaves < 2 or not len(ids):
+            return
+        names = kd_shards.DIMENSIONS
+        wide = max(range(3), key=lambda d: (round(spread(ids, d + 2) / whole[d], 9), spread(ids, d + 2), names[d]))
+        used.append(wide)
+        low = leaves // 2
+        total = int(points[ids, 0].sum())
+        aim, held = -(-total * low // leaves), 0
+        order = sorted(ids, key=lambda i: key[wide][i])
+        groups = {}
+        for i in order:
+            groups.setdefault(key[wide][i], []).append(i)
+        below = []
+        for members in groups.values():
+            own = int(points[members, 0].sum())
+            if held + own >= aim:
+                if held + own - aim <= aim - held:
+                    below += members
+                break
+            held += own
+            below += members
+        inside = set(below)
+        split(np.array(below, int), first, low)
+        split(np.array([i for i in ids if i not in inside], int), first + low, leaves - low)
+
+    split(every, 0, n)
+    return shard.tolist(), used
+
+
+@pytest.mark.parametrize("n", [8, 5])
+def test_shards_equal_the_tree_by_brute_force(spark, n):
+    frame = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = sorted((r["doc_id"], r["text"]) for r in frame.collect())
+    got = {r["doc_id"]: r["shard"] for r in kd_shards.shards(frame, shards=n).collect()}
+    want, used = tree_by_brute_force([t for _, t in rows], n)
+    assert [got[i] for i, _ in rows] == want and len(set(used)) >= 2
+
+
+def test_shards_reach_the_target_bytes(docs):
+    rows = kd_shards.shards(docs, shards=None, target_bytes=40_000).collect()
+    size = collections.Counter()
+    for r in rows:
+        size[r["shard"]] += r["size"]
+    total, largest = sum(size.values()), max(r["size"] for r in rows)
+    assert max(size) == -(-total // 40_000) - 1 and max(size.values()) < 40_000 + 3 * largest
 
 
 def test_shards_stay_on_the_jvm(docs):
