@@ -17,8 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallystone.llm.common import claim, quoted, release, small_batches
-from tallystone.llm.words import KNOWN
+from tallystone.llm.common import quoted, release, small_batches
 
 LAST = np.iinfo(np.int64).max
 #: Rows are dealt to chunks when so many bytes are there.
@@ -165,29 +164,29 @@ def texts_of(column: pa.ChunkedArray) -> list[bytes | None]:
     return column.cast(pa.binary()).to_pylist()
 
 
-def packed(hashes: np.ndarray) -> bytes:
-    """Sorted uint64 values as a first value and deltas of as few bytes as the largest needs."""
-    steps = np.diff(hashes)
+def packed(hashes: np.ndarray, low: int = 0) -> bytes:
+    """Sorted uint64 values as a first value and deltas of as few bytes as the largest needs; their `low` last bits are 0."""
+    steps = np.diff(hashes) >> np.uint64(low)
     width = max(1, (int(steps.max()).bit_length() + 7) // 8) if len(steps) else 1
     return struct.pack("<BQ", width, int(hashes[0])) + steps.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
-def unpacked(data: bytes) -> np.ndarray:
+def unpacked(data: bytes, low: int = 0) -> np.ndarray:
     width, first = struct.unpack_from("<BQ", data)
     steps = np.frombuffer(data, np.uint8, offset=9).reshape(-1, width)
     full = np.zeros((len(steps) + 1, 8), np.uint8)
     full[1:, :width] = steps
-    values = full.reshape(-1).view("<u8").astype(np.uint64)
+    values = full.reshape(-1).view("<u8").astype(np.uint64) << np.uint64(low)
     values[0] = first
     return np.cumsum(values, dtype=np.uint64)
 
 
-def by_part(hashes: np.ndarray, chunk: int, parts: int) -> pa.Table:
+def by_part(hashes: np.ndarray, chunk: int, parts: int, low: int = 0) -> pa.Table:
     """The sorted hashes of a chunk, cut into equal ranges of the hash space. Work and rows grow with the hashes, not with
     the number of parts: empty ranges cost nothing."""
     part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     ends = np.flatnonzero(np.diff(part, append=parts)) + 1
-    rows = [(int(part[a]), chunk, packed(hashes[a:b])) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
+    rows = [(int(part[a]), chunk, packed(hashes[a:b], low)) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
     return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "chunk": pa.array([r[1] for r in rows], pa.int32()), "hashes": pa.array([r[2] for r in rows], pa.binary())})
 
 
@@ -198,22 +197,24 @@ def exchange(
     answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
     finish: Callable[[int, pa.Table, np.ndarray, np.ndarray], pa.Table],
     schema: str | T.StructType,
+    low: int = 0,
+    opened: Callable[[pa.Table], pa.Table | None] = opened,
 ) -> DataFrame:
     """Each chunk sends sorted hashes; who holds a range of the hash space answers; each chunk finishes with its answers.
 
     answer(hashes, chunks): for sorted hashes and the chunks they come from, the (chunk, hash, count) that go back.
-    finish(chunk, rows, hashes, counts): hashes sorted. Both sides of the last step read the same shuffle of the rows.
+    finish(chunk, rows, hashes, counts): hashes sorted, their `low` last bits 0. opened: a chunk's rows from those of
+    `rows` (by default blocks). Both sides of the last step read the same shuffle of the rows.
     """
 
     def first(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
-        claim("words", KNOWN.clear)
-        out = by_part(send(opened(held)), key[0].as_py(), parts)
+        out = by_part(send(opened(held)), key[0].as_py(), parts, low)
         release()
         return out
 
     def middle(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
         held = held.sort_by("chunk")
-        got = [unpacked(x) for x in held.column("hashes").to_pylist()]
+        got = [unpacked(x, low) for x in held.column("hashes").to_pylist()]
         chunk = np.repeat(held.column("chunk").to_numpy().astype(np.int32), [len(x) for x in got])
         hashes = np.concatenate(got)
         del got
@@ -223,16 +224,15 @@ def exchange(
         order = np.argsort(to, kind="stable")
         to, back, count = to[order], back[order], count[order]
         ends = np.flatnonzero(np.diff(to)) + 1
-        rows = [(int(to[r[0]]), packed(back[r]), count[r].astype("<u4").tobytes()) for r in np.split(np.arange(len(to)), ends) if len(r)]
+        rows = [(int(to[r[0]]), packed(back[r], low), count[r].astype("<u4").tobytes()) for r in np.split(np.arange(len(to)), ends) if len(r)]
         release()
         return pa.table({"chunk": pa.array([r[0] for r in rows], pa.int32()), "hashes": pa.array([r[1] for r in rows], pa.binary()), "counts": pa.array([r[2] for r in rows], pa.binary())})
 
     def last(key: tuple[pa.Scalar, ...], held: pa.Table, answers: pa.Table) -> pa.Table:
-        got = [(unpacked(h), np.frombuffer(c, "<u4")) for h, c in zip(answers.column("hashes").to_pylist(), answers.column("counts").to_pylist(), strict=True)]
+        got = [(unpacked(h, low), np.frombuffer(c, "<u4")) for h, c in zip(answers.column("hashes").to_pylist(), answers.column("counts").to_pylist(), strict=True)]
         hashes = np.concatenate([x[0] for x in got]) if got else np.empty(0, np.uint64)
         counts = np.concatenate([x[1] for x in got]) if got else np.empty(0, np.uint32)
         order = np.argsort(hashes, kind="stable")
-        claim("words", KNOWN.clear)
         out = finish(key[0].as_py(), opened(held), hashes[order], counts[order])
         release()
         return out

@@ -27,7 +27,7 @@ or text that reads as one (an error else); an empty table gives an empty result;
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,12 +36,14 @@ from pyspark.sql import functions as F
 
 from tallystone.llm import blocks
 from tallystone.llm.common import discard, lookup, materialize, mix64, quoted, unnamed
-from tallystone.llm.words import BASE, hashes_of, runs, split, windows
+from tallystone.llm.words import BASE, hashed, runs, windows
 
 WIDTH, SHARE = 5, (3, 4)
 CHUNK_BYTES = 4 << 20
 #: Groups of three partitions for each 20 differences of a band, and beside.
 GROUPS_OF_20, GROUPS_MORE = 13, 3
+#: Bits of a signature beyond those that number the bytes of the corpus.
+SPARE_BITS = 11
 #: Keys that more documents share are compared blockwise; documents of a block; columns of a matrix.
 HOT, BLOCK, COLUMNS = 100, 512, 8192
 #: So many ids are sent to all tasks, more are joined by a shuffle.
@@ -54,8 +56,7 @@ def shingle_sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.
     Texts are lower-cased (A-Z); a text with fewer words is one shingle."""
     flat, sizes = [], []
     for run in runs(texts):
-        words, ends = split([t.lower() if t else t for t in run])  # bytes: lowers A-Z only
-        single = hashes_of(words)
+        single, ends = hashed(run, lower=True)
         every, parts = windows(single, width), []
         for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True):
             if b - a >= width:
@@ -164,11 +165,12 @@ def _count(hashes: np.ndarray, chunk: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return chunk[once], hashes[once], rows[once].astype(np.uint32)
 
 
-def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.ndarray, counts: np.ndarray, share: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.ndarray, counts: np.ndarray, share: tuple[int, int], cut: Callable = np.array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, signature, least difference from any partner) of the signatures to look at that others have too, by rows.
-    known: signatures of several documents, sorted, with their counts."""
+    known: signatures of several documents, sorted, with their counts; cut: what is left of a signature there."""
     out = [(np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.int64))]
     for row, made, look, spoils in signatures(flat, ends, rows, share) if len(known) else ():
+        made = cut(made)
         place = np.minimum(np.searchsorted(known, made), len(known) - 1)
         shared = known[place] == made
         alone = np.bincount(row[~shared], minlength=len(look))
@@ -186,25 +188,31 @@ def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.nd
     return at[order], key[order], far[order]
 
 
-def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> DataFrame:
+def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> tuple[DataFrame, int]:
     """A row for each document: its set's size, the smallest document of its chunk with the same set, and, where it
-    may link with others, the signatures to look at, the set and its mark."""
+    may link with others, the signatures to look at, the set and its mark; and the number of ranges of signatures."""
     slim = docs.select(blocks.id_of(docs, id_col).alias("doc_id"), docs[quoted(text_col)].alias("text"))
     chunks = blocks.plan(slim, "doc_id", "text", chunk_bytes)
 
+    # fewer bits only let some signatures look like others', which can add candidates and never loses a link
+    low = np.uint64(64 - min(64, max(40, (chunks.n * chunk_bytes).bit_length() + SPARE_BITS)))
+
+    def cut(made: np.ndarray) -> np.ndarray:
+        return made >> low << low
+
     def signing(ids: np.ndarray, twin: np.ndarray) -> np.ndarray:
         return np.flatnonzero((twin == np.arange(len(ids))) & (ids != blocks.LAST))
 
     def send(table: pa.Table) -> np.ndarray:
         ids, flat, ends, _, twin, _ = _of_chunk(table, width)
         made = [s for _, s, _, _ in signatures(flat, ends, signing(ids, twin), share)]
-        out = np.concatenate(made) if made else np.empty(0, np.uint64)
+        out = cut(np.concatenate(made)) if made else np.empty(0, np.uint64)
         out.sort()
         return out
 
     def finish(chunk: int, table: pa.Table, known: np.ndarray, counts: np.ndarray) -> pa.Table:
         ids, flat, ends, marks, twin, repeated = _of_chunk(table, width)
-        at, key, far = looked_at(flat, ends, signing(ids, twin), known, counts, share)
+        at, key, far = looked_at(flat, ends, signing(ids, twin), known, counts, share, cut)
         many = np.bincount(at, minlength=len(ids))
         held, mark = [None] * len(ids), [None] * len(ids)
         for i in np.flatnonzero(many).tolist():
@@ -223,7 +231,28 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
             "hashes": pa.array(held, pa.binary()),
         })
 
-    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES)
+    return blocks.exchange(blocks.blocks(slim, "doc_id", chunks), chunks.parts, send, _count, finish, NODES, int(low)), chunks.parts
+
+
+def met(at: DataFrame, parts: int) -> DataFrame:
+    """at (chunk, doc_id, n, keys) with only those keys that another document looks at too: most keys that a document
+    looks at are shared with documents that look at others."""
+
+    def keys_of(table: pa.Table) -> np.ndarray:
+        return table.column("keys").combine_chunks().flatten().field("key").to_numpy().view(np.uint64)
+
+    def finish(chunk: int, table: pa.Table, known: np.ndarray, counts: np.ndarray) -> pa.Table:
+        own = keys_of(table)
+        table = table.combine_chunks()
+        column = table.column("keys").combine_chunks()
+        many = np.asarray(column.value_lengths())
+        keep = known[np.minimum(np.searchsorted(known, own), len(known) - 1)] == own if len(known) else np.zeros(len(own), bool)
+        left = np.bincount(np.repeat(np.arange(len(many)), many)[keep], minlength=len(many))
+        keys = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(left))), pa.int32()), column.flatten().filter(pa.array(keep)))
+        return table.set_column(table.schema.get_field_index("keys"), "keys", keys)
+
+    found = blocks.exchange(at, parts, lambda table: np.sort(keys_of(table)), _count, finish, at.schema, opened=lambda table: table)
+    return found.where(F.size("keys") > 0)
 
 
 def _full(data: bytes) -> np.ndarray:
@@ -372,7 +401,8 @@ def _blockwise(meeting: DataFrame, sets: DataFrame, share: tuple[int, int]) -> D
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, share: tuple[int, int] = SHARE, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     """(chunk, doc_id, n_shingles, component_id) for each row of docs."""
-    held = materialize(nodes(docs, id_col, text_col, width, share, chunk_bytes))
+    held, parts = nodes(docs, id_col, text_col, width, share, chunk_bytes)
+    held = materialize(held)
     meets = held.where("mark is not null")
     equal = materialize(meets.groupBy("mark").agg(F.min("doc_id").alias("least"), F.count("*").alias("docs")))
     copies = materialize(lookup(meets.select("mark", "doc_id"), equal, "mark", "docs").where("least < doc_id").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
@@ -380,9 +410,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     links = copies.unionByName(ids_of_one)
     sets = meets.select("doc_id", "hashes")
     alone = equal.select("mark", F.col("least").alias("doc_id"))
-    at = materialize(meets.join(alone.hint("shuffle_merge"), ["mark", "doc_id"], "left_semi").select("doc_id", F.col("n_shingles").alias("n"), "keys"))
+    at = meets.join(alone.hint("shuffle_merge"), ["mark", "doc_id"], "left_semi").select("chunk", "doc_id", F.col("n_shingles").alias("n"), "keys")
+    at = materialize(met(at, parts))
     each = at.select("doc_id", "n", F.explode("keys").alias("k")).select("doc_id", "n", "k.key", "k.far")
-    roots, again = None, each.where(F.pmod("key", F.lit(8)) == 0)
+    roots, again = None, each.where(F.pmod(F.shiftright("key", 40), F.lit(8)) == 0)
     for then in (each, None):
         meeting = _meeting(again, roots)
         found = materialize(_similar(_stars(meeting, share), sets, share))

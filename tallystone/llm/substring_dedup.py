@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from tallystone.llm import blocks
 from tallystone.llm.common import quoted, unnamed
-from tallystone.llm.words import hashes_of, runs, split, windows
+from tallystone.llm.words import hashed, runs, windows
 
 WINDOW = 13
 CHUNK_BYTES = 4 << 20
@@ -35,8 +35,8 @@ def _starts(table: pa.Table, id_col: str, text_col: str, width: int):
     """Where each text's words begin (and the end), place, hash and row of each window, ids; windows never cross rows."""
     ends, place, hashes, row, words, rows = [np.zeros(1, np.int64)], [], [], [], 0, 0
     for texts in runs(blocks.texts_of(table.column(text_col))):
-        held, own = split(texts)
-        made = windows(hashes_of(held), width)
+        held, own = hashed(texts)
+        made = windows(held, width)
         of = np.repeat(np.arange(len(texts)), np.diff(own))[: len(made)]
         at = np.arange(len(made))
         inside = at + width <= own[1:][of]

@@ -461,3 +461,15 @@ def test_pipeline(spark):
     got = corpus_pipeline.run(spark, DATA)
     assert {"doc_id", "n_tokens", "ids"} <= set(got.columns) and got.count() > 0
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "substring_dedup", "mixing", "bpe"]
+
+
+def test_word_hashes():
+    from tallystone.llm import words
+
+    texts = [b"", None, b"one Two\x00 one", b"\v\f  ", "é☃ é x".encode(), b"z" * 700_000 + b" z", b"a b " * 200_000]
+    got, ends = words.hashed(texts)
+    every = [t.split() if t else [] for t in texts]
+    assert np.diff(ends).tolist() == [len(w) for w in every] and ends[0] == 0
+    flat = [w for t in every for w in t]
+    assert len(set(got.tolist())) == len(set(flat)) and len({(g, w) for g, w in zip(got.tolist(), flat, strict=True)}) == len(set(flat))
+    assert (words.hashed([b"ONE \xc3\x89Z"], lower=True)[0] == words.hashed([b"one \xc3\x89z"])[0]).all()
