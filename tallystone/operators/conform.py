@@ -18,17 +18,17 @@ def chosen_delivery(holdings: DataFrame) -> DataFrame:
 
 
 def deduped(holdings: DataFrame) -> DataFrame:
-    """One row for each (as_of, account, security): that of the first file."""
-    first = F.row_number().over(Window.partitionBy("as_of", "account_id", "security_id").orderBy("file_path"))
+    """One row for each (as_of, account, scheme, security): that of the first file."""
+    first = F.row_number().over(Window.partitionBy("as_of", "account_id", "security_scheme", "security_id").orderBy("file_path"))
     return chosen_delivery(holdings).withColumn("_n", first).where("_n = 1").drop("_n")
 
 
 def enriched(holdings: DataFrame, master: DataFrame) -> DataFrame:
-    """Names and classes from the securities master; what is missing stays visible."""
-    known = master.select("security_id", "mapped", "name", "ticker", "asset_class")
+    """Names and classes from the securities master, which knows ISINs; what is missing stays visible, with the feed's name."""
+    known = master.select("security_id", F.lit("ISIN").alias("security_scheme"), "mapped", "name", "ticker", "asset_class")
     status = F.when(F.col("mapped").isNull(), "NOT_IN_MASTER").when(~F.col("mapped"), "UNKNOWN").otherwise("MAPPED")
-    joined = deduped(holdings).join(known, "security_id", "left")
-    return joined.withColumn("security_name", F.coalesce("name", "security_id")).withColumn("asset_class", F.coalesce("asset_class", F.lit("Unknown"))).withColumn("instrument_status", status)
+    joined = deduped(holdings).join(known, ["security_scheme", "security_id"], "left")
+    return joined.withColumn("security_name", F.coalesce("name", "security_name", "security_id")).withColumn("asset_class", F.coalesce("asset_class", F.lit("Unknown"))).withColumn("instrument_status", status)
 
 
 def position_owners(positions: DataFrame, owners: DataFrame) -> DataFrame:

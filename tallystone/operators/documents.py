@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tallystone.functions.money import to_usd
+
 #: The confidence that passes without review, and the cap on inconsistent documents.
 THRESHOLD, CAP = 0.85, 0.5
 
@@ -56,7 +58,7 @@ def rolled_up(rows: DataFrame) -> DataFrame:
     known = rows.where(F.col("confirmed_amount").isNotNull())
     order = F.struct("sequence_number", "doc_date", "document")
     latest = lambda kind, c: F.max_by(F.when(F.col("doc_type") == kind, F.col(c)), F.when(F.col("doc_type") == kind, order))
-    pending = rows.groupBy("fund_id").agg(F.count_if(F.col("routing") == "needs_review").alias("pending_review_documents"))
+    pending = rows.groupBy("fund_id").agg(F.count_if((F.col("routing") == "needs_review") & F.col("reviewed_status").isNull()).alias("pending_review_documents"))
     stated = F.col("as_of").isNotNull()
     sums = known.groupBy("fund_id").agg(
         latest("capital_account_statement", "doc_date").alias("as_of"), latest("capital_account_statement", "total_commitment").alias("stated_commitment"),
@@ -72,16 +74,39 @@ def rolled_up(rows: DataFrame) -> DataFrame:
 
 
 def nav_by_day(statements: DataFrame, days: DataFrame) -> DataFrame:
-    """(as_of, nav): marks carried forward for each fund on the asked days, then summed; 0 before a fund's first mark.
+    """(as_of, nav): marks carried forward for each fund to the asked days, then summed; 0 before a fund's first mark.
 
-    days: as_of. The grid is asked days plus the fund's own statement days, so that an earlier mark seeds the window.
+    days: as_of. A sum of carried marks is the running sum of their changes, so no fund meets any day but its marks'. The
+    last window runs over one row a day of the calendar.
     """
-    marks = statements.groupBy("fund_id", F.col("doc_date").alias("as_of")).agg(F.max("ending").alias("nav"))
-    grid = statements.select("fund_id").distinct().join(F.broadcast(days.select("as_of").distinct()))
-    grid = grid.unionByName(marks.select("fund_id", "as_of")).distinct()
-    filled = F.last("nav", ignorenulls=True).over(Window.partitionBy("fund_id").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0))
-    rows = grid.join(marks, ["fund_id", "as_of"], "left").withColumn("filled", F.coalesce(filled, F.lit(0).cast("decimal(24,2)")))
-    return rows.join(F.broadcast(days.select("as_of").distinct()), "as_of", "left_semi").groupBy("as_of").agg(F.sum("filled").cast("decimal(24,2)").alias("nav"))
+    marks = statements.where(F.col("ending").isNotNull()).groupBy("fund_id", F.col("doc_date").alias("as_of")).agg(F.max("ending").alias("nav"))
+    before = F.coalesce(F.lag("nav").over(Window.partitionBy("fund_id").orderBy("as_of")), F.lit(0).cast("decimal(24,2)"))
+    change = marks.withColumn("change", F.col("nav") - before).groupBy("as_of").agg(F.sum("change").alias("change"))
+    grid = change.join(days.select("as_of").distinct().withColumn("asked", F.lit(True)), "as_of", "full")
+    upto = Window.orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    return grid.withColumn("nav", F.coalesce(F.sum("change").over(upto), F.lit(0)).cast("decimal(24,2)")).where("asked").select("as_of", "nav")
+
+
+def marks(confirmed_docs: DataFrame, accounts: DataFrame) -> DataFrame:
+    """(fund_id, account_id, currency, statement_date, nav) of confirmed statements. accounts: account_id, currency; a fund
+    belongs to the account of its id."""
+    rows = confirmed_docs.where((F.col("doc_type") == "capital_account_statement") & F.col("confirmed_amount").isNotNull())
+    rows = rows.select("fund_id", F.col("fund_id").alias("account_id"), F.col("doc_date").alias("statement_date"), F.col("ending").alias("nav"))
+    return rows.join(accounts.select("account_id", "currency"), "account_id").select("fund_id", "account_id", "currency", "statement_date", "nav")
+
+
+#: Columns of a roll-up in the fund's currency, and their names in dollars.
+IN_DOLLARS = {"total_commitment": "total_commitment_usd", "total_called": "called_to_date_usd", "total_distributed": "distributed_to_date_usd", "unfunded_commitment": "unfunded_commitment_usd", "current_nav": "current_nav_usd"}
+
+
+def holdings(funds: DataFrame, owners: DataFrame, fx: DataFrame) -> DataFrame:
+    """A row for each client and fund: its part of the roll-up in dollars, at the rate of the statement's day or, without
+    one, of the fund's first document. Ratios and counts are every owner's alike. funds: a roll-up with account_id, currency."""
+    at = lambda day, name: F.broadcast(fx.select(F.col("as_of").alias(day), F.col("rate").alias(name)))
+    rated = funds.join(at("as_of", "_stated"), "as_of", "left").join(at("inception_date", "_begun"), "inception_date", "left").withColumn("rate", F.coalesce("_stated", "_begun"))
+    owned = rated.join(owners.select("account_id", "client_id", "client_name", "ownership_pct"), "account_id")
+    usd = lambda c: (to_usd(F.col(c), F.col("currency"), F.col("rate")) * F.col("ownership_pct")).cast("decimal(24,2)")
+    return owned.select("client_id", "client_name", "fund_id", "fund_name", "account_id", "currency", "inception_date", "as_of", *(usd(c).alias(name) for c, name in IN_DOLLARS.items()), "moic", "pending_review_documents")
 
 
 def evaluated(docs: DataFrame, truth: DataFrame) -> DataFrame:

@@ -18,20 +18,60 @@ def by_client_day(rows: DataFrame, fx: DataFrame, amount: str, name: str) -> Dat
     return _usd(rows, fx, amount).groupBy("client_id", "as_of").agg(F.sum("usd").cast(MONEY).alias(name))
 
 
-def daily(positions: DataFrame, cash: DataFrame, fx: DataFrame, verdicts: DataFrame) -> DataFrame:
-    """Client-day wealth. Positions drive; a client-day without cash has 0, one without a verdict is taken to reconcile."""
+def alternatives(marks: DataFrame, owners: DataFrame, fx: DataFrame) -> DataFrame:
+    """(client_id, fund_id, statement_date, nav_usd): each owner's part of a fund's confirmed marks, in dollars of the mark's
+    day. marks: fund_id, account_id, currency, statement_date, nav; of several marks on a day the greatest counts."""
+    known = marks.where(F.col("nav").isNotNull()).groupBy("fund_id", "account_id", "currency", "statement_date").agg(F.max("nav").alias("nav"))
+    rated = known.join(F.broadcast(fx.select(F.col("as_of").alias("statement_date"), "rate")), "statement_date")
+    owned = rated.join(owners.select("account_id", "client_id", "ownership_pct"), "account_id")
+    usd = to_usd(F.col("nav"), F.col("currency"), F.col("rate")) * F.col("ownership_pct")
+    return owned.select("client_id", "fund_id", "statement_date", usd.cast(MONEY).alias("nav_usd"))
+
+
+def _changes(points: DataFrame) -> DataFrame:
+    """(client_id, as_of, change): by how much a client's marks change on a day."""
+    before = F.coalesce(F.lag("nav_usd").over(Window.partitionBy("client_id", "fund_id").orderBy("statement_date")), F.lit(0).cast(MONEY))
+    return points.withColumn("change", F.col("nav_usd") - before).groupBy("client_id", F.col("statement_date").alias("as_of")).agg(F.sum("change").alias("change"))
+
+
+def alternatives_daily(points: DataFrame, days: DataFrame) -> DataFrame:
+    """(client_id, as_of, alts_usd) for the clients' days: each fund's marks carried forward, summed over the client's funds.
+
+    A sum of carried marks is the running sum of their changes, so there is no grid of funds and days: a fund's marks become
+    changes, changes are summed by client and day, and one window a client runs over its days (bounded by the calendar).
+    Marks of before the first day count from it on; 0 before a client's first mark.
+    """
+    change = _changes(points)
+    asked = days.select("client_id", "as_of").distinct().withColumn("change", F.lit(0).cast(MONEY)).withColumn("asked", F.lit(True))
+    every = asked.unionByName(change.withColumn("asked", F.lit(False))).groupBy("client_id", "as_of").agg(F.sum("change").alias("change"), F.max("asked").alias("asked"))
+    upto = Window.partitionBy("client_id").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    return every.withColumn("alts_usd", F.sum("change").over(upto).cast(MONEY)).where("asked").select("client_id", "as_of", "alts_usd")
+
+
+def daily(positions: DataFrame, cash: DataFrame, alts: DataFrame, fx: DataFrame, verdicts: DataFrame) -> DataFrame:
+    """Client-day wealth. Positions drive; a client-day without cash has 0, one without a verdict is taken to reconcile.
+
+    alts: the points of `alternatives`, carried forward to the days of the positions.
+    """
     p, c = by_client_day(positions, fx, "owned_value", "positions_usd"), by_client_day(cash, fx, "owned_amount", "cash_usd")
     keys = ["client_id", "as_of"]
+    change = _changes(alts)
     ok = verdicts.groupBy(*keys).agg(F.every("conformed_consistent").alias("ok"))
-    rows = p.join(c, keys, "left").join(ok, keys, "left").join(F.broadcast(fx), "as_of").withColumn("cash_usd", F.coalesce("cash_usd", F.lit(0).cast(MONEY)))
-    total = (F.col("positions_usd") + F.col("cash_usd")).cast(MONEY)
-    return rows.select(*keys, "positions_usd", "cash_usd", total.alias("total_wealth_usd"), F.col("rate").alias("fx_rate_used"), F.col("rate_date").alias("fx_rate_date"), F.coalesce("ok", F.lit(True)).alias("books_reconcile"))
-
-
-def allocation(positions: DataFrame, cash: DataFrame, fx: DataFrame) -> DataFrame:
-    held = _usd(positions, fx, "owned_value").select("client_id", "as_of", "asset_class", "usd")
-    money = _usd(cash, fx, "owned_amount").select("client_id", "as_of", F.lit("Cash").alias("asset_class"), "usd")
-    rows = held.unionByName(money).groupBy("client_id", "as_of", "asset_class").agg(F.sum("usd").cast(MONEY).alias("value_usd"))
+    # changes on days without positions are kept for the running sum, then go
+    rows = p.join(change, keys, "full").join(c, keys, "left").join(ok, keys, "left")
+    upto = Window.partitionBy("client_id").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("alts_usd", F.coalesce(F.sum("change").over(upto), F.lit(0)).cast(MONEY)).where(F.col("positions_usd").isNotNull())
+    rows = rows.join(F.broadcast(fx), "as_of").withColumn("cash_usd", F.coalesce("cash_usd", F.lit(0).cast(MONEY)))
+    total = (F.col("positions_usd") + F.col("cash_usd") + F.col("alts_usd")).cast(MONEY)
+    return rows.select(*keys, "positions_usd", "cash_usd", "alts_usd", total.alias("total_wealth_usd"), F.col("rate").alias("fx_rate_used"), F.col("rate_date").alias("fx_rate_date"), F.coalesce("ok", F.lit(True)).alias("books_reconcile"))
+
+
+def allocation(positions: DataFrame, cash: DataFrame, alts: DataFrame, fx: DataFrame) -> DataFrame:
+    """Value and weight of each class a client and day; cash and alternatives (where there are any) are classes."""
+    held = _usd(positions, fx, "owned_value").groupBy("client_id", "as_of", "asset_class").agg(F.sum("usd").cast(MONEY).alias("value_usd"))
+    money = by_client_day(cash, fx, "owned_amount", "value_usd").withColumn("asset_class", F.lit("Cash"))
+    funds = alternatives_daily(alts, held).where("alts_usd > 0").select("client_id", "as_of", F.lit("Alternatives").alias("asset_class"), F.col("alts_usd").alias("value_usd"))
+    rows = held.unionByName(money).unionByName(funds)
     whole = F.sum("value_usd").over(Window.partitionBy("client_id", "as_of"))
     return rows.withColumn("weight", ratio(F.col("value_usd"), whole))
 
@@ -42,10 +82,9 @@ def income(moves: DataFrame, fx: DataFrame) -> DataFrame:
 
 
 def top_holdings(positions: DataFrame, fx: DataFrame, k: int = 10) -> DataFrame:
-    """The k largest securities of each client on the latest day of all."""
-    latest = positions.agg(F.max("as_of").alias("as_of"))
-    now = _usd(positions.join(F.broadcast(latest), "as_of"), fx, "owned_value")
-    rows = now.groupBy("client_id", "as_of", "security_id").agg(F.max("asset_class").alias("asset_class"), F.sum("usd").cast(MONEY).alias("owned_usd"))
+    """The k largest securities of each client and their names; positions: those of one day, the latest."""
+    now = _usd(positions, fx, "owned_value")
+    rows = now.groupBy("client_id", "as_of", "security_id").agg(F.max("security_name").alias("security_name"), F.max("asset_class").alias("asset_class"), F.sum("usd").cast(MONEY).alias("owned_usd"))
     own = Window.partitionBy("client_id")
     ranked = rows.withColumn("weight", ratio(F.col("owned_usd"), F.sum("owned_usd").over(own))).withColumn("rank", F.row_number().over(own.orderBy(F.desc("owned_usd"), "security_id")))
     return ranked.where(F.col("rank") <= k)
@@ -67,34 +106,57 @@ def performance(wealth: DataFrame, moved: DataFrame) -> DataFrame:
 
 
 def endpoints(perf: DataFrame) -> DataFrame:
-    return perf.groupBy("client_id").agg(F.min("as_of").alias("inception_date"), F.max("as_of").alias("as_of"), F.min_by("total_wealth_usd", "as_of").alias("wealth_begin_usd"), F.max_by("total_wealth_usd", "as_of").alias("wealth_end_usd"))
+    return perf.groupBy("client_id").agg(*_ends())
+
+
+def _ends() -> list:
+    return [F.min("as_of").alias("inception_date"), F.max("as_of").alias("as_of"), F.min_by("total_wealth_usd", "as_of").alias("wealth_begin_usd"), F.max_by("total_wealth_usd", "as_of").alias("wealth_end_usd")]
+
+
+#: A day number to count from, so that products of flows and days stay small.
+EPOCH = "2000-01-01"
 
 
 def dietz(perf: DataFrame) -> DataFrame:
-    """Modified Dietz: flows after the first day, each weighted by the share of days left."""
-    ends = endpoints(perf)
-    rows = perf.select("client_id", F.col("as_of").alias("day"), "external_flow_usd").join(ends, "client_id").where("day > inception_date")
-    days = F.datediff("as_of", "inception_date").cast("double")
-    left = F.datediff("as_of", "day").cast("double")
-    flow = F.col("external_flow_usd").cast("double")
-    sums = rows.groupBy("client_id").agg(F.sum("external_flow_usd").cast(MONEY).alias("net_external_flow_usd"), F.sum((flow * F.try_divide(left, days)).cast("decimal(28,8)")).alias("weighted"))
-    out = ends.join(sums, "client_id", "left").na.fill(0, ["net_external_flow_usd"])
-    gain = (F.col("wealth_end_usd") - F.col("wealth_begin_usd") - F.col("net_external_flow_usd")).cast("double")
-    base = F.col("wealth_begin_usd").cast("double") + F.coalesce(F.col("weighted").cast("double"), F.lit(0.0))
-    return out.select("client_id", "inception_date", "as_of", "wealth_begin_usd", "wealth_end_usd", "net_external_flow_usd", F.round(F.try_divide(gain, base), 6).alias("dietz_return"))
+    """Modified Dietz: flows after the first day, each weighted by the share of days left.
+
+    One aggregate by client: the weighted flow is (last day * sum of flows - sum of flow * day) / days, and the first day's
+    flow is taken off again.
+    """
+    day, flow = F.datediff("as_of", F.lit(EPOCH).cast("date")), F.col("external_flow_usd")
+    sums = perf.groupBy("client_id").agg(*_ends(), F.sum(flow).alias("flows"), F.sum(flow * day).alias("flow_days"), F.min_by(flow, "as_of").alias("first_flow"))
+    at = lambda c: F.datediff(c, F.lit(EPOCH).cast("date"))
+    net = (F.col("flows") - F.col("first_flow")).cast(MONEY)
+    later_days = F.col("flow_days") - F.col("first_flow") * at("inception_date")
+    weighted = F.try_divide((net * at("as_of") - later_days).cast("double"), F.datediff("as_of", "inception_date").cast("double"))
+    gain = (F.col("wealth_end_usd") - F.col("wealth_begin_usd") - net).cast("double")
+    base = F.col("wealth_begin_usd").cast("double") + F.coalesce(weighted, F.lit(0.0))
+    return sums.select("client_id", "inception_date", "as_of", "wealth_begin_usd", "wealth_end_usd", net.alias("net_external_flow_usd"), F.round(F.try_divide(gain, base), 6).alias("dietz_return"))
 
 
 def xirr(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200) -> DataFrame:
-    """Money-weighted yearly return by bisection inside one expression; null without a change of sign in the bracket or
-    on a single day. Cash flows of one client are gathered in an array: a row a day, bounded by the calendar."""
-    ends = endpoints(perf)
-    rows = perf.select("client_id", F.col("as_of").alias("day"), F.col("external_flow_usd").cast("double").alias("flow"), F.col("total_wealth_usd").cast("double").alias("w")).join(ends.select("client_id", "inception_date", F.col("as_of").alias("last")), "client_id")
-    cash = F.when(F.col("day") == F.col("inception_date"), -F.col("w")).otherwise(-F.col("flow")) + F.when(F.col("day") == F.col("last"), F.col("w")).otherwise(F.lit(0.0))
-    years = F.datediff("day", "inception_date") / F.lit(365.0)
-    held = rows.select("client_id", "inception_date", "last", cash.alias("c"), years.alias("t")).groupBy("client_id", "inception_date", "last").agg(F.array_sort(F.collect_list(F.when(F.col("c") != 0, F.struct("t", "c")))).alias("flows"))
+    """(client_id, irr, npv_near_zero): money-weighted yearly return, see `rates_of_return`."""
+    found = rates_of_return(perf, low, high, rounds)
+    near = F.abs(F.aggregate("cash", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + F.col("irr"), x["t"]))) < 1.0
+    return found.select("client_id", F.round("irr", 8).alias("irr"), F.when(F.col("irr").isNotNull(), near).alias("npv_near_zero"))
+
+
+def rates_of_return(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200) -> DataFrame:
+    """(client_id, irr, cash): money-weighted yearly return by bisection inside one expression; null without a change of sign
+    in the bracket or on a single day. A client's days are gathered in an array: a row a day, bounded by the calendar; its
+    first and last element are the ends. cash: (t, c), years from the first day and money in (+) or out."""
+    held = perf.groupBy("client_id").agg(F.array_sort(F.collect_list(F.struct("as_of", F.col("external_flow_usd").cast("double").alias("flow"), F.col("total_wealth_usd").cast("double").alias("w")))).alias("days"))
+    held = held.withColumn("first", F.get("days", F.lit(0))).withColumn("last", F.element_at("days", -1))
+
+    def paid(x):
+        at_first, at_last = x["as_of"] == F.col("first.as_of"), x["as_of"] == F.col("last.as_of")
+        money = F.when(at_first, -x["w"]).otherwise(-x["flow"]) + F.when(at_last, x["w"]).otherwise(F.lit(0.0))
+        return F.struct((F.datediff(x["as_of"], F.col("first.as_of")) / F.lit(365.0)).alias("t"), money.alias("c"))
+
+    held = held.withColumn("cash", F.filter(F.transform("days", paid), lambda x: x["c"] != 0))
 
     def npv(rate):
-        return F.aggregate("flows", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + rate, x["t"]))
+        return F.aggregate("cash", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + rate, x["t"]))
 
     held = held.withColumn("at_low", npv(F.lit(low))).withColumn("at_high", npv(F.lit(high)))
 
@@ -103,7 +165,13 @@ def xirr(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int
         same = F.signum(npv(mid)) == F.signum(F.col("at_low"))
         return F.struct(F.when(same, mid).otherwise(s["lo"]).alias("lo"), F.when(same, s["hi"]).otherwise(mid).alias("hi"))
 
-    found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi")), halve)
-    ok = (F.col("inception_date") < F.col("last")) & (F.signum("at_low") * F.signum("at_high") < 0)
-    rate = F.when(ok, (found["lo"] + found["hi"]) / 2)
-    return held.select("client_id", rate.alias("rate"), "flows", ok.alias("ok")).select("client_id", F.round("rate", 8).alias("irr"), F.when(F.col("ok"), F.abs(F.aggregate("flows", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + F.col("rate"), x["t"]))) < 1.0).alias("npv_near_zero"))
+    found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi")), halve, lambda s: (s["lo"] + s["hi"]) / 2)
+    ok = (F.col("first.as_of") < F.col("last.as_of")) & (F.signum("at_low") * F.signum("at_high") < 0)
+    return held.select("client_id", F.when(ok, found).alias("irr"), "cash")
+
+
+def summary(perf: DataFrame) -> DataFrame:
+    """All returns of a client since its first day in one row: chained, Modified Dietz, money-weighted."""
+    chained = perf.groupBy("client_id").agg((F.max_by("twr_index", "as_of") - 1).alias("twr_since_inception"))
+    irr = rates_of_return(perf).select("client_id", F.round("irr", 8).alias("irr_since_inception_annualized"))
+    return dietz(perf).withColumnRenamed("dietz_return", "dietz_since_inception").join(chained, "client_id").join(irr, "client_id", "left")

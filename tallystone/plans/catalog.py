@@ -5,6 +5,7 @@ Both sides begin at the same relations (tallystone.sources.model); SQL says what
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,8 +36,8 @@ def query(sql: str | None = None):
 PIECES = {
     "fx": "SELECT d.day AS as_of, p.rate, p.day AS rate_date FROM days d ASOF JOIN fx_published p ON p.day <= d.day",
     "delivery": "SELECT h.* FROM holdings h JOIN (SELECT as_of, account_id, min(CASE source_format WHEN 'semt.002' THEN 1 ELSE 2 END) AS best FROM holdings GROUP BY as_of, account_id) USING (as_of, account_id) WHERE (CASE source_format WHEN 'semt.002' THEN 1 ELSE 2 END) = best",
-    "dedup": "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY as_of, account_id, security_id ORDER BY file_path) AS n FROM delivery) WHERE n = 1",
-    "positions": "SELECT d.as_of, d.account_id, d.security_id, d.quantity, d.market_value, coalesce(m.name, d.security_id) AS security_name, coalesce(m.asset_class, 'Unknown') AS asset_class, CASE WHEN m.mapped IS NULL THEN 'NOT_IN_MASTER' WHEN NOT m.mapped THEN 'UNKNOWN' ELSE 'MAPPED' END AS instrument_status, a.currency FROM dedup d LEFT JOIN master m ON m.security_id = d.security_id JOIN accounts a ON a.account_id = d.account_id",
+    "dedup": "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY as_of, account_id, security_scheme, security_id ORDER BY file_path) AS n FROM delivery) WHERE n = 1",
+    "positions": "SELECT d.as_of, d.account_id, d.security_scheme, d.security_id, d.quantity, d.market_value, coalesce(m.name, d.security_name) AS security_name, coalesce(m.asset_class, 'Unknown') AS asset_class, CASE WHEN m.mapped IS NULL THEN 'NOT_IN_MASTER' WHEN NOT m.mapped THEN 'UNKNOWN' ELSE 'MAPPED' END AS instrument_status, a.currency FROM dedup d LEFT JOIN master m ON d.security_scheme = 'ISIN' AND m.security_id = d.security_id JOIN accounts a ON a.account_id = d.account_id",
     "pos_owned": "SELECT p.*, o.client_id, o.ownership_pct, CAST(p.market_value * o.ownership_pct AS DECIMAL(24,2)) AS owned_value FROM positions p JOIN owners o ON o.account_id = p.account_id",
     "cash": "SELECT as_of, account_id, transaction_id, max(type) AS type, min(trade_date) AS trade_date, min(settlement_date) AS settlement_date, max(amount) AS amount, max(currency) AS currency, count(*) AS source_row_count, count(DISTINCT type) > 1 OR count(DISTINCT trade_date) > 1 OR count(DISTINCT settlement_date) > 1 OR count(DISTINCT amount) > 1 OR count(DISTINCT currency) > 1 OR count(DISTINCT description) > 1 AS source_disagrees FROM entries GROUP BY as_of, account_id, transaction_id",
     "cash_s": "SELECT *, CAST(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END AS DECIMAL(24,2)) AS signed_amount FROM cash",
@@ -44,31 +45,41 @@ PIECES = {
     "closing_owned": "SELECT b.as_of, b.account_id, b.currency, o.client_id, CAST(b.amount * o.ownership_pct AS DECIMAL(24,2)) AS owned_amount FROM balances b JOIN owners o ON o.account_id = b.account_id WHERE b.balance_type = 'CLOSING'",
     "bal": "SELECT as_of, account_id, max(CASE WHEN balance_type = 'OPENING' THEN amount END) AS opening, max(CASE WHEN balance_type = 'CLOSING' THEN amount END) AS closing, max(currency) AS currency FROM balances GROUP BY as_of, account_id",
     "found": """
-        SELECT as_of, account_id, security_id, 'MISSING_IN_B' AS finding, CAST(NULL AS VARCHAR) AS field, CAST(NULL AS VARCHAR) AS a_value, CAST(NULL AS VARCHAR) AS b_value FROM feed_a ANTI JOIN feed_b USING (as_of, account_id, security_id)
-        UNION ALL SELECT as_of, account_id, security_id, 'MISSING_IN_A', NULL, NULL, NULL FROM feed_b ANTI JOIN feed_a USING (as_of, account_id, security_id)
-        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'quantity', CAST(a.quantity AS VARCHAR), CAST(b.quantity AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.quantity IS DISTINCT FROM b.quantity
-        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'price_as_of', CAST(a.price_as_of AS VARCHAR), CAST(b.price_as_of AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.price_as_of IS DISTINCT FROM b.price_as_of
-        UNION ALL SELECT a.as_of, a.account_id, a.security_id, 'FIELD_MISMATCH', 'market_value', CAST(a.market_value AS VARCHAR), CAST(b.market_value AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_id) WHERE a.market_value IS DISTINCT FROM b.market_value""",
+        SELECT as_of, account_id, security_scheme, security_id, 'MISSING_IN_MT535' AS finding, 'presence' AS field, 'PRESENT' AS semt002_value, 'ABSENT' AS mt535_value FROM feed_a ANTI JOIN feed_b USING (as_of, account_id, security_scheme, security_id)
+        UNION ALL SELECT as_of, account_id, security_scheme, security_id, 'MISSING_IN_SEMT002', 'presence', 'ABSENT', 'PRESENT' FROM feed_b ANTI JOIN feed_a USING (as_of, account_id, security_scheme, security_id)"""
+    + "".join(f" UNION ALL SELECT a.as_of, a.account_id, a.security_scheme, a.security_id, 'FIELD_MISMATCH', '{f}', CAST(a.{f} AS VARCHAR), CAST(b.{f} AS VARCHAR) FROM feed_a a JOIN feed_b b USING (as_of, account_id, security_scheme, security_id) WHERE a.{f} IS DISTINCT FROM b.{f}" for f in quality.FIELDS),
     "integ": """
         SELECT *, delta_raw = 0 AS raw_consistent, delta_conformed = 0 AS conformed_consistent FROM (
             SELECT b.as_of, b.account_id, b.opening, b.closing, b.currency, CAST(coalesce(r.m, 0) AS DECIMAL(24,2)) AS movements_raw, CAST(coalesce(c.m, 0) AS DECIMAL(24,2)) AS movements_conformed, CAST(b.opening + coalesce(r.m, 0) - b.closing AS DECIMAL(24,2)) AS delta_raw, CAST(b.opening + coalesce(c.m, 0) - b.closing AS DECIMAL(24,2)) AS delta_conformed
             FROM bal b LEFT JOIN (SELECT as_of, account_id, sum(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END) AS m FROM entries GROUP BY as_of, account_id) r USING (as_of, account_id) LEFT JOIN (SELECT as_of, account_id, sum(signed_amount) AS m FROM cash_s GROUP BY as_of, account_id) c USING (as_of, account_id))""",
     "contin": "SELECT as_of, account_id, opening, prev_closing, CAST(opening - prev_closing AS DECIMAL(24,2)) AS delta, opening = prev_closing AS continuous FROM (SELECT *, lag(closing) OVER (PARTITION BY account_id ORDER BY as_of) AS prev_closing FROM bal)",
-    "metric_days": "SELECT p.as_of, n, found_n, checked, raw_bad, clean_bad, compared, broken FROM (SELECT as_of, count(*) AS n FROM positions GROUP BY as_of) p LEFT JOIN (SELECT as_of, count(*) AS found_n FROM found GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(*) AS checked, count_if(NOT raw_consistent) AS raw_bad, count_if(NOT conformed_consistent) AS clean_bad FROM integ GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(continuous) AS compared, count_if(NOT continuous) AS broken FROM contin GROUP BY as_of) USING (as_of)",
-    "dq": """
-        SELECT as_of, metric, CAST(value AS DECIMAL(14,6)) AS value, CAST(value AS DECIMAL(14,6)) = 1 AS passed FROM (
-            SELECT as_of, 'accuracy' AS metric, 1 - CAST(coalesce(found_n, 0) AS DOUBLE) / nullif(n, 0) AS value FROM metric_days UNION ALL SELECT as_of, 'consistency_raw', 1 - CAST(coalesce(raw_bad, 0) AS DOUBLE) / nullif(checked, 0) FROM metric_days
-            UNION ALL SELECT as_of, 'consistency_conformed', 1 - CAST(coalesce(clean_bad, 0) AS DOUBLE) / nullif(checked, 0) FROM metric_days UNION ALL SELECT as_of, 'continuity', 1 - CAST(coalesce(broken, 0) AS DOUBLE) / nullif(compared, 0) FROM metric_days)""",
+    "metric_days": """
+        SELECT d.as_of, parsed, files, coalesce(n, 0) AS n, coalesce(found_n, 0) AS found_n, coalesce(total, 0) AS total, coalesce(ok, 0) AS ok, checked, kept FROM (SELECT statement_date AS as_of, count_if(status = 'PARSED') AS parsed, count(*) AS files FROM deliveries GROUP BY statement_date) d
+        LEFT JOIN (SELECT as_of, count(*) AS n FROM positions GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(*) AS found_n FROM found GROUP BY as_of) USING (as_of)
+        LEFT JOIN (SELECT as_of, count(*) AS total, count_if(conformed_consistent) AS ok FROM integ GROUP BY as_of) USING (as_of) LEFT JOIN (SELECT as_of, count(*) AS checked, count_if(continuous) AS kept FROM contin WHERE continuous IS NOT NULL GROUP BY as_of) USING (as_of)""",
+    "dq": f"""
+        SELECT as_of, dimension, metric, CAST(value AS DECIMAL(14,6)) AS value, passed, detail FROM (
+            SELECT as_of, 'completeness' AS dimension, 'files_landed_rate' AS metric, CAST(parsed AS DOUBLE) / files AS value, parsed = files AS passed, concat(parsed, ' of ', files, ' expected files parsed') AS detail FROM metric_days
+            UNION ALL SELECT as_of, 'accuracy', 'holdings_cross_format_match_rate', 1 - CAST(found_n AS DOUBLE) / nullif(n, 0), found_n = 0, concat(found_n, ' cross-format findings across ', n, ' positions') FROM metric_days
+            UNION ALL SELECT as_of, 'accuracy', 'cash_conformed_consistency_rate', CAST(ok AS DOUBLE) / nullif(total, 0), total = ok, concat(ok, ' of ', total, ' account-days consistent') FROM metric_days
+            UNION ALL SELECT as_of, 'accuracy', 'cash_day_over_day_continuity_rate', CAST(kept AS DOUBLE) / checked, kept = checked, concat(kept, ' of ', checked, ' accounts continuous from the prior day') FROM metric_days WHERE checked IS NOT NULL
+            UNION ALL SELECT as_of, 'exceptions', 'holdings_findings_count', found_n, NULL, concat(found_n, ' cross-format findings') FROM metric_days
+            UNION ALL SELECT as_of, 'exceptions', 'cash_integrity_breaks_count', total - ok, NULL, concat(total - ok, ' account-days with a missing movement') FROM metric_days
+            UNION ALL SELECT as_of, 'exceptions', 'cash_continuity_breaks_count', checked - kept, NULL, concat(checked - kept, ' accounts broke day-over-day continuity') FROM metric_days WHERE checked IS NOT NULL
+            UNION ALL SELECT DATE '{RUN_DATE}', 'freshness', 'bronze_days_behind', date_diff('day', max(statement_date), DATE '{RUN_DATE}'), date_diff('day', max(statement_date), DATE '{RUN_DATE}') <= 3, concat('bronze last landed ', max(statement_date)) FROM deliveries)""",
     "pos_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_value AS DECIMAL(28,8)) ELSE CAST(p.owned_value * f.rate AS DECIMAL(28,8)) END AS usd FROM pos_owned p JOIN fx f ON f.as_of = p.as_of",
     "closing_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_amount AS DECIMAL(28,8)) ELSE CAST(p.owned_amount * f.rate AS DECIMAL(28,8)) END AS usd FROM closing_owned p JOIN fx f ON f.as_of = p.as_of",
     "moves_usd": "SELECT p.*, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_amount AS DECIMAL(28,8)) ELSE CAST(p.owned_amount * f.rate AS DECIMAL(28,8)) END AS usd, CASE WHEN p.currency = 'USD' THEN CAST(p.owned_signed AS DECIMAL(28,8)) ELSE CAST(p.owned_signed * f.rate AS DECIMAL(28,8)) END AS usd_signed FROM cash_owned p JOIN fx f ON f.as_of = p.as_of",
+    "alts_points": "SELECT o.client_id, d.fund_id, d.doc_date AS statement_date, CAST(CASE WHEN a.currency = 'USD' THEN CAST(d.nav AS DECIMAL(28,8)) ELSE CAST(d.nav * f.rate AS DECIMAL(28,8)) END * o.ownership_pct AS DECIMAL(24,2)) AS nav_usd FROM (SELECT fund_id, doc_date, max(ending) AS nav FROM doc_final WHERE doc_type = 'capital_account_statement' AND confirmed_amount IS NOT NULL AND ending IS NOT NULL GROUP BY fund_id, doc_date) d JOIN accounts a ON a.account_id = d.fund_id JOIN owners o ON o.account_id = d.fund_id JOIN fx f ON f.as_of = d.doc_date",
+    "alts_daily": "SELECT g.client_id, g.as_of, CAST(sum(coalesce(p.nav_usd, 0)) AS DECIMAL(24,2)) AS alts_usd FROM (SELECT w.client_id, w.as_of, f.fund_id FROM (SELECT DISTINCT client_id, as_of FROM pos_usd) w JOIN (SELECT DISTINCT client_id, fund_id FROM alts_points) f ON f.client_id = w.client_id) g ASOF LEFT JOIN alts_points p ON p.client_id = g.client_id AND p.fund_id = g.fund_id AND p.statement_date <= g.as_of GROUP BY g.client_id, g.as_of",
     "wealth": """
-        SELECT client_id, p.as_of, positions_usd, coalesce(cash_usd, 0.00) AS cash_usd, CAST(positions_usd + coalesce(cash_usd, 0) AS DECIMAL(24,2)) AS total_wealth_usd, f.rate AS fx_rate_used, f.rate_date AS fx_rate_date, coalesce(ok, true) AS books_reconcile
-        FROM (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS positions_usd FROM pos_usd GROUP BY client_id, as_of) p LEFT JOIN (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS cash_usd FROM closing_usd GROUP BY client_id, as_of) c USING (client_id, as_of)
+        SELECT client_id, p.as_of, positions_usd, coalesce(cash_usd, 0.00) AS cash_usd, coalesce(alts_usd, CAST(0 AS DECIMAL(24,2))) AS alts_usd, CAST(positions_usd + coalesce(cash_usd, 0) + coalesce(alts_usd, 0) AS DECIMAL(24,2)) AS total_wealth_usd, f.rate AS fx_rate_used, f.rate_date AS fx_rate_date, coalesce(ok, true) AS books_reconcile
+        FROM (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS positions_usd FROM pos_usd GROUP BY client_id, as_of) p LEFT JOIN (SELECT client_id, as_of, CAST(sum(usd) AS DECIMAL(24,2)) AS cash_usd FROM closing_usd GROUP BY client_id, as_of) c USING (client_id, as_of) LEFT JOIN alts_daily USING (client_id, as_of)
         LEFT JOIN (SELECT o.client_id, i.as_of, bool_and(conformed_consistent) AS ok FROM integ i JOIN owners o ON o.account_id = i.account_id GROUP BY o.client_id, i.as_of) q USING (client_id, as_of) JOIN fx f ON f.as_of = p.as_of""",
     "flow": "SELECT client_id, as_of, CAST(sum(usd_signed) AS DECIMAL(24,2)) AS external_flow_usd FROM moves_usd WHERE type IN ('TRANSFER_IN', 'TRANSFER_OUT') GROUP BY client_id, as_of",
     "perf_raw": "SELECT *, CAST(total_wealth_usd - external_flow_usd AS DOUBLE) / nullif(CAST(before AS DOUBLE), 0) - 1 AS r FROM (SELECT w.client_id, w.as_of, total_wealth_usd, coalesce(external_flow_usd, CAST(0 AS DECIMAL(24,2))) AS external_flow_usd, lag(total_wealth_usd) OVER (PARTITION BY w.client_id ORDER BY w.as_of) AS before FROM wealth w LEFT JOIN flow USING (client_id, as_of))",
     "ends": "SELECT client_id, min(as_of) AS inception_date, max(as_of) AS as_of, arg_min(total_wealth_usd, as_of) AS wealth_begin_usd, arg_max(total_wealth_usd, as_of) AS wealth_end_usd FROM perf_raw GROUP BY client_id",
+    "dietz_row": "SELECT client_id, inception_date, as_of, wealth_begin_usd, wealth_end_usd, net_external_flow_usd, round(CAST(wealth_end_usd - wealth_begin_usd - net_external_flow_usd AS DOUBLE) / nullif(CAST(wealth_begin_usd AS DOUBLE) + coalesce(CAST(weighted AS DOUBLE), 0), 0), 6) AS dietz_return FROM (SELECT e.*, CAST(coalesce(n, 0) AS DECIMAL(24,2)) AS net_external_flow_usd, weighted FROM ends e LEFT JOIN (SELECT p.client_id, sum(p.external_flow_usd) AS n, sum(CAST(CAST(p.external_flow_usd AS DOUBLE) * (CAST(date_diff('day', p.as_of, e.as_of) AS DOUBLE) / date_diff('day', e.inception_date, e.as_of)) AS DECIMAL(28,8))) AS weighted FROM perf_raw p JOIN ends e ON e.client_id = p.client_id AND p.as_of > e.inception_date GROUP BY p.client_id) USING (client_id))",
     "doc_steps": """
         SELECT *, row_number() OVER w AS place, sum(CASE WHEN amount IS NOT NULL AND cumulative IS NOT NULL THEN amount END) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS running, last_value(ending IGNORE NULLS) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior
         FROM fund_docs WINDOW w AS (PARTITION BY fund_id, doc_type ORDER BY sequence_number, doc_date, document)""",
@@ -85,19 +96,21 @@ PIECES = {
 
 
 def _sql(text: str) -> str:
-    import re
+    """The text with the relations that it needs, each after those that it uses."""
+    irr = bool(re.search(r"\birr\b", text))
+    own: dict[str, str] = {}
 
-    need, todo = set(), [text]
-    while todo:
-        now = todo.pop()
-        for name, body in PIECES.items():
-            if name not in need and re.search(rf"\b{name}\b", now):
-                need.add(name)
-                todo.append(body)
-    own = ", ".join(f"{n} AS ({b})" for n, b in PIECES.items() if n in need)
-    base = with_clause(DUCK, f"{text} {own}")
-    parts = ", ".join(x for x in (base, own) if x)
-    return f"WITH {parts} {text}" if parts else text
+    def need(body: str) -> None:
+        for name, inner in PIECES.items():
+            if name not in own and re.search(rf"\b{name}\b", body):
+                need(inner)
+                own.setdefault(name, inner)
+
+    need(f"{text} {_IRR}" if irr else text)
+    pieces = ", ".join(f"{n} AS ({b})" for n, b in own.items())
+    base = with_clause(DUCK, f"{text} {pieces}")
+    parts = ", ".join(x for x in (base, pieces, _IRR if irr else "") if x)
+    return f"WITH {'RECURSIVE ' if irr else ''}{parts} {text}" if parts else text
 
 
 # --- shared DataFrames -------------------------------------------------------------------------------------------
@@ -107,16 +120,25 @@ def _rates(m: Model) -> DataFrame:
     return fx.fill_forward(m["fx_published"], m["days"])
 
 
-def _positions(m: Model) -> DataFrame:
-    return conform.enriched(m["holdings"], m["master"]).join(m["accounts"].select("account_id", "currency"), "account_id")
+def _on(rows: DataFrame, day) -> DataFrame:
+    return rows if day is None else rows.where(F.col("as_of") == F.lit(day))
+
+
+def _latest(m: Model):
+    """The last day with holdings: one value, by which all inputs are then pruned."""
+    return m["holdings"].agg(F.max("as_of")).first()[0]
 
 
-def _pos_owned(m: Model) -> DataFrame:
-    return conform.position_owners(_positions(m), m["owners"])
+def _positions(m: Model, day=None) -> DataFrame:
+    return conform.enriched(_on(m["holdings"], day), m["master"]).join(m["accounts"].select("account_id", "currency"), "account_id")
 
 
-def _closing(m: Model) -> DataFrame:
-    return conform.cash_owners(m["balances"].where("balance_type = 'CLOSING'"), "amount", m["owners"])
+def _pos_owned(m: Model, day=None) -> DataFrame:
+    return conform.position_owners(_positions(m, day), m["owners"])
+
+
+def _closing(m: Model, day=None) -> DataFrame:
+    return conform.cash_owners(_on(m["balances"], day).where("balance_type = 'CLOSING'"), "amount", m["owners"])
 
 
 def _moves(m: Model) -> DataFrame:
@@ -124,21 +146,29 @@ def _moves(m: Model) -> DataFrame:
     return owned.withColumn("owned_signed", (F.col("signed_amount") * F.col("ownership_pct")).cast("decimal(24,2)"))
 
 
-def _integrity(m: Model) -> DataFrame:
-    return quality.integrity(m["balances"], m["entries"])
+def _integrity(m: Model, day=None) -> DataFrame:
+    return quality.integrity(_on(m["balances"], day), _on(m["entries"], day))
+
 
+def _alts(m: Model) -> DataFrame:
+    return wealth.alternatives(documents.marks(_confirmed(m), m["accounts"]), m["owners"], _rates(m))
 
-def _wealth(m: Model) -> DataFrame:
-    verdicts = _integrity(m).select("as_of", "account_id", "conformed_consistent").join(m["owners"], "account_id")
-    return wealth.daily(_pos_owned(m), _closing(m), _rates(m), verdicts)
+
+def _wealth(m: Model, day=None) -> DataFrame:
+    verdicts = _integrity(m, day).select("as_of", "account_id", "conformed_consistent").join(m["owners"], "account_id")
+    return wealth.daily(_pos_owned(m, day), _closing(m, day), _alts(m), _rates(m), verdicts)
 
 
 def _performance(m: Model) -> DataFrame:
     return wealth.performance(_wealth(m), wealth.flows(_moves(m), _rates(m)))
 
 
+def _found(m: Model) -> DataFrame:
+    return quality.findings_of_feeds(m["feeds"])
+
+
 def _metrics(m: Model) -> DataFrame:
-    return quality.metrics(_positions(m), quality.findings(m["feed_a"], m["feed_b"]), _integrity(m), quality.continuity(m["balances"]))
+    return quality.metrics(m["deliveries"], _positions(m), _found(m), _integrity(m), quality.continuity(m["balances"]), RUN_DATE)
 
 
 def _judged(m: Model) -> DataFrame:
@@ -170,8 +200,7 @@ def books_reconcile(m):
 
 @query("SELECT client_id, as_of, total_wealth_usd FROM wealth WHERE as_of = (SELECT max(as_of) FROM wealth)")
 def wealth_latest(m):
-    rows = _wealth(m).select("client_id", "as_of", "total_wealth_usd")
-    return rows.join(F.broadcast(rows.agg(F.max("as_of").alias("as_of"))), "as_of")
+    return _wealth(m, _latest(m)).select("client_id", "as_of", "total_wealth_usd")
 
 
 @query("SELECT as_of, rate, rate_date FROM fx")
@@ -179,17 +208,19 @@ def fx_fill_forward(m):
     return _rates(m)
 
 
-_ALLOCATION = "SELECT client_id, as_of, asset_class, value_usd, CAST(CAST(value_usd AS DOUBLE) / nullif(CAST(sum(value_usd) OVER (PARTITION BY client_id, as_of) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight FROM (SELECT client_id, as_of, asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS value_usd FROM (SELECT client_id, as_of, asset_class, usd FROM pos_usd UNION ALL SELECT client_id, as_of, 'Cash', usd FROM closing_usd) GROUP BY client_id, as_of, asset_class)"
+_ALLOCATION = """SELECT client_id, as_of, asset_class, value_usd, CAST(CAST(value_usd AS DOUBLE) / nullif(CAST(sum(value_usd) OVER (PARTITION BY client_id, as_of) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight FROM (
+    SELECT client_id, as_of, asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS value_usd FROM (SELECT client_id, as_of, asset_class, usd FROM pos_usd UNION ALL SELECT client_id, as_of, 'Cash', usd FROM closing_usd) GROUP BY client_id, as_of, asset_class UNION ALL SELECT client_id, as_of, 'Alternatives', alts_usd FROM alts_daily WHERE alts_usd > 0)"""
 
 
 @query(_ALLOCATION)
 def asset_allocation(m):
-    return wealth.allocation(_pos_owned(m), _closing(m), _rates(m))
+    return wealth.allocation(_pos_owned(m), _closing(m), _alts(m), _rates(m))
 
 
 @query(f"SELECT * FROM ({_ALLOCATION}) WHERE as_of = (SELECT max(as_of) FROM ({_ALLOCATION}))")
 def allocation_latest(m):
-    return registry.on_latest_day(wealth.allocation(_pos_owned(m), _closing(m), _rates(m)))
+    day = _latest(m)
+    return wealth.allocation(_pos_owned(m, day), _closing(m, day), _alts(m), _rates(m))
 
 
 _INCOME = "SELECT client_id, CAST(date_trunc('month', as_of) AS DATE) AS month, type, CAST(sum(usd) AS DECIMAL(24,2)) AS income_usd, count(*) AS movements FROM moves_usd WHERE type IN ('DIVIDEND', 'INTEREST') GROUP BY client_id, date_trunc('month', as_of), type"
@@ -206,9 +237,9 @@ def income_pivot(m):
     return wide.select("month", F.col("DIVIDEND").alias("dividend"), F.col("INTEREST").alias("interest"))
 
 
-@query("SELECT client_id, as_of, security_id, asset_class, owned_usd, weight, CAST(rank AS INTEGER) AS rank FROM (SELECT *, CAST(CAST(owned_usd AS DOUBLE) / nullif(CAST(sum(owned_usd) OVER (PARTITION BY client_id) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight, row_number() OVER (PARTITION BY client_id ORDER BY owned_usd DESC, security_id) AS rank FROM (SELECT client_id, as_of, security_id, max(asset_class) AS asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS owned_usd FROM pos_usd WHERE as_of = (SELECT max(as_of) FROM positions) GROUP BY client_id, as_of, security_id)) WHERE rank <= 10")
+@query("SELECT client_id, as_of, security_id, security_name, asset_class, owned_usd, weight, CAST(rank AS INTEGER) AS rank FROM (SELECT *, CAST(CAST(owned_usd AS DOUBLE) / nullif(CAST(sum(owned_usd) OVER (PARTITION BY client_id) AS DOUBLE), 0) AS DECIMAL(9,6)) AS weight, row_number() OVER (PARTITION BY client_id ORDER BY owned_usd DESC, security_id) AS rank FROM (SELECT client_id, as_of, security_id, max(security_name) AS security_name, max(asset_class) AS asset_class, CAST(sum(usd) AS DECIMAL(24,2)) AS owned_usd FROM pos_usd WHERE as_of = (SELECT max(as_of) FROM positions) GROUP BY client_id, as_of, security_id)) WHERE rank <= 10")
 def top_holdings(m):
-    return wealth.top_holdings(_pos_owned(m), _rates(m))
+    return wealth.top_holdings(_pos_owned(m, _latest(m)), _rates(m))
 
 
 @query("SELECT client_id, as_of, external_flow_usd FROM flow")
@@ -226,16 +257,31 @@ def performance_bounds(m):
     return wealth.endpoints(_performance(m))
 
 
-@query("SELECT client_id, inception_date, as_of, wealth_begin_usd, wealth_end_usd, net_external_flow_usd, round(CAST(wealth_end_usd - wealth_begin_usd - net_external_flow_usd AS DOUBLE) / nullif(CAST(wealth_begin_usd AS DOUBLE) + coalesce(CAST(weighted AS DOUBLE), 0), 0), 6) AS dietz_return FROM (SELECT e.*, CAST(coalesce(n, 0) AS DECIMAL(24,2)) AS net_external_flow_usd, weighted FROM ends e LEFT JOIN (SELECT p.client_id, sum(p.external_flow_usd) AS n, sum(CAST(CAST(p.external_flow_usd AS DOUBLE) * (CAST(date_diff('day', p.as_of, e.as_of) AS DOUBLE) / date_diff('day', e.inception_date, e.as_of)) AS DECIMAL(28,8))) AS weighted FROM perf_raw p JOIN ends e ON e.client_id = p.client_id AND p.as_of > e.inception_date GROUP BY p.client_id) USING (client_id))")
+@query("SELECT * FROM dietz_row")
 def dietz(m):
     return wealth.dietz(_performance(m))
 
 
-@query()
+_IRR = """
+    flows AS (SELECT p.client_id, list({'t': CAST(date_diff('day', e.inception_date, p.as_of) AS DOUBLE) / 365.0, 'c': CASE WHEN p.as_of = e.inception_date THEN -CAST(total_wealth_usd AS DOUBLE) ELSE -CAST(external_flow_usd AS DOUBLE) END + CASE WHEN p.as_of = e.as_of THEN CAST(total_wealth_usd AS DOUBLE) ELSE 0 END} ORDER BY p.as_of) AS every, min(e.inception_date) < max(e.as_of) AS several FROM perf_raw p JOIN ends e USING (client_id) GROUP BY p.client_id),
+    begun AS (SELECT client_id, several, list_filter(every, lambda x: x.c <> 0) AS cash FROM flows),
+    ranged AS (SELECT *, sign(list_sum(list_transform(cash, lambda x: x.c / pow(1 - 0.9999, x.t)))) AS low, sign(list_sum(list_transform(cash, lambda x: x.c / pow(11.0, x.t)))) AS high FROM begun),
+    halves(client_id, cash, low, lo, hi, n) AS (SELECT client_id, cash, low, CAST(-0.9999 AS DOUBLE), CAST(10.0 AS DOUBLE), 0 FROM ranged WHERE several AND low * high < 0
+        UNION ALL SELECT client_id, cash, low, CASE WHEN at_mid = low THEN mid ELSE lo END, CASE WHEN at_mid = low THEN hi ELSE mid END, n + 1 FROM (SELECT *, sign(list_sum(list_transform(cash, lambda x: x.c / pow(1 + mid, x.t)))) AS at_mid FROM (SELECT *, (lo + hi) / 2 AS mid FROM halves WHERE n < 200))),
+    irr AS (SELECT b.client_id, (h.lo + h.hi) / 2 AS irr, b.cash FROM begun b LEFT JOIN halves h ON h.client_id = b.client_id AND h.n = 200)"""
+
+
+@query("SELECT client_id, round(irr, 8) AS irr, CASE WHEN irr IS NOT NULL THEN abs(list_sum(list_transform(cash, lambda x: x.c / pow(1 + irr, x.t)))) < 1 END AS npv_near_zero FROM irr")
 def xirr(m):
     return wealth.xirr(_performance(m))
 
 
+@query("SELECT d.*, twr_since_inception, round(irr, 8) AS irr_since_inception_annualized FROM (SELECT * RENAME (dietz_return AS dietz_since_inception) FROM dietz_row) d JOIN (SELECT client_id, arg_max(twr, as_of) - 1 AS twr_since_inception FROM (SELECT client_id, as_of, round(exp(sum(CASE WHEN r > -1 THEN ln(1 + r) ELSE 0 END) OVER (PARTITION BY client_id ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 4) AS twr FROM perf_raw) GROUP BY client_id) USING (client_id) LEFT JOIN irr USING (client_id)")
+def performance_summary(m):
+    """Every return of a client since its first day, in one row."""
+    return wealth.summary(_performance(m))
+
+
 @query("SELECT currency, count(*) AS accounts FROM (SELECT CASE WHEN account_id % 50 = 7 THEN 'CHF' ELSE currency END AS currency FROM accounts) WHERE currency NOT IN ('USD', 'EUR') GROUP BY currency")
 def unknown_currency_guard(m):
     """Currencies that would stop the conversion, on accounts of which some are made to hold one."""
@@ -343,12 +389,12 @@ def cash_prorated(m):
 
 @query("SELECT * FROM found")
 def recon_findings(m):
-    return quality.findings(m["feed_a"], m["feed_b"])
+    return _found(m)
 
 
-@query("SELECT finding, coalesce(field, '-') AS field, count(*) AS n FROM found GROUP BY finding, field")
+@query("SELECT finding, field, count(*) AS n FROM found GROUP BY finding, field")
 def recon_summary(m):
-    return quality.findings(m["feed_a"], m["feed_b"]).groupBy("finding", F.coalesce("field", F.lit("-")).alias("field")).agg(F.count("*").alias("n"))
+    return _found(m).groupBy("finding", "field").agg(F.count("*").alias("n"))
 
 
 @query("SELECT * FROM integ")
@@ -372,9 +418,10 @@ def dq_metrics(m):
     return _metrics(m)
 
 
-@query("SELECT metric, count_if(passed) AS passed_days, count(passed) AS days, round(CAST(count_if(passed) AS DOUBLE) / count(passed), 6) AS attainment FROM dq GROUP BY metric")
+@query("SELECT dimension, metric, count_if(passed) AS passed_days, count(*) AS days, round(CAST(count_if(passed) AS DOUBLE) / count(*), 6) AS attainment FROM dq WHERE passed IS NOT NULL GROUP BY dimension, metric")
 def dq_sla(m):
-    return _metrics(m).groupBy("metric").agg(F.count_if("passed").alias("passed_days"), F.count("passed").alias("days"), F.round(F.count_if("passed") / F.count("passed"), 6).alias("attainment"))
+    """How often each series that has a verdict passed."""
+    return _metrics(m).where("passed IS NOT NULL").groupBy("dimension", "metric").agg(F.count_if("passed").alias("passed_days"), F.count("*").alias("days"), F.round(F.count_if("passed") / F.count("*"), 6).alias("attainment"))
 
 
 @query("SELECT metric, max(as_of) AS as_of, max_by(value, as_of) AS value FROM dq WHERE value IS NOT NULL GROUP BY metric")
@@ -383,9 +430,11 @@ def dq_latest(m):
     return _metrics(m).where("value IS NOT NULL").groupBy("metric").agg(F.max("as_of").alias("as_of"), F.max_by("value", "as_of").alias("value"))
 
 
-@query("SELECT as_of, max(CASE WHEN metric = 'accuracy' THEN value END) AS accuracy, max(CASE WHEN metric = 'continuity' THEN value END) AS continuity FROM dq GROUP BY as_of")
+@query("SELECT as_of, max(CASE WHEN metric = 'holdings_cross_format_match_rate' THEN value END) AS holdings_cross_format_match_rate, max(CASE WHEN metric = 'cash_conformed_consistency_rate' THEN value END) AS cash_conformed_consistency_rate, max(CASE WHEN metric = 'cash_day_over_day_continuity_rate' THEN value END) AS cash_day_over_day_continuity_rate, max(CASE WHEN metric = 'files_landed_rate' THEN value END) AS files_landed_rate FROM dq WHERE dimension <> 'freshness' GROUP BY as_of")
 def dq_pivot(m):
-    return _metrics(m).groupBy("as_of").pivot("metric", ["accuracy", "continuity"]).agg(F.max("value"))
+    """The rates of a day side by side."""
+    rates = ["holdings_cross_format_match_rate", "cash_conformed_consistency_rate", "cash_day_over_day_continuity_rate", "files_landed_rate"]
+    return _metrics(m).where("dimension <> 'freshness'").groupBy("as_of").pivot("metric", rates).agg(F.max("value"))
 
 
 @query(f"SELECT max(as_of) AS latest, date_diff('day', max(as_of), DATE '{RUN_DATE}') AS age_days, date_diff('day', max(as_of), DATE '{RUN_DATE}') <= 3 AS passed FROM base_holdings")
@@ -441,7 +490,7 @@ def doc_eval_fields(m):
 
 
 _LATEST = "arg_max({c}, (sequence_number, doc_date, document)) FILTER (doc_type = '{t}')"
-_ROLL = f"""SELECT fund_id, pending_review_documents, inception_date, total_called, total_distributed, current_nav, round(CAST(total_distributed + current_nav AS DOUBLE) / nullif(CAST(total_called AS DOUBLE), 0), 6) AS moic FROM (SELECT fund_id, count_if(NOT auto) AS pending_review_documents FROM doc_final GROUP BY fund_id)
+_ROLL = f"""SELECT fund_id, pending_review_documents, inception_date, total_called, total_distributed, current_nav, round(CAST(total_distributed + current_nav AS DOUBLE) / nullif(CAST(total_called AS DOUBLE), 0), 6) AS moic FROM (SELECT fund_id, count_if(NOT auto AND reviewed_status IS NULL) AS pending_review_documents FROM doc_final GROUP BY fund_id)
     JOIN (SELECT fund_id, min(doc_date) AS inception_date, CAST(coalesce({_LATEST.format(c='cumulative', t='capital_call')}, 0) AS DECIMAL(24,2)) AS total_called, CAST(coalesce({_LATEST.format(c='cumulative', t='distribution')}, 0) AS DECIMAL(24,2)) AS total_distributed, CAST(coalesce({_LATEST.format(c='ending', t='capital_account_statement')}, 0) AS DECIMAL(24,2)) AS current_nav FROM doc_final WHERE confirmed_amount IS NOT NULL GROUP BY fund_id) USING (fund_id)"""
 
 
@@ -458,14 +507,30 @@ def fund_commitment(m):
     return documents.rolled_up(_confirmed(m)).select("fund_id", "as_of", "total_commitment", "unfunded_commitment")
 
 
-@query(f"SELECT o.client_id, r.fund_id, a.currency, CAST(r.total_called * o.ownership_pct AS DECIMAL(24,2)) AS total_called, CAST(r.current_nav * o.ownership_pct AS DECIMAL(24,2)) AS current_nav, r.moic, r.pending_review_documents FROM ({_ROLL}) r JOIN owners o ON o.account_id = r.fund_id JOIN accounts a ON a.account_id = r.fund_id")
+_COMMITTED = f"""SELECT fund_id, as_of, CASE WHEN as_of IS NULL THEN CAST(called + remaining AS DECIMAL(24,2)) ELSE stated END AS total_commitment, CASE WHEN as_of IS NULL THEN remaining ELSE unfunded END AS unfunded_commitment FROM (
+    SELECT fund_id, {_LATEST.format(c='doc_date', t='capital_account_statement')} AS as_of, {_LATEST.format(c='total_commitment', t='capital_account_statement')} AS stated, {_LATEST.format(c='unfunded_commitment', t='capital_account_statement')} AS unfunded,
+        coalesce({_LATEST.format(c='cumulative', t='capital_call')}, 0) AS called, CAST(coalesce({_LATEST.format(c='remaining_commitment', t='capital_call')}, 0) AS DECIMAL(24,2)) AS remaining FROM doc_final WHERE confirmed_amount IS NOT NULL GROUP BY fund_id)"""
+_OWNED_USD = "CAST(CASE WHEN a.currency = 'USD' THEN CAST(r.{c} AS DECIMAL(28,8)) ELSE CAST(r.{c} * coalesce(f1.rate, f2.rate) AS DECIMAL(28,8)) END * o.ownership_pct AS DECIMAL(24,2)) AS {name}"
+
+
+def _funds(m: Model) -> DataFrame:
+    rows = documents.rolled_up(_confirmed(m)).withColumn("account_id", F.col("fund_id")).withColumn("fund_name", F.concat(F.lit("Fund "), F.col("fund_id").cast("string")))
+    return rows.join(m["accounts"].select("account_id", "currency"), "account_id")
+
+
+@query(f"""SELECT o.client_id, o.client_name, r.fund_id, concat('Fund ', r.fund_id) AS fund_name, a.account_id, a.currency, r.inception_date, r.as_of, {', '.join(_OWNED_USD.format(c=c, name=n) for c, n in documents.IN_DOLLARS.items())}, r.moic, r.pending_review_documents
+    FROM (SELECT * FROM ({_ROLL}) JOIN ({_COMMITTED}) USING (fund_id)) r JOIN owners o ON o.account_id = r.fund_id JOIN accounts a ON a.account_id = r.fund_id LEFT JOIN fx f1 ON f1.as_of = r.as_of LEFT JOIN fx f2 ON f2.as_of = r.inception_date""")
 def alts_holdings(m):
-    rows = documents.rolled_up(_confirmed(m)).join(m["owners"], F.col("fund_id") == F.col("account_id")).join(m["accounts"].select("account_id", "currency"), "account_id")
-    own = lambda c: (F.col(c) * F.col("ownership_pct")).cast("decimal(24,2)").alias(c)
-    return rows.select("client_id", "fund_id", "currency", own("total_called"), own("current_nav"), "moic", "pending_review_documents")
+    return documents.holdings(_funds(m), m["owners"], _rates(m))
 
 
-@query("SELECT g.as_of, CAST(sum(coalesce(nav, 0)) AS DECIMAL(24,2)) AS nav FROM (SELECT day AS as_of FROM days WHERE day >= DATE '1995-06-01' AND extract(day FROM day) = 1) g CROSS JOIN (SELECT DISTINCT fund_id FROM fund_docs WHERE doc_type = 'capital_account_statement') f ASOF LEFT JOIN (SELECT fund_id, doc_date, max(ending) AS nav FROM fund_docs WHERE doc_type = 'capital_account_statement' GROUP BY fund_id, doc_date) s ON s.fund_id = f.fund_id AND s.doc_date <= g.as_of GROUP BY g.as_of")
+@query("SELECT * FROM alts_daily")
+def alts_daily(m):
+    """Each client's marks carried forward to its days."""
+    return wealth.alternatives_daily(_alts(m), _pos_owned(m))
+
+
+@query("SELECT g.as_of, CAST(sum(coalesce(nav, 0)) AS DECIMAL(24,2)) AS nav FROM (SELECT day AS as_of FROM days WHERE day >= DATE '1995-06-01' AND extract(day FROM day) = 1) g CROSS JOIN (SELECT DISTINCT fund_id FROM fund_docs WHERE doc_type = 'capital_account_statement') f ASOF LEFT JOIN (SELECT fund_id, doc_date, max(ending) AS nav FROM fund_docs WHERE doc_type = 'capital_account_statement' AND ending IS NOT NULL GROUP BY fund_id, doc_date) s ON s.fund_id = f.fund_id AND s.doc_date <= g.as_of GROUP BY g.as_of")
 def nav_forward_fill(m):
     asked = m["days"].where((F.col("day") >= "1995-06-01") & (F.dayofmonth("day") == 1)).select(F.col("day").alias("as_of"))
     return documents.nav_by_day(m["fund_docs"].where("doc_type = 'capital_account_statement'"), asked)
@@ -528,30 +593,38 @@ def universe_domestic(m):
     return m["filing_rows"].where(~identifiers.is_foreign(F.col("cusip"))).select("cusip").distinct()
 
 
-@query("SELECT as_of, account_id, security_id, quantity, market_value FROM feed_a")
+def _dollars(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("currency", F.lit("USD"))
+
+
+_PARSED = "SELECT file_path, 'PARSED' AS status, as_of, CAST(account_id AS VARCHAR) AS account_id, security_scheme, security_id, security_name, quantity, price_amount, 'USD' AS price_ccy, price_as_of, market_value, 'USD' AS market_value_ccy, cost_basis FROM {feed}"
+_PARSED_COLUMNS = ("file_path", "status", "as_of", "account_id", "security_scheme", "security_id", "security_name", "quantity", "price_amount", "price_ccy", "price_as_of", "market_value", "market_value_ccy", "cost_basis")
+
+
+@query(_PARSED.format(feed="feed_a"))
 def semt_parse(m):
-    return feeds.parse_holdings_xml(feeds.holdings_xml(m["feed_a"])).select("as_of", "account_id", "security_id", "quantity", "market_value")
+    return feeds.parse_holdings_xml(feeds.holdings_xml(_dollars(m["feed_a"]))).select(*_PARSED_COLUMNS)
 
 
-@query("SELECT as_of, account_id, security_id, quantity, market_value FROM feed_b")
+@query(_PARSED.format(feed="feed_b"))
 def mt535_parse(m):
-    return feeds.parse_holdings_swift(feeds.holdings_swift(m["feed_b"])).select("as_of", "account_id", "security_id", "quantity", "market_value")
+    return feeds.parse_holdings_swift(feeds.holdings_swift(_dollars(m["feed_b"]))).select(*_PARSED_COLUMNS)
 
 
-@query("SELECT account_id, transaction_id, amount, currency, trade_date FROM clean_entries")
+@query("SELECT as_of, CAST(account_id AS VARCHAR) AS account_id, transaction_id, type, trade_date, settlement_date, amount, currency, CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN 'DBIT' ELSE 'CRDT' END AS credit_debit, description FROM clean_entries")
 def camt_parse_entries(m):
-    return feeds.parse_cash_entries(feeds.cash_xml(m["clean_entries"], m["balances"]))
+    return feeds.parse_cash_entries(feeds.cash_xml(m["clean_entries"], m["balances"])).drop("file_path", "status", "error", "statement_id")
 
 
-@query("SELECT as_of, account_id, balance_type, amount, currency FROM balances")
+@query("SELECT as_of, CAST(account_id AS VARCHAR) AS account_id, balance_type, amount, currency FROM balances")
 def camt_parse_balances(m):
-    return feeds.parse_cash_balances(feeds.cash_xml(m["clean_entries"], m["balances"]))
+    return feeds.parse_cash_balances(feeds.cash_xml(m["clean_entries"], m["balances"])).drop("file_path", "status", "error", "statement_id")
 
 
 @query("SELECT CASE WHEN account_id % 7 = 0 THEN 'FAILED' ELSE 'PARSED' END AS status, count(*) AS files FROM (SELECT DISTINCT as_of, account_id FROM feed_a) GROUP BY account_id % 7 = 0")
 def parse_failures(m):
     cut = F.when(F.split("file_path", "/")[1].cast("long") % 7 == 0, F.expr("substr(text, 1, 30)")).otherwise(F.col("text"))
-    files = feeds.holdings_xml(m["feed_a"]).withColumn("text", cut)
+    files = feeds.holdings_xml(_dollars(m["feed_a"])).withColumn("text", cut)
     return feeds.parse_holdings_xml(files).groupBy("status").agg(F.countDistinct("file_path").alias("files"))
 
 

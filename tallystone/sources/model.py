@@ -1,13 +1,17 @@
 """The wealth model on the star-schema test tables: the same relations for Spark and for the checking SQL.
 
-Integer rules alone decide what is perturbed, so both engines see the same rows.
+Integer rules alone decide what is perturbed, so both engines see the same rows. Some relations are stated twice, as SQL
+for the check and as DataFrames for Spark.
 """
 
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 TABLES = ("region", "nation", "customer", "part", "orders", "lineitem", "events", "documents")
 SPARK = {
@@ -46,15 +50,19 @@ def relations(q: dict) -> dict[str, str]:
         "base_holdings": """
             SELECT CAST(o.o_orderdate AS DATE) AS as_of, o.o_custkey AS account_id, l.l_partkey AS part, CAST(SUM(CAST(l.l_quantity AS DECIMAL(18,6))) AS DECIMAL(24,6)) AS quantity, CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(24,2)) AS market_value
             FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY CAST(o.o_orderdate AS DATE), o.o_custkey, l.l_partkey""",
-        "feed_a": "SELECT as_of, account_id, concat('S', part) AS security_id, quantity, as_of AS price_as_of, market_value, CAST(NULL AS DECIMAL(24,2)) AS cost_basis, 'semt.002' AS source_format, concat('semt/', account_id, '/', as_of) AS file_path FROM base_holdings WHERE (part + account_id) % 37 <> 0",
+        "feed_a": """
+            SELECT as_of, account_id, CASE WHEN part % 67 = 0 THEN 'CUSIP' ELSE 'ISIN' END AS security_scheme, CASE WHEN part % 67 = 0 THEN concat('C', lpad(CAST(part AS STRING), 8, '0')) ELSE concat('XS', lpad(CAST(part AS STRING), 9, '0'), part % 10) END AS security_id,
+                concat('Part ', part) AS security_name, quantity, CAST(part % 1000 AS DECIMAL(24,6)) AS price_amount, as_of AS price_as_of, market_value, CAST(NULL AS DECIMAL(24,2)) AS cost_basis, 'semt.002' AS source_format, concat('semt/', account_id, '/', as_of) AS file_path
+            FROM base_holdings WHERE (part + account_id) % 37 <> 0""",
         "feed_b": f"""
-            SELECT as_of, account_id, concat('S', CASE WHEN part % 53 = 0 THEN part + 1000000 ELSE part END) AS security_id, CASE WHEN part % 43 = 0 THEN CAST(quantity + 1 AS DECIMAL(24,6)) ELSE quantity END AS quantity,
+            SELECT as_of, account_id, 'ISIN' AS security_scheme, concat('XS', lpad(CAST(CASE WHEN part % 53 = 0 THEN part + 1000000 ELSE part END AS STRING), 9, '0'), part % 10) AS security_id,
+                concat(CASE WHEN part % 59 = 0 THEN 'PART ' ELSE 'Part ' END, part) AS security_name, CASE WHEN part % 43 = 0 THEN CAST(quantity + 1 AS DECIMAL(24,6)) ELSE quantity END AS quantity, CAST(part % 1000 + CASE WHEN part % 61 = 0 THEN 0.25 ELSE 0 END AS DECIMAL(24,6)) AS price_amount,
                 CASE WHEN part % 47 = 0 THEN {q['add']('as_of', '-5')} ELSE as_of END AS price_as_of, market_value, CASE WHEN part % 5 = 0 THEN CAST(NULL AS DECIMAL(24,2)) ELSE market_value END AS cost_basis, 'MT535' AS source_format, concat('mt535/', account_id, '/', as_of) AS file_path
             FROM base_holdings WHERE (part + account_id) % 41 <> 0""",
         "holdings": """
             SELECT * FROM feed_a WHERE account_id % 6 <> 2 UNION ALL SELECT * FROM feed_b
-            UNION ALL SELECT as_of, account_id, security_id, quantity, price_as_of, market_value, cost_basis, source_format, concat(file_path, '-again') FROM feed_b WHERE account_id % 6 = 2""",
-        "master": "SELECT concat('S', p_partkey) AS security_id, p_partkey % 7 <> 0 AS mapped, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS name, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS ticker, CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_type, ' ', 1) END AS asset_class FROM part WHERE p_partkey % 13 <> 0",
+            UNION ALL SELECT * REPLACE (concat(file_path, '-again') AS file_path) FROM feed_b WHERE account_id % 6 = 2""",
+        "master": "SELECT concat('XS', lpad(CAST(p_partkey AS STRING), 9, '0'), p_partkey % 10) AS security_id, p_partkey % 7 <> 0 AS mapped, CASE WHEN p_partkey % 7 <> 0 THEN p_name END AS name, CASE WHEN p_partkey % 7 <> 0 THEN p_brand END AS ticker, CASE WHEN p_partkey % 7 <> 0 THEN split_part(p_type, ' ', 1) END AS asset_class FROM part WHERE p_partkey % 13 <> 0",
         "clean_entries": f"""
             SELECT CAST(o_orderdate AS DATE) AS as_of, o_custkey AS account_id, concat('T', o_orderkey) AS transaction_id, o_orderkey AS k,
                 CASE o_orderkey % 7 WHEN 0 THEN 'BUY' WHEN 1 THEN 'SELL' WHEN 2 THEN 'DIVIDEND' WHEN 3 THEN 'INTEREST' WHEN 4 THEN 'FEE' WHEN 5 THEN 'TRANSFER_IN' ELSE 'TRANSFER_OUT' END AS type,
@@ -63,6 +71,9 @@ def relations(q: dict) -> dict[str, str]:
         "entries": f"""
             SELECT as_of, account_id, transaction_id, type, trade_date, settlement_date, amount, currency, description, concat('camt/', as_of) AS file_path FROM clean_entries WHERE k % 23 <> 0
             UNION ALL SELECT as_of, account_id, transaction_id, type, trade_date, CASE WHEN k % 38 = 0 THEN {q['add']('settlement_date', '1')} ELSE settlement_date END, amount, currency, description, concat('camt/', as_of, '-again') FROM clean_entries WHERE k % 19 = 0 AND k % 23 <> 0""",
+        "deliveries": """
+            SELECT DISTINCT as_of AS statement_date, file_path, source_format, CASE WHEN account_id % 19 = 5 AND source_format = 'MT535' THEN 'FAILED' ELSE 'PARSED' END AS status FROM holdings
+            UNION ALL SELECT DISTINCT as_of, file_path, 'camt.053', 'PARSED' FROM entries UNION ALL SELECT DATE '2001-12-29', 'camt/late', 'camt.053', 'PARSED'""",
         "net": "SELECT as_of, account_id, currency, SUM(CASE WHEN type IN ('BUY', 'FEE', 'TRANSFER_OUT') THEN -amount ELSE amount END) AS net FROM clean_entries GROUP BY as_of, account_id, currency",
         "ledger": "SELECT as_of, account_id, currency, CAST(net AS DECIMAL(24,2)) AS net, CAST(SUM(net) OVER (PARTITION BY account_id ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) + 1000000 AS DECIMAL(24,2)) AS closing FROM net",
         "balances": """
@@ -106,6 +117,89 @@ def with_clause(q: dict, used: str) -> str:
     return ", ".join(f"{n} AS ({b})" for n, b in every.items() if n in need)
 
 
+# The feeds, the ledger and the register of files for Spark are made by DataFrame functions, and for the checking SQL by the
+# texts above: what either makes checks the other.
+
+FEED = ("as_of", "account_id", "security_scheme", "security_id", "security_name", "quantity", "price_amount", "price_as_of", "market_value", "cost_basis", "source_format", "file_path")
+
+
+def _base_holdings(m: Model) -> DataFrame:
+    lines = m.table("lineitem").select("l_orderkey", F.col("l_partkey").alias("part"), F.col("l_quantity").cast("decimal(18,6)").alias("quantity"), F.col("l_extendedprice").cast("decimal(18,2)").alias("value"))
+    orders = m.table("orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("as_of"), F.col("o_custkey").alias("account_id"))
+    return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy("as_of", "account_id", "part").agg(F.sum("quantity").cast("decimal(24,6)").alias("quantity"), F.sum("value").cast("decimal(24,2)").alias("market_value"))
+
+
+def _copies(m: Model) -> DataFrame:
+    """All rows of both feeds, and the second delivery of some files: one pass over the lines, exploded into its copies."""
+    part, account = F.col("part"), F.col("account_id")
+    isin = lambda n: F.concat(F.lit("XS"), F.lpad(n.cast("string"), 9, "0"), (part % 10).cast("string"))
+    cusip = part % 67 == 0
+    path = lambda kind, end="": F.concat(F.lit(kind), account.cast("string"), F.lit("/"), F.col("as_of").cast("string"), F.lit(end))
+    price = (part % 1000).cast("decimal(24,6)")
+    a = F.struct(
+        F.lit("a").alias("copy"), F.when(cusip, "CUSIP").otherwise("ISIN").alias("security_scheme"), F.when(cusip, F.concat(F.lit("C"), F.lpad(part.cast("string"), 8, "0"))).otherwise(isin(part)).alias("security_id"), F.concat(F.lit("Part "), part.cast("string")).alias("security_name"),
+        F.col("quantity").alias("quantity"), price.alias("price_amount"), F.col("as_of").alias("price_as_of"), F.lit(None).cast("decimal(24,2)").alias("cost_basis"), F.lit("semt.002").alias("source_format"), path("semt/").alias("file_path"),
+    )
+    of_b = lambda copy, end: F.struct(
+        F.lit(copy).alias("copy"), F.lit("ISIN").alias("security_scheme"), isin(F.when(part % 53 == 0, part + 1000000).otherwise(part)).alias("security_id"), F.concat(F.when(part % 59 == 0, "PART ").otherwise("Part "), part.cast("string")).alias("security_name"),
+        F.when(part % 43 == 0, F.col("quantity") + 1).otherwise(F.col("quantity")).cast("decimal(24,6)").alias("quantity"), F.when(part % 61 == 0, price + F.lit(0.25).cast("decimal(24,6)")).otherwise(price).cast("decimal(24,6)").alias("price_amount"),
+        F.when(part % 47 == 0, F.date_sub("as_of", 5)).otherwise(F.col("as_of")).alias("price_as_of"), F.when(part % 5 != 0, F.col("market_value")).alias("cost_basis"), F.lit("MT535").alias("source_format"), path("mt535/", end).alias("file_path"),
+    )
+    in_b = (part + account) % 41 != 0
+    made = F.array(F.when((part + account) % 37 != 0, a), F.when(in_b, of_b("b", "")), F.when(in_b & (account % 6 == 2), of_b("again", "-again")))
+    rows = _base_holdings(m).select("as_of", "account_id", "market_value", F.explode(F.filter(made, lambda x: x.isNotNull())).alias("x"))
+    return rows.select("as_of", "account_id", "market_value", "x.*")
+
+
+def _holdings(m: Model) -> DataFrame:
+    return _copies(m).where((F.col("copy") != "a") | (F.col("account_id") % 6 != 2)).select(*FEED)
+
+
+def _balances(m: Model) -> DataFrame:
+    out = F.col("o_orderkey") % 7
+    paid = F.col("o_totalprice").cast("decimal(18,2)").cast("decimal(24,2)")
+    moved = F.when(out.isin(0, 4, 6), -paid).otherwise(paid)
+    day = m.table("orders").groupBy(F.col("o_orderdate").cast("date").alias("as_of"), F.col("o_custkey").alias("account_id")).agg(F.sum(moved).alias("net"))
+    upto = Window.partitionBy("account_id").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    closing = (F.sum("net").over(upto) + 1000000).cast("decimal(24,2)")
+    ledger = day.withColumn("closing", closing).withColumn("net", F.col("net").cast("decimal(24,2)"))
+    wrong = F.when(F.col("account_id") % 31 == 3, 1).otherwise(0)
+    sides = F.array(F.struct(F.lit("OPENING").alias("balance_type"), (F.col("closing") - F.col("net") + wrong).cast("decimal(24,2)").alias("amount")), F.struct(F.lit("CLOSING").alias("balance_type"), F.col("closing").alias("amount")))
+    currency = F.when(F.col("account_id") % 5 == 1, "EUR").otherwise("USD").alias("currency")
+    return ledger.select("as_of", "account_id", currency, F.explode(sides).alias("b")).select("as_of", "account_id", "b.balance_type", "b.amount", "currency")
+
+
+def _entries(m: Model) -> DataFrame:
+    """Entries without the dropped ones, some of them twice and some of those with another settlement day."""
+    rows = m["clean_entries"].where(F.col("k") % 23 != 0)
+    again = F.col("k") % 19 == 0
+    later = F.when(F.col("k") % 38 == 0, F.date_add("settlement_date", 1)).otherwise(F.col("settlement_date"))
+    path = F.concat(F.lit("camt/"), F.col("as_of").cast("string"))
+    one = F.struct(F.col("settlement_date").alias("settlement_date"), path.alias("file_path"))
+    two = F.struct(later.alias("settlement_date"), F.concat(path, F.lit("-again")).alias("file_path"))
+    return rows.select("as_of", "account_id", "transaction_id", "type", "trade_date", "amount", "currency", "description", F.explode(F.when(again, F.array(one, two)).otherwise(F.array(one))).alias("x")).select("as_of", "account_id", "transaction_id", "type", "trade_date", "x.settlement_date", "amount", "currency", "description", "x.file_path")
+
+
+def _deliveries(m: Model) -> DataFrame:
+    failed = (F.col("account_id") % 19 == 5) & (F.col("source_format") == "MT535")
+    held = _holdings(m).select(F.col("as_of").alias("statement_date"), "file_path", "source_format", F.when(failed, "FAILED").otherwise("PARSED").alias("status")).distinct()
+    cash = _entries(m).select(F.col("as_of").alias("statement_date"), "file_path", F.lit("camt.053").alias("source_format"), F.lit("PARSED").alias("status")).distinct()
+    late = m.spark.sql("SELECT DATE '2001-12-29' AS statement_date, 'camt/late' AS file_path, 'camt.053' AS source_format, 'PARSED' AS status")
+    return held.unionByName(cash).unionByName(late)
+
+
+FRAMES: dict[str, Callable[[Model], DataFrame]] = {
+    "base_holdings": _base_holdings,
+    "feed_a": lambda m: _copies(m).where("copy = 'a'").select(*FEED),
+    "feed_b": lambda m: _copies(m).where("copy = 'b'").select(*FEED),
+    "feeds": lambda m: _copies(m).where("copy <> 'again'").select("copy", *FEED),
+    "holdings": _holdings,
+    "balances": _balances,
+    "entries": _entries,
+    "deliveries": _deliveries,
+}
+
+
 class Model:
     """The relations as lazy DataFrames over one folder of tables."""
 
@@ -116,6 +210,8 @@ class Model:
         return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
 
     def __getitem__(self, name: str) -> DataFrame:
+        if name in FRAMES:
+            return FRAMES[name](self)
         body = f"SELECT * FROM {name}"
         text = f"WITH {with_clause(SPARK, body)} {body}"
         used = {t: self.table(t) for t in TABLES if re.search(rf"(FROM|JOIN)\s+{t}\b", text)}

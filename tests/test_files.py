@@ -21,7 +21,7 @@ def put(root, name, data):
 
 
 def test_landing_routes_by_suffix(spark, tmp_path):
-    text = f'<Document xmlns="{feeds.HOLDINGS_NS}"><StmtDt>2026-07-01</StmtDt><Acct>7</Acct></Document>'
+    text = f'<Document xmlns="{feeds.HOLDINGS_NS}"><SctiesBalCtdyRpt><StmtGnlDtls><StmtId>S1</StmtId><StmtDtTm><Dt>2026-07-01</Dt></StmtDtTm></StmtGnlDtls><SfkpgAcct><Id>7</Id></SfkpgAcct></SctiesBalCtdyRpt></Document>'
     put(tmp_path, "date=2026-07-01/a.semt002.xml", text)
     put(tmp_path, "date=2026-07-02/b.mt535.txt", b"\xff\xfe")
     put(tmp_path, "date=2026-07-02/c.csv", "x")
@@ -32,7 +32,7 @@ def test_landing_routes_by_suffix(spark, tmp_path):
     assert got["a.semt002.xml"]["statement_date"] == dt.date(2026, 7, 1) and got["a.semt002.xml"]["format"] == "semt.002"
     assert [got[n]["error"] for n in ("a.semt002.xml", "b.mt535.txt", "c.csv")] == [None, "not UTF-8 text", "unrecognised filename"]
     landed = files.landing(spark, str(tmp_path)).where("format = 'semt.002' AND status = 'LANDED'")
-    assert feeds.parse_holdings_xml(landed).collect()[0]["account_id"] == 7
+    assert feeds.parse_holdings_xml(landed).collect()[0]["account_id"] == "7"
 
 
 LINE = "<{p}infoTable><{p}nameOfIssuer>ACME</{p}nameOfIssuer><{p}titleOfClass>COM</{p}titleOfClass><{p}cusip>{c}</{p}cusip><{p}value>{v}</{p}value><{p}shrsOrPrnAmt><{p}sshPrnamt>10</{p}sshPrnamt><{p}sshPrnamtType>{k}</{p}sshPrnamtType></{p}shrsOrPrnAmt>{o}</{p}infoTable>"

@@ -1,6 +1,7 @@
 """Operators on small rows: invariants, edge cases and plans."""
 
 import datetime as dt
+import re
 from decimal import Decimal
 
 import pytest
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from tallystone.functions import identifiers
 from tallystone.functions.money import to_usd, tolerant_decimal
 from tallystone.operators import documents, fx, ownership, quality, registry, wealth
+from tallystone.plans import catalog
 from tallystone.sources import feeds
 from tallystone.sources.model import Model
 from tallystone.streaming.arrivals import ingest
@@ -76,6 +78,35 @@ def test_findings_join_the_feeds_once(spark):
     m = Model(spark, "/root/testdata/sf0.001")
     plan = quality.findings(m["feed_a"], m["feed_b"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join FullOuter") == 1
+    one, two = quality.findings(m["feed_a"], m["feed_b"]), quality.findings_of_feeds(m["feeds"])
+    assert one.count() == two.count() > 0 and one.exceptAll(two.select(*one.columns)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["wealth_daily", "dietz", "xirr", "dq_metrics", "recon_findings"])
+def test_lines_are_read_once_a_use(spark, name):
+    """Neither returns nor feeds compute their input again: a scan of the lines for positions, and in metrics one for findings and two for the register of files."""
+    plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("l_partkey") > 0 and len(re.findall(r"Relation \[[^\]]*l_partkey", plan)) <= {"dq_metrics": 4}.get(name, 1)
+
+
+def test_marks_are_carried_forward_by_fund_and_then_summed(spark):
+    d = lambda n: dt.date(2026, 7, n)
+    points = spark.createDataFrame([(1, 10, d(1), Decimal(100)), (1, 10, d(5), Decimal(130)), (1, 11, d(3), Decimal(7)), (2, 10, d(9), Decimal(5))], "client_id int, fund_id int, statement_date date, nav_usd decimal(24,2)")
+    days = spark.createDataFrame([(c, d(n)) for c in (1, 2, 3) for n in (2, 3, 4, 6)], "client_id int, as_of date")
+    got = {(r["client_id"], r["as_of"].day): r["alts_usd"] for r in wealth.alternatives_daily(points, days).collect()}
+    assert got == {(1, 2): 100, (1, 3): 107, (1, 4): 107, (1, 6): 137} | {(c, n): 0 for c in (2, 3) for n in (2, 3, 4, 6)}
+
+
+def test_metrics_have_a_row_for_each_delivered_day(spark):
+    d = dt.date(2026, 7, 1)
+    delivered = spark.createDataFrame([(d, "PARSED"), (d, "FAILED")], "statement_date date, status string")
+    none = lambda columns: spark.createDataFrame([], columns)
+    rows = quality.metrics(delivered, none("as_of date"), none("as_of date"), none("as_of date, conformed_consistent boolean"), none("as_of date, continuous boolean"), "2026-07-03", expected=11).collect()
+    got = {r["metric"]: (r["dimension"], r["value"], r["passed"], r["detail"]) for r in rows}
+    assert len(got) == len(rows) == 6  # continuity has nothing to compare
+    assert got["files_landed_rate"] == ("completeness", Decimal("0.090909"), False, "1 of 11 expected files parsed")
+    assert got["holdings_cross_format_match_rate"][1:] == (None, True, "0 cross-format findings across 0 positions")
+    assert got["cash_integrity_breaks_count"][1:3] == (Decimal(0), None) and got["bronze_days_behind"][1:3] == (Decimal(2), True)
 
 
 def test_every_order_is_a_fund_document_and_a_filing(spark):
@@ -109,7 +140,7 @@ def test_statements_need_all_their_parts(spark):
 def test_commitments_come_from_statements_or_calls(spark):
     rows = [_paper("c1", "capital_call", 1, 1, amount=5, cumulative=5, remaining_commitment=95), _paper("s1", "capital_account_statement", 1, 9, amount=1, ending=7, total_commitment=120, unfunded_commitment=115)]
     rows += [_paper("c2", "capital_call", 1, 1, fund=2, amount=5, cumulative=5, remaining_commitment=95), _paper("c3", "capital_call", 2, 2, fund=2, amount=10, cumulative=15, remaining_commitment=85)]
-    known = spark.createDataFrame(rows, _PAPER).withColumn("routing", F.lit("auto_accept")).withColumn("confirmed_amount", F.col("amount"))
+    known = spark.createDataFrame(rows, _PAPER).withColumn("routing", F.lit("auto_accept")).withColumn("confirmed_amount", F.col("amount")).withColumn("reviewed_status", F.lit(None).cast("string"))
     got = {r["fund_id"]: (r["as_of"], r["total_commitment"], r["unfunded_commitment"]) for r in documents.rolled_up(known).collect()}
     assert got == {1: (dt.date(2026, 1, 9), Decimal(120), Decimal(115)), 2: (None, Decimal(100), Decimal(85))}
 
@@ -120,10 +151,105 @@ def test_evaluation_scores_all_fields_and_counts_lost_documents(spark):
     assert [tuple(r) for r in documents.evaluated(docs, truth).collect()] == [("t", 3, 2, 1, 0.666667)]
 
 
+SEMT = f"""<?xml version="1.0" encoding="UTF-8"?>
+<Document xmlns="{feeds.HOLDINGS_NS}">
+  <SctiesBalCtdyRpt>
+    <StmtGnlDtls><StmtId>H-1</StmtId><StmtDtTm><Dt>2026-07-01</Dt></StmtDtTm></StmtGnlDtls>
+    <SfkpgAcct><Id>ACC-1</Id><Nm>Main &amp; Sons</Nm><AcctSvcr><AnyBIC>BANKUS33</AnyBIC></AcctSvcr><BaseCcy>USD</BaseCcy></SfkpgAcct>
+    <BalForAcct>
+      <FinInstrmId><ISIN>us0378331005</ISIN><Desc>Apple</Desc></FinInstrmId><AggtBal><Unit>220</Unit></AggtBal>
+      <PricDtls><Val Ccy="USD">210.5</Val><Dt>2026-06-30</Dt></PricDtls><AcctBaseCcyAmts><HldgVal><Amt Ccy="USD">46310.00</Amt></HldgVal></AcctBaseCcyAmts>
+    </BalForAcct>
+    <BalForAcct><FinInstrmId><OthrId><Id>037833100</Id><Tp>CUSIP</Tp></OthrId><Desc>Bare</Desc></FinInstrmId><AggtBal><Unit>1.25</Unit></AggtBal></BalForAcct>
+  </SctiesBalCtdyRpt>
+</Document>"""
+
+MT = """:16R:GENL
+:20C::SEME//M-1
+:23G:NEWM
+:98A::STAT//20260701
+:97A::SAFE//ACC-1
+:16S:GENL
+:16R:FIN
+:35B:ISIN US0378331005
+Apple
+ Inc
+:93B::AGGR//UNIT/220,
+:90B::MRKT//ACTU/USD210,5
+:98A::PRIC//20260630
+:19A::HOLD//USD46310,00
+:70E::HOLD//COST/USD40000,
+:16S:FIN
+:16R:FIN
+:35B:ISIN US5949181045
+Bare
+:93B::AGGR//UNIT/1,25
+:16S:FIN
+"""
+
+CAMT = f"""<Document xmlns="{feeds.CASH_NS}"><BkToCstmrStmt><GrpHdr><MsgId>x</MsgId></GrpHdr>
+<Stmt><Id>C-1</Id><Acct><Id><Othr><Id>ACC-1</Id></Othr></Id><Ccy>EUR</Ccy></Acct>
+  <Bal><Tp><CdOrPrtry><Cd>OPBD</Cd></CdOrPrtry></Tp><Amt Ccy="EUR">10.00</Amt><CdtDbtInd>CRDT</CdtDbtInd><Dt><Dt>2026-06-30</Dt></Dt></Bal>
+  <Bal><Tp><CdOrPrtry><Cd>CLBD</Cd></CdOrPrtry></Tp><Amt Ccy="EUR">7.50</Amt><CdtDbtInd>CRDT</CdtDbtInd><Dt><Dt>2026-07-01</Dt></Dt></Bal>
+  <Ntry><NtryRef>T1</NtryRef><Amt Ccy="EUR">2.50</Amt><CdtDbtInd>DBIT</CdtDbtInd><Sts><Cd>BOOK</Cd></Sts><BookgDt><Dt>2026-07-01</Dt></BookgDt><ValDt><Dt>2026-07-03</Dt></ValDt><BkTxCd><Prtry><Cd>FEE</Cd></Prtry></BkTxCd></Ntry>
+</Stmt>
+<Stmt><Id>C-2</Id><Acct><Id><Othr><Id>ACC-2</Id></Othr></Id></Acct><Bal><Tp><CdOrPrtry><Cd>OPBD</Cd></CdOrPrtry></Tp><Amt Ccy="USD">1</Amt><Dt><Dt>2026-07-02</Dt></Dt></Bal></Stmt>
+</BkToCstmrStmt></Document>"""
+
+
+def _one(spark, text):
+    return spark.createDataFrame([("f", text)], "file_path string, text string")
+
+
+def test_hand_written_statements_parse_with_all_fields(spark):
+    d = dt.date
+    rows = feeds.parse_holdings_xml(_one(spark, SEMT)).orderBy("security_scheme").collect()
+    assert [r["status"] for r in rows] == ["PARSED"] * 2 and rows[0]["security_id"] == "037833100" and rows[0]["quantity"] == Decimal("1.25") and rows[0]["market_value"] is None and rows[0]["price_as_of"] is None
+    got = rows[1].asDict()
+    want = {"statement_id": "H-1", "as_of": d(2026, 7, 1), "account_id": "ACC-1", "account_name": "Main & Sons", "custodian_bic": "BANKUS33", "base_currency": "USD", "security_scheme": "ISIN", "security_id": "US0378331005", "security_name": "Apple"}
+    assert want.items() <= got.items() and (got["price_amount"], got["price_ccy"], got["price_as_of"], got["market_value"], got["market_value_ccy"], got["cost_basis"]) == (Decimal("210.5"), "USD", d(2026, 6, 30), Decimal(46310), "USD", None)
+    rows = feeds.parse_holdings_swift(_one(spark, MT.replace("\n", "\r\n"))).orderBy("security_id").collect()
+    got = rows[0].asDict()
+    assert (got["status"], got["statement_id"], got["account_id"], got["security_name"], got["quantity"], got["price_amount"], got["price_as_of"], got["market_value"], got["cost_basis"]) == ("PARSED", "M-1", "ACC-1", "Apple Inc", 220, Decimal("210.5"), d(2026, 6, 30), 46310, 40000)
+    assert (rows[1]["quantity"], rows[1]["price_amount"], rows[1]["cost_basis"], rows[1]["as_of"]) == (Decimal("1.25"), None, None, d(2026, 7, 1))
+    entries = {r["account_id"]: r for r in feeds.parse_cash_entries(_one(spark, CAMT)).collect()}
+    assert (entries["ACC-1"]["type"], entries["ACC-1"]["settlement_date"], entries["ACC-1"]["as_of"], entries["ACC-1"]["credit_debit"]) == ("FEE", d(2026, 7, 3), d(2026, 7, 1), "DBIT")
+    assert entries["ACC-2"]["transaction_id"] is None and entries["ACC-2"]["as_of"] == d(2026, 7, 2)  # no closing balance: the last one's day
+    assert {(r["account_id"], r["balance_type"], r["amount"]) for r in feeds.parse_cash_balances(_one(spark, CAMT)).collect()} == {("ACC-1", "OPENING", 10), ("ACC-1", "CLOSING", Decimal("7.5")), ("ACC-2", "OPENING", 1)}
+
+
+@pytest.mark.parametrize(
+    ("text", "old", "new", "said"),
+    [
+        (SEMT, "<Unit>220</Unit>", "<Unit>five</Unit>", "'five' is not a number in BalForAcct[0]"), (SEMT, "<Desc>Bare</Desc>", "", "missing Desc in BalForAcct[1]"), (SEMT, "<Tp>CUSIP</Tp>", "<Tp>WKN</Tp>", "unknown identifier scheme 'WKN'"),
+        (SEMT, '<Val Ccy="USD">', "<Val>", "missing Ccy attribute in BalForAcct[0] price"), (SEMT, "<Dt>2026-07-01</Dt>", "<Dt>01.07.2026</Dt>", "is not an ISO date in StmtDtTm"), (SEMT, "<Id>ACC-1</Id>", "", "missing Id in SfkpgAcct"), (SEMT, "us0378331005", "US03", "is not shaped like a ISIN"),
+        (SEMT, "semt.002", "semt.003", "unexpected root element"), (SEMT, "</SctiesBalCtdyRpt>\n</Document>", "", "not well-formed"),
+        (MT, "220,", "22O,", "is not a SWIFT number in FIN[0]"), (MT, "USD210,5", "210,5", "is not a currency and an amount in FIN[0] price"), (MT, "ISIN US0378331005", "/XX/037833100", "no ISIN"), (MT, "\nBare", "", "missing description line in FIN[1]"), (MT, "20260701", "20261301", "is not a date in GENL"),
+        (MT, ":97A::SAFE//ACC-1\n", "", "missing :97A::SAFE"), (MT, ":16S:GENL", "", "nested block"), (MT, ":16R:GENL\n", "lost\n:16R:GENL\n", "content outside any block"), (MT, ":16S:FIN\n:16R:FIN", ":16S:FOO\n:16R:FIN", "ends as FOO"), (MT, ":93B::AGGR//UNIT/1,25\n:16S:FIN\n", "", "unclosed block"),
+        (CAMT, "<Cd>OPBD</Cd>", "<Cd>XXXX</Cd>", "unknown balance code 'XXXX' in Bal[0] of Stmt[0]"), (CAMT, "<Cd>FEE</Cd>", "<Cd>GIFT</Cd>", "unknown transaction code 'GIFT' in Ntry[0] of Stmt[0]"), (CAMT, "<NtryRef>T1</NtryRef>", "", "missing NtryRef"), (CAMT, "<Dt>2026-07-03</Dt>", "<Dt>soon</Dt>", "value date"),
+        (CAMT, "<Id>C-2</Id>", "", "missing Id in Stmt[1]"),
+    ],
+)
+def test_a_bad_field_fails_the_file_and_is_named(spark, text, old, new, said):
+    assert old in text
+    files = _one(spark, text.replace(old, new, 1))
+    parsers = [feeds.parse_cash_entries, feeds.parse_cash_balances] if text is CAMT else [feeds.parse_holdings_xml if text is SEMT else feeds.parse_holdings_swift]
+    for parse in parsers:
+        rows = parse(files).collect()
+        assert [(r["status"], r["as_of"]) for r in rows] == [("FAILED", None)] and said in rows[0]["error"]
+
+
+def test_rendered_values_are_escaped(spark):
+    row = spark.createDataFrame([(dt.date(2026, 7, 1), "A<1", "ISIN", "US0378331005", 'x & <y> "z"', Decimal(1), None, None, None, "USD")], "as_of date, account_id string, security_scheme string, security_id string, security_name string, quantity decimal(24,6), price_amount decimal(24,6), price_as_of date, market_value decimal(24,2), currency string")
+    got = feeds.parse_holdings_xml(feeds.holdings_xml(row)).collect()[0]
+    assert (got["status"], got["account_id"], got["security_name"], got["price_amount"], got["market_value"]) == ("PARSED", "A<1", 'x & <y> "z"', None, None)
+
+
 def test_truncated_files_fail_as_rows(spark):
     files = spark.createDataFrame([("a", "<Document"), ("b", ""), ("c", None)], "file_path string, text string")
     assert {r["status"] for r in feeds.parse_holdings_xml(files).collect()} == {"FAILED"}
     assert {r["status"] for r in feeds.parse_holdings_swift(files).collect()} == {"FAILED"}
+    assert [r["status"] for r in feeds.parse_cash_entries(files).collect()] == [r["status"] for r in feeds.parse_cash_balances(files).collect()] == ["FAILED"] * 3
 
 
 def test_a_second_decision_is_a_conflict(spark):
