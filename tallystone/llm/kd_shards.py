@@ -71,8 +71,9 @@ def split_key(dimension: Column) -> Column:
 def _at(rows: DataFrame, splits: list[Split], **values: list[int]) -> DataFrame:
     """Rows of the split nodes with the key along the node's dimension, and further numbers of the node. What is sent to
     all tasks is a row a node, at most as many as shards."""
-    facts = [(s.node, DIMENSIONS.index(s.dimension), *own) for s, own in zip(splits, zip(*values.values(), strict=True), strict=True)]
-    sent = rows.sparkSession.createDataFrame(facts, "node int, dimension int, " + ", ".join(f"{v} long" for v in values))
+    facts = ", ".join(str((s.node, DIMENSIONS.index(s.dimension), *map(int, own))) for s, own in zip(splits, zip(*values.values(), strict=True), strict=True))
+    wide = ", ".join(f"CAST({v} AS BIGINT) AS {v}" for v in values)
+    sent = rows.sparkSession.sql(f"SELECT node, dimension, {wide} FROM VALUES {facts} AS t(node, dimension, {', '.join(values)})")
     along = F.lit(None).cast("double")
     for i, name in enumerate(DIMENSIONS):
         along = F.when(F.col("dimension") == i, F.col(name)).otherwise(along)

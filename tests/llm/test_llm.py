@@ -473,3 +473,14 @@ def test_word_hashes():
     flat = [w for t in every for w in t]
     assert len(set(got.tolist())) == len(set(flat)) and len({(g, w) for g, w in zip(got.tolist(), flat, strict=True)}) == len(set(flat))
     assert (words.hashed([b"ONE \xc3\x89Z"], lower=True)[0] == words.hashed([b"one \xc3\x89z"])[0]).all()
+
+
+def test_shards_start_no_python_worker(spark, docs, monkeypatch):
+    """Neither the plan nor what is sent to the nodes goes through Python on an executor."""
+    from pyspark.core.context import SparkContext
+
+    def refuse(*_, **__):
+        raise AssertionError("an RDD was made")
+
+    monkeypatch.setattr(SparkContext, "parallelize", refuse)
+    assert kd_shards.shards(docs).count() == docs.count()
