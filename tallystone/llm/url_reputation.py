@@ -25,6 +25,8 @@ from tallystone.llm.common import lookup, materialize
 THRESHOLD, Z = 0.5, 1.645
 #: The weight of a prior lies between these numbers of pages.
 LEAST, MOST = 1.0, 10_000.0
+#: So many parents are sent to all tasks.
+FEW = 100_000
 
 
 def host_of(url: Column) -> Column:
@@ -47,16 +49,22 @@ def first_rule(host: Column, path: Column, rules: list[tuple[str, str]]) -> Colu
     return found
 
 
-def _level(parents: DataFrame, children: DataFrame, up: str, key: str) -> DataFrame:
-    """Posterior a, b of each child under its parent's mean; children: key, up, n, good."""
-    rows = children.join(parents.select(F.col(up), (F.col("a") / (F.col("a") + F.col("b"))).alias("m")).hint("shuffle_merge"), up)
+def _posterior(rows: DataFrame, key: str) -> DataFrame:
+    """(key, a, b): the posterior of each child under its parent's mean m; rows: key, n, good, m. One number comes back."""
     spread = F.col("n") * F.col("m") * (1 - F.col("m"))
     over = F.sum(F.pow(F.col("good") - F.col("n") * F.col("m"), F.lit(2.0)) - spread)
     room = F.sum(spread * (F.col("n") - 1))
-    rho = rows.agg(F.when(room > 0, over / room).otherwise(F.lit(0.0)).alias("rho"))
-    weight = F.when(F.col("rho") > 0, F.greatest(F.lit(LEAST), F.least(F.lit(MOST), 1 / F.col("rho") - 1))).otherwise(F.lit(MOST))
-    weighted = rows.join(F.broadcast(rho.select(weight.alias("k"))))
-    return weighted.select(key, (F.col("k") * F.col("m") + F.col("good")).alias("a"), (F.col("k") * (1 - F.col("m")) + F.col("n") - F.col("good")).alias("b"))
+    rho = rows.agg(F.when(room > 0, over / room).otherwise(F.lit(0.0)).alias("rho")).first()["rho"]
+    k = max(LEAST, min(MOST, 1 / rho - 1)) if rho and rho > 0 else MOST
+    return rows.select(key, (F.lit(k) * F.col("m") + F.col("good")).alias("a"), (F.lit(k) * (1 - F.col("m")) + F.col("n") - F.col("good")).alias("b"))
+
+
+def _under(children: DataFrame, parents: DataFrame, up: str) -> DataFrame:
+    """Children with their parent's mean. Few parents are sent to all tasks; of many, those with the most children, so that
+    neither a suffix nor a domain that holds a third of all hosts makes a task of its own."""
+    kids = children.groupBy(up).agg(F.count("*").alias("kids"))
+    facts = materialize(parents.select(up, (F.col("a") / (F.col("a") + F.col("b"))).alias("m")).join(kids, up))
+    return children.join(F.broadcast(facts.drop("kids")), up) if facts.count() <= FEW else lookup(children, facts, up, "kids")
 
 
 def reputation(hosts: DataFrame, long_suffixes: tuple[str, ...] = ()) -> DataFrame:
@@ -66,12 +74,15 @@ def reputation(hosts: DataFrame, long_suffixes: tuple[str, ...] = ()) -> DataFra
     suffix = F.when(two.isin(*long_suffixes), two).otherwise(F.element_at(labels, -1)) if long_suffixes else F.element_at(labels, -1)
     named = hosts.withColumn("suffix", suffix)
     depth = F.size(F.split("suffix", r"\.")) + 1
-    named = named.withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - depth + 1, F.lit(1)), depth), ".")).withColumn("top", F.lit(0))
-    by = lambda *keys: named.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
-    every = by("top").select("top", (F.col("good") + 1).alias("a"), (F.col("n") - F.col("good") + 1).alias("b"))
-    suffixes = _level(every, by("top", "suffix"), "top", "suffix")
-    domains = _level(suffixes, by("suffix", "domain"), "suffix", "domain")
-    return _level(domains, named.select("domain", "host", "n", "good"), "domain", "host")
+    named = named.withColumn("domain", F.array_join(F.slice(labels, F.greatest(F.size(labels) - depth + 1, F.lit(1)), depth), "."))
+    by = lambda rows, *keys: rows.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("good").alias("good"))
+    domains = materialize(by(named, "suffix", "domain"))
+    suffixes = materialize(by(domains, "suffix"))
+    whole = suffixes.agg(F.sum("n").alias("n"), F.sum("good").alias("good")).first()
+    mean = ((whole["good"] or 0.0) + 1) / ((whole["n"] or 0.0) + 2)
+    of_suffixes = _posterior(suffixes.withColumn("m", F.lit(mean)), "suffix")
+    of_domains = _posterior(materialize(_under(domains, of_suffixes, "suffix")), "domain")
+    return _posterior(materialize(_under(named.select("domain", "host", "n", "good"), of_domains, "domain")), "host")
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], id_col: str = "page_id", url_col: str = "url", threshold: float = THRESHOLD, z: float = Z, long_suffixes: tuple[str, ...] = ()) -> DataFrame:

@@ -484,3 +484,83 @@ def test_shards_start_no_python_worker(spark, docs, monkeypatch):
 
     monkeypatch.setattr(SparkContext, "parallelize", refuse)
     assert kd_shards.shards(docs).count() == docs.count()
+
+
+def clustered(n, dims, clusters, seed):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(clusters, dims)) * 3
+    return (middle[rng.integers(0, clusters, n)] + rng.normal(size=(n, dims)) * 0.3).astype(np.float32)
+
+
+@pytest.mark.parametrize("sample", [20_000, 1200])
+def test_ann_recall_where_lists_are_left_out(spark, sample):
+    """One level of lists and, with a small sample, two; most lists aren't probed."""
+    x = clustered(6000, 16, 60, 4)
+    frame = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "vec_id long, embedding array<float>")
+    index = ann.fitted(frame.select("vec_id", F.col("embedding").alias("v")), 16, 6000, 20, sample, 60)
+    told = sample // ann.EACH
+    assert 50 <= len(index.centers) <= 140 and index.probes <= len(index.centers) / 2 and (len(index.centers) > told) == (sample == 1200)
+    hits, asked = 0, 0
+    found = collections.defaultdict(set)
+    for r in ann.search(frame, sample=sample, per_list=60).collect():
+        found[r["query_id"]].add(r["vec_id"])
+    for q, got in found.items():
+        s = x.astype(float) @ x[q].astype(float)
+        s[q] = -np.inf
+        hits, asked = hits + len(got & set(np.argsort(-s, kind="stable")[:20].tolist())), asked + 20
+    assert len(found) == 300 and hits / asked >= 0.9
+
+
+def test_ann_ties_go_to_the_smallest_ids_and_lengths_are_apart(spark):
+    rows = [(i, [1.0, 2.0, 3.0]) for i in range(400)] + [(400 + i, [0.5, i % 7 / 7.0, 1.0]) for i in range(200)] + [(1000 + i, [1.0, float(i)]) for i in range(3)]
+    got = collections.defaultdict(list)
+    for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5).orderBy("query_id", "rank").collect():
+        got[r["query_id"]].append(r["vec_id"])
+    assert got[0] == [1, 2, 3, 4, 5] and got[20] == [0, 1, 2, 3, 4] and got[1000] == [1002, 1001]
+
+
+def test_posteriors_by_brute_force(spark):
+    rng = np.random.default_rng(9)
+    hosts = [(f"{a}.{b}.{c}", float(n), float(rng.integers(0, n + 1))) for a in "xyz" for b in ("one", "two", "three") for c in ("com", "org") for n in [int(rng.integers(0, 30))]]
+
+    def level(rows):  # key, n, good, m
+        over = sum((g - n * m) ** 2 - n * m * (1 - m) for _, n, g, m in rows)
+        room = sum(n * m * (1 - m) * (n - 1) for _, n, g, m in rows)
+        rho = over / room if room > 0 else 0
+        k = max(1.0, min(10_000.0, 1 / rho - 1)) if rho > 0 else 10_000.0
+        return {key: (k * m + g, k * (1 - m) + n - g) for key, n, g, m in rows}
+
+    def summed(depth):
+        out = collections.defaultdict(lambda: [0.0, 0.0])
+        for h, n, g in hosts:
+            key = ".".join(h.split(".")[-depth:])
+            out[key][0] += n
+            out[key][1] += g
+        return out
+
+    mean = lambda ab: ab[0] / sum(ab)
+    m0 = (sum(g for _, _, g in hosts) + 1) / (sum(n for _, n, _ in hosts) + 2)
+    one = level([(k, *v, m0) for k, v in summed(1).items()])
+    two = level([(k, *v, mean(one[k.split(".")[-1]])) for k, v in summed(2).items()])
+    want = level([(h, n, g, mean(two[h.split(".", 1)[1]])) for h, n, g in hosts])
+    frame = spark.createDataFrame(hosts, "host string, n double, good double")
+    for few in (url_reputation.FEW, 1):  # parents sent to all, and joined by their weight
+        url_reputation.FEW, before = few, url_reputation.FEW
+        got = {r["host"]: (r["a"], r["b"]) for r in url_reputation.reputation(frame).collect()}
+        url_reputation.FEW = before
+        assert got.keys() == want.keys() and all(got[h] == pytest.approx(want[h], rel=1e-9) for h in want)
+
+
+@pytest.mark.parametrize("name", sorted(Q.oracle_sql()))
+def test_queries_equal_their_sql(spark, name):
+    import duckdb
+
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
+    told = con.sql(Q.oracle_sql()[name])
+    df = Q.queries()[name](spark, DATA)
+    columns = sorted(df.columns)
+    assert sorted(told.columns) == columns
+    at = [told.columns.index(c) for c in columns]
+    assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == sorted(repr(tuple(r[i] for i in at)) for r in told.fetchall())
