@@ -455,14 +455,75 @@ def test_quality_verdicts(spark, odd):
     assert quality_forest.judge(odd.limit(0), labels).count() == 0
 
 
-def test_pipeline(spark):
+def pipeline_by_brute_force(spark, frame):
+    """The pipeline's rows from plain lists: the fitted profiles, all pairs of documents, all windows, inverted Poisson
+    draws and the tokenizers library."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary_path())
+    profiles = language_id.fit(frame, "doc_id", "text", "lang")
+    rows = [r.asDict() for r in frame.collect()]
+    rows = [r for r in rows if (p := profiles.predict(r["text"]))[0] != "und" and p[1] >= 0.05]
+    root = linked([(r["doc_id"], r["text"]) for r in rows])
+    rows = [r for r in rows if root[r["doc_id"]][1] == r["doc_id"]]
+    first = {}
+    for r in rows:
+        w = (r["text"] or "").encode().split()
+        for j in range(len(w) - 12):
+            first[tuple(w[j : j + 13])] = min(first.get(tuple(w[j : j + 13]), 1 << 62), r["doc_id"])
+    for r in rows:
+        w = (r["text"] or "").encode().split()
+        gone = [False] * len(w)
+        for j in range(len(w) - 12):
+            if first[tuple(w[j : j + 13])] < r["doc_id"]:
+                gone[j : j + 13] = [True] * 13
+        if any(gone):
+            r["text"] = b" ".join(x for x, g in zip(w, gone, strict=True) if not g).decode()
+            r["n_chars"] = len(r["text"])
+    size = collections.Counter(r["source"] for r in rows)
+    weight = {s: n**mixing.TEMPERATURE for s, n in size.items()}
+    out = []
+    for r in rows:
+        rate = weight[r["source"]] / sum(weight.values()) * len(rows) / size[r["source"]]
+        copies = poisson(rate, int(hashlib.md5(f"{mixing.SEED}:{r['doc_id']}:0".encode()).hexdigest()[:13], 16) / 2**52)
+        ids = library.encode(r["text"], add_special_tokens=False).ids
+        sha = hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
+        out += [(r["doc_id"], r["lang"], r["source"], r["n_chars"], len(ids), tuple(ids), sha)] * copies
+    return sorted(out, key=repr)
+
+
+def test_pipeline(spark, docs):
     import corpus_pipeline
 
     got = corpus_pipeline.run(spark, DATA)
-    assert {"doc_id", "n_tokens", "ids"} <= set(got.columns) and got.count() > 0
+    assert got.columns == ["doc_id", "lang", "source", "n_chars", "n_tokens", "ids", "decoded_sha256"]
+    found = sorted(((r["doc_id"], r["lang"], r["source"], r["n_chars"], r["n_tokens"], tuple(r["ids"]), r["decoded_sha256"]) for r in got.collect()), key=repr)
+    assert found == pipeline_by_brute_force(spark, docs) and len(found) > 100
     assert [n for n, _ in corpus_pipeline.STAGES] == ["language_id", "jaccard_join", "substring_dedup", "mixing", "bpe"]
 
 
+def test_pipeline_stages_on_odd_rows(spark, odd):
+    """Nulls, empty, long, repeated and clashing: each stage keeps the columns and gives its defined result."""
+    import corpus_pipeline
+
+    frame = odd.withColumn("lang", F.when(F.col("doc_id").isin(9), None).otherwise(F.col("lang"))).withColumn("n", F.lit(3)).withColumn("rate", F.lit("r")).withColumn("a.b", F.lit(1.5)).withColumn("row", F.lit(True))
+    kept = frame
+    for name, stage in corpus_pipeline.STAGES:
+        empty, kept = stage(spark, kept.limit(0), DATA), stage(spark, kept, DATA).cache()
+        assert empty.count() == 0
+        if name != "bpe":
+            assert kept.columns == frame.columns
+        ids = collections.Counter(r["doc_id"] for r in kept.collect())
+        if name == "language_id":
+            assert ids[3] == ids[4] == 0 and ids[7] == 2 and ids[None] == 1
+        if name == "jaccard_join":
+            assert ids[2] == ids[6] == ids[7] == 0 and ids[1] == ids[5] == ids[None] == 1
+        if name == "substring_dedup":  # a null id is larger than all others, so its words are the smaller document's
+            assert {r["text"] for r in kept.where("doc_id is null").collect()} == {""}
+        for r in kept.collect():
+            assert (r["n"], r["rate"], r["a.b"], r["row"]) == (3, "r", 1.5, True)
+
+
 def test_word_hashes():
     from tallystone.llm import words
 
@@ -516,7 +577,7 @@ def test_ann_ties_go_to_the_smallest_ids_and_lengths_are_apart(spark):
     got = collections.defaultdict(list)
     for r in ann.search(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), k=5).orderBy("query_id", "rank").collect():
         got[r["query_id"]].append(r["vec_id"])
-    assert got[0] == [1, 2, 3, 4, 5] and got[20] == [0, 1, 2, 3, 4] and got[1000] == [1002, 1001]
+    assert got[0] == [1, 2, 3, 4, 5] and got[20] == [0, 1, 2, 3, 4] and got[1000] == [1001, 1002]
 
 
 def test_posteriors_by_brute_force(spark):
