@@ -33,3 +33,8 @@ def ratio(part: Column, whole: Column, kind: str = "decimal(9,6)") -> Column:
 def tolerant_decimal(text: Column, kind: str = "decimal(24,2)") -> Column:
     """Amounts as people write them: dollar signs and thousands commas go; null where no number is left."""
     return F.regexp_replace(F.trim(text), r"[$,]", "").try_cast(kind)
+
+
+def quantized(amount: Column, digits: int = 2, half_even: bool = False) -> Column:
+    """Rounded to so many digits: halves away from zero, or to the even neighbour."""
+    return F.bround(amount, digits) if half_even else F.round(amount, digits)

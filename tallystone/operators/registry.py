@@ -3,6 +3,8 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tallystone.operators.serving import checked_broadcast, clients_of
+
 
 def diff(old: DataFrame, new: DataFrame) -> DataFrame:
     """new with status: new, restated (other digest) or unchanged."""
@@ -37,6 +39,22 @@ def decide(queue: DataFrame, decisions: DataFrame) -> DataFrame:
     return rows.select("fund_id", "document", F.when(may, F.col("_to")).otherwise(F.col("status")).alias("status"), F.when(may, taken).alias("final_amount"), (F.col("_to").isNotNull() & ~may).alias("conflict"))
 
 
+def audited(queue: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(fund_id, document, action, status_before, status_after, extracted_amount, final_amount) to be appended to the audit:
+    a row for each decision that was taken. An approval takes over what was extracted; refused ones leave no row."""
+    rows = queue.where("status = 'pending'").select("fund_id", "document", F.col("status").alias("status_before"), F.col("amount").alias("extracted_amount"))
+    taken = rows.join(decisions.select("fund_id", "document", F.col("status").alias("status_after"), F.col("final_amount").alias("_given")), ["fund_id", "document"])
+    approved = F.col("status_after") == "approved"
+    return taken.select("fund_id", "document", F.when(approved, "approve").otherwise("correct").alias("action"), "status_before", "status_after", "extracted_amount", F.when(approved, F.col("extracted_amount")).otherwise(F.col("_given")).alias("final_amount"))
+
+
+def review_source(judged: DataFrame, extractions: DataFrame) -> DataFrame:
+    """What a reviewer is shown: documents that need a review, with the fields that were extracted. extractions: fund_id,
+    document, fields_json."""
+    waiting = judged.where("routing = 'needs_review'")
+    return waiting.join(extractions.select("fund_id", "document", "fields_json"), ["fund_id", "document"]).select("fund_id", "document", "doc_type", "sequence_number", "period_end", "fields_json", F.col("confidence").cast("decimal(5,4)").alias("confidence"), "validation_notes")
+
+
 def latest_before(asked: DataFrame, facts: DataFrame, key: str, at: str, when: str, value: str) -> DataFrame:
     """As-of lookup: the value of the latest fact of the key on or before the asked day."""
     from pyspark.sql.window import Window
@@ -54,18 +72,13 @@ def information_table(rows: DataFrame) -> DataFrame:
 
 
 def of_tenant(rows: DataFrame, tenants: DataFrame, tenant: int) -> DataFrame:
-    """Rows of the tenant's clients; tenants: client_id, tenant_id."""
-    return rows.join(F.broadcast(tenants.where(F.col("tenant_id") == tenant).select("client_id")), "client_id", "left_semi")
+    """Rows of the tenant's clients; tenants: client_id, tenant_id. An unknown tenant is an error."""
+    return rows.join(checked_broadcast(clients_of(tenants, tenant)), "client_id", "left_semi")
 
 
 def unclaimed(rows: DataFrame, tenants: DataFrame) -> DataFrame:
     """Clients of rows whom no tenant has."""
-    return rows.select("client_id").distinct().join(F.broadcast(tenants.select("client_id")), "client_id", "left_anti")
-
-
-def on_latest_day(rows: DataFrame) -> DataFrame:
-    """Rows of the latest day of all; only one date is broadcast."""
-    return rows.join(F.broadcast(rows.agg(F.max("as_of").alias("as_of"))), "as_of")
+    return rows.select("client_id").distinct().join(checked_broadcast(tenants.select("client_id")), "client_id", "left_anti")
 
 
 def freshness(rows: DataFrame, run_date: str, at_most: int = 3) -> DataFrame:

@@ -11,9 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.functions import identifiers
-from tallystone.functions.money import signed, tolerant_decimal
-from tallystone.operators import conform, documents, fx, ownership, quality, registry, wealth
+from tallystone.functions import identifiers, labels
+from tallystone.functions.money import quantized, signed, tolerant_decimal
+from tallystone.operators import conform, defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
 from tallystone.sources import feeds
 from tallystone.sources.model import DUCK, Model, with_clause
 
@@ -662,6 +662,167 @@ def events_json(m):
     return m.table("events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(F.get_json_object("props", "$.k").cast("int")).alias("total"))
 
 
+# --- the securities master ---------------------------------------------------------------------------------------
+
+_UNIVERSE = f"SELECT cusip, concat(country, cusip, CAST((10 - {_DIGITS.format(d='d', p=1)} % 10) % 10 AS VARCHAR)) AS isin FROM (SELECT cusip, country, {_WIDE.format(t='(country || cusip)')} AS d FROM (SELECT u.cusip, coalesce(d.country, 'US') AS country FROM (SELECT DISTINCT cusip FROM filing_rows WHERE cusip NOT LIKE 'G%') u LEFT JOIN domiciles d ON d.cusip = u.cusip))"
+
+
+@query(_UNIVERSE)
+def master_universe(m):
+    """The ISIN of every security in the filings whose issuer's country is known."""
+    return master.universe(m["filing_rows"], m["domiciles"])
+
+
+@query(f"SELECT isin, k % 7 <> 0 AS mapped, CASE WHEN k % 7 <> 0 THEN concat('BBG', lpad(CAST(k AS VARCHAR), 9, '0')) END AS figi, CASE WHEN k % 7 <> 0 THEN concat('Name ', k) END AS name, CASE WHEN k % 7 <> 0 THEN 'Common Stock' END AS security_type, CASE WHEN k % 7 <> 0 THEN 'Equity' END AS market_sector, CASE WHEN k % 7 <> 0 THEN concat('T', k) END AS ticker, CASE WHEN k % 7 <> 0 THEN 'US' END AS exchange_code FROM (SELECT isin, CAST(substr(cusip, 2, 8) AS BIGINT) AS k FROM ({_UNIVERSE}))")
+def master_entries(m):
+    """An entry for each ISIN; some have two matches, of which the first counts, and some none."""
+    isins = master.universe(m["filing_rows"], m["domiciles"])
+    k = F.substring("cusip", 2, 8).cast("long")
+    match = lambda place, end: F.struct(F.lit(place).alias("place"), F.concat(F.lit("BBG"), F.lpad(k.cast("string"), 9, "0"), F.lit(end)).alias("figi"), F.concat(F.lit("Name "), k.cast("string"), F.lit(end)).alias("name"), F.lit("Common Stock").alias("security_type"), F.lit("Equity").alias("market_sector"), F.concat(F.lit("T"), k.cast("string")).alias("ticker"), F.lit("US").alias("exchange_code"))
+    found = isins.where(k % 7 != 0).select("isin", F.explode(F.array(match(1, "-2"), match(0, ""))).alias("x")).select("isin", "x.*")
+    return master.assembled(isins, found)
+
+
+@query("SELECT scheme, value, CASE scheme WHEN 'ISIN' THEN regexp_full_match(upper(trim(value)), '[A-Z]{2}[A-Z0-9]{9}[0-9]') WHEN 'CUSIP' THEN regexp_full_match(upper(trim(value)), '[A-Z0-9]{9}') WHEN 'SEDOL' THEN regexp_full_match(upper(trim(value)), '[A-Z0-9]{7}') WHEN 'TICKER' THEN regexp_full_match(upper(trim(value)), '[A-Z0-9.-]{1,12}') WHEN 'FIGI' THEN regexp_full_match(upper(trim(value)), '[A-Z0-9]{12}') ELSE false END AS well_formed FROM (SELECT DISTINCT CASE l_linenumber WHEN 1 THEN 'ISIN' WHEN 2 THEN 'CUSIP' WHEN 3 THEN 'SEDOL' WHEN 4 THEN 'TICKER' WHEN 5 THEN 'FIGI' ELSE 'WKN' END AS scheme, CASE l_linenumber WHEN 1 THEN concat(' us', lpad(CAST(l_partkey AS VARCHAR), 10, '0')) WHEN 2 THEN concat('G', l_partkey) ELSE concat('BBG', lpad(CAST(l_partkey AS VARCHAR), 9, 'x')) END AS value FROM lineitem)")
+def identifier_shapes(m):
+    n, k = F.col("l_linenumber"), F.col("l_partkey").cast("string")
+    scheme = F.coalesce(F.when(n == 1, "ISIN").when(n == 2, "CUSIP").when(n == 3, "SEDOL").when(n == 4, "TICKER").when(n == 5, "FIGI"), F.lit("WKN"))
+    value = F.when(n == 1, F.concat(F.lit(" us"), F.lpad(k, 10, "0"))).when(n == 2, F.concat(F.lit("G"), k)).otherwise(F.concat(F.lit("BBG"), F.lpad(k, 9, "x")))
+    return m.table("lineitem").select(scheme.alias("scheme"), value.alias("value")).distinct().withColumn("well_formed", identifiers.well_formed(F.col("scheme"), F.col("value")))
+
+
+# --- fund books, defects, deliveries -----------------------------------------------------------------------------
+
+_CALLED = "CASE q {} ELSE 0 END".format(" ".join(f"WHEN {q} THEN CAST(c * {s} AS DECIMAL(24,2))" for q, s in fund_book.CALLS))
+_WHOLE = " + ".join(f"CAST(c * {s} AS DECIMAL(24,2))" for _, s in fund_book.CALLS)
+_GAIN = "CASE q {} END".format(" ".join(f"WHEN {q} THEN CAST({g} AS DECIMAL(6,4))" for q, g in enumerate(fund_book.GAINS, 1)))
+_QUARTER = "CAST(last_day(make_date(vintage, 1, 1) + to_months(q * 3 - 1)) AS DATE)"
+_BOOK = f"""WITH RECURSIVE funds AS (SELECT c_custkey AS fund_id, CAST(1000000 + c_custkey * CAST(12345.67 AS DECIMAL(9,2)) AS DECIMAL(24,2)) AS c, 1995 + c_custkey % 5 AS vintage FROM customer),
+    grid AS (SELECT fund_id, c, vintage, q, CAST({_CALLED} AS DECIMAL(24,2)) AS contributions, CAST(CASE q WHEN 7 THEN CAST(({_WHOLE}) * 0.05 AS DECIMAL(24,2)) WHEN 9 THEN CAST(({_WHOLE}) * 0.08 AS DECIMAL(24,2)) ELSE 0 END AS DECIMAL(24,2)) AS distributions, {_GAIN} AS gain, CAST(CAST(c * 0.02 AS DECIMAL(28,6)) / 4 AS DECIMAL(24,2)) AS fees FROM funds, (SELECT CAST(unnest(range(1, 11)) AS INTEGER) AS q) WHERE true),
+    moved AS (SELECT *, CASE WHEN q = 9 THEN distributions ELSE CAST(0 AS DECIMAL(24,2)) END AS realized, CAST(sum(contributions) OVER (PARTITION BY fund_id ORDER BY q) AS DECIMAL(24,2)) AS called FROM grid),
+    book(fund_id, q, beginning, unrealized, ending) AS (SELECT fund_id, 0, CAST(0 AS DECIMAL(24,2)), CAST(0 AS DECIMAL(24,2)), CAST(0 AS DECIMAL(24,2)) FROM funds UNION ALL
+        SELECT fund_id, q, beginning, unrealized, CAST(before + realized + unrealized AS DECIMAL(24,2)) FROM (SELECT fund_id, q, beginning, before, realized, CAST(before * gain AS DECIMAL(24,2)) AS unrealized FROM (SELECT b.fund_id, m.q, b.ending AS beginning, CAST(b.ending + m.contributions - m.distributions - m.fees AS DECIMAL(24,2)) AS before, m.realized, m.gain FROM book b JOIN moved m ON m.fund_id = b.fund_id AND m.q = b.q + 1)))"""
+
+
+@query(f"{_BOOK} SELECT m.fund_id, {_QUARTER.replace('q *', 'm.q *')} AS period_end, b.beginning AS beginning_balance, m.contributions, m.distributions, m.fees AS management_fees, m.realized AS realized_gain_loss, b.unrealized AS unrealized_gain_loss, b.ending AS ending_balance, m.c AS total_commitment, CAST(m.c - m.called AS DECIMAL(24,2)) AS unfunded_commitment FROM moved m JOIN book b ON b.fund_id = m.fund_id AND b.q = m.q")
+def fund_book_statements(m):
+    return fund_book.statements(m["commitments"])
+
+
+@query(f"""{_BOOK} SELECT fund_id, 'capital_call' AS kind, CAST(row_number() OVER (PARTITION BY fund_id ORDER BY q) AS INTEGER) AS number, {_QUARTER} AS notice_date, CAST({_QUARTER} + 14 AS DATE) AS due_date, contributions AS amount, called AS cumulative, CAST(c - called AS DECIMAL(24,2)) AS remaining_commitment, CAST(NULL AS VARCHAR) AS source, CAST(NULL AS BOOLEAN) AS recallable FROM moved WHERE contributions > 0
+    UNION ALL SELECT fund_id, 'distribution', CAST(row_number() OVER (PARTITION BY fund_id ORDER BY q) AS INTEGER), {_QUARTER}, NULL, distributions, CAST(sum(distributions) OVER (PARTITION BY fund_id ORDER BY q) AS DECIMAL(24,2)), NULL, CASE q WHEN 7 THEN 'RETURN_OF_CAPITAL' ELSE 'CAPITAL_GAIN' END, q = 7 FROM moved WHERE distributions > 0""")
+def fund_book_notices(m):
+    return fund_book.notices(m["commitments"])
+
+
+SEED = 7
+_HIT = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY defect, as_of, account_id ORDER BY md5(concat('{seed}:', defect, ':', {target})), {target}) AS nth FROM ({rows})) WHERE nth = 1 AND CAST('0x' || substr(md5(concat('{seed}:', defect, ':{fmt}:', account_id, ':', as_of)), 1, 13) AS BIGINT) / 4503599627370496.0 < 0.25"
+_BAD_HOLDINGS = _HIT.format(seed=SEED, target="security_id", fmt="MT535", rows="SELECT f.*, defect FROM feed_b f, (SELECT unnest(['MISSING_COST_BASIS', 'MISTYPED_ISIN', 'STALE_PRICE']) AS defect) WHERE defect <> 'MISSING_COST_BASIS' OR cost_basis IS NOT NULL")
+_BAD_CASH = _HIT.format(seed=SEED, target="transaction_id", fmt="camt.053", rows="SELECT e.*, defect FROM clean_entries e, (SELECT unnest(['DUPLICATE_TRANSACTION', 'DROPPED_TRANSACTION', 'SETTLEMENT_SHIFT']) AS defect) WHERE true")
+
+
+@query(f"SELECT as_of, account_id, defect, security_id AS target_id, CASE defect WHEN 'MISSING_COST_BASIS' THEN concat('cost_basis ', cost_basis, ' -> None') WHEN 'MISTYPED_ISIN' THEN concat(security_id, ' -> ', substr(security_id, 1, 11), (CAST(substr(security_id, 12, 1) AS INTEGER) + 1) % 10) ELSE concat('price_as_of ', price_as_of, ' -> ', CAST(price_as_of - 5 AS DATE)) END AS detail FROM ({_BAD_HOLDINGS})")
+def defects_holdings(m):
+    """The manifest of defects in SWIFT statements."""
+    return defects.holdings(m["feed_b"], SEED, "MT535")[1]
+
+
+@query(f"SELECT as_of, account_id, defect, transaction_id AS target_id, CASE defect WHEN 'SETTLEMENT_SHIFT' THEN concat('settlement_date ', settlement_date, ' -> ', CAST(settlement_date + 1 AS DATE)) WHEN 'DROPPED_TRANSACTION' THEN concat('entry dropped (', type, ', ', amount, ')') ELSE concat('entry duplicated (', type, ', ', amount, ')') END AS detail FROM ({_BAD_CASH})")
+def defects_cash(m):
+    return defects.cash(m["clean_entries"], SEED)[1]
+
+
+@query(f"SELECT e.as_of, e.account_id, count(*) + coalesce(max(more), 0) - coalesce(max(less), 0) AS entries FROM clean_entries e LEFT JOIN (SELECT as_of, account_id, count_if(defect = 'DUPLICATE_TRANSACTION') AS more, count_if(defect = 'DROPPED_TRANSACTION') AS less FROM ({_BAD_CASH}) GROUP BY ALL) USING (as_of, account_id) GROUP BY e.as_of, e.account_id HAVING count(*) + coalesce(max(more), 0) - coalesce(max(less), 0) > 0")
+def defects_cash_effect(m):
+    """Entries a statement after duplicates and drops."""
+    return defects.cash(m["clean_entries"], SEED)[0].groupBy("as_of", "account_id").agg(F.count("*").alias("entries"))
+
+
+@query("SELECT format, files, files AS parsed FROM (SELECT 'semt.002' AS format, count(DISTINCT file_path) AS files FROM feed_a WHERE as_of < DATE '1996-01-01' UNION ALL SELECT 'MT535', count(DISTINCT file_path) FROM feed_b WHERE as_of < DATE '1996-01-01' UNION ALL SELECT 'camt.053', count(DISTINCT as_of) FROM balances WHERE as_of < DATE '1996-01-01')")
+def day_delivery(m):
+    """The files of a year's days with defects in them, rendered and read again: a statement for each account and format, and one of cash a day."""
+    year = lambda rows: rows.where("as_of < DATE '1996-01-01'")
+    bad = lambda feed, fmt: _dollars(defects.holdings(year(m[feed]), SEED, fmt)[0])
+    read = [
+        feeds.parse_holdings_xml(feeds.holdings_xml(bad("feed_a", "semt.002"))).select(F.lit("semt.002").alias("format"), "file_path", "status"), feeds.parse_holdings_swift(feeds.holdings_swift(bad("feed_b", "MT535"))).select(F.lit("MT535").alias("format"), "file_path", "status"),
+        feeds.parse_cash_entries(feeds.cash_xml(defects.cash(year(m["clean_entries"]), SEED)[0], year(m["balances"]))).select(F.lit("camt.053").alias("format"), "file_path", "status"),
+    ]
+    every = read[0].unionByName(read[1]).unionByName(read[2])
+    return every.groupBy("format").agg(F.countDistinct("file_path").alias("files"), F.countDistinct(F.when(F.col("status") == "PARSED", F.col("file_path"))).alias("parsed"))
+
+
+# --- display and serving -----------------------------------------------------------------------------------------
+
+
+@query("SELECT o_orderkey AS k, CAST(v AS DECIMAL(18,2)) AS half_up, CAST(round_even(CAST(v AS DOUBLE), 2) AS DECIMAL(18,2)) AS half_even FROM (SELECT o_orderkey, CAST(CAST(o_orderkey AS DECIMAL(15,0)) * CAST(0.125 AS DECIMAL(4,3)) AS DECIMAL(18,3)) AS v FROM orders)")
+def rounding_rules(m):
+    value = (F.col("o_orderkey").cast("decimal(15,0)") * F.lit("0.125").cast("decimal(4,3)")).cast("decimal(18,3)")
+    return m.table("orders").select(F.col("o_orderkey").alias("k"), quantized(value).cast("decimal(18,2)").alias("half_up"), quantized(value, half_even=True).cast("decimal(18,2)").alias("half_even"))
+
+
+@query("SELECT o_orderkey AS k, concat(CASE WHEN v < 0 THEN '-$' ELSE '$' END, format('{:,}', CAST(abs(v) AS BIGINT))) AS money, concat(CAST(o_orderkey % 1000 / CAST(800 AS DOUBLE) * 100 AS DECIMAL(10,1)), '%') AS share, concat(CAST(o_orderkey % 64 / 16.0 AS DECIMAL(10,2)), 'x') AS multiple, strftime(CAST(o_orderdate AS DATE), '%d %b %Y') AS day, strftime(CAST(o_orderdate AS DATE), '%b %Y') AS month FROM (SELECT *, round(CASE WHEN o_orderkey % 3 = 0 THEN -1 ELSE 1 END * CAST(o_totalprice AS DECIMAL(18,2)), 0) AS v FROM orders)")
+def display_labels(m):
+    k, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
+    amount = F.when(k % 3 == 0, -1).otherwise(1) * F.col("o_totalprice").cast("decimal(18,2)")
+    return m.table("orders").select(k.alias("k"), labels.money(amount).alias("money"), labels.percent((k % 1000) / 800.0).alias("share"), labels.multiple((k % 64) / 16.0).alias("multiple"), labels.long_date(day).alias("day"), labels.month(day).alias("month"))
+
+
+@query("SELECT source_format AS format, status, count(*) AS files, min(statement_date) AS first_day, max(statement_date) AS last_day FROM deliveries GROUP BY source_format, status")
+def registry_formats(m):
+    found = m["deliveries"].groupBy(F.col("source_format").alias("format"), "status").agg(F.count("*").alias("files"), F.min("statement_date").alias("first_day"), F.max("statement_date").alias("last_day"))
+    return serving.ordered(found, "format", "status")
+
+
+@query("SELECT (SELECT count(*) FROM balances) AS balances, (SELECT count(*) FROM cash) AS transactions, (SELECT count(*) FROM balances b JOIN owners o ON o.account_id = b.account_id) AS balance_owner_rows, (SELECT count(*) FROM cash_owned) AS txn_owner_rows, (SELECT count(DISTINCT currency) FROM balances) AS currencies")
+def cash_dashboard(m):
+    """Counts of the cash tables side by side; each is one row, so their cross join is one."""
+    owned = conform.cash_owners(m["balances"], "amount", m["owners"])
+    moved = conform.collapsed(m["entries"])
+    of = lambda rows, name: rows.agg(F.count("*").alias(name))
+    return m["balances"].agg(F.count("*").alias("balances"), F.countDistinct("currency").alias("currencies")).crossJoin(of(moved, "transactions")).crossJoin(of(owned, "balance_owner_rows")).crossJoin(of(_moves(m), "txn_owner_rows"))
+
+
+@query("SELECT fund_id, document, doc_type, sequence_number, doc_date AS period_end, concat('{\"amount\":', CASE WHEN amount IS NULL THEN 'null' ELSE concat('\"', amount, '\"') END, '}') AS fields_json, CAST(confidence AS DECIMAL(5,4)) AS confidence, validation_notes FROM doc_judged WHERE NOT auto")
+def review_source(m):
+    fields = F.to_json(F.struct(F.col("amount").cast("string").alias("amount")), {"ignoreNullFields": "false"})
+    return registry.review_source(_judged(m).withColumn("period_end", F.col("doc_date")), m["fund_docs"].select("fund_id", "document", fields.alias("fields_json")))
+
+
+@query(f"SELECT q.fund_id, q.document, CASE d.status WHEN 'approved' THEN 'approve' ELSE 'correct' END AS action, q.status AS status_before, d.status AS status_after, q.amount AS extracted_amount, CASE d.status WHEN 'approved' THEN q.amount ELSE d.final_amount END AS final_amount FROM ({_QUEUE}) q JOIN decisions d ON d.fund_id = q.fund_id AND d.document = q.document WHERE q.status = 'pending'")
+def review_audit(m):
+    return registry.audited(_queue(m), m["decisions"])
+
+
+@query(f"SELECT q.fund_id, q.document, q.status, q.amount, f.doc_date AS loaded_at FROM ({_QUEUE}) q JOIN fund_docs f ON f.fund_id = q.fund_id AND f.document = q.document WHERE q.status = 'pending'")
+def review_queue_pending(m):
+    """The queue's pending items, newest first."""
+    items = _queue(m).join(m["fund_docs"].select("fund_id", "document", F.col("doc_date").alias("loaded_at")), ["fund_id", "document"])
+    return serving.queue(items.select("fund_id", "document", "status", "amount", "loaded_at"), "pending")
+
+
+@query("SELECT * FROM dq WHERE metric <> 'bronze_days_behind'")
+def serve_metrics(m):
+    return serving.ordered(_metrics(m).where("metric <> 'bronze_days_behind'"), "dimension", "metric", "as_of")
+
+
+@query(f"SELECT * FROM ({_ALLOCATION}) WHERE client_id = 3 AND as_of = (SELECT max(as_of) FROM positions)")
+def serve_allocation(m):
+    """A client's classes on the latest day, largest first."""
+    day = _latest(m)
+    return serving.of_client(wealth.allocation(_pos_owned(m, day), _closing(m, day), _alts(m), _rates(m)).where(F.col("as_of") == F.lit(day)), 3, "-weight", "asset_class")
+
+
+@query("SELECT client_id, as_of, total_wealth_usd, external_flow_usd, round(r, 6) AS daily_twr_return, round(exp(sum(CASE WHEN r > -1 THEN ln(1 + r) ELSE 0 END) OVER (PARTITION BY client_id ORDER BY as_of ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)), 4) AS twr_index FROM perf_raw WHERE client_id = 3")
+def serve_performance(m):
+    return serving.of_client(_performance(m), 3, "as_of")
+
+
+@query(f"SELECT o.client_id, concat('Fund ', r.fund_id) AS fund_name, r.inception_date, r.moic, r.pending_review_documents FROM ({_ROLL}) r JOIN owners o ON o.account_id = r.fund_id WHERE o.client_id = 3")
+def serve_alternatives(m):
+    """A client's funds by name."""
+    return serving.of_client(documents.holdings(_funds(m), m["owners"], _rates(m)), 3, "fund_name").select("client_id", "fund_name", "inception_date", "moic", "pending_review_documents")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 

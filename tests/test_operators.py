@@ -7,9 +7,9 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from tallystone.functions import identifiers
-from tallystone.functions.money import to_usd, tolerant_decimal
-from tallystone.operators import documents, fx, ownership, quality, registry, wealth
+from tallystone.functions import identifiers, labels
+from tallystone.functions.money import quantized, to_usd, tolerant_decimal
+from tallystone.operators import defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
 from tallystone.plans import catalog
 from tallystone.sources import feeds
 from tallystone.sources.model import Model
@@ -259,10 +259,93 @@ def test_a_second_decision_is_a_conflict(spark):
 
 
 def test_streamed_arrivals_supersede(spark, tmp_path):
-    schema = "file_path long, sha256 string"
-    for i, rows in enumerate(([(1, "a"), (2, "b")], [(2, "c"), (3, "d")])):
+    schema = "file_path string, statement_date date, sha256 string, landed_at long"
+    day = lambda n: dt.date(2026, 7, n)
+    batches = [[("a", day(1), "1", 1), ("b", day(1), "2", 1), ("x", day(3), "9", 1)], [("b", day(1), "older", 2), ("b", day(1), "newer", 3), ("c", day(2), "4", 2)]]
+    out, before = tmp_path / "out", {}
+    for rows in batches:
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
-        ingest(spark, str(tmp_path / "in"), schema, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
-        assert (tmp_path / "out" / str(i)).exists()
-    got = {r["file_path"]: r["sha256"] for r in spark.read.schema(schema).parquet(str(tmp_path / "out" / "1")).collect()}
-    assert got == {1: "a", 2: "c", 3: "d"}
+        ingest(spark, str(tmp_path / "in"), schema, str(out), str(tmp_path / "checkpoint"))
+        untouched = {p.name for p in (out / "statement_date=2026-07-03").glob("*.parquet")}
+        assert not before or untouched == before  # a day that brings nothing is not written again
+        before = untouched
+    got = {r["file_path"]: r["sha256"] for r in spark.read.parquet(str(out)).collect()}
+    assert got == {"a": "1", "b": "newer", "c": "4", "x": "9"}
+
+
+def test_labels(spark):
+    row = spark.createDataFrame([(Decimal("41091835.83"), Decimal("-5.40"), 0.0265687243, 1.44, dt.date(2026, 7, 7))], "a decimal(24,2), b decimal(24,2), c double, d double, e date")
+    c = F.col
+    got = row.select(labels.money(c("a")), labels.money(c("b")), labels.percent(c("c"), 2), labels.percent(F.lit(0.2)), labels.percent(F.lit(0.6), 0), labels.multiple(c("d")), labels.multiple(F.lit(0)), labels.long_date(c("e")), labels.month(c("e")), labels.money(F.lit(None).cast("decimal(24,2)")))
+    assert list(got.collect()[0]) == ["$41,091,836", "-$5", "2.66%", "20.0%", "60%", "1.44x", "0.00x", "07 Jul 2026", "Jul 2026", None]
+    halves = spark.createDataFrame([(Decimal("0.125"),), (Decimal("-0.125"),), (Decimal("0.135"),)], "x decimal(9,3)")
+    assert [tuple(map(str, r)) for r in halves.select(quantized(c("x")), quantized(c("x"), half_even=True)).collect()] == [("0.13", "0.12"), ("-0.13", "-0.12"), ("0.14", "0.14")]
+
+
+def test_shapes_and_foreign_codes(spark):
+    rows = [("ISIN", " us0378331005 ", True), ("ISIN", "US03783310", False), ("CUSIP", "037833100", True), ("SEDOL", "B0YBKJ7", True), ("TICKER", "BRK.B", True), ("TICKER", "TOO LONG", False), ("FIGI", "BBG000B9XRY4", True), ("WKN", "716460", False), ("ISIN", None, None)]
+    frame = spark.createDataFrame(rows, "scheme string, value string, want boolean")
+    assert [r["got"] for r in frame.select(identifiers.well_formed(F.col("scheme"), F.col("value")).alias("got")).collect()] == [r[2] for r in rows]
+    codes = spark.createDataFrame([("136375102", "CA")], "cusip string, country string")
+    assert codes.select(identifiers.isin_required(F.col("cusip"), F.col("country")).alias("i")).collect()[0]["i"] == "CA1363751027"
+    with pytest.raises(Exception, match="foreign issuer"):
+        spark.createDataFrame([("H1467J104",)], "cusip string").select(identifiers.isin_required(F.col("cusip"))).collect()
+
+
+def test_every_isin_has_one_entry(spark):
+    filings = spark.createDataFrame([("037833100",), (" 037833100",), ("136375102",), ("H1467J104",)], "cusip string")
+    isins = master.universe(filings, spark.createDataFrame([("136375102", "CA")], "cusip string, country string"))
+    assert {r["isin"] for r in isins.collect()} == {"US0378331005", "CA1363751027"}
+    found = spark.createDataFrame([("US0378331005", 1, "B", "b", None, None, None, None), ("US0378331005", 0, "A", "a", None, None, None, None)], "isin string, place int, figi string, name string, security_type string, market_sector string, ticker string, exchange_code string")
+    assert {(r["isin"], r["mapped"], r["figi"]) for r in master.assembled(isins, found).collect()} == {("US0378331005", True, "A"), ("CA1363751027", False, None)}
+
+
+def test_fund_book_balances_roll_forward(spark):
+    funds = spark.createDataFrame([(1, Decimal("1000001.99"), 2024)], "fund_id long, total_commitment decimal(24,2), vintage_year int")
+    rows = sorted(fund_book.statements(funds).collect(), key=lambda r: r["period_end"])
+    assert [r["period_end"] for r in rows][:5] == [dt.date(2024, 3, 31), dt.date(2024, 6, 30), dt.date(2024, 9, 30), dt.date(2024, 12, 31), dt.date(2025, 3, 31)] and len(rows) == 10
+    before, cent = Decimal(0), Decimal("0.01")
+    for r, gain in zip(rows, fund_book.GAINS, strict=True):
+        held = before + r["contributions"] - r["distributions"] - r["management_fees"]
+        assert r["beginning_balance"] == before and r["unrealized_gain_loss"] == (held * Decimal(gain)).quantize(cent, "ROUND_HALF_UP")
+        assert r["ending_balance"] == held + r["realized_gain_loss"] + r["unrealized_gain_loss"]
+        before = r["ending_balance"]
+    told = {(r["kind"], r["number"]): r for r in fund_book.notices(funds).collect()}
+    assert sum(r["contributions"] for r in rows) == told["capital_call", 4]["cumulative"] and rows[-1]["unfunded_commitment"] == told["capital_call", 4]["remaining_commitment"]
+    assert [told["distribution", i]["recallable"] for i in (1, 2)] == [True, False] and rows[8]["realized_gain_loss"] == rows[8]["distributions"] > 0
+
+
+def test_defects_are_told_and_nothing_else_changes(spark):
+    m = Model(spark, "/root/testdata/sf0.001")
+    clean = m["feed_b"]
+    bad, manifest = defects.holdings(clean, 3, "MT535")
+    told = manifest.collect()
+    kinds = {r["defect"] for r in told}
+    statements = clean.select("as_of", "account_id").distinct().count()
+    assert kinds == {"MISSING_COST_BASIS", "MISTYPED_ISIN", "STALE_PRICE"} and all(0.15 * statements < sum(r["defect"] == k for r in told) < 0.35 * statements for k in kinds)
+    assert bad.count() == clean.count() and bad.exceptAll(clean).count() <= len(told)
+    typed = {r["target_id"]: r["detail"] for r in told if r["defect"] == "MISTYPED_ISIN"}
+    assert all(d == f"{t} -> {t[:-1]}{(int(t[-1]) + 1) % 10}" for t, d in typed.items())
+    cash, manifest = defects.cash(m["clean_entries"], 3)
+    count = manifest.groupBy("defect").count().collect()
+    by = {r["defect"]: r["count"] for r in count}
+    assert cash.count() == m["clean_entries"].count() + by["DUPLICATE_TRANSACTION"] - by["DROPPED_TRANSACTION"]
+
+
+def test_serving_rows(spark):
+    tenants = spark.createDataFrame([(1, 10), (2, 20)], "client_id int, tenant_id int")
+    rows = spark.createDataFrame([(1, "b", 2), (1, "a", 1), (2, "c", 3)], "client_id int, name string, rank int")
+    assert [r["name"] for r in serving.of_client(rows, 1, "-rank").collect()] == ["b", "a"]
+    assert [r["name"] for r in registry.of_tenant(rows, tenants, 20).collect()] == ["c"]
+    with pytest.raises(LookupError, match="tenant 30"):
+        registry.of_tenant(rows, tenants, 30)
+    assert registry.unclaimed(rows, tenants.where("tenant_id = 10")).collect()[0]["client_id"] == 2
+    assert serving.checked_broadcast(rows, 2).join(tenants, "client_id").count() == 3  # too many: joined by a shuffle
+    with pytest.raises(LookupError, match="queue item"):
+        serving.one(rows, F.col("rank") == 9, "queue item 9")
+
+
+def test_audit_has_the_decisions_that_were_taken(spark):
+    queue = spark.createDataFrame([(1, "p", "pending", Decimal(5)), (1, "q", "pending", Decimal(6)), (1, "d", "approved", Decimal(7))], "fund_id long, document string, status string, amount decimal(24,2)")
+    decisions = spark.createDataFrame([(1, "p", "approved", None), (1, "q", "corrected", Decimal(9)), (1, "d", "corrected", Decimal(2))], "fund_id long, document string, status string, final_amount decimal(24,2)")
+    assert {(r["document"], r["action"], r["final_amount"]) for r in registry.audited(queue, decisions).collect()} == {("p", "approve", 5), ("q", "correct", 9)}
