@@ -59,7 +59,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """n_tokens, ids and decoded_sha256 in place of the text."""
-    made = bpe.encode_decode(docs, vocabulary_path(), outputs=("n_tokens", "ids", "decoded_sha256"), cache=60_000)
+    made = bpe.encode_decode(docs, vocabulary_path(), outputs=("n_tokens", "ids", "decoded_sha256"), cache=200_000)
     return made.drop("text")
 
 
