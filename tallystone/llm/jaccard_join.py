@@ -382,12 +382,11 @@ def _same(tables: pa.Table, here: np.ndarray, there: np.ndarray, share: tuple[in
 def _blockwise(meeting: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
     """Links between components among documents that meet in keys of very many documents: documents that such keys
     connect make a group, the group is cut into blocks, and each two blocks are compared by matrix products."""
-    first = meeting.groupBy("key").agg(F.min("doc_id").alias("a"))
-    edges = meeting.select("key", "doc_id").join(first.hint("shuffle_merge"), "key").select("a", F.col("doc_id").alias("b")).distinct()
+    edges = meeting.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
     group = components(edges).select(F.col("node").alias("doc_id"), F.col("root").alias("group"))
-    members = meeting.select("doc_id", "root").distinct().join(group.hint("shuffle_merge"), "doc_id")
-    blocks_ = members.groupBy("group").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("n"))
-    placed = members.join(blocks_.hint("shuffle_merge"), "group").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
+    members = materialize(meeting.select("doc_id", "root").distinct().join(group.hint("shuffle_merge"), "doc_id"))
+    sizes = materialize(members.groupBy("group").agg(F.count("*").alias("docs")))
+    placed = lookup(members, sizes, "group", "docs").withColumn("n", F.ceil(F.col("docs") / BLOCK).cast("int")).withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("n")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1))).select("group", "block", "doc_id", "root", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"))
     full = dealt.join(sets.hint("shuffle_merge"), "doc_id").select("group", "i", "j", "block", "doc_id", "root", "hashes")
 
@@ -425,7 +424,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     meeting = _meeting(again, roots)
     rest = [_similar(_all_pairs(meeting.where(F.col("docs") <= HOT), share), sets, share)]
     if meeting.where(F.col("docs") > HOT).limit(1).count():
-        rest.append(_blockwise(meeting.where(F.col("docs") > HOT).select("key", "doc_id", "root"), sets, share))
+        rest.append(_blockwise(meeting.where(F.col("docs") > HOT), sets, share))
     for more in rest:
         more = materialize(more)
         if more.limit(1).count():

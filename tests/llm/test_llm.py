@@ -625,3 +625,17 @@ def test_queries_equal_their_sql(spark, name):
     assert sorted(told.columns) == columns
     at = [told.columns.index(c) for c in columns]
     assert sorted(repr(tuple(r[c] for c in columns)) for r in df.collect()) == sorted(repr(tuple(r[i] for i in at)) for r in told.fetchall())
+
+
+def test_dense_groups_are_compared_in_blocks(spark, monkeypatch):
+    """Documents of one very common passage, most of them just not similar enough: all-against-all by blocks, no link lost."""
+    base = [f"b{k}" for k in range(70)]
+    rows = [(i, " ".join(base + [f"r{i}_{k}" for k in range(14)])) for i in range(240)]
+    rows += [(i, " ".join([*base, *(f"s{k}" for k in range(8)), *(f"r{i}_{k}" for k in range(5))])) for i in range(240, 270)]
+    monkeypatch.setattr(jaccard_join, "HOT", 20)
+    monkeypatch.setattr(jaccard_join, "BLOCK", 64)
+    seen = []
+    blockwise = jaccard_join._blockwise
+    monkeypatch.setattr(jaccard_join, "_blockwise", lambda *a: seen.append(1) or blockwise(*a))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == linked(rows) and seen and len({c for _, c in got.values()}) == 241
