@@ -639,3 +639,26 @@ def test_dense_groups_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(jaccard_join, "_blockwise", lambda *a: seen.append(1) or blockwise(*a))
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == linked(rows) and seen and len({c for _, c in got.values()}) == 241
+
+
+def test_quality_verdicts_by_brute_force(spark):
+    """Each row walked down each tree on its own; the verdict is the base rules' and the threshold's."""
+    frame, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    forest = quality_forest.fit(frame, labels, "doc_id", "text")
+    expected = quality_forest.Forest._mean_path(forest.size)
+
+    def path(row, tree):
+        feature, cut, child, length = tree
+        node = 0
+        while feature[node] >= 0:
+            node = child[node] + (1 if row[feature[node]] > cut[node] else 0)
+        return length[node]
+
+    rows = quality_forest.judge(frame, labels).collect()
+    for r in rows:
+        c = np.array([[r[n] for n in quality_forest.COUNTS]])
+        x = quality_forest.rules(c)[0]
+        score = 2.0 ** (-sum(path(x, t) for t in forest.trees) / len(forest.trees) / expected)
+        failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
+        assert r["base_failed"] == failed and r["anomaly"] == pytest.approx(score) and r["kept"] == (not failed and score <= forest.threshold)
+    assert 0 < sum(r["kept"] for r in rows) < len(rows)
