@@ -2,7 +2,8 @@
 
 Each letter has a random vector of +1 and -1, drawn by a hash of its code point, so every letter of every script has one of
 its own. An n-gram's vector binds its letters' vectors, each rotated by its place (rotate, multiply); a text's vector
-bundles (adds) those of all its n-grams; a language's prototype bundles its labelled texts. A text has the language whose
+bundles (adds) those of all its n-grams; a language's prototype bundles its labelled texts, each scaled to one length, so
+that a long one of few words doesn't outweigh the others. A text has the language whose
 prototype's cosine is largest. As bundling adds, a text's dot product with a prototype is the sum over its n-grams of the
 n-gram's dot product with it; each Python worker keeps those of the n-grams that it has met (a bounded number; others are
 computed again), which gives the same numbers without a vector for each text. The text's norm is that of orthogonal
@@ -158,16 +159,19 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, sample: int
     """Prototypes of all languages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[np.ndarray]] = {}
+        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
 
         def made(lang: str) -> pa.RecordBatch:
-            grams, counts = np.unique(np.concatenate(held.pop(lang)), return_counts=True)
-            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([bundle(grams, counts).tolist()], pa.list_(pa.float64()))], names=["lang", "bundle"])
+            codes_, weights = (np.concatenate(x) for x in zip(*held.pop(lang), strict=True))
+            grams, place = np.unique(codes_, return_inverse=True)
+            total = bundle(grams, np.bincount(place, weights, len(grams)))
+            return pa.RecordBatch.from_arrays([pa.array([lang]), pa.array([total.tolist()], pa.list_(pa.float64()))], names=["lang", "bundle"])
 
         for batch in batches:
             for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text"), strict=True):
-                held.setdefault(lang, []).append(codes(text.as_py()))
-                if sum(map(len, held[lang])) > 1 << 21 or len(held) > 64:
+                grams, counts = np.unique(codes(text.as_py()), return_counts=True)
+                held.setdefault(lang, []).append((grams, counts / max(1.0, np.sqrt((counts.astype(float) ** 2).sum()))))
+                if sum(len(g) for g, _ in held[lang]) > 1 << 21 or len(held) > 64:
                     yield made(lang)
         for lang in list(held):
             yield made(lang)

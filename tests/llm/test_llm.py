@@ -398,7 +398,8 @@ def test_languages_of_several_scripts_and_many_languages(spark):
 
 def test_language_sample_is_bounded(spark):
     """Null ids, repeated ids and repeated rows: at most `sample` rows a language, and no language unlearned."""
-    rows = [(None, f"null {i}", "a") for i in range(300)] + [(7, f"seven {i}", "b") for i in range(300)] + [(8, "same", "c")] * 300 + [(i, f"own {i}", "d") for i in range(300)] + [(4, "rare", "e")]
+    one, two, three = [i for i in range(99) if zlib.crc32(str(i).encode()) % 3 != 1][:3]
+    rows = [(None, f"null {i}", "a") for i in range(300)] + [(one, f"one {i}", "b") for i in range(300)] + [(two, "same", "c")] * 300 + [(i, f"own {i}", "d") for i in range(300)] + [(three, "rare", "e")]
     frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
     got = collections.Counter(r["lang"] for r in language_id.sampled(frame, "doc_id", "text", "lang", 20, 60_000).collect())
     assert set(got) == {"a", "b", "c", "d", "e"} and all(n <= 20 for n in got.values()) and got["c"] == 20 and got["a"] > 10
