@@ -141,3 +141,18 @@ def write_rates(rates: DataFrame, path: str, provider: str, base: str = "EUR", q
     days = F.sort_array(F.collect_list(F.struct(F.col("day").cast("string").alias("key"), F.col("rate").cast("string").alias("value"))))
     source = F.struct(F.lit(provider).alias("provider"), F.lit(base).alias("base"), F.lit(quote).alias("quote"), F.min("day").cast("string").alias("first"), F.max("day").cast("string").alias("last"), F.count("*").alias("days"))
     rates.agg(F.to_json(F.struct(source.alias("source"), F.map_from_entries(days).alias("rates"))).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def write_manifest(manifest: DataFrame, path: str, landing: str) -> None:
+    """What was put into the feeds, as JSON lines by day, never below the folder that is ingested."""
+    if f"{path.rstrip('/')}/".startswith(f"{landing.rstrip('/')}/"):
+        raise ValueError(f"{path} is below the landing folder {landing}")
+    manifest.write.mode("overwrite").partitionBy("as_of").json(path)
+
+
+def write_master(entries: DataFrame, path: str, provider: str) -> None:
+    """A securities master as one JSON file with where it comes from: entries in the order of their ISINs. A row an ISIN of
+    the universe, which a single row holds."""
+    rows = F.array_sort(F.collect_list(F.struct("isin", *(c for c in entries.columns if c != "isin"))))
+    source = F.struct(F.lit(provider).alias("provider"), F.count("*").alias("entries"), F.count_if("mapped").alias("mapped"))
+    entries.agg(F.to_json(F.struct(source.alias("source"), rows.alias("entries")), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)

@@ -10,8 +10,6 @@ from tallystone.plans import catalog
 
 DATA = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents".split()
-#: Queries with many joins, left to the driver's own comparison to keep this suite short.
-LONG = {"books_reconcile", "wealth_latest", "performance_bounds", "tenant_projection", "income_pivot", "dq_sla", "dq_pivot", "xirr", "alts_holdings", "flows_daily"}
 
 
 def plain(value):
@@ -32,7 +30,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.oracle_sql()) - LONG))
+@pytest.mark.parametrize("name", sorted(catalog.oracle_sql()))
 def test_query_equals_sql(spark, duck, name):
     df = catalog.queries()[name](spark, DATA)
     columns = sorted(df.columns)

@@ -153,3 +153,15 @@ def test_documents_are_mirrored_by_digest(spark):
     held = spark.createDataFrame([("F", "a", "1"), ("F", "b", "1")], schema)
     fetch, stay = tables.mirrored(held, spark.createDataFrame([("F", "a", "1"), ("F", "b", "2"), ("F", "c", "1")], schema))
     assert {r["document"] for r in fetch.collect()} == {"b", "c"} and [r["document"] for r in stay.collect()] == ["a"]
+
+
+def test_manifests_and_master_files(spark, tmp_path):
+    manifest = spark.createDataFrame([(dt.date(2026, 7, 1), 1, "STALE_PRICE", "X", "a -> b")], "as_of date, account_id int, defect string, target_id string, detail string")
+    with pytest.raises(ValueError, match="below the landing folder"):
+        tables.write_manifest(manifest, str(tmp_path / "landing/manifest"), str(tmp_path / "landing"))
+    tables.write_manifest(manifest, str(tmp_path / "landing-manifest"), str(tmp_path / "landing"))
+    assert spark.read.json(str(tmp_path / "landing-manifest")).collect()[0]["defect"] == "STALE_PRICE"
+    entries = spark.createDataFrame([("US2", True, "F"), ("US1", False, None)], "isin string, mapped boolean, figi string")
+    tables.write_master(entries, str(tmp_path / "master"), "test")
+    got = json.loads(spark.read.text(str(tmp_path / "master")).collect()[0]["value"])
+    assert got == {"source": {"provider": "test", "entries": 2, "mapped": 1}, "entries": [{"isin": "US1", "mapped": False, "figi": None}, {"isin": "US2", "mapped": True, "figi": "F"}]}
