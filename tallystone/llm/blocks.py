@@ -23,7 +23,9 @@ LAST = np.iinfo(np.int64).max
 #: Rows are dealt to chunks when so many bytes are there.
 PACK_BYTES = 12 << 20
 BLOCKS = "chunk int, block binary"
-HASHES = "part int, chunk int, hashes binary"
+HASHES = "part int, chunk int, hashes binary, checks binary"
+#: Bytes of a check, a second hash of what a hash stands for.
+CHECK = 3
 
 
 class Chunks:
@@ -181,20 +183,31 @@ def unpacked(data: bytes, low: int = 0) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64)
 
 
-def by_part(hashes: np.ndarray, chunk: int, parts: int, low: int = 0) -> pa.Table:
+def packed_checks(checks: np.ndarray) -> bytes:
+    return checks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :CHECK].tobytes()
+
+
+def unpacked_checks(data: bytes) -> np.ndarray:
+    wide = np.zeros((len(data) // CHECK, 4), np.uint8)
+    wide[:, :CHECK] = np.frombuffer(data, np.uint8).reshape(-1, CHECK)
+    return wide.reshape(-1).view("<u4").astype(np.uint32)
+
+
+def by_part(hashes: np.ndarray, chunk: int, parts: int, low: int = 0, checks: np.ndarray | None = None) -> pa.Table:
     """The sorted hashes of a chunk, cut into equal ranges of the hash space. Work and rows grow with the hashes, not with
     the number of parts: empty ranges cost nothing."""
     part = ((hashes >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
     ends = np.flatnonzero(np.diff(part, append=parts)) + 1
-    rows = [(int(part[a]), chunk, packed(hashes[a:b], low)) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
-    return pa.table({"part": pa.array([r[0] for r in rows], pa.int32()), "chunk": pa.array([r[1] for r in rows], pa.int32()), "hashes": pa.array([r[2] for r in rows], pa.binary())})
+    rows = [(int(part[a]), chunk, packed(hashes[a:b], low), None if checks is None else packed_checks(checks[a:b])) for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=False)]
+    kinds = (("part", pa.int32()), ("chunk", pa.int32()), ("hashes", pa.binary()), ("checks", pa.binary()))
+    return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(kinds)})
 
 
 def exchange(
     rows: DataFrame,
     parts: int,
-    send: Callable[[pa.Table], np.ndarray],
-    answer: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    send: Callable[[pa.Table], np.ndarray | tuple[np.ndarray, np.ndarray]],
+    answer: Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray]],
     finish: Callable[[int, pa.Table, np.ndarray, np.ndarray], pa.Table],
     schema: str | T.StructType,
     low: int = 0,
@@ -202,13 +215,16 @@ def exchange(
 ) -> DataFrame:
     """Each chunk sends sorted hashes; who holds a range of the hash space answers; each chunk finishes with its answers.
 
-    answer(hashes, chunks): for sorted hashes and the chunks they come from, the (chunk, hash, count) that go back.
+    answer(hashes, chunks): for sorted hashes and the chunks they come from, the (chunk, hash, count) that go back. If send
+    gives (hashes, checks), sorted together, what has one hash and another check is kept apart: answer(hashes, chunks, checks).
     finish(chunk, rows, hashes, counts): hashes sorted, their `low` last bits 0. opened: a chunk's rows from those of
     `rows` (by default blocks). Both sides of the last step read the same shuffle of the rows.
     """
 
     def first(key: tuple[pa.Scalar, ...], held: pa.Table) -> pa.Table:
-        out = by_part(send(opened(held)), key[0].as_py(), parts, low)
+        sent = send(opened(held))
+        hashes, checks = sent if isinstance(sent, tuple) else (sent, None)
+        out = by_part(hashes, key[0].as_py(), parts, low, checks)
         release()
         return out
 
@@ -218,8 +234,14 @@ def exchange(
         chunk = np.repeat(held.column("chunk").to_numpy().astype(np.int32), [len(x) for x in got])
         hashes = np.concatenate(got)
         del got
-        order = np.argsort(hashes, kind="stable")  # chunks stay in order
-        to, back, count = answer(hashes[order], chunk[order])
+        if held.column("checks").null_count:
+            order = np.argsort(hashes, kind="stable")  # chunks stay in order
+            to, back, count = answer(hashes[order], chunk[order])
+        else:
+            checks = np.concatenate([unpacked_checks(x) for x in held.column("checks").to_pylist()])
+            order = np.lexsort((checks, hashes))
+            to, back, count = answer(hashes[order], chunk[order], checks[order])
+            del checks
         del hashes, chunk, order
         order = np.argsort(to, kind="stable")
         to, back, count = to[order], back[order], count[order]

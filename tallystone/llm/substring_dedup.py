@@ -5,7 +5,8 @@ distinct hashes of its windows; who holds a hash answers the chunks after the fi
 of doc_id in order, so "in an earlier chunk" means "in a document with a smaller id"; inside a chunk the ids decide.
 Windows so found cover words, and runs of covered words are the maximal removal intervals.
 
-Two different windows with the same 64-bit hash would be taken for equal: a chance of n^2 / 2^65 for n windows.
+Windows are equal when a 64-bit hash and 24 bits of a second, independent one are: n windows hold about n^2 / 2^89 pairs
+that differ and are taken for equal, less than one in 100 TB of text (1.5e13 windows).
 
 Defined results: a null or empty text has no words; a text under 13 words loses none; rows with the same doc_id never
 dedup each other, as neither id is smaller; a null doc_id counts as larger than all others; ids must be integers, or text
@@ -24,7 +25,7 @@ from pyspark.sql import types as T
 
 from tallystone.llm import blocks
 from tallystone.llm.common import quoted, unnamed
-from tallystone.llm.words import hashed, runs, windows
+from tallystone.llm.words import hashed, OTHER, runs, windows
 
 WINDOW = 13
 CHUNK_BYTES = 4 << 20
@@ -32,8 +33,8 @@ NEW = ("n_words", "n_removed", "removed", "kept_text", "kept_sha256")
 
 
 def _starts(table: pa.Table, id_col: str, text_col: str, width: int):
-    """Where each text's words begin (and the end), place, hash and row of each window, ids; windows never cross rows."""
-    ends, place, hashes, row, words, rows = [np.zeros(1, np.int64)], [], [], [], 0, 0
+    """Where each text's words begin (and the end), place, hash, check and row of each window, ids; windows never cross rows."""
+    ends, place, hashes, checks, row, words, rows = [np.zeros(1, np.int64)], [], [], [], [], 0, 0
     for texts in runs(blocks.texts_of(table.column(text_col))):
         held, own = hashed(texts)
         made = windows(held, width)
@@ -42,18 +43,39 @@ def _starts(table: pa.Table, id_col: str, text_col: str, width: int):
         inside = at + width <= own[1:][of]
         place.append(at[inside] + words)
         hashes.append(made[inside])
+        checks.append((windows(held, width, OTHER)[inside] >> np.uint64(64 - 8 * blocks.CHECK)).astype(np.uint32))
         row.append(of[inside] + rows)
         ends.append(own[1:] + words)
         words, rows = words + len(held), rows + len(texts)
-    return np.concatenate(ends), np.concatenate(place), np.concatenate(hashes), np.concatenate(row), blocks.ids_of(table.column(id_col))
+    return np.concatenate(ends), np.concatenate(place), np.concatenate(hashes), np.concatenate(checks), np.concatenate(row), blocks.ids_of(table.column(id_col))
 
 
-def _first_later(hashes: np.ndarray, chunk: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Chunks after the first that has a hash; those from n on hold null ids, which are all alike."""
-    begin = np.flatnonzero(np.concatenate(([True], hashes[1:] != hashes[:-1])))
+def _new(hashes: np.ndarray, checks: np.ndarray) -> np.ndarray:
+    """Where another window begins, of windows in order."""
+    new = np.ones(len(hashes), bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (checks[1:] != checks[:-1])
+    return new
+
+
+def _first_later(hashes: np.ndarray, chunk: np.ndarray, checks: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chunks after the first that has a window, with its check; chunks from n on hold null ids, which are all alike."""
+    begin = np.flatnonzero(_new(hashes, checks))
     first = np.repeat(chunk[begin], np.diff(np.append(begin, len(hashes))))
     later = (chunk > first) & (first < n)
-    return chunk[later], hashes[later], np.ones(int(later.sum()), np.uint32)
+    return chunk[later], hashes[later], checks[later]
+
+
+def _among(hashes: np.ndarray, checks: np.ndarray, seen: np.ndarray, seen_checks: np.ndarray) -> np.ndarray:
+    """Which windows are among the seen ones (sorted by hash; several may have one hash)."""
+    found = np.zeros(len(hashes), bool)
+    place = np.searchsorted(seen, hashes)
+    while True:
+        place_ = np.minimum(place, max(len(seen) - 1, 0))
+        same = (place < len(seen)) & (seen[place_] == hashes) if len(seen) else found
+        if not same.any():
+            return found
+        found |= same & (seen_checks[place_] == checks)
+        place = place + 1
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WINDOW, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -65,17 +87,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     span = T.ArrayType(T.StructType([T.StructField("first", T.LongType()), T.StructField("end", T.LongType())]))
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("removed", span), T.StructField("kept_text", T.StringType()), T.StructField("kept_sha256", T.StringType())])
 
-    def send(table: pa.Table) -> np.ndarray:
-        return np.unique(_starts(table, id_col, text_col, width)[2])
-
-    def finish(chunk: int, table: pa.Table | None, seen: np.ndarray, _: np.ndarray) -> pa.Table:
-        ends, at, hashes, row, ids = _starts(table, id_col, text_col, width)
-        place = np.minimum(np.searchsorted(seen, hashes), max(len(seen) - 1, 0))
-        again = seen[place] == hashes if len(seen) else np.zeros(len(hashes), bool)
-        order = np.lexsort((ids[row], hashes))
-        sorted_hash, sorted_id = hashes[order], ids[row][order]
-        first = np.ones(len(order), bool)
-        first[1:] = sorted_hash[1:] != sorted_hash[:-1]
+    def send(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        _, _, hashes, checks, _, _ = _starts(table, id_col, text_col, width)
+        order = np.lexsort((checks, hashes))
+        hashes, checks = hashes[order], checks[order]
+        new = _new(hashes, checks)
+        return hashes[new], checks[new]
+
+    def finish(chunk: int, table: pa.Table | None, seen: np.ndarray, seen_checks: np.ndarray) -> pa.Table:
+        ends, at, hashes, checks, row, ids = _starts(table, id_col, text_col, width)
+        again = _among(hashes, checks, seen, seen_checks)
+        order = np.lexsort((ids[row], checks, hashes))
+        sorted_id = ids[row][order]
+        first = _new(hashes[order], checks[order])
         least = sorted_id[np.flatnonzero(first)][np.cumsum(first) - 1] if len(order) else sorted_id
         again[order] |= sorted_id > least
         edge = np.zeros(ends[-1] + 1, np.int64)
@@ -99,4 +123,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return table
 
     rows = blocks.blocks(docs, id_col, chunks)
-    return blocks.exchange(rows, chunks.parts, send, lambda h, c: _first_later(h, c, chunks.n), finish, schema).toDF(*names, *NEW)
+    return blocks.exchange(rows, chunks.parts, send, lambda h, c, k: _first_later(h, c, k, chunks.n), finish, schema).toDF(*names, *NEW)

@@ -8,6 +8,8 @@ from tallystone.llm.common import mix64, WHITE
 
 #: Multiplier of the Rabin-Karp polynomial over the integers modulo 2^64 (odd).
 BASE = np.uint64(0x9E3779B97F4A7C15)
+#: Another one, for a second hash that tells apart what has the same first one.
+OTHER = np.uint64(0xD1342543DE82EF95)
 #: Bytes whose words are hashed at once.
 SLICE = 1 << 18
 _DARK = np.array([chr(c) not in WHITE for c in range(256)])
@@ -51,15 +53,15 @@ def hashed(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray,
     return out, ends
 
 
-def windows(hashes: np.ndarray, width: int) -> np.ndarray:
-    """Hash of each run of `width` consecutive words: sum of hash * BASE^place, mixed."""
+def windows(hashes: np.ndarray, width: int, base: np.uint64 = BASE) -> np.ndarray:
+    """Hash of each run of `width` consecutive words: sum of hash * base^place, mixed."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
     with np.errstate(over="ignore"):
         value = hashes[:n].copy()
         for j in range(1, width):
-            value *= BASE
+            value *= base
             value += hashes[j : j + n]
         return mix64(value + np.uint64(width))
 

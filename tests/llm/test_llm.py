@@ -663,3 +663,12 @@ def test_quality_verdicts_by_brute_force(spark):
         failed = r["n_words"] < 50 or 100 * r["n_repeat_words"] > 50 * r["n_words"]
         assert r["base_failed"] == failed and r["anomaly"] == pytest.approx(score) and r["kept"] == (not failed and score <= forest.threshold)
     assert 0 < sum(r["kept"] for r in rows) < len(rows)
+
+
+def test_windows_of_one_hash_are_told_apart_by_their_checks():
+    seen, checks = np.array([5, 7, 7, 7, 9], np.uint64), np.array([1, 1, 2, 3, 1], np.uint32)
+    asked, own = np.array([5, 5, 7, 7, 7, 8, 9, 99], np.uint64), np.array([1, 2, 3, 1, 4, 1, 1, 1], np.uint32)
+    assert substring_dedup._among(asked, own, seen, checks).tolist() == [True, False, True, True, False, False, True, False]
+    assert not substring_dedup._among(asked, own, seen[:0], checks[:0]).any()
+    to, back, told = substring_dedup._first_later(np.array([4, 4, 4, 4, 6], np.uint64), np.array([0, 2, 1, 3, 1]), np.array([1, 1, 2, 2, 1], np.uint32), 3)
+    assert list(zip(to.tolist(), back.tolist(), told.tolist(), strict=True)) == [(2, 4, 1), (3, 4, 2)]
