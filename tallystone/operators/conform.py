@@ -1,6 +1,6 @@
 """Conformed positions and cash from raw feeds."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -35,15 +35,16 @@ def position_owners(positions: DataFrame, owners: DataFrame) -> DataFrame:
     return positions.join(owners, "account_id").withColumn("owned_value", prorated(F.col("market_value"), F.col("ownership_pct")))
 
 
-def collapsed(entries: DataFrame) -> DataFrame:
-    """One row for each transaction; whether its copies disagree (a column's least and greatest differ)."""
+def collapsed(entries: DataFrame, *more: Column) -> DataFrame:
+    """One row for each transaction; whether its copies disagree (a column's least and greatest differ). more: further
+    aggregates over a transaction's copies."""
     same = ("type", "trade_date", "settlement_date", "amount", "currency", "description")
     disagrees = F.lit(False)
     for c in same:
         disagrees = disagrees | (F.coalesce(F.min(c) != F.max(c), F.lit(False)))
     rows = entries.groupBy("as_of", "account_id", "transaction_id").agg(
         F.max("type").alias("type"), F.min("trade_date").alias("trade_date"), F.min("settlement_date").alias("settlement_date"), F.max("amount").alias("amount"), F.max("currency").alias("currency"),
-        F.count("*").alias("source_row_count"), disagrees.alias("source_disagrees"),
+        F.count("*").alias("source_row_count"), disagrees.alias("source_disagrees"), *more,
     )
     return rows.withColumn("signed_amount", signed(F.col("amount"), F.col("type")).cast("decimal(24,2)"))
 

@@ -44,11 +44,11 @@ def _finding(kind, field, a, b):
 
 
 def integrity(balances: DataFrame, entries: DataFrame) -> DataFrame:
-    """Opening plus movements against closing, with raw and with conformed movements."""
+    """Opening plus movements against closing, with raw and with conformed movements, in one pass over the entries."""
     keys = ["as_of", "account_id"]
-    raw = entries.groupBy(*keys).agg(F.sum(signed(F.col("amount"), F.col("type"))).cast("decimal(24,2)").alias("movements_raw"))
-    clean = collapsed(entries).groupBy(*keys).agg(F.sum("signed_amount").cast("decimal(24,2)").alias("movements_conformed"))
-    rows = pivoted(balances).join(raw, keys, "left").join(clean, keys, "left").na.fill(0, ["movements_raw", "movements_conformed"])
+    moved = collapsed(entries, F.sum(signed(F.col("amount"), F.col("type"))).alias("raw_amount")).groupBy(*keys)
+    sums = moved.agg(F.sum("raw_amount").cast("decimal(24,2)").alias("movements_raw"), F.sum("signed_amount").cast("decimal(24,2)").alias("movements_conformed"))
+    rows = pivoted(balances).join(sums, keys, "left").na.fill(0, ["movements_raw", "movements_conformed"])
     delta = lambda c: (F.col("opening") + F.col(c) - F.col("closing")).cast("decimal(24,2)")
     rows = rows.withColumn("delta_raw", delta("movements_raw")).withColumn("delta_conformed", delta("movements_conformed"))
     return rows.withColumn("raw_consistent", F.col("delta_raw") == 0).withColumn("conformed_consistent", F.col("delta_conformed") == 0)

@@ -67,12 +67,21 @@ def daily(positions: DataFrame, cash: DataFrame, alts: DataFrame, fx: DataFrame,
 
 
 def allocation(positions: DataFrame, cash: DataFrame, alts: DataFrame, fx: DataFrame) -> DataFrame:
-    """Value and weight of each class a client and day; cash and alternatives (where there are any) are classes."""
-    held = _usd(positions, fx, "owned_value").groupBy("client_id", "as_of", "asset_class").agg(F.sum("usd").cast(MONEY).alias("value_usd"))
+    """Value and weight of each class a client and day; cash and alternatives (where there are any) are classes.
+
+    A client-day's classes are held in one row (they are few), so that its alternatives come from a running sum beside them
+    and the positions are read once.
+    """
+    keys = ["client_id", "as_of"]
+    held = _usd(positions, fx, "owned_value").groupBy(*keys, "asset_class").agg(F.sum("usd").cast(MONEY).alias("value_usd"))
+    days = held.groupBy(*keys).agg(F.collect_list(F.struct("asset_class", "value_usd")).alias("classes")).join(_changes(alts), keys, "full")
+    upto = Window.partitionBy("client_id").orderBy("as_of").rowsBetween(Window.unboundedPreceding, 0)
+    days = days.withColumn("alts_usd", F.sum("change").over(upto).cast(MONEY)).where(F.col("classes").isNotNull())
+    funds = F.when(F.col("alts_usd") > 0, F.array(F.struct(F.lit("Alternatives").alias("asset_class"), F.col("alts_usd").alias("value_usd"))))
+    every = days.select(*keys, F.explode(F.when(funds.isNull(), F.col("classes")).otherwise(F.concat("classes", funds))).alias("x")).select(*keys, "x.*")
     money = by_client_day(cash, fx, "owned_amount", "value_usd").withColumn("asset_class", F.lit("Cash"))
-    funds = alternatives_daily(alts, held).where("alts_usd > 0").select("client_id", "as_of", F.lit("Alternatives").alias("asset_class"), F.col("alts_usd").alias("value_usd"))
-    rows = held.unionByName(money).unionByName(funds)
-    whole = F.sum("value_usd").over(Window.partitionBy("client_id", "as_of"))
+    rows = every.unionByName(money)
+    whole = F.sum("value_usd").over(Window.partitionBy(*keys))
     return rows.withColumn("weight", ratio(F.col("value_usd"), whole))
 
 
@@ -123,15 +132,22 @@ def dietz(perf: DataFrame) -> DataFrame:
     One aggregate by client: the weighted flow is (last day * sum of flows - sum of flow * day) / days, and the first day's
     flow is taken off again.
     """
+    return _dietz(perf.groupBy("client_id").agg(*_ends(), *_flow_sums()))
+
+
+def _flow_sums() -> list:
     day, flow = F.datediff("as_of", F.lit(EPOCH).cast("date")), F.col("external_flow_usd")
-    sums = perf.groupBy("client_id").agg(*_ends(), F.sum(flow).alias("flows"), F.sum(flow * day).alias("flow_days"), F.min_by(flow, "as_of").alias("first_flow"))
+    return [F.sum(flow).alias("flows"), F.sum(flow * day).alias("flow_days"), F.min_by(flow, "as_of").alias("first_flow")]
+
+
+def _dietz(sums: DataFrame, *more: str) -> DataFrame:
     at = lambda c: F.datediff(c, F.lit(EPOCH).cast("date"))
     net = (F.col("flows") - F.col("first_flow")).cast(MONEY)
     later_days = F.col("flow_days") - F.col("first_flow") * at("inception_date")
     weighted = F.try_divide((net * at("as_of") - later_days).cast("double"), F.datediff("as_of", "inception_date").cast("double"))
     gain = (F.col("wealth_end_usd") - F.col("wealth_begin_usd") - net).cast("double")
     base = F.col("wealth_begin_usd").cast("double") + F.coalesce(weighted, F.lit(0.0))
-    return sums.select("client_id", "inception_date", "as_of", "wealth_begin_usd", "wealth_end_usd", net.alias("net_external_flow_usd"), F.round(F.try_divide(gain, base), 6).alias("dietz_return"))
+    return sums.select("client_id", "inception_date", "as_of", "wealth_begin_usd", "wealth_end_usd", net.alias("net_external_flow_usd"), F.round(F.try_divide(gain, base), 6).alias("dietz_return"), *more)
 
 
 def xirr(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200) -> DataFrame:
@@ -145,7 +161,15 @@ def rates_of_return(perf: DataFrame, low: float = -0.9999, high: float = 10.0, r
     """(client_id, irr, cash): money-weighted yearly return by bisection inside one expression; null without a change of sign
     in the bracket or on a single day. A client's days are gathered in an array: a row a day, bounded by the calendar; its
     first and last element are the ends. cash: (t, c), years from the first day and money in (+) or out."""
-    held = perf.groupBy("client_id").agg(F.array_sort(F.collect_list(F.struct("as_of", F.col("external_flow_usd").cast("double").alias("flow"), F.col("total_wealth_usd").cast("double").alias("w")))).alias("days"))
+    return _irr(perf.groupBy("client_id").agg(_days()), low, high, rounds)
+
+
+def _days():
+    day = F.struct("as_of", F.col("external_flow_usd").cast("double").alias("flow"), F.col("total_wealth_usd").cast("double").alias("w"))
+    return F.array_sort(F.collect_list(day)).alias("days")
+
+
+def _irr(held: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200, *more: str) -> DataFrame:
     held = held.withColumn("first", F.get("days", F.lit(0))).withColumn("last", F.element_at("days", -1))
 
     def paid(x):
@@ -167,11 +191,12 @@ def rates_of_return(perf: DataFrame, low: float = -0.9999, high: float = 10.0, r
 
     found = F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), F.struct(F.lit(low).alias("lo"), F.lit(high).alias("hi")), halve, lambda s: (s["lo"] + s["hi"]) / 2)
     ok = (F.col("first.as_of") < F.col("last.as_of")) & (F.signum("at_low") * F.signum("at_high") < 0)
-    return held.select("client_id", F.when(ok, found).alias("irr"), "cash")
+    return held.select("client_id", F.when(ok, found).alias("irr"), "cash", *more)
 
 
 def summary(perf: DataFrame) -> DataFrame:
-    """All returns of a client since its first day in one row: chained, Modified Dietz, money-weighted."""
-    chained = perf.groupBy("client_id").agg((F.max_by("twr_index", "as_of") - 1).alias("twr_since_inception"))
-    irr = rates_of_return(perf).select("client_id", F.round("irr", 8).alias("irr_since_inception_annualized"))
-    return dietz(perf).withColumnRenamed("dietz_return", "dietz_since_inception").join(chained, "client_id").join(irr, "client_id", "left")
+    """All returns of a client since its first day in one row: chained, Modified Dietz, money-weighted; one aggregate."""
+    sums = perf.groupBy("client_id").agg(*_ends(), *_flow_sums(), (F.max_by("twr_index", "as_of") - 1).alias("twr_since_inception"), _days())
+    told = _dietz(sums, "twr_since_inception", "days").withColumnRenamed("dietz_return", "dietz_since_inception")
+    kept = [c for c in told.columns if c not in ("client_id", "days")]
+    return _irr(told, -0.9999, 10.0, 200, *kept).select("client_id", *kept, F.round("irr", 8).alias("irr_since_inception_annualized"))
