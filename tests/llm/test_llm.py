@@ -672,3 +672,30 @@ def test_windows_of_one_hash_are_told_apart_by_their_checks():
     assert not substring_dedup._among(asked, own, seen[:0], checks[:0]).any()
     to, back, told = substring_dedup._first_later(np.array([4, 4, 4, 4, 6], np.uint64), np.array([0, 2, 1, 3, 1]), np.array([1, 1, 2, 2, 1], np.uint32), 3)
     assert list(zip(to.tolist(), back.tolist(), told.tolist(), strict=True)) == [(2, 4, 1), (3, 4, 2)]
+
+
+def test_toxicity_scores_by_brute_force(spark, docs):
+    """One minus the product of what each sentence leaves, a sentence's probability from the weights of its distinct words."""
+    import math
+    import re
+
+    labels = spark.read.parquet(f"{DATA}/labels.parquet")
+    scorer = toxicity.fit(docs, labels, "doc_id", "text")
+    assert np.count_nonzero(scorer.weights) > 0
+    for r in toxicity.score(docs, labels).collect():
+        left = 1.0
+        for sentence in re.split(r"[.!?\n]+", r["text"] or ""):
+            if sentence.strip():
+                z = scorer.bias + sum(scorer.weights[i] for w in set(sentence.split()) for i in toxicity.places_of(w))
+                left *= 1 - 1 / (1 + math.exp(-max(-40, min(40, z))))
+        assert r["score"] == pytest.approx(1 - left, abs=1e-9) and r["predicted"] == int(r["score"] >= 0.7)
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+def test_toxicity_fit_is_bounded_in_bytes(spark, monkeypatch):
+    rows = [(i, "word " * 100) for i in range(50)]
+    frame, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, toxic int")
+    seen = []
+    monkeypatch.setattr(toxicity, "learn", lambda texts, y: seen.append(sum(map(len, texts))))
+    toxicity.fit(frame, labels, "doc_id", "text", fit_bytes=3000)
+    assert 0 < seen[0] <= 3000
