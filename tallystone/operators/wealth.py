@@ -150,14 +150,18 @@ def _dietz(sums: DataFrame, *more: str) -> DataFrame:
     return sums.select("client_id", "inception_date", "as_of", "wealth_begin_usd", "wealth_end_usd", net.alias("net_external_flow_usd"), F.round(F.try_divide(gain, base), 6).alias("dietz_return"), *more)
 
 
-def xirr(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200) -> DataFrame:
+#: The bracket in which a yearly return is sought, and how often it is halved.
+LOW, HIGH, ROUNDS = -0.9999, 10.0, 200
+
+
+def xirr(perf: DataFrame, low: float = LOW, high: float = HIGH, rounds: int = ROUNDS) -> DataFrame:
     """(client_id, irr, npv_near_zero): money-weighted yearly return, see `rates_of_return`."""
     found = rates_of_return(perf, low, high, rounds)
     near = F.abs(F.aggregate("cash", F.lit(0.0), lambda s, x: s + x["c"] / F.pow(1 + F.col("irr"), x["t"]))) < 1.0
     return found.select("client_id", F.round("irr", 8).alias("irr"), F.when(F.col("irr").isNotNull(), near).alias("npv_near_zero"))
 
 
-def rates_of_return(perf: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200) -> DataFrame:
+def rates_of_return(perf: DataFrame, low: float = LOW, high: float = HIGH, rounds: int = ROUNDS) -> DataFrame:
     """(client_id, irr, cash): money-weighted yearly return by bisection inside one expression; null without a change of sign
     in the bracket or on a single day. A client's days are gathered in an array: a row a day, bounded by the calendar; its
     first and last element are the ends. cash: (t, c), years from the first day and money in (+) or out."""
@@ -169,7 +173,7 @@ def _days():
     return F.array_sort(F.collect_list(day)).alias("days")
 
 
-def _irr(held: DataFrame, low: float = -0.9999, high: float = 10.0, rounds: int = 200, *more: str) -> DataFrame:
+def _irr(held: DataFrame, low: float = LOW, high: float = HIGH, rounds: int = ROUNDS, *more: str) -> DataFrame:
     held = held.withColumn("first", F.get("days", F.lit(0))).withColumn("last", F.element_at("days", -1))
 
     def paid(x):
@@ -199,4 +203,4 @@ def summary(perf: DataFrame) -> DataFrame:
     sums = perf.groupBy("client_id").agg(*_ends(), *_flow_sums(), (F.max_by("twr_index", "as_of") - 1).alias("twr_since_inception"), _days())
     told = _dietz(sums, "twr_since_inception", "days").withColumnRenamed("dietz_return", "dietz_since_inception")
     kept = [c for c in told.columns if c not in ("client_id", "days")]
-    return _irr(told, -0.9999, 10.0, 200, *kept).select("client_id", *kept, F.round("irr", 8).alias("irr_since_inception_annualized"))
+    return _irr(told, LOW, HIGH, ROUNDS, *kept).select("client_id", *kept, F.round("irr", 8).alias("irr_since_inception_annualized"))

@@ -19,6 +19,7 @@ from tallystone.sources.model import DUCK, Model, with_clause
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _SQL: dict[str, str] = {}
+#: Fixed value: the day on which the fixture is looked at.
 RUN_DATE = "2001-12-31"
 
 
