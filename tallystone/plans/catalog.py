@@ -806,10 +806,11 @@ def serve_metrics(m):
     return serving.ordered(_metrics(m).where("metric <> 'bronze_days_behind'"), "dimension", "metric", "as_of")
 
 
-@query(f"SELECT * FROM ({_ALLOCATION}) WHERE client_id = 3 AND as_of = (SELECT max(as_of) FROM positions)")
+@query(f"SELECT * FROM ({_ALLOCATION}) WHERE client_id = 3 AND as_of = (SELECT max(as_of) FROM pos_owned WHERE client_id = 3)")
 def serve_allocation(m):
-    """A client's classes on the latest day, largest first."""
-    day = _latest(m)
+    """A client's classes on its latest day, largest first. Its accounts and its day prune all inputs."""
+    own = m["owners"].where("client_id = 3").select("account_id")
+    day = m["holdings"].join(own, "account_id", "left_semi").agg(F.max("as_of")).first()[0]
     return serving.of_client(wealth.allocation(_pos_owned(m, day), _closing(m, day), _alts(m), _rates(m)).where(F.col("as_of") == F.lit(day)), 3, "-weight", "asset_class")
 
 

@@ -218,25 +218,29 @@ def test_hand_written_statements_parse_with_all_fields(spark):
     assert {(r["account_id"], r["balance_type"], r["amount"]) for r in feeds.parse_cash_balances(_one(spark, CAMT)).collect()} == {("ACC-1", "OPENING", 10), ("ACC-1", "CLOSING", Decimal("7.5")), ("ACC-2", "OPENING", 1)}
 
 
-@pytest.mark.parametrize(
-    ("text", "old", "new", "said"),
-    [
-        (SEMT, "<Unit>220</Unit>", "<Unit>five</Unit>", "'five' is not a number in BalForAcct[0]"), (SEMT, "<Desc>Bare</Desc>", "", "missing Desc in BalForAcct[1]"), (SEMT, "<Tp>CUSIP</Tp>", "<Tp>WKN</Tp>", "unknown identifier scheme 'WKN'"),
-        (SEMT, '<Val Ccy="USD">', "<Val>", "missing Ccy attribute in BalForAcct[0] price"), (SEMT, "<Dt>2026-07-01</Dt>", "<Dt>01.07.2026</Dt>", "is not an ISO date in StmtDtTm"), (SEMT, "<Id>ACC-1</Id>", "", "missing Id in SfkpgAcct"), (SEMT, "us0378331005", "US03", "is not shaped like a ISIN"),
-        (SEMT, "semt.002", "semt.003", "unexpected root element"), (SEMT, "</SctiesBalCtdyRpt>\n</Document>", "", "not well-formed"),
-        (MT, "220,", "22O,", "is not a SWIFT number in FIN[0]"), (MT, "USD210,5", "210,5", "is not a currency and an amount in FIN[0] price"), (MT, "ISIN US0378331005", "/XX/037833100", "no ISIN"), (MT, "\nBare", "", "missing description line in FIN[1]"), (MT, "20260701", "20261301", "is not a date in GENL"),
-        (MT, ":97A::SAFE//ACC-1\n", "", "missing :97A::SAFE"), (MT, ":16S:GENL", "", "nested block"), (MT, ":16R:GENL\n", "lost\n:16R:GENL\n", "content outside any block"), (MT, ":16S:FIN\n:16R:FIN", ":16S:FOO\n:16R:FIN", "ends as FOO"), (MT, ":93B::AGGR//UNIT/1,25\n:16S:FIN\n", "", "unclosed block"),
-        (CAMT, "<Cd>OPBD</Cd>", "<Cd>XXXX</Cd>", "unknown balance code 'XXXX' in Bal[0] of Stmt[0]"), (CAMT, "<Cd>FEE</Cd>", "<Cd>GIFT</Cd>", "unknown transaction code 'GIFT' in Ntry[0] of Stmt[0]"), (CAMT, "<NtryRef>T1</NtryRef>", "", "missing NtryRef"), (CAMT, "<Dt>2026-07-03</Dt>", "<Dt>soon</Dt>", "value date"),
-        (CAMT, "<Id>C-2</Id>", "", "missing Id in Stmt[1]"),
-    ],
-)
-def test_a_bad_field_fails_the_file_and_is_named(spark, text, old, new, said):
-    assert old in text
-    files = _one(spark, text.replace(old, new, 1))
-    parsers = [feeds.parse_cash_entries, feeds.parse_cash_balances] if text is CAMT else [feeds.parse_holdings_xml if text is SEMT else feeds.parse_holdings_swift]
-    for parse in parsers:
-        rows = parse(files).collect()
-        assert [(r["status"], r["as_of"]) for r in rows] == [("FAILED", None)] and said in rows[0]["error"]
+BAD = [
+    (SEMT, "<Unit>220</Unit>", "<Unit>five</Unit>", "'five' is not a number in BalForAcct[0]"), (SEMT, "<Desc>Bare</Desc>", "", "missing Desc in BalForAcct[1]"), (SEMT, "<Tp>CUSIP</Tp>", "<Tp>WKN</Tp>", "unknown identifier scheme 'WKN'"),
+    (SEMT, '<Val Ccy="USD">', "<Val>", "missing Ccy attribute in BalForAcct[0] price"), (SEMT, "<Dt>2026-07-01</Dt>", "<Dt>01.07.2026</Dt>", "is not an ISO date in StmtDtTm"), (SEMT, "<Id>ACC-1</Id>", "", "missing Id in SfkpgAcct"), (SEMT, "us0378331005", "US03", "is not shaped like a ISIN"),
+    (SEMT, "semt.002", "semt.003", "unexpected root element"), (SEMT, "</SctiesBalCtdyRpt>\n</Document>", "", "not well-formed"),
+    (MT, "220,", "22O,", "is not a SWIFT number in FIN[0]"), (MT, "USD210,5", "210,5", "is not a currency and an amount in FIN[0] price"), (MT, "ISIN US0378331005", "/XX/037833100", "no ISIN"), (MT, "\nBare", "", "missing description line in FIN[1]"), (MT, "20260701", "20261301", "is not a date in GENL"),
+    (MT, ":97A::SAFE//ACC-1\n", "", "missing :97A::SAFE"), (MT, ":16S:GENL", "", "nested block"), (MT, ":16R:GENL\n", "lost\n:16R:GENL\n", "content outside any block"), (MT, ":16S:FIN\n:16R:FIN", ":16S:FOO\n:16R:FIN", "ends as FOO"), (MT, ":93B::AGGR//UNIT/1,25\n:16S:FIN\n", "", "unclosed block"),
+    (CAMT, "<Cd>OPBD</Cd>", "<Cd>XXXX</Cd>", "unknown balance code 'XXXX' in Bal[0] of Stmt[0]"), (CAMT, "<Cd>FEE</Cd>", "<Cd>GIFT</Cd>", "unknown transaction code 'GIFT' in Ntry[0] of Stmt[0]"), (CAMT, "<NtryRef>T1</NtryRef>", "", "missing NtryRef"), (CAMT, "<Dt>2026-07-03</Dt>", "<Dt>soon</Dt>", "value date"),
+    (CAMT, "<Id>C-2</Id>", "", "missing Id in Stmt[1]"),
+]
+
+
+def test_a_bad_field_fails_the_file_and_is_named(spark):
+    """Each case breaks one place of a good file; all files of a format are parsed together."""
+    for text, parsers in ((SEMT, [feeds.parse_holdings_xml]), (MT, [feeds.parse_holdings_swift]), (CAMT, [feeds.parse_cash_entries, feeds.parse_cash_balances])):
+        cases = [(old, new, said) for of, old, new, said in BAD if of is text]
+        assert all(old in text for old, _, _ in cases)
+        files = spark.createDataFrame([(str(i), text.replace(old, new, 1)) for i, (old, new, _) in enumerate(cases)] + [("good", text)], "file_path string, text string")
+        for parse in parsers:
+            rows = parse(files).collect()
+            bad = {r["file_path"]: r for r in rows if r["status"] == "FAILED"}
+            assert len(bad) == len(cases) and len(rows) == len(cases) + 2 + (parse is feeds.parse_cash_balances)
+            for i, (_, _, said) in enumerate(cases):
+                assert bad[str(i)]["as_of"] is None and said in bad[str(i)]["error"], (said, bad[str(i)]["error"])
 
 
 def test_rendered_values_are_escaped(spark):
