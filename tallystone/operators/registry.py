@@ -66,9 +66,12 @@ def latest_before(asked: DataFrame, facts: DataFrame, key: str, at: str, when: s
 
 
 def information_table(rows: DataFrame) -> DataFrame:
-    """Shares and value by filing and CUSIP, without options and debt; rows of several managers add up."""
+    """Shares and value by filing and CUSIP, without options and debt; rows of several managers add up, issuer and class are
+    those of the first line. Largest values first in each filing."""
     held = rows.where((F.col("kind") == "SH") & F.col("put_call").isNull())
-    return held.groupBy("accession", "cusip").agg(F.min("issuer").alias("issuer"), F.sum("shares").cast("decimal(24,2)").alias("shares"), F.sum("value").cast("decimal(24,2)").alias("value"))
+    first = F.min_by(F.struct("issuer", "title_of_class"), F.struct("line", "issuer", "title_of_class")).alias("first")
+    sums = held.groupBy("accession", "cusip").agg(first, F.sum("shares").cast("decimal(24,2)").alias("shares"), F.sum("value").cast("decimal(24,2)").alias("value"))
+    return sums.select("accession", "cusip", "first.issuer", "first.title_of_class", "shares", "value").orderBy("accession", F.desc("value"), "cusip")
 
 
 def of_tenant(rows: DataFrame, tenants: DataFrame, tenant: int) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tallystone.functions import identifiers, labels
 from tallystone.functions.money import quantized, signed, tolerant_decimal
-from tallystone.operators import conform, defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
+from tallystone.operators import book, conform, defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
 from tallystone.sources import feeds
 from tallystone.sources.model import DUCK, Model, with_clause
 
@@ -568,7 +568,10 @@ def filing_as_of(m):
     return registry.latest_before(asked, m["filings"], "cik", "as_of", "filing_date", "accession")
 
 
-@query("SELECT accession, cusip, min(issuer) AS issuer, CAST(sum(shares) AS DECIMAL(24,2)) AS shares, CAST(sum(value) AS DECIMAL(24,2)) AS value FROM filing_rows WHERE kind = 'SH' AND put_call IS NULL GROUP BY accession, cusip")
+_HELD = "SELECT accession, cusip, arg_min(issuer, (line, issuer, title_of_class)) AS issuer, arg_min(title_of_class, (line, issuer, title_of_class)) AS title_of_class, CAST(sum(shares) AS DECIMAL(24,2)) AS shares, CAST(sum(value) AS DECIMAL(24,2)) AS value FROM filing_rows WHERE kind = 'SH' AND put_call IS NULL GROUP BY accession, cusip"
+
+
+@query(_HELD)
 def table_13f_aggregate(m):
     return registry.information_table(m["filing_rows"])
 
@@ -752,6 +755,29 @@ def day_delivery(m):
     return every.groupBy("format").agg(F.countDistinct("file_path").alias("files"), F.countDistinct(F.when(F.col("status") == "PARSED", F.col("file_path"))).alias("parsed"))
 
 
+def _share(name: str) -> str:
+    return f"CAST('0x' || substr(sha256(concat('{name}:', accession, ':', cusip)), 1, 13) AS BIGINT) / 4503599627370496.0"
+
+
+@query(f"SELECT account_id, cusip, quantity, price, market_value, CASE WHEN known >= 0.2 THEN CAST(market_value * CAST(floor(70 + 40 * cost) AS DECIMAL(9,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DECIMAL(24,2)) END AS cost_basis FROM (SELECT *, CAST(quantity * price AS DECIMAL(24,2)) AS market_value FROM (SELECT accession AS account_id, cusip, CAST((CAST(shares AS BIGINT) + 1) // 2 AS DECIMAL(24,6)) AS quantity, CAST(CAST((2 * CAST(value * 100 AS BIGINT) + CAST(shares AS BIGINT)) // (2 * CAST(shares AS BIGINT)) AS DOUBLE) / 100 AS DECIMAL(24,2)) AS price, {_share('known')} AS known, {_share('cost')} AS cost FROM ({_HELD})))")
+def book_positions(m):
+    """Half of the reported shares of each filing as an account's positions, with a cost basis for most."""
+    return book.positions(registry.information_table(m["filing_rows"]).withColumnRenamed("accession", "account_id"), 2)
+
+
+@query("SELECT day, isodow(day) < 6 AS business, coalesce(day = min(CASE WHEN isodow(day) < 6 THEN day END) OVER (PARTITION BY date_trunc('month', day)), false) AS contribution, coalesce(day = min(CASE WHEN isodow(day) < 6 AND extract(day FROM day) >= 18 THEN day END) OVER (PARTITION BY date_trunc('month', day)), false) AS withdrawal, day = last_day(day) AND extract(month FROM day) % 3 = 0 AS quarter_end FROM days")
+def cash_calendar(m):
+    return book.cash_calendar(m["days"])
+
+
+@query("SELECT f.fund_id, f.document, sha256(f.document) AS sha256 FROM fund_docs f JOIN doc_judged j ON j.fund_id = f.fund_id AND j.document = f.document WHERE NOT j.auto")
+def review_documents(m):
+    """The files that reviewers need to see: those of documents that wait for a review."""
+    held = m["fund_docs"].select("fund_id", F.col("document").alias("file_name"), F.sha2("document", 256).alias("sha256"))
+    waiting = _judged(m).where("routing = 'needs_review'").select(F.col("fund_id").alias("f"), "document")
+    return held.join(waiting, (F.col("fund_id") == F.col("f")) & (F.col("file_name") == F.col("document"))).select("fund_id", "document", "sha256")
+
+
 # --- display and serving -----------------------------------------------------------------------------------------
 
 

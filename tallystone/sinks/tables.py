@@ -156,3 +156,39 @@ def write_master(entries: DataFrame, path: str, provider: str) -> None:
     rows = F.array_sort(F.collect_list(F.struct("isin", *(c for c in entries.columns if c != "isin"))))
     source = F.struct(F.lit(provider).alias("provider"), F.count("*").alias("entries"), F.count_if("mapped").alias("mapped"))
     entries.agg(F.to_json(F.struct(source.alias("source"), rows.alias("entries")), {"ignoreNullFields": "false"}).alias("value")).coalesce(1).write.mode("overwrite").text(path)
+
+
+def typed(spark: SparkSession, name: str, kinds: str) -> DataFrame:
+    """A table's columns in the order and of the types that a reader expects (DDL); another type, or a column that is missing,
+    stops the query rather than being read as something else."""
+    wanted = T.StructType.fromDDL(kinds)
+    held = {f.name: f.dataType for f in spark.table(name).schema.fields}
+    if wrong := [f"{f.name} is {held[f.name].simpleString() if f.name in held else 'missing'}, not {f.dataType.simpleString()}" for f in wanted.fields if held.get(f.name) != f.dataType]:
+        raise TypeError(f"{name}: {'; '.join(wrong)}")
+    return servable(spark.table(name).select(*wanted.names))
+
+
+def reload_all(rows: dict[str, DataFrame], url: str, properties: dict[str, str] | None = None, connections: int = 8) -> None:
+    """Truncate serving tables and load them by column names, all in one transaction: rows go to tables beside them first, then
+    one connection replaces the contents, so that readers see all of the old state or all of the new."""
+    beside = {name: f"{name}_staged" for name in rows}
+    for name, part in rows.items():
+        servable(part).coalesce(connections).write.mode("overwrite").jdbc(url, beside[name], properties=properties or {})
+    spark = next(iter(rows.values())).sparkSession
+    connection = spark.sparkContext._jvm.java.sql.DriverManager.getConnection(url)
+    try:
+        connection.setAutoCommit(False)
+        statement = connection.createStatement()
+        for name, part in rows.items():
+            columns = ", ".join(f'"{c}"' for c in part.columns)
+            statement.executeUpdate(f"DELETE FROM {name}")
+            statement.executeUpdate(f"INSERT INTO {name} ({columns}) SELECT {columns} FROM {beside[name]}")
+        connection.commit()
+        for name in beside.values():
+            statement.executeUpdate(f"DROP TABLE {name}")
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()

@@ -64,12 +64,12 @@ def information_tables(spark: SparkSession, root: str) -> DataFrame:
     lines = F.from_xml(plain, F.lit(_TABLE))["infoTable"]
     lines = F.when(F.col("text").contains("infoTable") & lines.isNotNull(), lines).otherwise(F.raise_error(F.concat(F.lit("not an information table: "), F.col("file_path"))))
     number = lambda c: F.coalesce(F.trim(c).cast("decimal(24,2)"), F.lit(0).cast("decimal(24,2)"))
-    rows = files.select("file_path", F.regexp_extract("folder", "accession=(.*)", 1).alias("accession"), F.explode(lines).alias("i"))
+    rows = files.select("file_path", F.regexp_extract("folder", "accession=(.*)", 1).alias("accession"), F.posexplode(lines).alias("line", "i"))
     cusip = F.upper(F.trim("i.cusip"))
     return rows.select(
         "accession", F.when(F.coalesce(cusip, F.lit("")) != "", cusip).otherwise(F.raise_error(F.concat(F.lit("a line without cusip: "), F.col("file_path")))).alias("cusip"),
         F.trim("i.nameOfIssuer").alias("issuer"), F.trim("i.titleOfClass").alias("title_of_class"), number(F.col("i.shrsOrPrnAmt.sshPrnamt")).alias("shares"), number(F.col("i.value")).alias("value"),
-        F.coalesce(F.trim("i.shrsOrPrnAmt.sshPrnamtType"), F.lit("SH")).alias("kind"), F.trim("i.putCall").alias("put_call"),
+        F.coalesce(F.trim("i.shrsOrPrnAmt.sshPrnamtType"), F.lit("SH")).alias("kind"), F.trim("i.putCall").alias("put_call"), "line",
     )
 
 

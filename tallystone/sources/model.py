@@ -99,7 +99,7 @@ def relations(q: dict) -> dict[str, str]:
         "registry_old": f"SELECT doc_id AS file_path, {q['sha']} AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents WHERE doc_id % 17 <> 0",
         "registry_new": f"SELECT doc_id AS file_path, CASE WHEN doc_id % 11 = 0 THEN concat({q['sha']}, '-2') ELSE {q['sha']} END AS sha256, CAST({q['bytes']} AS BIGINT) AS size_bytes FROM documents",
         "filings": "SELECT o_custkey AS cik, o_orderkey AS accession, CAST(o_orderdate AS DATE) AS filing_date FROM orders",
-        "filing_rows": "SELECT l_orderkey AS accession, concat(CASE WHEN l_partkey % 9 = 0 THEN 'G' ELSE '0' END, lpad(CAST(l_partkey AS STRING), 8, '0')) AS cusip, concat('Issuer ', l_partkey) AS issuer, CAST(l_quantity AS DECIMAL(18,2)) AS shares, CAST(l_extendedprice AS DECIMAL(18,2)) AS value, CASE WHEN l_linenumber = 3 THEN 'PRN' ELSE 'SH' END AS kind, CASE WHEN l_partkey % 10 = 1 THEN 'Put' END AS put_call FROM lineitem",
+        "filing_rows": "SELECT l_orderkey AS accession, concat(CASE WHEN l_partkey % 9 = 0 THEN 'G' ELSE '0' END, lpad(CAST(l_partkey AS STRING), 8, '0')) AS cusip, concat('Issuer ', l_partkey, '-', l_linenumber) AS issuer, CASE WHEN l_linenumber % 2 = 0 THEN 'COM' ELSE 'CL A' END AS title_of_class, l_linenumber AS line, CAST(l_quantity AS DECIMAL(18,2)) AS shares, CAST(l_extendedprice AS DECIMAL(18,2)) AS value, CASE WHEN l_linenumber = 3 THEN 'PRN' ELSE 'SH' END AS kind, CASE WHEN l_partkey % 10 = 1 THEN 'Put' END AS put_call FROM lineitem",
         "domiciles": "SELECT DISTINCT cusip, 'CA' AS country FROM filing_rows WHERE CAST(substr(cusip, 2, 8) AS INT) % 23 = 0",
         "commitments": "SELECT c_custkey AS fund_id, CAST(1000000 + c_custkey * CAST(12345.67 AS DECIMAL(9,2)) AS DECIMAL(24,2)) AS total_commitment, CAST(1995 + c_custkey % 5 AS INT) AS vintage_year FROM customer",
         "decisions": "SELECT fund_id, document, CASE WHEN k % 2 = 0 THEN 'approved' ELSE 'corrected' END AS status, CASE WHEN k % 2 = 0 THEN amount ELSE CAST(amount + 1 AS DECIMAL(24,2)) END AS final_amount FROM fund_docs WHERE k % 5 = 0",

@@ -165,3 +165,26 @@ def test_manifests_and_master_files(spark, tmp_path):
     tables.write_master(entries, str(tmp_path / "master"), "test")
     got = json.loads(spark.read.text(str(tmp_path / "master")).collect()[0]["value"])
     assert got == {"source": {"provider": "test", "entries": 2, "mapped": 1}, "entries": [{"isin": "US1", "mapped": False, "figi": None}, {"isin": "US2", "mapped": True, "figi": "F"}]}
+
+
+def test_serving_tables_are_replaced_together(spark):
+    url = "jdbc:derby:memory:together;create=true"
+    kinds = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    one = lambda n: spark.createDataFrame([(i, float(i)) for i in range(n)], "ID int, V double")
+    for name in ("left_side", "right_side"):
+        one(3).write.jdbc(url, name, properties=kinds)
+    tables.reload_all({"left_side": one(5), "right_side": one(7)}, url, kinds)
+    count = lambda name: spark.read.jdbc(url, name, properties=kinds).count()
+    assert (count("left_side"), count("right_side")) == (5, 7)
+    with pytest.raises(Exception, match="(?i)missing_side"):
+        tables.reload_all({"left_side": one(1), "missing_side": one(1)}, url, kinds)
+    assert (count("left_side"), count("right_side")) == (5, 7)  # rolled back
+
+
+def test_typed_reads_stop_at_another_type(spark):
+    spark.sql("DROP TABLE IF EXISTS typed_rows")
+    tables.rebuild(spark.createDataFrame([(1, Decimal("1.5"))], "a int, b decimal(24,2)"), "typed_rows")
+    assert tables.typed(spark, "typed_rows", "b decimal(24,2), a int").columns == ["b", "a"]
+    with pytest.raises(TypeError, match="a is int, not bigint; c is missing"):
+        tables.typed(spark, "typed_rows", "a bigint, c string")
+    spark.sql("DROP TABLE typed_rows")

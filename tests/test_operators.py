@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tallystone.functions import identifiers, labels
 from tallystone.functions.money import quantized, to_usd, tolerant_decimal
-from tallystone.operators import defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
+from tallystone.operators import book, defects, documents, fund_book, fx, master, ownership, quality, registry, serving, wealth
 from tallystone.plans import catalog
 from tallystone.sources import feeds
 from tallystone.sources.model import Model
@@ -353,3 +353,17 @@ def test_audit_has_the_decisions_that_were_taken(spark):
     queue = spark.createDataFrame([(1, "p", "pending", Decimal(5)), (1, "q", "pending", Decimal(6)), (1, "d", "approved", Decimal(7))], "fund_id long, document string, status string, amount decimal(24,2)")
     decisions = spark.createDataFrame([(1, "p", "approved", None), (1, "q", "corrected", Decimal(9)), (1, "d", "corrected", Decimal(2))], "fund_id long, document string, status string, final_amount decimal(24,2)")
     assert {(r["document"], r["action"], r["final_amount"]) for r in registry.audited(queue, decisions).collect()} == {("p", "approve", 5), ("q", "correct", 9)}
+
+
+def test_a_position_of_nothing_is_an_error(spark):
+    rows = spark.createDataFrame([(1, "c", Decimal(1), Decimal("10.01")), (1, "d", Decimal(7), Decimal(70))], "account_id int, cusip string, shares decimal(24,2), value decimal(24,2)")
+    got = {r["cusip"]: (r["quantity"], r["price"], r["market_value"]) for r in book.positions(rows, 2).collect()}
+    assert got == {"c": (1, Decimal("10.01"), Decimal("10.01")), "d": (4, 10, 40)}
+    with pytest.raises(Exception, match="nothing is left of c"):
+        book.positions(rows, 3).collect()
+
+
+def test_days_on_which_cash_moves(spark):
+    days = spark.sql("SELECT explode(sequence(DATE '2026-08-01', DATE '2026-09-30')) AS day")
+    got = {k: [r["day"].isoformat() for r in book.cash_calendar(days).where(k).orderBy("day").collect()] for k in ("contribution", "withdrawal", "quarter_end")}
+    assert got == {"contribution": ["2026-08-03", "2026-09-01"], "withdrawal": ["2026-08-18", "2026-09-18"], "quarter_end": ["2026-09-30"]}
