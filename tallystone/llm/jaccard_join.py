@@ -289,15 +289,18 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root): the smallest node that each node of the edges reaches. Labels move along links and then jump to
     their label's label, so rounds grow with the logarithm of a path; each round is written to the shared folder."""
     two = materialize(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(edges.select(F.col("b").alias("u"), F.col("a").alias("v"))))
-    labels = materialize(two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
+    held = materialize(two.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("root")).withColumnRenamed("u", "node"))
     while True:
+        labels = held.select("node", "root")
         seen = two.join(labels.hint("shuffle_merge"), two.v == labels.node).groupBy("u").agg(F.min("root").alias("near"))
         moved = labels.join(seen, labels.node == seen.u).select("node", "root", F.least("root", "near").alias("next"))
         target = labels.select(F.col("node").alias("next"), F.col("root").alias("beyond"))
         jumped = materialize(moved.join(target, "next", "left").select("node", F.least("next", F.coalesce("beyond", "next")).alias("root"), (F.col("next") < F.col("root")).alias("changed")))
-        labels = jumped.select("node", "root")
+        discard(held)
+        held = jumped
         if not jumped.where("changed").limit(1).count():
-            return labels
+            discard(two)
+            return jumped.select("node", "root")
 
 
 def _meeting(at: DataFrame, roots: DataFrame | None) -> DataFrame:
@@ -419,8 +422,11 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
         if found.limit(1).count():
             links = links.unionByName(found)
             roots = components(links)
-        # keys whose documents are in one component stay so
-        again = then if then is not None else meeting.select("doc_id", "n", "key", "far")
+        if then is None:  # keys whose documents are in one component stay so
+            again = meeting.select("doc_id", "n", "key", "far")
+        else:
+            again = then
+            discard(meeting)
     meeting = _meeting(again, roots)
     rest = [_similar(_all_pairs(meeting.where(F.col("docs") <= HOT), share), sets, share)]
     if meeting.where(F.col("docs") > HOT).limit(1).count():
