@@ -699,3 +699,14 @@ def test_toxicity_fit_is_bounded_in_bytes(spark, monkeypatch):
     monkeypatch.setattr(toxicity, "learn", lambda texts, y: seen.append(sum(map(len, texts))))
     toxicity.fit(frame, labels, "doc_id", "text", fit_bytes=3000)
     assert 0 < seen[0] <= 3000
+
+
+def test_a_missing_library_is_an_error():
+    """Only the missing folder may pass the entry's guard, not a library that the operators need."""
+    import pathlib
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__"
+    out = subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(__file__).parents[2], capture_output=True, text=True, timeout=100)
+    assert out.returncode != 0 and "xxhash" in out.stderr
