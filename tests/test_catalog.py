@@ -2,6 +2,9 @@
 
 import datetime
 import decimal
+import pathlib
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -46,3 +49,10 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).limit(1).count() == 1
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_entry_without_the_training_data_operators():
+    """Without their folder the entry has the engine's queries alone."""
+    code = "import sys; sys.modules['tallystone.llm'] = None; import __spark_entry__ as e; print(len(e.queries()), len(e.oracle_sql()))"
+    out = subprocess.run([sys.executable, "-c", code], cwd=pathlib.Path(__file__).parents[1], capture_output=True, text=True, check=True, timeout=100)
+    assert out.stdout.split() == [str(len(catalog.queries()))] * 2
