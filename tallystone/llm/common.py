@@ -45,6 +45,9 @@ def _files(spark: SparkSession, path: str):
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+_FOLDERS: dict[int, tuple[weakref.ref, str]] = {}
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read again: cuts the lineage, survives lost executors. The folder goes when the
     driver's JVM ends, or with `discard`."""
@@ -55,10 +58,26 @@ def materialize(df: DataFrame) -> DataFrame:
     files.deleteOnExit(at)
     again = spark.read.schema(df.schema).parquet(path)
     _FOLDERS[id(again)] = (weakref.ref(again, lambda _, key=id(again): _FOLDERS.pop(key, None)), path)
+    if _TEMPORARY:
+        _TEMPORARY[-1].append(again)
     return again
 
 
-_FOLDERS: dict[int, tuple[weakref.ref, str]] = {}
+_TEMPORARY: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def temporary() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """What `materialize` writes inside goes at the end, but for frames that are passed to what this gives."""
+    kept: list[DataFrame] = []
+    _TEMPORARY.append([])
+    try:
+        yield lambda frame: kept.append(frame) or frame
+    finally:
+        held = _TEMPORARY.pop()
+        discard(*(frame for frame in held if not any(frame is k for k in kept)))
+
+
 
 
 def discard(*frames: DataFrame) -> None:

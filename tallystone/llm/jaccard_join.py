@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm import blocks
-from tallystone.llm.common import discard, lookup, materialize, mix64, quoted, unnamed
+from tallystone.llm.common import discard, lookup, materialize, mix64, quoted, temporary, unnamed
 from tallystone.llm.words import BASE, hashed, runs, windows
 
 WIDTH, SHARE = 5, (3, 4)
@@ -446,12 +446,12 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Rows with a null doc_id or without words stay.
     """
-    joined = join(docs, id_col, text_col, chunk_bytes=chunk_bytes, **options)
-    gone = joined.where("component_id < doc_id").select("doc_id").distinct()
-    again = joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    with temporary() as keep:  # of the join only the ids that go are needed
+        joined = materialize(join(docs, id_col, text_col, chunk_bytes=chunk_bytes, **options).drop("chunk"))
+        gone = keep(materialize(joined.where("component_id < doc_id").select("doc_id").distinct()))
+        again = keep(materialize(joined.where("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")))
     plain, at = unnamed(docs)
     own = plain[at[id_col]].cast("long")
-    gone = materialize(gone)
     gone = F.broadcast(gone) if gone.count() <= FEW else gone.hint("shuffle_merge")  # 8 bytes a row
     kept = plain.join(gone, own == gone["doc_id"], "left_anti")
     if again.limit(1).count():
