@@ -80,8 +80,8 @@ def metrics(delivered: DataFrame, positions: DataFrame, found: DataFrame, cash:
     text = lambda *parts: F.concat(*(F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts))
     breaks, torn = some("total") - some("ok"), some("checked") - some("kept")
 
-    def row(dimension, metric, value, passed, detail):
-        return F.struct(F.lit(dimension).alias("dimension"), F.lit(metric).alias("metric"), value.cast("decimal(14,6)").alias("value"), passed.cast("boolean").alias("passed"), detail.alias("detail"))
+    def row(dimension, metric, value, passed, detail, day=F.col("as_of")):
+        return F.struct(day.alias("as_of"), F.lit(dimension).alias("dimension"), F.lit(metric).alias("metric"), value.cast("decimal(14,6)").alias("value"), passed.cast("boolean").alias("passed"), detail.alias("detail"))
 
     compared, none = F.col("checked").isNotNull(), F.lit(None)
     made = F.array(
@@ -93,9 +93,8 @@ def metrics(delivered: DataFrame, positions: DataFrame, found: DataFrame, cash:
         row("exceptions", "cash_integrity_breaks_count", breaks, none, text(breaks, " account-days with a missing movement")),
         F.when(compared, row("exceptions", "cash_continuity_breaks_count", torn, none, text(torn, " accounts broke day-over-day continuity"))),
     )
-    daily = wide.select("as_of", F.explode(F.filter(made, lambda x: x.isNotNull())).alias("x")).select("as_of", "x.*")
-    last = delivered.agg(F.max("statement_date").alias("last"))
-    run = F.lit(run_date).cast("date")
-    behind = F.datediff(run, "last")
-    fresh = last.select(run.alias("as_of"), row("freshness", "bronze_days_behind", behind, behind <= at_most, text("bronze last landed ", F.col("last"))).alias("x")).select("as_of", "x.*")
-    return daily.unionByName(fresh)
+    run, last = F.lit(run_date).cast("date"), F.max("as_of").over(Window.partitionBy())  # over a row a day
+    behind = F.datediff(run, F.col("last"))
+    fresh = F.when(F.col("as_of") == F.col("last"), row("freshness", "bronze_days_behind", behind, behind <= at_most, text("bronze last landed ", F.col("last")), run))
+    every = wide.withColumn("last", last).select(F.explode(F.filter(F.concat(made, F.array(fresh)), lambda x: x.isNotNull())).alias("x"))
+    return every.select("x.*")

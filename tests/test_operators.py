@@ -84,9 +84,9 @@ def test_findings_join_the_feeds_once(spark):
 
 @pytest.mark.parametrize("name", ["wealth_daily", "dietz", "xirr", "dq_metrics", "recon_findings"])
 def test_lines_are_read_once_a_use(spark, name):
-    """Neither returns nor feeds compute their input again: a scan of the lines for positions, and in metrics one for findings and two for the register of files."""
+    """Neither returns nor feeds compute their input again: a scan of the lines for positions, and in metrics one for findings and one for the register of files."""
     plan = catalog.queries()[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("l_partkey") > 0 and len(re.findall(r"Relation \[[^\]]*l_partkey", plan)) <= {"dq_metrics": 4}.get(name, 1)
+    assert plan.count("l_partkey") > 0 and len(re.findall(r"Relation \[[^\]]*l_partkey", plan)) <= {"dq_metrics": 3}.get(name, 1)
 
 
 def test_marks_are_carried_forward_by_fund_and_then_summed(spark):
