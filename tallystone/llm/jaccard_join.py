@@ -17,7 +17,9 @@ Candidates with equal sets are linked at once, one for all. Then each candidate
 smallest it meets), which joins large groups of near copies with a pair a document; then again across components, and at
 last all that meet and are still in different components: pair by pair in signatures of up to 100 documents, and above
 that block by block, with matrix products, so that no pair is a row. Comparisons are exact on the sets (48 bits of each
-shingle's hash). Joins on a signature or a set send the heaviest keys to all tasks (`lookup`), so that one which a third
+shingle's hash). Before a pair's sets travel, their sketches do, a twelfth of the size at most: the parities of the
+shingles in each of 2^k cells. A shingle in one set alone changes one parity, so sets differ in as many shingles as
+parities at least, and a pair that differs in too many is no link; all others are compared. Joins on a signature or a set send the heaviest keys to all tasks (`lookup`), so that one which a third
 of all documents share stays where its rows are.
 
 Defined results: a null or empty text has an empty set and links with nothing; rows that share a doc_id are one
@@ -48,7 +50,7 @@ SPARE_BITS = 11
 HOT, BLOCK, COLUMNS = 100, 512, 8192
 #: So many ids are sent to all tasks, more are joined by a shuffle.
 FEW = 2_000_000
-NODES = "chunk int, doc_id long, n_shingles long, twin long, repeated boolean, mark binary, keys array<struct<key:long,far:int>>, hashes binary"
+NODES = "chunk int, doc_id long, n_shingles long, twin long, repeated boolean, mark binary, keys array<struct<key:long,far:int>>, sketch binary, hashes binary"
 
 
 def shingle_sets(texts: list[bytes | None], width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,6 +190,21 @@ def looked_at(flat: np.ndarray, ends: np.ndarray, rows: np.ndarray, known: np.nd
     return at[order], key[order], far[order]
 
 
+def parities(hashes: np.ndarray) -> bytes:
+    """The parities of the hashes' numbers in as many cells as the power of two from twice as many on, at least 64."""
+    cells = max(64, 2 << int(_band(np.array([len(hashes)]))[0]))
+    place = (hashes >> np.uint64(16) & np.uint64(cells - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=cells).astype(np.uint8) & 1, bitorder="little").tobytes()
+
+
+def differ(x: bytes, y: bytes) -> int:
+    """A number of hashes in which two sets differ at least, from their parities; the longer are folded to the shorter."""
+    one, two = (np.frombuffer(v, np.uint64) for v in (x, y))
+    size = min(len(one), len(two))
+    one, two = (np.bitwise_xor.reduce(v.reshape(-1, size), axis=0) for v in (one, two))
+    return int(np.bitwise_count(one ^ two).sum())
+
+
 def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[int, int], chunk_bytes: int) -> tuple[DataFrame, int]:
     """A row for each document: its set's size, the smallest document of its chunk with the same set, and, where it
     may link with others, the signatures to look at, the set and its mark; and the number of ranges of signatures."""
@@ -214,8 +231,9 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
         ids, flat, ends, marks, twin, repeated = _of_chunk(table, width)
         at, key, far = looked_at(flat, ends, signing(ids, twin), known, counts, share, cut)
         many = np.bincount(at, minlength=len(ids))
-        held, mark = [None] * len(ids), [None] * len(ids)
+        held, mark, sketch = [None] * len(ids), [None] * len(ids), [None] * len(ids)
         for i in np.flatnonzero(many).tolist():
+            sketch[i] = parities(flat[ends[i] : ends[i + 1]])
             held[i] = flat[ends[i] : ends[i + 1]].astype("<u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
             mark[i] = marks[i].tobytes()
         pairs = pa.StructArray.from_arrays([pa.array(key.view(np.int64)), pa.array(far.astype(np.int32))], ["key", "far"])
@@ -228,6 +246,7 @@ def nodes(docs: DataFrame, id_col: str, text_col: str, width: int, share: tuple[
             "repeated": pa.array(repeated & ~null),
             "mark": pa.array(mark, pa.binary()),
             "keys": pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(many))), pa.int32()), pairs),
+            "sketch": pa.array(sketch, pa.binary()),
             "hashes": pa.array(held, pa.binary()),
         })
 
@@ -261,14 +280,26 @@ def _full(data: bytes) -> np.ndarray:
     return wide.reshape(-1).view("<u8").astype(np.uint64)
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataFrame:
-    """Of pairs (a, b) those whose sets are similar enough. A document in many pairs is met by 64 copies of its set."""
-    p, q = share
+def _beside(pairs: DataFrame, facts: DataFrame) -> DataFrame:
+    """(a, b, x, y): pairs with the fact of each. A document in many pairs is met by 64 copies of its fact."""
     salted = pairs.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(64)).cast("int"))
-    left = salted.select("a", "salt").distinct().join(sets.select(F.col("doc_id").alias("a"), F.col("hashes").alias("x")).hint("shuffle_merge"), "a")
-    both = salted.join(left.hint("shuffle_merge"), ["a", "salt"]).select("a", "b", "x").join(sets.select(F.col("doc_id").alias("b"), F.col("hashes").alias("y")).hint("shuffle_merge"), "b")
+    left = salted.select("a", "salt").distinct().join(facts.toDF("a", "x").hint("shuffle_merge"), "a")
+    both = salted.join(left.hint("shuffle_merge"), ["a", "salt"]).select("a", "b", "x").join(facts.toDF("b", "y").hint("shuffle_merge"), "b")
+    return both.select("a", "b", "x", "y")
+
 
-    def run(batches):
+def _similar(pairs: DataFrame, meets: DataFrame, share: tuple[int, int]) -> DataFrame:
+    """Of pairs (a, b) those whose sets are similar enough: first by the sketches, which rule out most others."""
+    p, q = share
+
+    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            (m, x), (n, y) = (batch.column(c).flatten() for c in "xy")
+            most = _most(m.to_numpy() + n.to_numpy(), share).tolist()
+            keep = [differ(v, w) <= k for v, w, k in zip(x.to_pylist(), y.to_pylist(), most, strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep, last = [], (None, None)
             for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
@@ -282,7 +313,10 @@ def _similar(pairs: DataFrame, sets: DataFrame, share: tuple[int, int]) -> DataF
                 keep.append(q * inside >= p * (len(merged) - inside))
             yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    left = materialize(_beside(pairs, meets.select("doc_id", F.struct("n_shingles", "sketch"))).mapInArrow(likely, "a long, b long"))
+    found = materialize(_beside(left, meets.select("doc_id", "hashes")).mapInArrow(run, "a long, b long"))
+    discard(left)
+    return found
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -410,7 +444,6 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     copies = materialize(lookup(meets.select("mark", "doc_id"), equal, "mark", "docs").where("least < doc_id").select(F.col("least").alias("a"), F.col("doc_id").alias("b")))
     ids_of_one = held.where("repeated and twin <> doc_id").select(F.col("twin").alias("a"), F.col("doc_id").alias("b"))
     links = copies.unionByName(ids_of_one)
-    sets = meets.select("doc_id", "hashes")
     alone = equal.select("mark", F.col("least").alias("doc_id"))
     at = meets.join(alone.hint("shuffle_merge"), ["mark", "doc_id"], "left_semi").select("chunk", "doc_id", F.col("n_shingles").alias("n"), "keys")
     at = materialize(met(at, parts))
@@ -418,7 +451,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
     roots, again = None, each.where(F.pmod(F.shiftright("key", 40), F.lit(8)) == 0)
     for then in (each, None):
         meeting = _meeting(again, roots)
-        found = materialize(_similar(_stars(meeting, share), sets, share))
+        found = _similar(_stars(meeting, share), meets, share)
         if found.limit(1).count():
             links = links.unionByName(found)
             roots = components(links)
@@ -428,11 +461,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width:
             again = then
             discard(meeting)
     meeting = _meeting(again, roots)
-    rest = [_similar(_all_pairs(meeting.where(F.col("docs") <= HOT), share), sets, share)]
+    rest = [_similar(_all_pairs(meeting.where(F.col("docs") <= HOT), share), meets, share)]
     if meeting.where(F.col("docs") > HOT).limit(1).count():
-        rest.append(_blockwise(meeting.where(F.col("docs") > HOT), sets, share))
+        rest.append(materialize(_blockwise(meeting.where(F.col("docs") > HOT), meets.select("doc_id", "hashes"), share)))
     for more in rest:
-        more = materialize(more)
         if more.limit(1).count():
             links = links.unionByName(more)
             roots = None

@@ -115,6 +115,39 @@ def test_signatures_are_subsets_of_partitions():
         assert 2 <= len(a - b) <= 4 and len(a & b) >= len(a) - 4
 
 
+def test_sketches_never_tell_more_differences_than_there_are():
+    rng = np.random.default_rng(12)
+    for n in (1, 2, 31, 32, 33, 300, 2500):
+        for gone, new in ((0, 0), (1, 0), (0, 1), (n // 8, n // 8), (n // 4, 0), (0, n // 3), (n // 2, n // 2), (n, n), (n, 5 * n)):
+            own = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+            other = np.concatenate((own[gone:], rng.integers(0, 1 << 63, new).astype(np.uint64)))
+            if len(other):
+                told = jaccard_join.differ(jaccard_join.parities(own), jaccard_join.parities(other))
+                assert told == jaccard_join.differ(jaccard_join.parities(other), jaccard_join.parities(own))
+                assert told <= len(np.setxor1d(own, other)) and (gone + new or not told)
+                if n >= 300 and gone == new == n // 2:  # a third in common
+                    assert 7 * told > len(own) + len(other)
+
+
+def test_sets_of_pairs_that_sketches_rule_out_do_not_travel(spark, monkeypatch):
+    """Documents that meet in rare signatures of a passage but are no links: their sets are not sent."""
+    rng, rows = np.random.default_rng(6), []
+    for i in range(60):
+        rows.append((i, " ".join([*(f"p{k}" for k in range(90)), *(f"r{i}_{k}" for k in range(60 + int(rng.integers(0, 9))))])))
+    rows += [(100 + i, t + " x") for i, t in rows[:5]]
+    sent, beside = [], jaccard_join._beside
+
+    def counted(pairs, facts):
+        sent.append((facts.columns[-1] == "hashes", pairs.count()))
+        return beside(pairs, facts)
+
+    monkeypatch.setattr(jaccard_join, "_beside", counted)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=4000).collect()}
+    assert got == linked(rows)
+    told, full = (sum(n for whole, n in sent if whole == w) for w in (False, True))
+    assert told > 60 and full <= 10
+
+
 def test_jaccard_join_odd_rows(odd):
     got = collections.defaultdict(set)
     for r in jaccard_join.join(odd).collect():
