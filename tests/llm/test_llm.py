@@ -698,6 +698,33 @@ def test_quality_verdicts_by_brute_force(spark):
     assert 0 < sum(r["kept"] for r in rows) < len(rows)
 
 
+def test_forest_counts_every_labelled_row(spark):
+    """6,500 good rows, more than any bounded sample of old: each is in a leaf of each tree, and the threshold is that of
+    all scores, good rows' without themselves, by plain sorting."""
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{k}" for k in rng.integers(0, 1000, 52 + i % 9)) + "." * (i % 5) for i in range(6500)]
+    texts += [" ".join(f"W#{k}" for k in rng.integers(0, 1000, 60)) for _ in range(40)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4).cache()
+    labels = spark.createDataFrame([(i, int(i < 6500)) for i in range(len(texts))], "doc_id long, quality int")
+    forest = quality_forest.fit(frame, labels, "doc_id", "text")
+    assert forest.size == 6500
+    x = quality_forest.rules(np.array([quality_forest.counts(t.encode()) for t in texts]))
+    feature, cut = quality_forest.drawn(x.min(0), x.max(0))
+    held = np.array([np.bincount(leaf, minlength=feature.shape[1] + 1) for leaf in quality_forest.leaves(x[:6500], feature, cut)])
+    whole, without = quality_forest.Forest(feature, cut, held), quality_forest.Forest(feature, cut, held, left_out=1)
+    assert all((a == b).all() for t, u in zip(whole.trees, forest.trees, strict=True) for a, b in zip(t, u, strict=True))
+    for i in (0, 77, 6499):  # the forest without a row is the one grown without it, seen from that row
+        less = np.array([h - (np.arange(len(h)) == leaf[0]) for h, leaf in zip(held, quality_forest.leaves(x[i : i + 1], feature, cut), strict=True)])
+        other = quality_forest.Forest(feature, cut, less)
+        other.size = whole.size
+        assert other.score(x[i : i + 1]) == pytest.approx(without.score(x[i : i + 1]))
+    g, b = np.sort(without.score(x[:6500])), np.sort(whole.score(x[6500:]))
+    at = np.unique(np.concatenate((g, b)))
+    kept, found = np.searchsorted(g, at, "right"), np.searchsorted(b, at, "right")
+    best = np.argmax(np.where(kept / len(g) >= quality_forest.KEEP, kept * len(b) - found * len(g), -(10**9)))
+    assert forest.threshold == pytest.approx((at[best] + at[min(best + 1, len(at) - 1)]) / 2, abs=1e-12)
+
+
 def test_windows_of_one_hash_are_told_apart_by_their_checks():
     seen, checks = np.array([5, 7, 7, 7, 9], np.uint64), np.array([1, 1, 2, 3, 1], np.uint32)
     asked, own = np.array([5, 5, 7, 7, 7, 8, 9, 99], np.uint64), np.array([1, 2, 3, 1, 4, 1, 1, 1], np.uint32)
